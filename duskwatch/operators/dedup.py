@@ -172,17 +172,20 @@ def first_claim(claims: DataFrame, member: str = "member", group: str = "group_i
     return claims.groupBy(member).agg(F.min(group).alias(group))
 
 
-def representatives(groups: DataFrame, texts: DataFrame, id_col: str) -> DataFrame:
-    """Per group its longest text (ties: least id) and the number of members."""
-    lengths = texts.select(id_col, F.length("text").alias("n_chars"))
-    longest = groups.join(lengths, id_col).groupBy("group_id").agg(
-        F.min(F.struct((-F.col("n_chars")).alias("rank"), id_col)).alias("best"), F.count("*").alias("n_members"))
-    return longest.select("group_id", F.col(f"best.{id_col}").alias("representative"), "n_members")
-
-
-def near_table(groups: DataFrame, texts: DataFrame, id_col: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def representatives(groups: DataFrame, texts: DataFrame, id_col: str, tie: str | None = None) -> DataFrame:
+    """Per group its longest text (ties: least ``tie``, by default the id) and its size."""
+    facts = texts.select(
+        id_col, (-F.length("text")).alias("rank"), F.col(tie or id_col).alias("tie"), F.col(id_col).alias("best_id"))
+    longest = groups.join(facts, id_col).groupBy("group_id").agg(
+        F.min(F.struct("rank", "tie", "best_id")).alias("best"), F.count("*").alias("n_members"))
+    return longest.select("group_id", F.col("best.best_id").alias("representative"), "n_members")
+
+
+def near_table(
+    groups: DataFrame, texts: DataFrame, id_col: str, tie: str | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """``(id, group_id, representative, n_members)`` for every text."""
-    reps = representatives(groups, texts, id_col)
+    reps = representatives(groups, texts, id_col, tie)
     return join_hot_split(groups, reps, "group_id", "n_members", hot_rows)
 
 

@@ -29,8 +29,8 @@ class Step:
 @dataclass
 class DedupStep:
     exact: DataFrame      # (text_key, object_name): previous and new memberships
-    texts: DataFrame      # (object_name, text_key, text, n_copies): one row per distinct text
-    near: DataFrame       # (object_name, group_id, representative, n_members)
+    texts: DataFrame      # (text_id, text_key, object_name, text, n_copies): one row per distinct text
+    near: DataFrame       # (text_id, group_id, representative, n_members)
     counts: DataFrame
 
 
@@ -73,56 +73,56 @@ def dedup_step(
     """
     new = D.exact_index(preprocessed)
     exact = materialize(D.incremental_exact(previous_exact, new), "exact")
-    texts = preprocessed.where("text <> ''").select("object_name", "text")
+    columns = ["text_key", "object_name", "text"]
+    firsts = D.distinct_texts(preprocessed).select(*columns)
     if previous_texts is not None:
-        known = previous_texts.select("object_name", "text_key", "text")
-        fresh = D.distinct_texts(texts).select("object_name", "text_key", "text")
-        fresh = fresh.join(known.select("text_key"), "text_key", "left_anti")
-        firsts = known.unionByName(fresh)
-        copies = exact.groupBy("text_key").agg(F.count("*").alias("n_copies"))
-        distinct = firsts.join(copies, "text_key")
-    else:
-        distinct = D.distinct_texts(texts)
-    distinct = materialize(distinct.select("object_name", "text_key", "text", "n_copies"), "texts")
+        known = previous_texts.select(*columns)
+        firsts = known.unionByName(firsts.join(known.select("text_key"), "text_key", "left_anti"))
+    copies = exact.groupBy("text_key").agg(F.count("*").alias("n_copies"))
+    # A number per text, fixed by writing the table, keeps the keys of the group step short.
+    texts = materialize(
+        firsts.join(copies, "text_key").withColumn("text_id", F.monotonically_increasing_id()), "texts")
     near = materialize(
-        D.near_table(D.near_groups(distinct, "object_name"), distinct, "object_name"), "near")
-    # This run's rows: its first row of a text not known before counts by its group.
-    candidates = D.exact_duplicates(new)
+        D.near_table(D.near_groups(texts, "text_id"), texts, "text_id", tie="object_name"), "near")
+    # This run's rows: the first row of a text not known before counts by its place in the groups.
+    placed = new.select("text_key").distinct()
     if previous_exact is not None:
-        candidates = candidates.join(previous_exact.select("text_key").distinct(), "text_key", "left_anti")
-    placed = candidates.join(near.withColumnRenamed("object_name", "first_id"), "first_id")
+        placed = placed.join(previous_exact.select("text_key").distinct(), "text_key", "left_anti")
+    placed = placed.join(texts.select("text_key", "text_id"), "text_key").join(near, "text_id")
     first_counts = placed.agg(
-        F.count_if(F.col("first_id") == F.col("representative")).alias("unique"),
-        F.count_if(F.col("first_id") != F.col("representative")).alias("near"))
+        F.count_if(F.col("text_id") == F.col("representative")).alias("unique"),
+        F.count_if(F.col("text_id") != F.col("representative")).alias("near"))
     totals = new.agg(F.count("*").alias("total"))
     counts = G.counter_rows(totals.join(F.broadcast(first_counts)).select(
         F.col("total").alias("Total onions"),
         (F.col("total") - F.col("unique") - F.col("near")).alias("Exact mirrors"),
         F.col("near").alias("Near mirrors"),
         F.col("unique").alias("Unique onions")))
-    return DedupStep(exact, distinct, near, counts)
+    return DedupStep(exact, texts, near, counts)
 
 
 def version_dedup_step(store: VersionStore, dedup: DedupStep, version: date) -> Step:
     """Write the exact index, the texts, the groups and the unique texts; count the totals."""
     store.write(dedup.exact, "exact_onions", version)
-    store.write(dedup.texts, "texts", version)
+    texts = store.write(dedup.texts, "texts", version)
     near = store.write(dedup.near, "near_onions", version)
-    uniques = store.write(D.unique_texts(near, "object_name"), "unique_onions", version)
-    counts = D.dedup_counts_total(dedup.texts, uniques)
+    uniques = D.unique_texts(near, "text_id")
+    stored = store.write(
+        uniques.join(texts.withColumnRenamed("text_id", "representative"), "representative"), "unique_onions", version)
+    counts = D.dedup_counts_total(texts, stored)
     store.write_stats(counts, "deduplicated_onions", version)
-    return Step(uniques, counts)
+    return Step(stored, counts)
 
 
 def language_step(model: PipelineModel, dedup: DedupStep) -> Step:
     """The two best languages of every representative text."""
-    uniques = D.unique_texts(dedup.near, "object_name").select(F.col("representative").alias("object_name"))
-    rows = L.language_top2(model, dedup.texts.join(uniques, "object_name", "left_semi"), "object_name")
+    uniques = D.unique_texts(dedup.near, "text_id").select(F.col("representative").alias("text_id"))
+    rows = L.language_top2(model, dedup.texts.join(uniques, "text_id", "left_semi"), "text_key")
     return Step(rows, G.language_metrics(rows))
 
 
 def version_language_step(
-    store: VersionStore, languages: DataFrame, from_date: date, version: date, key: str = "object_name"
+    store: VersionStore, languages: DataFrame, from_date: date, version: date, key: str = "text_key"
 ) -> Step:
     rows = _version(store, "languages", languages, key, from_date, version)
     store.write_stats(G.top_languages(rows).select(F.col("language").alias("metric"), F.col("percentage").alias("value")),
@@ -130,7 +130,7 @@ def version_language_step(
     return Step(rows, G.language_metrics(rows))
 
 
-def classify_step(languages: DataFrame, texts: DataFrame, key: str = "object_name") -> DataFrame:
+def classify_step(languages: DataFrame, texts: DataFrame, key: str = "text_key") -> DataFrame:
     """Sentence and word histograms of the texts whose first language is English."""
     english = texts.join(L.semi_english(languages).select(key), key, "left_semi")
     return G.length_histograms(english)
