@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from duskwatch import constants as C
 from duskwatch import schemas
 from duskwatch.functions import addresses as A
+from duskwatch.session import spread
 
 EPOCH_MICROS = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"
 REGISTRY_MIN_VALUE = 130
@@ -22,8 +23,15 @@ def address(key: str) -> str:
     return f"concat(translate(substr(concat(md5({key}), md5(concat('x', {key}))), 1, 55), '0189', 'wxyz'), 'd.onion')"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+TEXT_TABLES = {"pages": ("page_id", "url", "html"), "documents": ("doc_id", "text", "lang", "source")}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table; the text tables feed costly work and are spread over all cores."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    columns = columns or TEXT_TABLES.get(name, ())
+    df = df.select(*columns) if columns else df
+    return spread(df) if name in TEXT_TABLES and {"html", "text"} & set(columns) else df
 
 
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,13 +98,13 @@ def html_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as they are."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return table(spark, sf_dir, "documents", "doc_id", "text")
 
 
 def noisy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents, most with one noise sentence appended so that every rule fires."""
     addr = address("concat('d', cast(doc_id as string))")
-    return table(spark, sf_dir, "documents").selectExpr("doc_id", f"{addr} as onion", f"""concat(text,
+    return table(spark, sf_dir, "documents", "doc_id", "text").selectExpr("doc_id", f"{addr} as onion", f"""concat(text,
          case doc_id % 11
            when 0 then concat(' Visit ', {addr}, ' today.')
            when 1 then ' -----BEGIN PGP PUBLIC KEY BLOCK----- abc -----END PGP PUBLIC KEY BLOCK-----.'
@@ -108,7 +116,7 @@ def noisy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code-search hits on 120 result pages; keys repeat across pages so that the later page wins."""
     addr = address("concat('d', cast(doc_id % 60 as string))")
-    return table(spark, sf_dir, "documents").selectExpr(
+    return table(spark, sf_dir, "documents", "doc_id", "lang", "source").selectExpr(
         "source as repo", "concat(lang, '/', cast(doc_id % 40 as string)) as path",
         "cast(doc_id % 5 as string) as line_no", "doc_id", "1 + doc_id % 120 as page",
         f"concat('see ', {addr}, ' in <', lang, '> & co') as line",
@@ -152,7 +160,7 @@ def gateway_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two outgoing links per page."""
-    pages = table(spark, sf_dir, "pages").select("page_id")
+    pages = table(spark, sf_dir, "pages", "page_id")
     total = pages.agg(F.count("*").alias("n"))  # one row
     return pages.join(F.broadcast(total)).selectExpr(
         "page_id as src", "explode(array((page_id * 7 + 1) % n, (page_id * 3 + 2) % n)) as dst")
@@ -187,7 +195,7 @@ def object_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dataset versions over thirty days; texts not in English change the day after."""
-    docs = table(spark, sf_dir, "documents").selectExpr(
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").selectExpr(
         "doc_id", "concat('o', cast(doc_id as string)) as object_name", "lang", "text",
         "date_add(date'2022-11-15', cast(doc_id % 30 as int)) as version_date")
     changed = docs.where("lang <> 'en'").selectExpr(
@@ -196,4 +204,4 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return table(spark, sf_dir, "documents", "doc_id", "text", "lang")

@@ -21,7 +21,9 @@ _BLOCK_END = r"(?i)<(?:br|hr)\b[^>]*>|</(?:p|div|li|ul|ol|h[1-6]|article|section
 
 def decode_entities(text: Column) -> Column:
     """Replace named and numeric character references; unknown names stay as they are."""
-    names = F.create_map(*[F.lit(x) for name, point in name2codepoint.items() for x in (name, chr(point))])
+    # One constant map, written as text so that the plan holds a single literal.
+    listed = " ".join(f"{name}={chr(point)}" for name, point in name2codepoint.items())
+    names = F.str_to_map(F.lit(listed), F.lit(" "), F.lit("="))
 
     def code_point(number: Column) -> Column:
         known = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)

@@ -1,16 +1,18 @@
 """Connected components of an edge table."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from duskwatch.operators.skew import HOT_ROWS, join_hot_split
 from duskwatch.session import materialize
 
 
-def _with_minimum(directed: DataFrame, hot_rows: int) -> DataFrame:
+def _with_minimum(directed: DataFrame, hot_rows: int | None) -> DataFrame:
     """Edges ``(u, v)`` with ``m``, the least of ``u`` and its neighbours in ``directed``."""
     least = directed.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
     least = least.withColumn("m", F.least("u", "m"))
+    if hot_rows is None:
+        return directed.join(least.drop("degree"), "u")
     return join_hot_split(directed, least, "u", "degree", hot_rows).drop("degree")
 
 
@@ -19,27 +21,32 @@ def connected_components(edges: DataFrame, hot_rows: int = HOT_ROWS, max_rounds:
 
     Alternating large-star and small-star steps turn every component into a star around
     its least node in a logarithmic number of rounds. A step is an aggregate per node and
-    a join back; nodes with very many neighbours are broadcast by ``join_hot_split``. Each
-    round is written to shared storage, which cuts the lineage and survives lost executors.
+    a join back; nodes with very many neighbours are broadcast by ``join_hot_split``, which
+    is left out once the edges are so few that no node can have that many. Each round is
+    written to shared storage, which cuts the lineage and survives lost executors.
     """
     def normal(df: DataFrame) -> DataFrame:
         return df.where("u <> v").select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).distinct()
 
-    def fingerprint(df: DataFrame) -> tuple:
-        row = df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("decimal(38,0)")))
-        return tuple(row.first())
+    def settle(df: DataFrame) -> tuple[DataFrame, tuple]:
+        """Materialize the edges; their fingerprint is taken while they are written."""
+        seen = Observation()
+        stored = materialize(normal(df).observe(
+            seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"),
+            F.sum(F.hash("u", "v").cast("decimal(38,0)")).alias("s")), "components")
+        return stored, tuple(sorted(seen.get.items(), key=lambda kv: kv[0]))
 
-    current = materialize(normal(edges), "components")  # u is always the greater node
-    state = fingerprint(current)
+    current, state = settle(edges)  # u is always the greater node
     for _ in range(max_rounds):
+        # Neither step makes more than two directed edges out of one.
+        limit = hot_rows if 2 * dict(state)["n"] > hot_rows else None
         both = current.select("u", "v").union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_minimum(both, hot_rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(normal(large), "components")
-        small = _with_minimum(large, hot_rows)
+        large = _with_minimum(both, limit).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _with_minimum(normal(large), limit)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             small.select("u", F.col("m").alias("v")))
-        current = materialize(normal(small), "components")
-        previous, state = state, fingerprint(current)
+        previous = state
+        current, state = settle(small)
         if state == previous:
             break
     else:

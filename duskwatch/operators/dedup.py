@@ -53,7 +53,8 @@ def distinct_texts(preprocessed: DataFrame, id_col: str = "object_name") -> Data
     """One row ``(id, text_key, text, n_copies)`` per distinct text, keyed by its first id."""
     keyed = preprocessed.where("text <> ''").select(id_col, text_key(F.col("text")).alias("text_key"), "text")
     firsts = exact_duplicates(keyed, id_col).withColumnRenamed("first_id", id_col)
-    return keyed.drop("text_key").join(firsts, id_col).select(id_col, "text_key", "text", "n_copies")
+    # Both sides grow with the data: a merge join, so that the texts are never broadcast.
+    return keyed.drop("text_key").hint("merge").join(firsts, id_col).select(id_col, "text_key", "text", "n_copies")
 
 
 # --- signatures ------------------------------------------------------------------------
@@ -77,21 +78,23 @@ def permutation(i: int) -> tuple[int, int]:
 
 
 def _signature_udf(size: int):
+    # Plain values only: the function travels to executors that need not have this package.
+    prime, permutations = PRIME, [permutation(i) for i in range(size)]
+
     @F.pandas_udf("array<bigint>")
     def signature(hashes: pd.Series) -> pd.Series:
         lengths = hashes.map(len).to_numpy()
-        result = np.full((len(hashes), size), PRIME, dtype=np.int64)
+        result = np.full((len(hashes), len(permutations)), prime, dtype=np.int64)
         filled = np.flatnonzero(lengths)
         if len(filled):
-            flat = np.concatenate([np.asarray(hashes.iloc[i], dtype=np.int64) for i in filled]) % PRIME
+            flat = np.concatenate(hashes.iloc[filled].to_list()).astype(np.int64) % prime
             starts = np.concatenate(([0], np.cumsum(lengths[filled])[:-1]))
-            for i in range(size):
-                a, b = permutation(i)
+            for i, (a, b) in enumerate(permutations):
                 # (a * h + b) mod 2^31 - 1, folding the high bits onto the low ones
                 x = flat * a + b
-                x = (x & PRIME) + (x >> 31)
-                x = (x & PRIME) + (x >> 31)
-                x[x == PRIME] = 0
+                x = (x & prime) + (x >> 31)
+                x = (x & prime) + (x >> 31)
+                x[x == prime] = 0
                 result[filled, i] = np.minimum.reduceat(x, starts)
         return pd.Series(list(result))
 

@@ -152,7 +152,7 @@ def object_key_join(spark, sf_dir):
 @query
 def load_line_list(spark, sf_dir):
     path = scratch_path(spark, "lines")
-    B.table(spark, sf_dir, "pages").select(F.concat(F.lit("  "), "url", F.lit("\t")).alias("value")).write.text(path)
+    B.table(spark, sf_dir, "pages", "url").select(F.concat(F.lit("  "), "url", F.lit("\t")).alias("value")).write.text(path)
     return lists.load_line_list(spark, path)
 
 
@@ -236,7 +236,7 @@ def is_valid_address(spark, sf_dir):
 
 @query
 def url_authority(spark, sf_dir):
-    return B.table(spark, sf_dir, "pages").select("page_id", A.url_authority(F.col("url")).alias("authority"))
+    return B.table(spark, sf_dir, "pages", "page_id", "url").select("page_id", A.url_authority(F.col("url")).alias("authority"))
 
 
 @query
@@ -261,17 +261,17 @@ def visible_text(spark, sf_dir):
 
 
 def _start_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.table(spark, sf_dir, "pages").where("url like 'https://%'").select("url")
+    return B.table(spark, sf_dir, "pages", "url").where("url like 'https://%'")
 
 
 @query
 def extract_links(spark, sf_dir):
-    return crawl.extract_links(B.table(spark, sf_dir, "pages").select("url", "html"), _start_urls(spark, sf_dir))
+    return crawl.extract_links(B.table(spark, sf_dir, "pages", "url", "html"), _start_urls(spark, sf_dir))
 
 
 @query
 def depth_limited_reach(spark, sf_dir):
-    starts = B.table(spark, sf_dir, "pages").where("url like 'https://www.%'").select(F.col("page_id").alias("page"))
+    starts = B.table(spark, sf_dir, "pages", "page_id", "url").where("url like 'https://www.%'").select(F.col("page_id").alias("page"))
     return crawl.depth_limited_reach(B.links(spark, sf_dir), starts)
 
 
