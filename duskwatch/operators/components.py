@@ -1,6 +1,6 @@
 """Connected components of an edge table."""
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from duskwatch.operators.skew import HOT_ROWS, join_hot_split
@@ -8,11 +8,15 @@ from duskwatch.session import materialize
 
 
 def _with_minimum(directed: DataFrame, hot_rows: int | None) -> DataFrame:
-    """Edges ``(u, v)`` with ``m``, the least of ``u`` and its neighbours in ``directed``."""
+    """Edges ``(u, v)`` with ``m``, the least of ``u`` and its neighbours in ``directed``.
+
+    Without ``hot_rows`` the whole edge table is known to be small, so a window, which
+    gathers a node's edges in one task and needs a single shuffle, is safe.
+    """
+    if hot_rows is None:
+        return directed.withColumn("m", F.least("u", F.min("v").over(Window.partitionBy("u"))))
     least = directed.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
     least = least.withColumn("m", F.least("u", "m"))
-    if hot_rows is None:
-        return directed.join(least.drop("degree"), "u")
     return join_hot_split(directed, least, "u", "degree", hot_rows).drop("degree")
 
 
@@ -21,17 +25,17 @@ def connected_components(edges: DataFrame, hot_rows: int = HOT_ROWS, max_rounds:
 
     Alternating large-star and small-star steps turn every component into a star around
     its least node in a logarithmic number of rounds. A step is an aggregate per node and
-    a join back; nodes with very many neighbours are broadcast by ``join_hot_split``, which
-    is left out once the edges are so few that no node can have that many. Each round is
-    written to shared storage, which cuts the lineage and survives lost executors.
+    a join back; nodes with very many neighbours are broadcast by ``join_hot_split``. Only
+    when all edges together are fewer than ``hot_rows`` a window replaces the pair. Each
+    round is written to shared storage, which cuts the lineage and survives lost executors.
     """
     def normal(df: DataFrame) -> DataFrame:
-        return df.where("u <> v").select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).distinct()
+        return df.where("u <> v").select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u"))
 
     def settle(df: DataFrame) -> tuple[DataFrame, tuple]:
         """Materialize the edges; their fingerprint is taken while they are written."""
         seen = Observation()
-        stored = materialize(normal(df).observe(
+        stored = materialize(normal(df).distinct().observe(
             seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"),
             F.sum(F.hash("u", "v").cast("decimal(38,0)")).alias("s")), "components")
         return stored, tuple(sorted(seen.get.items(), key=lambda kv: kv[0]))

@@ -197,8 +197,13 @@ def unique_texts(near: DataFrame, id_col: str) -> DataFrame:
     return near.where(F.col(id_col) == F.col("representative")).select("representative", "n_members")
 
 
-def jaccard_to_representative(near: DataFrame, texts: DataFrame, id_col: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Similarity of every grouped text with its group's representative: one row per text."""
+def jaccard_to_representative(
+    near: DataFrame, texts: DataFrame, id_col: str, hot_rows: int = 10 * HOT_ROWS
+) -> DataFrame:
+    """Similarity of every grouped text with its group's representative: one row per text.
+
+    The keyed side carries token lists, so only groups of tens of millions are broadcast.
+    """
     tokens = texts.select(id_col, token_set(F.col("text")).alias("tokens"))
     rep_tokens = near.where(F.col(id_col) == F.col("representative")).join(tokens, id_col).select(
         "representative", "n_members", F.col("tokens").alias("rep_tokens"))

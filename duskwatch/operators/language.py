@@ -1,12 +1,14 @@
-"""Language labels: a classifier over character trigrams, names, and versions."""
+"""Language labels: a classifier over words and word ends, and names."""
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import HashingTF, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duskwatch.functions.base import bind
+
 # Names of two-letter language codes (ISO 639-1).
 LANGUAGE_NAMES = {
     "ar": "Arabic", "bg": "Bulgarian", "ca": "Catalan", "cs": "Czech", "da": "Danish", "de": "German",
@@ -25,22 +27,29 @@ def language_name(code: Column, names: dict[str, str] = LANGUAGE_NAMES) -> Colum
     return F.coalesce(F.try_element_at(table, code), code)
 
 
-def train(labelled: DataFrame, features: int = 1 << 14) -> PipelineModel:
+def features(texts: DataFrame) -> DataFrame:
+    """Add ``grams``: every lower-case word, its first and its last three letters."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
+    return texts.withColumn("grams", bind(words, lambda w: F.concat(
+        w,
+        F.transform(w, lambda x: F.concat(F.lit("^"), F.substring(x, 1, 3))),
+        F.transform(w, lambda x: F.concat(F.substring(x, -3, 3), F.lit("$"))))))
+
+
+def train(labelled: DataFrame, size: int = 1 << 16) -> PipelineModel:
     """Fit the classifier once on ``(text, lang)``; the model is applied to whole tables."""
     return Pipeline(stages=[
-        RegexTokenizer(inputCol="text", outputCol="chars", pattern=r"(?s).", gaps=False),
-        NGram(inputCol="chars", outputCol="grams", n=3),
-        HashingTF(inputCol="grams", outputCol="features", numFeatures=features),
+        HashingTF(inputCol="grams", outputCol="features", numFeatures=size),
         StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="skip"),
         NaiveBayes(featuresCol="features", labelCol="label"),
-    ]).fit(labelled)
+    ]).fit(features(labelled).select("grams", "lang"))
 
 
 def language_top2(model: PipelineModel, texts: DataFrame, id_col: str) -> DataFrame:
     """The two most probable languages of every text with their confidences."""
     labels = next(stage.labels for stage in model.stages if hasattr(stage, "labels"))
     apply = PipelineModel([s for s in model.stages if not hasattr(s, "labels")])
-    scored = apply.transform(texts.select(id_col, "text")).select(
+    scored = apply.transform(features(texts).select(id_col, "grams")).select(
         id_col, vector_to_array("probability").alias("p"))
     best = scored.select(id_col, top_k(F.col("p"), labels, 2).alias("top"))
     first, second = F.get("top", F.lit(0)), F.get("top", F.lit(1))

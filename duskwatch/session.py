@@ -61,6 +61,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a table stored in fewer files than there are cores; larger ones stay as read."""
+    """Spread a table that is read in fewer tasks than there are cores.
+
+    Anything larger is already split by the scan and stays as read, without a shuffle.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -38,12 +38,10 @@ def decode_utf8(objects: DataFrame) -> DataFrame:
 def write_html_partitioned(objects: DataFrame, path: str) -> None:
     """One folder per day; a day that is written again replaces only itself.
 
-    Rows are spread over each day's files by address, so one busy day is not one task.
+    The rebalance hint gathers a day's rows and splits a busy day into several tasks by size.
     """
-    files_per_day = 32
-    spread = F.pmod(F.hash("onion"), F.lit(files_per_day))
     (
-        objects.withColumn("spread", spread).repartition("dt", "spread").drop("spread")
+        objects.hint("rebalance", "dt")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
     )
 

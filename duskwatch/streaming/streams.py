@@ -96,9 +96,12 @@ def stream_page_enrich(events: DataFrame, objects: DataFrame, path: str, checkpo
 
 
 def stream_dedupe_source(messages: DataFrame, path: str, checkpoint: str) -> None:
-    """Each address once per source. State holds one key per pair seen."""
-    stream_to_files(M.decode_sightings(messages).dropDuplicates(["onion", "source"]).select("onion", "source"),
-                    path, checkpoint)
+    """Each address once per source. State holds one narrow key per pair seen.
+
+    A busy address sends at most a trigger's worth of these narrow rows to one task.
+    """
+    pairs = M.decode_sightings(messages).select("onion", "source")
+    stream_to_files(pairs.dropDuplicates(["onion", "source"]), path, checkpoint)
 
 
 def _stream_updates(rows: DataFrame, path: str, checkpoint: str) -> None:
