@@ -23,15 +23,19 @@ def address(key: str) -> str:
     return f"concat(translate(substr(concat(md5({key}), md5(concat('x', {key}))), 1, 55), '0189', 'wxyz'), 'd.onion')"
 
 
-TEXT_TABLES = {"pages": ("page_id", "url", "html"), "documents": ("doc_id", "text", "lang", "source")}
+SPREAD = {
+    "pages": ("page_id", "url", "html"),
+    "documents": ("doc_id", "text", "lang", "source"),
+    "events": ("event_id", "ts", "user_id", "event_type", "value"),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a table; the text tables feed costly work and are spread over all cores."""
+    """Columns of a table; tables that feed costly work are spread over all cores if they are not yet."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    columns = columns or TEXT_TABLES.get(name, ())
+    columns = columns or SPREAD.get(name, ())
     df = df.select(*columns) if columns else df
-    return spread(df) if name in TEXT_TABLES and {"html", "text"} & set(columns) else df
+    return spread(df) if {"html", "text", "ts"} & set(columns) else df
 
 
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +64,7 @@ def source_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses of users with a large sign-up, about two thirds of all addresses."""
     users = (
-        table(spark, sf_dir, "events").where("event_type = 'signup'")
+        table(spark, sf_dir, "events", "user_id", "event_type", "value").where("event_type = 'signup'")
         .groupBy("user_id").agg(F.max("value").alias("v")).where(F.col("v") >= REGISTRY_MIN_VALUE)
     )
     return users.selectExpr(

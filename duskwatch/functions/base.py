@@ -6,9 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Unicode white space, letters-or-digits, and ASCII punctuation as explicit classes, so the
-# meaning does not depend on a regex engine's defaults.
-SPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
-WORD_CHAR = r"\p{L}\p{N}_"
+# meaning does not depend on a regex engine's defaults. The ASCII members are listed, though
+# the categories contain them, because they are found faster that way.
+OTHER_SPACE = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = rf" {OTHER_SPACE}"
+# The same as complete bracket expressions: one wide range rejects nearly every character
+# before the exact members are looked at, several times faster on long texts.
+_NEAR_SPACE = r"\t-\r\x1c-\x1f\x85\xa0\u1680-\u3000"
+OTHER_SPACE_CLASS = rf"[{_NEAR_SPACE}&&[{OTHER_SPACE}]]"
+SPACE_CLASS = rf"[ {_NEAR_SPACE}&&[{SPACE}]]"
+WORD_CHAR = r"a-zA-Z0-9_\p{L}\p{N}"
 PUNCT = r"!-/:-@\[-`{-~"
 
 
@@ -42,10 +49,9 @@ def strip_space(col: Column) -> Column:
 
 def collapse_spaces(col: Column) -> Column:
     """Every run of white space becomes one blank."""
-    other = SPACE_CHARS.replace(" ", "")
-    return F.regexp_replace(F.translate(col, other, " " * len(other)), "  +", " ")
+    return F.regexp_replace(F.regexp_replace(col, OTHER_SPACE_CLASS, " "), "  +", " ")
 
 
 def words(col: Column) -> Column:
     """White-space separated words, without empty ones."""
-    return F.filter(F.split(col, rf"[{SPACE}]+"), lambda w: w != "")
+    return F.filter(F.split(col, f"{SPACE_CLASS}+"), lambda w: w != "")

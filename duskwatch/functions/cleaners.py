@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from duskwatch import constants as C
-from duskwatch.functions.base import PUNCT, SPACE, SPACE_CHARS, WORD_CHAR, bind, collapse_spaces, strip_space, words
+from duskwatch.functions.base import PUNCT, SPACE, SPACE_CHARS, SPACE_CLASS, WORD_CHAR, bind, collapse_spaces, strip_space, words
 from duskwatch.functions.noise import keep_sentence
 
 _JUNK = rf"{PUNCT}0-9"
@@ -12,7 +12,7 @@ _JUNK = rf"{PUNCT}0-9"
 
 def sentence_split(text: Column) -> Column:
     """Sentences end at ``.``, ``!`` or ``?`` followed by white space."""
-    return F.split(F.rtrim(text, F.lit(SPACE_CHARS)), rf"(?<=[.!?])[{SPACE}]+")
+    return F.split(F.rtrim(text, F.lit(SPACE_CHARS)), rf"(?<=[.!?]){SPACE_CLASS}+")
 
 
 def word_tokens(text: Column) -> Column:
@@ -25,7 +25,7 @@ def breaks_to_periods(s: Column) -> Column:
 
 
 def strip_special(s: Column) -> Column:
-    return F.translate(s, C.SPECIAL_CHARACTERS, "")
+    return F.regexp_replace(s, f"[{C.SPECIAL_CHARACTERS}]", "")
 
 
 def collapse_blanks(s: Column) -> Column:
@@ -59,7 +59,7 @@ def strip_leading_junk(s: Column) -> Column:
 
     # Nearly every sentence starts with a real word: one anchored replacement is enough.
     return bind(strip_space(collapse_spaces(s)), lambda p: (
-        F.when(p.rlike(rf"^[{_JUNK}]*[^{_JUNK} ]"), bare(p)).otherwise(bind(words(p), from_words))))
+        F.when(p.rlike(rf"^[{_JUNK}]*(?: |\z)"), bind(words(p), from_words)).otherwise(bare(p))))
 
 
 def collapse_punctuation(s: Column) -> Column:
@@ -95,14 +95,16 @@ def capitalize_sentences(s: Column) -> Column:
     def upper_first(x: Column) -> Column:
         return F.concat(F.upper(F.substring(x, 1, 1)), F.substr(x, F.lit(2)))
 
-    pieces = F.split(s, rf"(?<=[.!?])[{SPACE}]*(?=[a-z])")
-    cased = F.transform(pieces, lambda x, i: (
-        F.when((i == 0) & x.rlike(rf"^[{SPACE}]*[a-z]"),
-               F.concat(F.lit(" "), upper_first(F.regexp_replace(x, rf"^[{SPACE}]+", ""))))
-        .when(i == 0, x)
-        .otherwise(upper_first(x))
-    ))
-    return F.array_join(cased, " ")
+    def at_start(x: Column) -> Column:
+        plain = F.regexp_replace(x, rf"^{SPACE_CLASS}+(?=[a-z])", "")
+        return F.when(plain.rlike("^[a-z]"), F.concat(F.lit(" "), upper_first(plain))).otherwise(x)
+
+    def cased(x: Column) -> Column:
+        pieces = F.split(x, rf"(?<=[.!?]){SPACE_CLASS}*(?=[a-z])")
+        return F.array_join(F.transform(
+            pieces, lambda p, i: F.when(i == 0, at_start(p)).otherwise(upper_first(p))), " ")
+
+    return bind(s, lambda x: F.when(x.rlike(rf"(?:^|[.!?]){SPACE_CLASS}*[a-z]"), cased(x)).otherwise(x))
 
 
 def rewrite_separators(s: Column) -> Column:

@@ -481,7 +481,8 @@ def exact_duplicates(spark, sf_dir):
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.clean_pages(B.html_objects(spark, sf_dir))
+    """Written once, as in the daily run: a filter on the status would repeat the extraction."""
+    return materialize(pages.clean_pages(B.html_objects(spark, sf_dir)), "cleaned")
 
 
 def _status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -851,7 +852,9 @@ def download_step(spark, sf_dir):
 
 def _two_downloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     stored = B.html_objects(spark, sf_dir)
-    return (daily.download_step(stored, C.FIRST_DAY, FROM_DATE).rows, daily.download_step(stored, FROM_DATE, TODAY).rows)
+    return tuple(
+        materialize(daily.download_step(stored, start, end).rows, "cleaned")
+        for start, end in ((C.FIRST_DAY, FROM_DATE), (FROM_DATE, TODAY)))
 
 
 FIRST_RUN = date(2022, 11, 30)
