@@ -81,7 +81,7 @@ def dedup_step(
     copies = exact.groupBy("text_key").agg(F.count("*").alias("n_copies"))
     # A number per text, fixed by writing the table, keeps the keys of the group step short.
     texts = materialize(
-        firsts.join(copies, "text_key").withColumn("text_id", F.monotonically_increasing_id()), "texts")
+        firsts.hint("merge").join(copies, "text_key").withColumn("text_id", F.monotonically_increasing_id()), "texts")
     near = materialize(
         D.near_table(D.near_groups(texts, "text_id"), texts, "text_id", tie="object_name"), "near")
     # This run's rows: the first row of a text not known before counts by its place in the groups.

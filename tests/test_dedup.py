@@ -162,3 +162,10 @@ def test_union_if_intersecting(spark):
         D.union_if_intersecting(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("b"), F.lit("c"))).alias("x"),
         D.union_if_intersecting(F.array(F.lit("a")), F.array(F.lit("c"))).alias("y")).first()
     assert (row["x"], row["y"]) == (["a", "b", "c"], [])
+
+
+def test_no_duplicates_and_no_texts(spark):
+    texts = spark.createDataFrame([(1, "a b c"), (2, "d e f g")], "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in D.near_groups(texts, "doc_id").collect()) == [(1, 1), (2, 2)]
+    assert D.near_groups(texts.where("doc_id > 5"), "doc_id").collect() == []
+    assert connected_components(spark.createDataFrame([(1, 1)], "u bigint, v bigint")).collect() == []
