@@ -7,6 +7,7 @@ table of the worker, which is emptied when it holds ``CACHE_IDS`` ids.
 
 import os
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 CACHE_IDS = 4_000_000
 #: Texts are encoded in runs of at most this many bytes (or one longer text).
-RUN_BYTES = 8 << 20
+RUN_BYTES = 4 << 20
 
 #: Cut before a single blank between two characters that no library counts as white space; the
 #: blank opens the next chunk. Byte-level pre-tokens carry at most one leading blank.
@@ -23,9 +24,19 @@ _BYTE_LEVEL = re.compile(r"\s*\S+(?:(?! \S)\s+\S+)*(?:(?! \S)\s+\Z)?|\s+")
 #: White space is removed before the merges, so words between ASCII white space stand alone.
 _SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 
+_TAILS = frozenset(".,;:!?")
+
 _CACHES: dict[str, "ChunkEncoder"] = {}
 
 
+class _Places(dict):
+    """Chunk to place; a chunk met for the first time gets the next place."""
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = place = len(self)
+        return place
+
+
 class ChunkEncoder:
     """Ids per distinct chunk of one tokenizer file."""
 
@@ -35,58 +46,92 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.byte_level = byte_level
+        self.find = (_BYTE_LEVEL if byte_level else _SPACED).findall
         self.mark_id, added = max(self.tokenizer.get_added_tokens_decoder().items())
         self.mark = added.content
-        self.find = (_BYTE_LEVEL if byte_level else _SPACED).findall
+        names = {i: name for name, i in self.tokenizer.get_vocab(True).items()}
+        special = self.tokenizer.get_added_tokens_decoder()
+        #: Bytes of each id (byte-level names hold one character per byte), or whether it ends a word.
+        self.measure = np.array([
+            0 if i in special or i not in names else len(names[i]) if byte_level else names[i].endswith("</w>")
+            for i in range(max(names) + 1)], np.int64)
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1, np.int64)
-
-    def _learn_marked(self, chunk: str) -> None:
-        """A chunk that holds the marking string itself."""
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        have = int(self.ends[-1])
-        self.ids = np.concatenate([self.ids[:have], np.array(ids, np.uint32)])
-        self.ends = np.append(self.ends, have + len(ids))
-        self.index[chunk] = len(self.ends) - 2
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode chunks, many in one call: a special token between them, which splits texts, marks their ends."""
-        joined = self.mark.join(chunks) + self.mark
-        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+        self.index = _Places()
+        self.ids, self.held = np.zeros(1 << 16, np.uint32), 0
+        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and ids per chunk of chunks that may stand side by side; ``None`` if their ends can't be told."""
+        ids = self._encode(("" if self.byte_level else " ").join(chunks))
+        if self.byte_level:
+            wanted = np.cumsum(np.fromiter((len(c.encode()) for c in chunks), np.int64, len(chunks)))
+            have = np.cumsum(self.measure[ids])
+            ends = np.searchsorted(have, wanted) + 1
+            if ends[-1] != len(ids) or not np.array_equal(have[ends - 1], wanted):
+                return None
+        else:
+            words = np.cumsum(np.fromiter((1 + (c[-1] in _TAILS) for c in chunks), np.int64, len(chunks)))
+            ends = np.flatnonzero(self.measure[ids]) + 1
+            if len(ends) != words[-1]:
+                return None
+            ends = ends[words - 1]
+        return ids, np.diff(ends, prepend=0)
+
+    def _marked(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and ids per chunk of any chunks; a special token between them, which splits texts, marks their ends."""
+        if any(self.mark in c for c in chunks):
+            parts = [self._encode(c) for c in chunks]
+            return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        ids = self._encode(self.mark.join(chunks) + self.mark)
         at = np.flatnonzero(ids == self.mark_id)
-        lengths = np.diff(at, prepend=-1) - 1
-        ids = np.delete(ids, at)
-        have, more = int(self.ends[-1]), len(ids)
-        if have + more > len(self.ids):
-            grown = np.zeros(max(2 * len(self.ids), have + more), np.uint32)
-            grown[:have] = self.ids[:have]
-            self.ids = grown
-        self.ids[have:have + more] = ids
-        first = len(self.ends) - 1
-        self.ends = np.concatenate([self.ends, have + np.cumsum(lengths)])
-        self.index.update(zip(chunks, range(first, first + len(chunks)), strict=True))
+        return np.delete(ids, at), np.diff(at, prepend=-1) - 1
+
+    def _learn(self, chunks: list[str], places: np.ndarray) -> None:
+        """Encode chunks, many in one call, and note their ids at the places."""
+        if self.byte_level:
+            plain = [c[0] == " " and len(c) > 1 and not c[1].isspace() and not c[-1].isspace() and self.mark not in c for c in chunks]
+        else:
+            # One pre-token of letters, or two with a final mark.
+            plain = [(c[:-1] if c[-1] in _TAILS else c).isalpha() for c in chunks]
+        plain = np.array(plain, bool)
+        for side in (plain, ~plain):
+            own = np.flatnonzero(side)
+            for i in range(0, len(own), 4_000):
+                part = own[i:i + 4_000]
+                these = [chunks[k] for k in part]
+                ids, lengths = (self._joined(these) if side is plain else None) or self._marked(these)
+                if self.held + len(ids) > len(self.ids):
+                    grown = np.zeros(max(2 * len(self.ids), self.held + len(ids)), np.uint32)
+                    grown[:self.held] = self.ids[:self.held]
+                    self.ids = grown
+                self.ids[self.held:self.held + len(ids)] = ids
+                self.start[places[part]] = self.held + np.cumsum(lengths) - lengths
+                self.length[places[part]] = lengths
+                self.held += len(ids)
 
     def _lookup(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Per chunk its place in the table, and chunks per text."""
-        if self.ends[-1] > CACHE_IDS:
+        if self.held > CACHE_IDS:
             self.clear()
         chunks, counts = [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
             found = self.find(text)
             counts[i] = len(found)
             chunks += found
-        new = list(dict.fromkeys(c for c in chunks if c not in self.index))
-        plain = [c for c in new if self.mark not in c]
-        for i in range(0, len(plain), 5_000):
-            self._learn(plain[i:i + 5_000])
-        for chunk in new if len(plain) < len(new) else ():
-            if self.mark in chunk:
-                self._learn_marked(chunk)
-        return np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks)), counts
+        known = len(self.index)
+        place = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        more = len(self.index) - known
+        if more:
+            self.start = np.concatenate([self.start, np.zeros(more, np.int64)])
+            self.length = np.concatenate([self.length, np.zeros(more, np.int64)])
+            self._learn(list(islice(self.index, known, None)), np.arange(known, known + more))
+        return place, counts
 
     def _runs(self, texts: list[str | None]):
         run, size = [], 0
@@ -104,7 +149,7 @@ class ChunkEncoder:
         """Yield ``(ids, ends)`` for consecutive runs of the texts: joined ids, and where each text's ids end."""
         for run in self._runs(texts):
             place, counts = self._lookup(run)
-            start, length = self.ends[place], self.ends[place + 1] - self.ends[place]
+            start, length = self.start[place], self.length[place]
             total = np.concatenate([[0], np.cumsum(length)])
             at = np.arange(total[-1]) + np.repeat(start - total[:-1], length)
             yield self.ids[at], total[np.cumsum(counts)]
@@ -114,7 +159,7 @@ class ChunkEncoder:
         out = [np.zeros(0, np.int64)]
         for run in self._runs(texts):
             place, counts = self._lookup(run)
-            total = np.concatenate([[0], np.cumsum(self.ends[place + 1] - self.ends[place])])
+            total = np.concatenate([[0], np.cumsum(self.length[place])])
             out.append(np.diff(total[np.concatenate([[0], np.cumsum(counts)])]))
         return np.concatenate(out)
 
