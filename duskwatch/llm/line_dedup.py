@@ -4,25 +4,38 @@ A line's set holds its distinct lower-cased (A-Z) words. Its words are ordered b
 often words of their bucket (``BUCKETS`` hash buckets, a bounded table that covers all lines)
 occur, then by hash. Two sets with Jaccard similarity 4/5 or more share one of their first
 ``n - ceil(4n/5) + 1`` words (prefix filter), at places that leave enough common words (positional
-filter), and their sizes differ by a quarter at most (length filter); two parity sketches of 64 bits per set,
-compared in the join, bound the difference from below. Pairs that pass are verified on their whole sets. A line goes if a similar or
-equal line stands earlier, in another document or its own. Lines without words stay.
+filter), and their sizes differ by a quarter at most (length filter); two parity sketches of 64
+bits per set, compared in the join, bound the difference from below. Pairs that pass are verified on
+their words. A line goes if a similar or equal line stands earlier, in another document or its
+own. Equal sets are told by 128 bits over the 64-bit hashes of their words. Lines without words stay.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.llm.scratch import discard, stage
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 13
 #: Rarest words of a line by which it first meets one earlier line each.
-ANCHORS = 3
+ANCHORS = 2
+
+
+def _plain_words(line: Column) -> Column:
+    plain = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz    ")
+    return F.split(plain, " ")
 
 
 def line_words(line: Column) -> Column:
     """Distinct words of a line; white space is ASCII white space."""
-    plain = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz    ")
-    return F.array_remove(F.array_distinct(F.split(plain, " ")), "")
+    return F.array_remove(F.array_distinct(_plain_words(line)), "")
+
+
+def _hashes(line: Column) -> Column:
+    """Distinct 64-bit hashes of a line's words, in order."""
+    hashes = F.transform(_plain_words(line), lambda w: F.xxhash64(w))
+    return F.sort_array(F.array_distinct(F.array_remove(hashes, F.xxhash64(F.lit("")))))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -30,18 +43,30 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
 
 
-def _bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
+def _rarity(lines: DataFrame) -> list[int]:
+    """Per bucket a class of how many words of all lines fall into it; four classes to a doubling."""
+    words = lines.select(F.explode(_plain_words(F.col("line"))).alias("w")).where("w <> ''")
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(BUCKETS - 1).cast("int").alias("b")).agg(F.count("*").alias("n"))
+    classes = [0] * BUCKETS
+    for row in counts.collect():  # as many rows as buckets at most
+        classes[row["b"]] = round(4 * math.log2(row["n"])) + 1
+    return classes
 
 
-def _rarity(lines: DataFrame) -> DataFrame:
-    """One row with an array: how many words of all lines fall into each bucket."""
-    counts = lines.select(F.explode(line_words(F.col("line"))).alias("w")).groupBy(_bucket(F.col("w")).alias("b")).agg(
-        F.count("*").alias("n"))
-    full = lines.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(F.broadcast(counts), "b", "left")
-    # Bounded by the number of buckets, whatever the input.
-    gathered = full.agg(F.array_sort(F.collect_list(F.struct("b", F.coalesce("n", F.lit(0)).alias("n")))).alias("x"))
-    return gathered.select(F.col("x.n").alias("frequency"))
+def _by_rarity(hashes: Column, classes: list[int]) -> Column:
+    """One number per word, the rarest first: the class of its bucket, then 40 bits of its hash."""
+    # A constant, folded to one array when the query is planned.
+    table = F.from_json(F.lit(str(classes)), "array<bigint>")
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.get(table, h.bitwiseAND(BUCKETS - 1).cast("int")), 40).bitwiseOR(
+        F.shiftrightunsigned(h, 24))))
+
+
+def _parity(hashes: Column, shift: int) -> Column:
+    """64 bits of which every word flips one: sets differ in as many words at least as sketches in bits."""
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    # Shifts take the low six bits of their distance.
+    bit = lambda h: F.call_function("shiftleft", one, F.shiftrightunsigned(h, shift).cast("int"))
+    return F.aggregate(hashes, zero, lambda bits, h: bits.bitwiseXOR(bit(h)))
 
 
 def _prefix_length(n: Column) -> Column:
@@ -51,85 +76,71 @@ def _prefix_length(n: Column) -> Column:
 def duplicate_lines(docs: DataFrame) -> DataFrame:
     """``(doc_id, line_no)`` of the lines that go, for ``docs(doc_id, text)``."""
     lines = _lines(docs)
-    rarity = stage(_rarity(lines), "word_frequency")
-    sets = lines.withColumn("words", line_words(F.col("line"))).where(F.size("words") > 0).crossJoin(F.broadcast(rarity)).select(
-        "doc_id", "line_no", _name(F.col("words")).alias("set"), F.size("words").alias("n"),
-        F.slice(_by_rarity(F.col("words")), 1, _prefix_length(F.size("words"))).alias("prefix"),
-        *(_parity(F.col("words"), i).alias(f"bits{i}") for i in (0, 1)))
-    sets = stage(sets, "line_sets")
+    classes = _rarity(lines)
+    h = F.col("h")
+    sets = lines.select("doc_id", "line_no", _hashes(F.col("line")).alias("h")).select(
+        "doc_id", "line_no", F.xxhash64("h").alias("set"), F.xxhash64(F.lit(1), "h").alias("set2"), F.size("h").alias("n"),
+        F.slice(_by_rarity(h, classes), 1, _prefix_length(F.size("h"))).alias("prefix"), _parity(h, 58).alias("bits"), _parity(h, 32).alias("bits2"))
+    sets = stage(sets.where("n > 0"), "line_sets")
     # Equal sets: all lines but the first. Later steps see one line per set, named by its place.
-    first = stage(sets.groupBy("set").agg(
-        F.min(F.struct("doc_id", "line_no", "n", "prefix", "bits0", "bits1")).alias("f"), F.count("*").alias("lines")).select(
-        "set", "f.*", "lines"), "first_lines")
-    repeated = first.where("lines > 1").select("set", F.col("doc_id").alias("first_id"), F.col("line_no").alias("first_no"))
-    later = stage(sets.join(repeated, "set").where("not (doc_id <=> first_id and line_no = first_no)").select(
-        "doc_id", "line_no"), "repeated_lines")
+    first = stage(sets.groupBy("set", "set2").agg(
+        F.min(F.struct("doc_id", "line_no", "n", "prefix", "bits", "bits2")).alias("f"), F.count("*").alias("lines")).select(
+        "set", "set2", "f.*", "lines"), "first_lines")
+    repeated = first.where("lines > 1").select("set", "set2", F.col("doc_id").alias("first_id"), F.col("line_no").alias("first_no"))
+    later = stage(sets.select("set", "set2", "doc_id", "line_no").join(repeated, ["set", "set2"]).where(
+        "not (doc_id <=> first_id and line_no = first_no)").select("doc_id", "line_no"), "repeated_lines")
     discard(sets)
     # Sets of up to 3 words are similar only to themselves. First each line meets the earliest line
     # with one of its rarest words: work in proportion to the lines, and enough for most copies.
-    entries = first.where("n > 3").select(
-        "doc_id", "line_no", "n", "bits0", "bits1", F.posexplode("prefix").alias("pos", "token"))
+    entries = first.where("n > 3").select("doc_id", "line_no", "n", "bits", "bits2", F.posexplode("prefix").alias("pos", "token"))
     rarest = entries.where(F.col("pos") < ANCHORS)
-    earliest = rarest.groupBy("token").agg(F.min(F.struct("doc_id", "line_no", "n", "pos", "bits0", "bits1")).alias("e"))
+    earliest = rarest.groupBy("token").agg(F.min(F.struct("doc_id", "line_no", "n", "pos", "bits", "bits2")).alias("e"))
     near = stage(_similar(_pairs(rarest, earliest.select("token", "e.*")), docs, first), "near_lines")
-    # Lines that no such line explains are compared with all earlier lines of their prefix.
+    # Lines that no such line explains, marked by a negative size, are compared with all earlier
+    # lines of their prefix. Both sides of the join are the same rows, so they are shuffled once.
     done = near.withColumn("done", F.lit(True))
     marked = first.where("n > 3").join(done, _same("doc_id", "line_no", first, done), "left").select(
-        *(first[c] for c in ("doc_id", "line_no", "n", "bits0", "bits1", "prefix")), F.col("done").isNull().alias("open"))
+        first["doc_id"], first["line_no"], F.when(F.col("done").isNull(), -first["n"]).otherwise(first["n"]).alias("n"),
+        first["bits"], first["bits2"], first["prefix"])
     marked = stage(marked, "open_lines")
-    entries = marked.select("doc_id", "line_no", "n", "bits0", "bits1", "open", F.posexplode("prefix").alias("pos", "token"))
-    more = _similar(_pairs(entries.where("open"), entries), docs, first)
+    entries = marked.select("doc_id", "line_no", "n", "bits", "bits2", F.posexplode("prefix").alias("pos", "token"))
+    more = stage(_similar(_pairs(entries, entries, F.col("n") < 0), docs, first), "more_lines")
+    discard(first, marked)
     return later.union(near).union(more)
 
 
-def _name(words: Column) -> Column:
-    """A word set's name: the MD5 of its sorted words."""
-    return F.unhex(F.md5(F.array_join(F.sort_array(words), " ")))
-
-
-def _by_rarity(words: Column) -> Column:
-    """One number per word, the rarest first: how often its bucket occurs, then 24 bits of its hash."""
-    return F.sort_array(F.transform(
-        words, lambda w: F.shiftleft(F.get("frequency", _bucket(w)), 24) + F.pmod(F.hash(w), F.lit(1 << 24))))
-
-
-def _parity(words: Column, i: int) -> Column:
-    """64 bits of which every word flips one: as many bits as differ, words differ at least."""
-    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    bit = lambda w: F.call_function("shiftleft", one, F.pmod(F.xxhash64(w, F.lit(i)), F.lit(64)).cast("int"))
-    return F.aggregate(words, zero, lambda bits, w: bits.bitwiseXOR(bit(w)))
-
-
 def _same(a: str, b: str, left: DataFrame, right: DataFrame) -> Column:
     return left[a].eqNullSafe(right[a]) & (left[b] == right[b])
 
 
-def _pairs(entries: DataFrame, earlier: DataFrame) -> DataFrame:
+def _pairs(entries: DataFrame, earlier: DataFrame, chosen: Column | None = None) -> DataFrame:
     """Places ``(doc_id, line_no, doc_id2, line_no2)`` of a line and an earlier one that pass the filters."""
-    names = ("doc_id", "line_no", "n", "pos", "bits0", "bits1")
-    earlier = earlier.select("token", *(F.col(c).alias(f"{c}2") for c in names))
-    before = F.struct("doc_id2", "line_no2") < F.struct("doc_id", "line_no")
-    total = F.col("n") + F.col("n2")
-    common = F.ceil(4 * total / 9)  # of two sets with similarity 4/5
-    left = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))  # from the first common word on
-    apart = F.greatest(*(F.bit_count(F.col(f"bits{i}").bitwiseXOR(F.col(f"bits{i}2"))) for i in (0, 1)))
-    return entries.join(earlier, "token").where(
-        before & (5 * F.col("n2") >= 4 * F.col("n")) & (5 * F.col("n") >= 4 * F.col("n2")) & (left >= common)
-        & (apart <= total - 2 * common)).select("doc_id", "line_no", "doc_id2", "line_no2").distinct()
+    earlier = earlier.select("token", *(F.col(c).alias(f"{c}_") for c in ("doc_id", "line_no", "n", "pos", "bits", "bits2")))
+    before = F.struct("doc_id_", "line_no_") < F.struct("doc_id", "line_no")
+    n, n2 = F.abs("n"), F.abs("n_")
+    common = F.ceil(4 * (n + n2) / 9)  # of two sets with similarity 4/5
+    left = F.least(n - F.col("pos"), n2 - F.col("pos_"))  # from the first common word on
+    apart = F.greatest(*(F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_"))) for c in ("bits", "bits2")))
+    passed = before & (5 * n2 >= 4 * n) & (5 * n >= 4 * n2) & (left >= common) & (apart <= n + n2 - 2 * common)
+    if chosen is not None:
+        passed = chosen & passed
+    return entries.join(earlier, "token").where(passed).select(
+        "doc_id", "line_no", F.col("doc_id_").alias("doc_id2"), F.col("line_no_").alias("line_no2")).distinct()
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> DataFrame:
     """Places of the lines whose whole word set has Jaccard similarity 4/5 or more with the earlier line's."""
     pairs = stage(pairs, "line_pairs")
     wanted = pairs.select("doc_id", "line_no").union(pairs.select("doc_id2", "line_no2")).distinct()
-    wanted = stage(first.join(wanted, _same("doc_id", "line_no", first, wanted), "left_semi").select("doc_id", "line_no", "set"), "wanted_lines")
+    wanted = stage(first.join(wanted, _same("doc_id", "line_no", first, wanted), "left_semi").select(
+        "doc_id", "line_no", "set", "set2"), "wanted_lines")
     ids = wanted.select("doc_id").distinct()
     lines = _lines(docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi"))
     found = lines.join(wanted, _same("doc_id", "line_no", lines, wanted)).select(
-        lines["doc_id"], lines["line_no"], "set", F.sort_array(line_words(F.col("line"))).alias("words"))
+        lines["doc_id"], lines["line_no"], "set", "set2", "line", _hashes(F.col("line")).alias("h"))
     # A repeated id may hold other texts: keep the line that the set's name was made of.
-    found = stage(found.where(_name(F.col("words")) == F.col("set")).select("doc_id", "line_no", "words").dropDuplicates(
-        ["doc_id", "line_no"]), "line_words")
+    found = found.where((F.xxhash64("h") == F.col("set")) & (F.xxhash64(F.lit(1), "h") == F.col("set2")))
+    found = stage(found.dropDuplicates(["doc_id", "line_no"]).select("doc_id", "line_no", line_words(F.col("line")).alias("words")), "line_words")
     a, b = found.alias("a"), found.alias("b")
     both = pairs.alias("p").join(a, F.expr("p.doc_id <=> a.doc_id and p.line_no = a.line_no")).join(
         b, F.expr("p.doc_id2 <=> b.doc_id and p.line_no2 = b.line_no"))
