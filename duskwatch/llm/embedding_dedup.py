@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duskwatch.llm.scratch import discard, stage
-from duskwatch.llm.shipping import map_batches
+from duskwatch.llm.shipping import map_batches, whole_groups
 from duskwatch.operators.components import connected_components
 
 NEIGHBOURS = 10
@@ -57,30 +57,6 @@ def _matrix(column: pa.Array, kind=np.float64) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1).astype(kind)
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[pa.RecordBatch]:
-    """Batches of sorted rows, cut where the value of a column changes."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        values = batch.column(key)
-        last = values[-1]
-        same = np.asarray(values.to_numpy(zero_copy_only=False) == last.as_py())
-        at = int(np.argmax(same))
-        if held and held[-1].column(key)[-1].as_py() == last.as_py() and at == 0:
-            held.append(batch)
-            continue
-        if at or held:
-            yield _joined([*held, batch.slice(0, at)])
-        held = [batch.slice(at)]
-    if held:
-        yield _joined(held)
-
-
-def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if sum(p.num_rows for p in parts) else parts[0]
-
-
 def _seeds(nodes: DataFrame, seed: int) -> DataFrame:
     """Edges ``(v, u, sim)`` from runs of nodes in the order of several sets of random hyperplanes."""
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +122,7 @@ def _refine(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     rows = members.join(vectors, "member").select("at", "member", "fresh", "least", "vec")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _whole_groups(batches, 0):
+        for batch in whole_groups(batches, 1):
             at, member = np.asarray(batch.column(0)), np.asarray(batch.column(1))
             fresh, least = batch.column(2).to_numpy(zero_copy_only=False), np.asarray(batch.column(3))
             head = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
@@ -254,7 +230,7 @@ def _links_in_components(members: DataFrame, threshold: float) -> DataFrame:
         F.lit(1).alias("side"), "id", "copies", "vec")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _whole_groups(batches, 0):
+        for batch in whole_groups(batches, 1):
             keys = list(zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3)), strict=True))
             side, ids, copies = (np.asarray(batch.column(i)) for i in (4, 5, 6))
             start = 0

@@ -64,8 +64,7 @@ def _by_rarity(hashes: Column, classes: list[int]) -> Column:
 def _parity(hashes: Column, shift: int) -> Column:
     """64 bits of which every word flips one: sets differ in as many words at least as sketches in bits."""
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    # Shifts take the low six bits of their distance.
-    bit = lambda h: F.call_function("shiftleft", one, F.shiftrightunsigned(h, shift).cast("int"))
+    bit = lambda h: F.call_function("shiftleft", one, F.shiftrightunsigned(h, shift).bitwiseAND(63).cast("int"))
     return F.aggregate(hashes, zero, lambda bits, h: bits.bitwiseXOR(bit(h)))
 
 

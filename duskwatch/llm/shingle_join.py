@@ -11,8 +11,8 @@ narrowed again to the rarest parts (prefix filter). Sets with too few parts for
 also emit a prefix of their shingles, so nothing rests on chance.
 
 Equal sets are one class. Within a part's classes, links are sought with the least class first;
-only classes of different components are compared further, after a check of a short sketch
-whose Hamming distance is a lower bound of the difference. Every link is verified on whole sets.
+only classes of different components are compared further, by sketches of fixed length whose
+Hamming distance is a lower bound of the difference. Every link is verified on whole sets.
 """
 
 from collections.abc import Iterator
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duskwatch.llm.shipping import map_batches
+from duskwatch.llm.shipping import map_batches, whole_groups
 from duskwatch.llm.words import SPACED, mix, ranges, words
 from duskwatch.operators.components import connected_components
 from duskwatch.llm.scratch import stage
@@ -30,8 +30,9 @@ from duskwatch.llm.scratch import stage
 WORDS = 5
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 #: Slack: a set of n shingles emits n // SLACK parts more than it must.
-SLACK = 16
-SKETCH_BITS = 2048
+SLACK = 32
+#: Members of a part that are compared side by side.
+BLOCK = 1024
 #: Shingles that are handled side by side.
 RUN = 2 << 20
 
@@ -77,13 +78,29 @@ def set_names(sets: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out[0], out[1]
 
 
+def bands(sizes: np.ndarray) -> np.ndarray:
+    """Exponent of the largest power of two up to each size (0 for an empty set)."""
+    return np.searchsorted(1 << np.arange(1, 62), sizes, "right")
+
+
 def sketches(sets: np.ndarray, ends: np.ndarray) -> list[bytes]:
-    """Parity sketches of ``SKETCH_BITS`` bits: every element flips one."""
-    n = len(ends)
-    row = np.repeat(np.arange(n), np.diff(ends, prepend=0))
-    cell = row * SKETCH_BITS + (mix(sets ^ np.uint64(77)) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    bits = np.packbits((np.bincount(cell, minlength=n * SKETCH_BITS) & 1).astype(np.uint8).reshape(n, SKETCH_BITS), axis=1)
-    return [b.tobytes() for b in bits]
+    """Parity sketches of four bits per element of the band's smallest set, 64 at least; every element flips one bit."""
+    sizes = np.diff(ends, prepend=0)
+    bits = np.maximum(64, 4 << bands(sizes))
+    starts = np.concatenate([[0], np.cumsum(bits)])
+    row = np.repeat(np.arange(len(ends)), sizes)
+    # The place is a remainder by a power of two, so folding a sketch gives the next shorter one.
+    cell = starts[row] + (mix(sets ^ np.uint64(77)) % bits[row].astype(np.uint64)).astype(np.int64)
+    flat = np.packbits((np.bincount(cell, minlength=starts[-1]) & 1).astype(np.uint8))
+    return [flat[i // 8:j // 8].tobytes() for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+
+
+def folded(sketch: np.ndarray, width: int) -> np.ndarray:
+    """A sketch of bytes shortened to ``width`` bytes; the parity of a folded bit is that of its two halves."""
+    while len(sketch) > width:
+        half = len(sketch) // 2
+        sketch = sketch[:half] ^ sketch[half:]
+    return sketch
 
 
 def largest_difference(n: np.ndarray) -> np.ndarray:
@@ -94,7 +111,7 @@ def largest_difference(n: np.ndarray) -> np.ndarray:
 def part_keys(sets: np.ndarray, ends: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Emitted parts of the sets: key, the set's name, and in how many equal parts a partner shows at least."""
     sizes = np.diff(ends, prepend=0)
-    band = np.searchsorted(1 << np.arange(1, 62), sizes, "right")
+    band = bands(sizes)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for lower in (0, 1):
         # A set is in the band of its size, and as the larger partner in the band below.
@@ -214,24 +231,50 @@ def _fetch(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame
     return stage(sets.join(wanted.select("c").distinct(), "c", "left_semi").dropDuplicates(["c", "n", "sketch"]), "sets")
 
 
-def _close(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose sizes and sketches allow a link."""
-    short = sets.select("c", "n", "sketch")
-    both = pairs.join(short.toDF("a", "na", "sa"), "a").join(short.toDF("b", "nb", "sb"), "b").where(
-        "5 * least(na, nb) >= 4 * greatest(na, nb)")
+def _close_in_parts(parts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of classes of different components in one part whose sizes and sketches allow a link.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(n, -1) for k in (3, 5))
-            apart = np.bitwise_count(x ^ y).sum(1)
-            total = np.asarray(batch.column(2)) + np.asarray(batch.column(4))
-            near = pa.array(9 * apart.astype(np.int64) <= total)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], ["a", "b"])
+    ``parts(key, c, component)``. The members of a part are compared in blocks; a part of many
+    blocks is spread over as many groups as pairs of blocks. Only the pairs that pass leave a task.
+    """
+    rows = parts.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = parts.join(rows, "key").join(sets.select("c", "n", "sketch"), "c").withColumn(
+        "own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+    both = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = rows.select("key", "c", "component", "n", "sketch", "own", both).select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "c", "component", "n", "sketch")
 
-    return map_batches(both.select("a", "b", "na", "sa", "nb", "sb"), run, "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in whole_groups(batches, 3):
+            own, c, component, n = (np.asarray(batch.column(k)) for k in (3, 4, 5, 6))
+            key, i, j = (np.asarray(batch.column(k)) for k in (0, 1, 2))
+            head = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+            found = []
+            for start, end in zip(head.tolist(), [*head[1:].tolist(), len(key)], strict=True):
+                if end - start < 2:
+                    continue
+                sketch = [np.frombuffer(x.as_buffer(), np.uint8) for x in batch.column(7).slice(start, end - start)]
+                width = min(map(len, sketch))
+                bits = np.stack([folded(x, width) for x in sketch]).view(np.uint64)
+                left = np.flatnonzero(own[start:end] == i[start])
+                right = np.flatnonzero(own[start:end] == j[start])
+                size, name, comp = n[start:end], c[start:end], component[start:end]
+                for k in range(0, len(left), 64):
+                    a = left[k:k + 64, None]
+                    good = (comp[a] != comp[right]) & (5 * size[a] >= 4 * size[right]) & (5 * size[right] >= 4 * size[a])
+                    x, y = np.nonzero(good)
+                    x, y = left[k + x], right[y]
+                    for at in range(0, len(x), 1 << 14):
+                        p, q = x[at:at + (1 << 14)], y[at:at + (1 << 14)]
+                        near = 9 * np.bitwise_count(bits[p] ^ bits[q]).sum(1, dtype=np.int64) <= size[p] + size[q]
+                        found.append((name[p[near]], name[q[near]]))
+            if found:
+                x, y = (np.concatenate(f) for f in zip(*found, strict=True))
+                pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+    order = ["key", "i", "j"]
+    return map_batches(rows.repartition(*order).sortWithinPartitions(*order), run, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -270,17 +313,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # First every class with the least class of each of its parts: links in proportion to the rows.
     least = parts.groupBy("key").agg(F.min("c").alias("b"))
     tried = stage(parts.join(least, "key").where("c <> b").select(F.col("c").alias("a"), "b").distinct(), "first_pairs")
-    links = stage(_verified(stage(_close(tried, sets), "first_close"), sets), "first_links")
+    links = stage(_verified(tried, sets), "first_links")
     # Then classes of one part that no link connects yet.
     component = stage(connected_components(links), "first_components")
     placed = parts.join(component, F.col("c") == F.col("node"), "left").select(
         "key", "c", F.coalesce("component", "c").alias("component"))
     split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     placed = stage(placed.join(split, "key", "left_semi"), "open_parts")
-    left, right = placed.toDF("key", "a", "ca"), placed.toDF("key", "b", "cb")
-    rest = left.join(right, "key").where("a < b and ca <> cb").select("a", "b").distinct()
-    rest = rest.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = _verified(stage(_close(rest, sets), "rest_close"), sets)
+    more = _verified(stage(_close_in_parts(placed, sets), "rest_close"), sets)
     links = stage(links.union(more), "links")
     # Components of documents: a class hangs on its least document, linked classes on each other.
     classes = stage(members.groupBy("c", "c2").agg(F.min("doc_id").alias("rep")), "classes")

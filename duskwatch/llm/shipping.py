@@ -6,6 +6,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,3 +33,29 @@ def map_batches(
     """``df.mapInArrow`` with the package's code on the executors."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Batches of sorted rows, cut only where the values of the first ``keys`` columns change."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        last = [batch.column(k)[n - 1].as_py() for k in range(keys)]
+        same = np.ones(n, bool)
+        for k in range(keys):
+            same &= batch.column(k).to_numpy(zero_copy_only=False) == last[k]
+        at = n - int(np.argmin(same[::-1])) if not same.all() else 0
+        if at == 0 and held and [held[-1].column(k)[0].as_py() for k in range(keys)] == last:
+            held.append(batch)
+            continue
+        if held or at:
+            yield _joined([*held, batch.slice(0, at)])
+        held = [batch.slice(at)]
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
