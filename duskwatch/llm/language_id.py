@@ -16,14 +16,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duskwatch.llm.shipping import map_batches
+from duskwatch.llm.shipping import map_batches, worker_state
 from duskwatch.llm.tokens import texts_of
 
 UNKNOWN = "und"
 #: Runs of letters are cut after this many characters; segmentations do not cross a cut.
 LONGEST_WORD = 48
 #: Words scored side by side, and words a worker remembers.
-CHUNK, REMEMBERED = 8_192, 400_000
+CHUNK, REMEMBERED = 8_192, 250_000
 #: Per character, so that products of small probabilities stay in range.
 SCALE = 1_000.0
 FLOOR = 1e-7
@@ -193,7 +193,7 @@ def train(
                     part = [index.setdefault(w, len(index)) for w in found[i:i + (1 << 20)]]
                     cells.append((np.array(part, np.int64) << 20) | name)
                 held += len(found)
-                if len(index) > REMEMBERED or held > 8 << 20:
+                if len(index) > REMEMBERED or held > 2 << 20:
                     settle()
                     held = 0
         settle()
@@ -210,9 +210,6 @@ def train(
     return Model(languages, counts)
 
 
-_WORKER: dict[str, object] = {}
-
-
 class Scorer:
     """Scores of words met by this worker."""
 
@@ -232,7 +229,7 @@ class Scorer:
             if len(self.index) > REMEMBERED:
                 self.clear()
             run, size, first = [], 0, i
-            while i < len(texts) and (not run or size < 4 << 20):
+            while i < len(texts) and (not run or size < 2 << 20):
                 run.append(find_words(texts[i] or ""))
                 size += len(texts[i] or "")
                 i += 1
@@ -265,12 +262,13 @@ def predict(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        if _WORKER.get("of") != model.name:
-            _WORKER.update({"of": model.name, "scorer": Scorer(vocabulary, model) if model.languages else None})
+        known = worker_state("language")
+        if known.get("of") != model.name:
+            known.update({"of": model.name, "scorer": Scorer(vocabulary, model) if model.languages else None})
         for batch in batches:
             texts = texts_of(batch.column(place))
             if model.languages:
-                total, counts = _WORKER["scorer"](texts)
+                total, counts = known["scorer"](texts)
                 share = np.exp(total - total.max(1, keepdims=True))
                 share /= share.sum(1, keepdims=True)
                 best = share.argmax(1)

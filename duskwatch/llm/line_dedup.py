@@ -6,8 +6,9 @@ occur, then by hash. Two sets with Jaccard similarity 4/5 or more share one of t
 ``n - ceil(4n/5) + 1`` words (prefix filter), at places that leave enough common words (positional
 filter), and their sizes differ by a quarter at most (length filter); two parity sketches of 64
 bits per set, compared in the join, bound the difference from below. Pairs that pass are verified on
-their words. A line goes if a similar or equal line stands earlier, in another document or its
-own. Equal sets are told by 128 bits over the 64-bit hashes of their words. Lines without words stay.
+their whole sets, as 64-bit hashes of the words. A line goes if a similar or equal line stands
+earlier, in another document or its own. Equal sets are told by 128 bits over their hashes. Lines
+without words stay.
 """
 
 import math
@@ -27,11 +28,6 @@ def _plain_words(line: Column) -> Column:
     return F.split(plain, " ")
 
 
-def line_words(line: Column) -> Column:
-    """Distinct words of a line; white space is ASCII white space."""
-    return F.array_remove(F.array_distinct(_plain_words(line)), "")
-
-
 def _hashes(line: Column) -> Column:
     """Distinct 64-bit hashes of a line's words, in order."""
     hashes = F.transform(_plain_words(line), lambda w: F.xxhash64(w))
@@ -133,13 +129,15 @@ def _similar(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> DataFrame:
     wanted = pairs.select("doc_id", "line_no").union(pairs.select("doc_id2", "line_no2")).distinct()
     wanted = stage(first.join(wanted, _same("doc_id", "line_no", first, wanted), "left_semi").select(
         "doc_id", "line_no", "set", "set2"), "wanted_lines")
-    ids = wanted.select("doc_id").distinct()
-    lines = _lines(docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi"))
-    found = lines.join(wanted, _same("doc_id", "line_no", lines, wanted)).select(
-        lines["doc_id"], lines["line_no"], "set", "set2", "line", _hashes(F.col("line")).alias("h"))
+    # One text per wanted document, and of it only the wanted lines.
+    places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "set", "set2")).alias("places")).withColumnRenamed("doc_id", "id")
+    texts = docs.join(places, docs["doc_id"].eqNullSafe(places["id"])).select("doc_id", F.split("text", "\n", -1).alias("all"), "places")
+    found = texts.select("doc_id", F.inline(F.transform("places", lambda p: F.struct(
+        p["line_no"].alias("line_no"), p["set"].alias("set"), p["set2"].alias("set2"), F.get("all", p["line_no"]).alias("line")))))
+    found = found.select("doc_id", "line_no", "set", "set2", _hashes(F.col("line")).alias("words"))
     # A repeated id may hold other texts: keep the line that the set's name was made of.
-    found = found.where((F.xxhash64("h") == F.col("set")) & (F.xxhash64(F.lit(1), "h") == F.col("set2")))
-    found = stage(found.dropDuplicates(["doc_id", "line_no"]).select("doc_id", "line_no", line_words(F.col("line")).alias("words")), "line_words")
+    found = found.where((F.xxhash64("words") == F.col("set")) & (F.xxhash64(F.lit(1), "words") == F.col("set2")))
+    found = stage(found.dropDuplicates(["doc_id", "line_no"]).select("doc_id", "line_no", "words"), "line_words")
     a, b = found.alias("a"), found.alias("b")
     both = pairs.alias("p").join(a, F.expr("p.doc_id <=> a.doc_id and p.line_no = a.line_no")).join(
         b, F.expr("p.doc_id2 <=> b.doc_id and p.line_no2 = b.line_no"))

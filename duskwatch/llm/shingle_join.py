@@ -214,7 +214,8 @@ def _fetch(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame
     wanted = stage(
         members.join(classes, "c", "left_semi").groupBy("c", "c2").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "c"),
         "wanted")
-    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
+    # By shuffle at every size: the ids grow with the input.
+    texts = docs.join(wanted.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,14 +236,17 @@ def _close_in_parts(parts: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` of classes of different components in one part whose sizes and sketches allow a link.
 
     ``parts(key, c, component)``. The members of a part are compared in blocks; a part of many
-    blocks is spread over as many groups as pairs of blocks. Only the pairs that pass leave a task.
+    blocks is spread over as many groups as pairs of blocks. Only the pairs that pass leave a task,
+    and only from the least part that both classes are in.
     """
+    keys = parts.groupBy("c").agg(F.collect_list("key").alias("keys"))  # a class's own emitted parts
     rows = parts.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = parts.join(rows, "key").join(sets.select("c", "n", "sketch"), "c").withColumn(
+    rows = parts.join(rows, "key").join(sets.select("c", "n", "sketch"), "c").join(keys, "c").withColumn(
         "own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
     both = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("key", "c", "component", "n", "sketch", "own", both).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "c", "component", "n", "sketch")
+    rows = rows.select("key", "c", "component", "n", "sketch", "keys", "own", both).select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "c", "component", "n", "sketch",
+        "keys")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_groups(batches, 3):
@@ -259,6 +263,14 @@ def _close_in_parts(parts: DataFrame, sets: DataFrame) -> DataFrame:
                 left = np.flatnonzero(own[start:end] == i[start])
                 right = np.flatnonzero(own[start:end] == j[start])
                 size, name, comp = n[start:end], c[start:end], component[start:end]
+                lists: dict[int, set[int]] = {}
+
+                def least(p: int, q: int, start=start, lists=lists) -> bool:
+                    for r in (p, q):
+                        if r not in lists:
+                            lists[r] = set(batch.column(8)[start + r].as_py())
+                    return min(lists[p] & lists[q]) == key[start]
+
                 for k in range(0, len(left), 64):
                     a = left[k:k + 64, None]
                     good = (comp[a] != comp[right]) & (5 * size[a] >= 4 * size[right]) & (5 * size[right] >= 4 * size[a])
@@ -267,7 +279,10 @@ def _close_in_parts(parts: DataFrame, sets: DataFrame) -> DataFrame:
                     for at in range(0, len(x), 1 << 14):
                         p, q = x[at:at + (1 << 14)], y[at:at + (1 << 14)]
                         near = 9 * np.bitwise_count(bits[p] ^ bits[q]).sum(1, dtype=np.int64) <= size[p] + size[q]
-                        found.append((name[p[near]], name[q[near]]))
+                        near = [(r, t) for r, t in zip(p[near].tolist(), q[near].tolist(), strict=True) if least(r, t)]
+                        if near:
+                            p, q = np.array(near).T
+                            found.append((name[p], name[q]))
             if found:
                 x, y = (np.concatenate(f) for f in zip(*found, strict=True))
                 pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)

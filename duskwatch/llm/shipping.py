@@ -11,6 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_STATE: dict[str, dict] = {}
+
+
+def worker_state(owner: str) -> dict:
+    """What a Python worker keeps between tasks; it keeps the tables of one operator at a time."""
+    if owner not in _STATE:
+        _STATE.clear()
+    return _STATE.setdefault(owner, {})
 
 
 def ship(spark: SparkSession) -> None:

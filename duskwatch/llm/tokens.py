@@ -12,11 +12,13 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 
+from duskwatch.llm.shipping import worker_state
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_IDS = 4_000_000
+CACHE_IDS = 3_000_000
 #: Texts are encoded in runs of at most this many bytes (or one longer text).
-RUN_BYTES = 4 << 20
+RUN_BYTES = 2 << 20
 
 #: Cut before a single blank between two characters that no library counts as white space; the
 #: blank opens the next chunk. Byte-level pre-tokens carry at most one leading blank.
@@ -26,8 +28,6 @@ _SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 
 _TAILS = frozenset(".,;:!?")
 
-_CACHES: dict[str, "ChunkEncoder"] = {}
-
 
 class _Places(dict):
     """Chunk to place; a chunk met for the first time gets the next place."""
@@ -166,9 +166,10 @@ class ChunkEncoder:
 
 def encoder(path: str, byte_level: bool) -> ChunkEncoder:
     """The worker's encoder for a tokenizer file."""
-    if path not in _CACHES:
-        _CACHES[path] = ChunkEncoder(path, byte_level)
-    return _CACHES[path]
+    known = worker_state("tokens")
+    if path not in known:
+        known[path] = ChunkEncoder(path, byte_level)
+    return known[path]
 
 
 def texts_of(column: pa.Array) -> list[str | None]:
