@@ -200,7 +200,7 @@ def train(
         for lang, k in names.items():
             ids = np.flatnonzero(total[:, k])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(ids)), pa.array(ids), pa.array(np.rint(total[ids, k] * RESOLUTION).astype(np.int64))],
+                [pa.array([lang] * len(ids), pa.string()), pa.array(ids, pa.int64()), pa.array(np.rint(total[ids, k] * RESOLUTION).astype(np.int64))],
                 ["lang", "piece", "n"])
 
     found = map_batches(rows, run, "lang string, piece long, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
