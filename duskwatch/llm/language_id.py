@@ -23,7 +23,7 @@ UNKNOWN = "und"
 #: Runs of letters are cut after this many characters; segmentations do not cross a cut.
 LONGEST_WORD = 48
 #: Words scored side by side, and words a worker remembers.
-CHUNK, REMEMBERED = 8_192, 250_000
+CHUNK, REMEMBERED = 4_096, 150_000
 #: Per character, so that products of small probabilities stay in range.
 SCALE = 1_000.0
 FLOOR = 1e-7
@@ -193,7 +193,7 @@ def train(
                     part = [index.setdefault(w, len(index)) for w in found[i:i + (1 << 20)]]
                     cells.append((np.array(part, np.int64) << 20) | name)
                 held += len(found)
-                if len(index) > REMEMBERED or held > 2 << 20:
+                if len(index) > REMEMBERED or held > 1 << 20:
                     settle()
                     held = 0
         settle()
@@ -229,7 +229,7 @@ class Scorer:
             if len(self.index) > REMEMBERED:
                 self.clear()
             run, size, first = [], 0, i
-            while i < len(texts) and (not run or size < 2 << 20):
+            while i < len(texts) and (not run or size < 1 << 20):
                 run.append(find_words(texts[i] or ""))
                 size += len(texts[i] or "")
                 i += 1
@@ -265,8 +265,8 @@ def predict(
         known = worker_state("language")
         if known.get("of") != model.name:
             known.update({"of": model.name, "scorer": Scorer(vocabulary, model) if model.languages else None})
-        for batch in batches:
-            texts = texts_of(batch.column(place))
+        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
+            texts = batch.column(place).to_pylist()
             if model.languages:
                 total, counts = known["scorer"](texts)
                 share = np.exp(total - total.max(1, keepdims=True))

@@ -84,9 +84,9 @@ def bands(sizes: np.ndarray) -> np.ndarray:
 
 
 def sketches(sets: np.ndarray, ends: np.ndarray) -> list[bytes]:
-    """Parity sketches of four bits per element of the band's smallest set, 64 at least; every element flips one bit."""
+    """Parity sketches of four bits per element of the band's smallest set, 64 to 2048; every element flips one bit."""
     sizes = np.diff(ends, prepend=0)
-    bits = np.maximum(64, 4 << bands(sizes))
+    bits = np.clip(4 << bands(sizes), 64, 2048)
     starts = np.concatenate([[0], np.cumsum(bits)])
     row = np.repeat(np.arange(len(ends)), sizes)
     # The place is a remainder by a power of two, so folding a sketch gives the next shorter one.
@@ -236,13 +236,21 @@ def _close_in_parts(parts: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` of classes of different components in one part whose sizes and sketches allow a link.
 
     ``parts(key, c, component)``. The members of a part are compared in blocks; a part of many
-    blocks is spread over as many groups as pairs of blocks. Only the pairs that pass leave a task,
-    and only from the least part that both classes are in.
+    blocks is spread over as many groups as pairs of blocks. A first pass only tells which classes
+    have such a partner. A second one over these, which know all their parts, returns a pair from
+    the least part that both are in.
     """
+    short = sets.select("c", "n", "sketch")
+    some = stage(_compared(parts.join(short, "c").withColumn("keys", F.array().cast("array<long>")), True), "have_close")
+    parts = stage(parts.join(some.select("c").distinct(), "c", "left_semi"), "close_parts")
     keys = parts.groupBy("c").agg(F.collect_list("key").alias("keys"))  # a class's own emitted parts
-    rows = parts.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = parts.join(rows, "key").join(sets.select("c", "n", "sketch"), "c").join(keys, "c").withColumn(
-        "own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+    return _compared(parts.join(short, "c").join(keys, "c"), False)
+
+
+def _compared(rows: DataFrame, members: bool) -> DataFrame:
+    """``(c)`` of the classes with a close partner in a part, or the close pairs ``(a, b)``."""
+    blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
     both = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = rows.select("key", "c", "component", "n", "sketch", "keys", "own", both).select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "c", "component", "n", "sketch",
@@ -279,17 +287,23 @@ def _close_in_parts(parts: DataFrame, sets: DataFrame) -> DataFrame:
                     for at in range(0, len(x), 1 << 14):
                         p, q = x[at:at + (1 << 14)], y[at:at + (1 << 14)]
                         near = 9 * np.bitwise_count(bits[p] ^ bits[q]).sum(1, dtype=np.int64) <= size[p] + size[q]
+                        if members:
+                            found.append((name[np.union1d(p[near], q[near])],))
+                            continue
                         near = [(r, t) for r, t in zip(p[near].tolist(), q[near].tolist(), strict=True) if least(r, t)]
                         if near:
                             p, q = np.array(near).T
                             found.append((name[p], name[q]))
-            if found:
+            if found and members:
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate([f[0] for f in found])))], ["c"])
+            elif found:
                 x, y = (np.concatenate(f) for f in zip(*found, strict=True))
                 pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
     order = ["key", "i", "j"]
-    return map_batches(rows.repartition(*order).sortWithinPartitions(*order), run, "a long, b long").distinct()
+    rows = rows.repartition(*order).sortWithinPartitions(*order)
+    return map_batches(rows, run, "c long" if members else "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ table of the worker, which is emptied when it holds ``CACHE_IDS`` ids.
 
 import os
 import re
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -16,7 +17,7 @@ from duskwatch.llm.shipping import worker_state
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_IDS = 3_000_000
+CACHE_IDS = 2_500_000
 #: Texts are encoded in runs of at most this many bytes (or one longer text).
 RUN_BYTES = 2 << 20
 
@@ -133,7 +134,7 @@ class ChunkEncoder:
             self._learn(list(islice(self.index, known, None)), np.arange(known, known + more))
         return place, counts
 
-    def _runs(self, texts: list[str | None]):
+    def _runs(self, texts: Iterable[str | None]):
         run, size = [], 0
         for text in texts:
             text = text or ""
@@ -145,7 +146,7 @@ class ChunkEncoder:
         if run:
             yield run
 
-    def encode(self, texts: list[str | None]):
+    def encode(self, texts: Iterable[str | None]):
         """Yield ``(ids, ends)`` for consecutive runs of the texts: joined ids, and where each text's ids end."""
         for run in self._runs(texts):
             place, counts = self._lookup(run)
@@ -154,7 +155,7 @@ class ChunkEncoder:
             at = np.arange(total[-1]) + np.repeat(start - total[:-1], length)
             yield self.ids[at], total[np.cumsum(counts)]
 
-    def count(self, texts: list[str | None]) -> np.ndarray:
+    def count(self, texts: Iterable[str | None]) -> np.ndarray:
         """Ids per text: the counts of the distinct chunks, joined to the texts' chunk frequencies and summed."""
         out = [np.zeros(0, np.int64)]
         for run in self._runs(texts):
@@ -172,5 +173,7 @@ def encoder(path: str, byte_level: bool) -> ChunkEncoder:
     return known[path]
 
 
-def texts_of(column: pa.Array) -> list[str | None]:
-    return column.to_pylist()
+def texts_of(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column, some at a time."""
+    for i in range(0, len(column), 500):
+        yield from column.slice(i, 500).to_pylist()
