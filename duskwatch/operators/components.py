@@ -1,33 +1,25 @@
 """Connected components of an edge table."""
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from duskwatch.operators.skew import HOT_ROWS, join_hot_split
+from duskwatch.operators.skew import join_counted
 from duskwatch.session import materialize
 
 
-def _with_minimum(directed: DataFrame, hot_rows: int | None) -> DataFrame:
-    """Edges ``(u, v)`` with ``m``, the least of ``u`` and its neighbours in ``directed``.
-
-    Without ``hot_rows`` the whole edge table is known to be small, so a window, which
-    gathers a node's edges in one task and needs a single shuffle, is safe.
-    """
-    if hot_rows is None:
-        return directed.withColumn("m", F.least("u", F.min("v").over(Window.partitionBy("u"))))
-    least = directed.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
-    least = least.withColumn("m", F.least("u", "m"))
-    return join_hot_split(directed, least, "u", "degree", hot_rows).drop("degree")
+def _with_minimum(directed: DataFrame) -> DataFrame:
+    """Edges ``(u, v)`` with ``m``, the least of ``u`` and its neighbours in ``directed``."""
+    least = directed.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    return join_counted(directed, least, "u")
 
 
-def connected_components(edges: DataFrame, hot_rows: int = HOT_ROWS, max_rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``edges(u, v)``; the component is its least node.
 
     Alternating large-star and small-star steps turn every component into a star around
-    its least node in a logarithmic number of rounds. A step is an aggregate per node and
-    a join back; nodes with very many neighbours are broadcast by ``join_hot_split``. Only
-    when all edges together are fewer than ``hot_rows`` a window replaces the pair. Each
-    round is written to shared storage, which cuts the lineage and survives lost executors.
+    its least node in a logarithmic number of rounds; they end when a round changes nothing.
+    A step is an aggregate per node and a join back, at every size. Each round is written to
+    shared storage, which cuts the lineage and survives lost executors.
     """
     def normal(df: DataFrame) -> DataFrame:
         return df.where("u <> v").select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u"))
@@ -41,20 +33,16 @@ def connected_components(edges: DataFrame, hot_rows: int = HOT_ROWS, max_rounds:
         return stored, tuple(sorted(seen.get.items(), key=lambda kv: kv[0]))
 
     current, state = settle(edges)  # u is always the greater node
-    for _ in range(max_rounds):
-        # Neither step makes more than two directed edges out of one.
-        limit = hot_rows if 2 * dict(state)["n"] > hot_rows else None
+    while True:
         both = current.select("u", "v").union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_minimum(both, limit).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = _with_minimum(normal(large), limit)
+        large = _with_minimum(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _with_minimum(normal(large))
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             small.select("u", F.col("m").alias("v")))
         previous = state
         current, state = settle(small)
         if state == previous:
             break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     members = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return members.union(roots)

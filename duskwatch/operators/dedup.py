@@ -16,7 +16,7 @@ from duskwatch.constants import LSH_BANDS, LSH_ROWS, MINHASH_PERMUTATIONS
 from duskwatch.functions.base import words
 from duskwatch.operators.components import connected_components
 from duskwatch.operators.counts import counter_rows, five_numbers
-from duskwatch.operators.skew import HOT_ROWS, join_hot_split
+from duskwatch.operators.skew import join_counted
 from duskwatch.session import materialize
 
 PRIME = (1 << 31) - 1
@@ -54,7 +54,9 @@ def distinct_texts(preprocessed: DataFrame, id_col: str = "object_name") -> Data
     keyed = preprocessed.where("text <> ''").select(id_col, text_key(F.col("text")).alias("text_key"), "text")
     firsts = exact_duplicates(keyed, id_col).withColumnRenamed("first_id", id_col)
     # Both sides grow with the data: a merge join, so that the texts are never broadcast.
-    return keyed.drop("text_key").hint("merge").join(firsts, id_col).select(id_col, "text_key", "text", "n_copies")
+    # An id may come with several texts, and a text several times with its first id.
+    found = keyed.hint("merge").join(firsts, [id_col, "text_key"])
+    return found.dropDuplicates([id_col, "text_key"]).select(id_col, "text_key", "text", "n_copies")
 
 
 # --- signatures ------------------------------------------------------------------------
@@ -141,31 +143,31 @@ def buckets(members: DataFrame, id_col: str) -> DataFrame:
         F.min(id_col).alias("anchor"), F.count("*").alias("n_members")).where("n_members > 1")
 
 
-def lsh_query(members: DataFrame, id_col: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def lsh_query(members: DataFrame, id_col: str) -> DataFrame:
     """For each text the shared buckets it falls into: what an index query returns, factored.
 
     The texts colliding with a text are the members of its buckets. There is no similarity
     check.
     """
-    return join_hot_split(members, buckets(members, id_col), BUCKET, "n_members", hot_rows)
+    return join_counted(members, buckets(members, id_col), BUCKET)
 
 
-def lsh_candidates(members: DataFrame, id_col: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def lsh_candidates(members: DataFrame, id_col: str) -> DataFrame:
     """Candidate links ``(id, anchor)``: every member of a bucket to the bucket's least text.
 
     They connect exactly the texts that all pairs of the buckets would connect.
     """
-    found = lsh_query(members, id_col, hot_rows)
+    found = lsh_query(members, id_col)
     return found.where(F.col(id_col) != F.col("anchor")).select(id_col, "anchor").distinct()
 
 
 # --- groups ----------------------------------------------------------------------------
 
-def near_groups(texts: DataFrame, id_col: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def near_groups(texts: DataFrame, id_col: str) -> DataFrame:
     """``(id, group_id)`` for every text: texts linked by shared buckets form a group."""
     members = materialize(bucket_members(texts, id_col), "buckets")
-    edges = lsh_candidates(members, id_col, hot_rows).select(F.col(id_col).alias("u"), F.col("anchor").alias("v"))
-    grouped = connected_components(edges, hot_rows).select(F.col("node").alias(id_col), F.col("component").alias("group_id"))
+    edges = lsh_candidates(members, id_col).select(F.col(id_col).alias("u"), F.col("anchor").alias("v"))
+    grouped = connected_components(edges).select(F.col("node").alias(id_col), F.col("component").alias("group_id"))
     return texts.select(id_col).join(grouped, id_col, "left").select(
         id_col, F.coalesce("group_id", id_col).alias("group_id"))
 
@@ -185,11 +187,11 @@ def representatives(groups: DataFrame, texts: DataFrame, id_col: str, tie: str |
 
 
 def near_table(
-    groups: DataFrame, texts: DataFrame, id_col: str, tie: str | None = None, hot_rows: int = HOT_ROWS
+    groups: DataFrame, texts: DataFrame, id_col: str, tie: str | None = None
 ) -> DataFrame:
     """``(id, group_id, representative, n_members)`` for every text."""
     reps = representatives(groups, texts, id_col, tie)
-    return join_hot_split(groups, reps, "group_id", "n_members", hot_rows)
+    return join_counted(groups, reps, "group_id")
 
 
 def unique_texts(near: DataFrame, id_col: str) -> DataFrame:
@@ -198,17 +200,14 @@ def unique_texts(near: DataFrame, id_col: str) -> DataFrame:
 
 
 def jaccard_to_representative(
-    near: DataFrame, texts: DataFrame, id_col: str, hot_rows: int = 10 * HOT_ROWS
+    near: DataFrame, texts: DataFrame, id_col: str
 ) -> DataFrame:
-    """Similarity of every grouped text with its group's representative: one row per text.
-
-    The keyed side carries token lists, so only groups of tens of millions are broadcast.
-    """
+    """Similarity of every grouped text with its group's representative: one row per text."""
     tokens = texts.select(id_col, token_set(F.col("text")).alias("tokens"))
     rep_tokens = near.where(F.col(id_col) == F.col("representative")).join(tokens, id_col).select(
         "representative", "n_members", F.col("tokens").alias("rep_tokens"))
     members = near.where(F.col(id_col) != F.col("representative")).select(id_col, "representative").join(tokens, id_col)
-    pairs = join_hot_split(members, rep_tokens, "representative", "n_members", hot_rows)
+    pairs = join_counted(members, rep_tokens, "representative")
     shared = F.size(F.array_intersect("tokens", "rep_tokens"))
     return pairs.select(
         id_col, "representative",
@@ -222,7 +221,7 @@ def union_if_intersecting(a: Column, b: Column) -> Column:
 
 # --- labels and counts -----------------------------------------------------------------
 
-def mirror_labels(index: DataFrame, near: DataFrame, id_col: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def mirror_labels(index: DataFrame, near: DataFrame, id_col: str) -> DataFrame:
     """``unique``, ``near mirror`` or ``exact mirror`` for every id of the exact index.
 
     ``near`` lists each distinct text under its first id; any later copy is an exact mirror.
@@ -231,7 +230,7 @@ def mirror_labels(index: DataFrame, near: DataFrame, id_col: str, hot_rows: int
     label = F.when(F.col(id_col) == F.col("representative"), "unique").otherwise("near mirror")
     labelled = firsts.join(
         near.select(F.col(id_col).alias("first_id"), label.alias("first_label")), "first_id")
-    rows = join_hot_split(index, labelled, "text_key", "n_copies", hot_rows)
+    rows = join_counted(index, labelled, "text_key")
     return rows.select(
         id_col,
         F.when(F.col(id_col) == F.col("first_id"), F.col("first_label")).otherwise("exact mirror").alias("label"))

@@ -2,24 +2,24 @@
 
 A registry holds one row per address. Sightings may hold a third of their rows on one
 address, so they are always aggregated per address (map-side combined) before they meet
-the registry, and per-sighting answers use :func:`join_hot_split`.
+the registry, and per-sighting answers use :func:`join_counted`.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.constants import SOURCES
-from duskwatch.operators.skew import HOT_ROWS, join_hot_split
+from duskwatch.operators.skew import join_counted
 from duskwatch.schemas import REGISTRY
 
 COLUMNS = REGISTRY.fieldNames()
 
 
-def lookup_registry(sightings: DataFrame, registry: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def lookup_registry(sightings: DataFrame, registry: DataFrame) -> DataFrame:
     """Each sighting with its registry row, or nulls."""
     sizes = sightings.groupBy("onion").agg(F.count("*").alias("n_sightings"))
     found = sizes.join(registry.withColumnRenamed("ts", "registry_ts"), "onion", "left")
-    return join_hot_split(sightings, found, "onion", "n_sightings", hot_rows).drop("n_sightings")
+    return join_counted(sightings, found, "onion").drop("n_sightings")
 
 
 def anti_incoherent(objects: DataFrame, registry: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def upsert_sightings(registry: DataFrame, sightings: DataFrame, fetched: DataFra
 
 
 def decision_log(
-    registry: DataFrame, sightings: DataFrame, fetched: DataFrame, hot_rows: int = HOT_ROWS
+    registry: DataFrame, sightings: DataFrame, fetched: DataFrame
 ) -> DataFrame:
     """What happens to each sighting when they are taken in offset order."""
     firsts = sightings.groupBy("onion").agg(
@@ -95,7 +95,7 @@ def decision_log(
     known = firsts.join(stored, "onion", "left").join(
         registry.select("onion", F.lit(True).alias("known"), F.col("downloaded").alias("was_downloaded"), *SOURCES),
         "onion", "left")
-    rows = join_hot_split(sightings, known, "onion", "n_sightings", hot_rows)
+    rows = join_counted(sightings, known, "onion")
     earlier = F.col("offset") > F.col("first_offset")
     old_flag, first_of_source = F.lit(False), F.lit(None).cast("bigint")
     for s in SOURCES:
@@ -218,12 +218,12 @@ def registry_scan(registry: DataFrame) -> DataFrame:
     return registry.where("downloaded").select("onion")
 
 
-def duplicate_objects(objects: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def duplicate_objects(objects: DataFrame) -> DataFrame:
     """Objects of an address after its first one, each with the first one's name."""
     firsts = objects.groupBy("onion").agg(
         F.min(F.struct("dt", "object_name")).alias("first"), F.count("*").alias("n_objects")).where("n_objects > 1")
     return (
-        join_hot_split(objects.select("onion", "dt", "object_name"), firsts, "onion", "n_objects", hot_rows)
+        join_counted(objects.select("onion", "dt", "object_name"), firsts, "onion")
         .where(F.struct("dt", "object_name") != F.col("first"))
         .select("onion", F.col("first.object_name").alias("first_object"), F.col("object_name").alias("later_object"))
     )

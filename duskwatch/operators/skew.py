@@ -1,23 +1,13 @@
 """Joins that stay balanced when one key holds a large share of the rows."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
 
+def join_counted(rows: DataFrame, keyed: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join many ``rows`` per key with one ``keyed`` row per key, by one plan at every size.
 
-def join_hot_split(
-    rows: DataFrame, keyed: DataFrame, on: str | list[str], size: str, hot_rows: int = HOT_ROWS, how: str = "inner"
-) -> DataFrame:
-    """Join many ``rows`` per key with one ``keyed`` row per key; ``size`` counts a key's rows.
-
-    Keys with more than ``hot_rows`` rows are broadcast, so their rows never meet in one
-    task. There are at most ``count(rows) / hot_rows`` of them, which bounds the broadcast.
-    All other keys go through an ordinary shuffle join. ``how`` is ``inner`` or ``left``.
+    A sort-merge join on the key: adaptive execution splits the rows of a key that fills more
+    than a partition over several tasks and gives each the key's one row. Nothing is broadcast
+    by force. ``how`` is ``inner`` or ``left``.
     """
-    on = [on] if isinstance(on, str) else on
-    hot = keyed.where(F.col(size) > hot_rows)
-    cold = keyed.where(F.col(size) <= hot_rows)
-    hot_part = rows.join(F.broadcast(hot), on, "inner")
-    cold_part = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on, how)
-    return hot_part.unionByName(cold_part)
+    return rows.hint("merge").join(keyed, on, how)

@@ -15,7 +15,7 @@ LIST_SOURCE = "Suspicious/Scam/Malware repositories"
 
 def discover_code(search_pages: DataFrame, ts: Column | None = None) -> DataFrame:
     """Code search: addresses on marked lines, advertised by the repositories that hold them."""
-    lines = S.hit_merge(S.marked_lines(S.explode_search_hits(S.page_cap(search_pages))))
+    lines = S.hit_merge(S.marked_lines(S.explode_search_hits(search_pages)))
     found = S.advertiser_concat(lines)
     return emit_sightings(found, F.col("advertiser"), ts)
 

@@ -250,8 +250,6 @@ VIEWS = {
             " ' in <' || lang || '> & co' as line from documents",
     "merged_hits": "select repo, path, line_no, page, line from (select *, row_number() over (partition by repo, path,"
                    " line_no order by page desc, line desc) as rn from hits) where rn = 1",
-    "merged_capped": "select repo, path, line_no, page, line from (select *, row_number() over (partition by repo, path,"
-                     " line_no order by page desc, line desc) as rn from hits where page <= 100) where rn = 1",
     "indicators": "select distinct case when coll = 'results_other' then 'http://plain.example/' || advertiser else"
                   " 'http://' || onion || '/x?' || onion end as indicator from sightings",
     "gateway_rows": "select event_id as rank, 'gw' || substr(advertiser, 4) || '.example' as gateway, case when coll ="
@@ -621,7 +619,7 @@ oracle("coherence_job", "select 'duplicate' as finding, s.onion, s.object_name f
 oracle("downloaded_job", "select onion, onion in (select onion from stored where dt <= date '2022-12-15') as downloaded,"
        " download_date, ts, " + ", ".join(FLAGS) + ", first_identification from registry")
 oracle("discover_code", f"select 'Grep.app (' || string_agg(repo, ', ' order by repo) || ')' as advertiser, onion, {RUN_TS} as ts from"
-       f" (select distinct unnest(regexp_extract_all(line, {lit(C.ADDRESS)})) as onion, repo from merged_capped) group by onion")
+       f" (select distinct unnest(regexp_extract_all(line, {lit(C.ADDRESS)})) as onion, repo from merged_hits) group by onion")
 oracle("discover_gateways", f"select 'DuckDuckGo (' || gateway || ')' as advertiser, onion, {RUN_TS} as ts from gateway_found")
 oracle("discover_ioc", f"select distinct 'Suspicious/Scam/Malware repositories' as advertiser, unnest(regexp_extract_all(text,"
        f" {lit(C.ADDRESS)})) as onion, {RUN_TS} as ts from noisy union all select distinct 'AlienVault', regexp_extract(indicator,"

@@ -21,8 +21,10 @@ class VersionStore:
     def read_all(self, dataset: str) -> DataFrame | None:
         try:
             return self.spark.read.parquet(self.path(dataset))
-        except AnalysisException:  # nothing written yet
-            return None
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # anything else hides stored history
+                raise
+            return None  # nothing written yet
 
     def read(self, dataset: str, version: date) -> DataFrame | None:
         stored = self.read_all(dataset)
@@ -76,5 +78,7 @@ def latest_row_per_key(versions: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def stats_lines(counts: DataFrame) -> DataFrame:
-    """``label: value`` lines of a counter table ``(metric, value)``."""
-    return counts.select(F.concat("metric", F.lit(": "), F.col("value").cast("bigint").cast("string")).alias("value"))
+    """``label: value`` lines of a counter table ``(metric, value)``; shares keep their fraction."""
+    value = F.col("value")
+    text = F.when(value == F.floor(value), value.cast("bigint").cast("string")).otherwise(value.cast("string"))
+    return counts.select(F.concat("metric", F.lit(": "), text).alias("value"))

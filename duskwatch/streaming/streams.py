@@ -73,7 +73,9 @@ def latest_registry(spark: SparkSession, path: str, registry: DataFrame) -> Data
     """The registry after the last micro-batch; the initial one before any."""
     try:
         stored = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # an unreadable registry is not an empty one
+            raise
         return registry
     last = stored.agg(F.max("batch_id")).first()[0]
     return spark.read.schema(schemas.REGISTRY).parquet(f"{path}/batch_id={last}")

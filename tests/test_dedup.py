@@ -75,25 +75,24 @@ def test_signature_equals_brute_force(texts):
     assert got == {i: signature(t, 128) for i, t in rows}
 
 
-@pytest.mark.parametrize("hot_rows", [2, 1_000_000])
-def test_groups_equal_brute_force(texts, hot_rows):
+def test_groups_equal_brute_force(texts):
     rows, df = texts
     distinct = D.distinct_texts(df, "doc_id")
-    got = dict(tuple(r) for r in D.near_groups(distinct, "doc_id", hot_rows).collect())
+    got = dict(tuple(r) for r in D.near_groups(distinct, "doc_id").collect())
     assert got == brute_groups(rows)
 
 
 def test_representatives_and_counts(texts):
     rows, df = texts
     distinct = D.distinct_texts(df, "doc_id").persist()
-    near = D.near_table(D.near_groups(distinct, "doc_id"), distinct, "doc_id", hot_rows=2).persist()
+    near = D.near_table(D.near_groups(distinct, "doc_id"), distinct, "doc_id").persist()
     groups, items = brute_groups(rows), firsts(rows)
     for r in near.collect():
         members = [i for i, g in groups.items() if g == groups[r["doc_id"]]]
         best = min(members, key=lambda i: (-len(items[i]), i))
         assert (r["group_id"], r["representative"], r["n_members"]) == (min(members), best, len(members))
     index = D.exact_index(df, "doc_id")
-    labels = {r[0]: r[1] for r in D.mirror_labels(index, near, "doc_id", hot_rows=5).collect()}
+    labels = {r[0]: r[1] for r in D.mirror_labels(index, near, "doc_id").collect()}
     assert set(labels) == {i for i, t in rows if t != ""}
     assert all((labels[i] == "exact mirror") == (i not in items) for i in labels)
     counts = {r[0]: r[1] for r in D.dedup_counts_new(D.mirror_labels(index, near, "doc_id")).collect()}
@@ -109,7 +108,7 @@ def test_jaccard_to_representative(texts):
     distinct = D.distinct_texts(df, "doc_id")
     near = D.near_table(D.near_groups(distinct, "doc_id"), distinct, "doc_id")
     items = firsts(rows)
-    got = D.jaccard_to_representative(near, distinct, "doc_id", hot_rows=2).collect()
+    got = D.jaccard_to_representative(near, distinct, "doc_id").collect()
     assert got
     for r in got:
         a, b = set(items[r["doc_id"]].split()), set(items[r["representative"]].split())
@@ -127,8 +126,7 @@ def test_recall_of_similar_texts(texts):
                 assert groups[i] == groups[j]
 
 
-@pytest.mark.parametrize("hot_rows", [3, 1_000_000])
-def test_components(spark, hot_rows):
+def test_components(spark):
     rng = random.Random(11)
     # a long path, a star whose centre is its largest node, and random small pieces
     edges = [(i, i + 1) for i in range(60)] + [(500, i) for i in range(200, 260)]
@@ -145,7 +143,7 @@ def test_components(spark, hot_rows):
         x, y = find(a), find(b)
         parent[max(x, y)] = min(x, y)
     df = spark.createDataFrame(edges, "u bigint, v bigint")
-    got = dict(tuple(r) for r in connected_components(df, hot_rows).collect())
+    got = dict(tuple(r) for r in connected_components(df).collect())
     assert got == {n: find(n) for n in list(parent)}
 
 
@@ -169,3 +167,9 @@ def test_no_duplicates_and_no_texts(spark):
     assert sorted(tuple(r) for r in D.near_groups(texts, "doc_id").collect()) == [(1, 1), (2, 2)]
     assert D.near_groups(texts.where("doc_id > 5"), "doc_id").collect() == []
     assert connected_components(spark.createDataFrame([(1, 1)], "u bigint, v bigint")).collect() == []
+
+
+def test_distinct_texts_of_a_repeated_id(spark):
+    rows = [("a", "t one"), ("a", "t two"), ("b", "t one"), ("a", "t one")]
+    got = D.distinct_texts(spark.createDataFrame(rows, "doc_id string, text string"), "doc_id").collect()
+    assert sorted((r["doc_id"], r["text"], r["n_copies"]) for r in got) == [("a", "t one", 3), ("a", "t two", 1)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from duskwatch import schemas
 from duskwatch.constants import SOURCES
 from duskwatch.operators import registry as R
-from duskwatch.operators.skew import join_hot_split
+from duskwatch.operators.skew import join_counted
 
 
 def registry_rows(rng, n):
@@ -82,10 +82,9 @@ def test_upsert_twice_changes_nothing_but_failed_downloads(data):
     assert collected(R.upsert_sightings(once, data["s"], data["f"])) == collected(once)
 
 
-@pytest.mark.parametrize("hot_rows", [5, 1_000_000])
-def test_decision_log_equals_loop(data, hot_rows):
+def test_decision_log_equals_loop(data):
     _, wanted = loop_upsert(data)
-    got = R.decision_log(data["registry"], data["s"], data["f"], hot_rows).orderBy("offset").collect()
+    got = R.decision_log(data["registry"], data["s"], data["f"]).orderBy("offset").collect()
     assert [tuple(r) for r in got] == wanted
 
 
@@ -131,16 +130,14 @@ def test_first_identification_only_on_existing_rows(data):
 
 
 def test_lookup_keeps_every_sighting(data):
-    for hot_rows in (5, 1_000_000):
-        rows = R.lookup_registry(data["s"], data["registry"], hot_rows)
-        known = {r["onion"]: r["downloaded"] for r in data["rows"]}
-        got = rows.collect()
-        assert len(got) == len(data["sightings"])
-        assert all(r["downloaded"] == known.get(r["onion"]) for r in got)
+    rows = R.lookup_registry(data["s"], data["registry"])
+    known = {r["onion"]: r["downloaded"] for r in data["rows"]}
+    got = rows.collect()
+    assert len(got) == len(data["sightings"])
+    assert all(r["downloaded"] == known.get(r["onion"]) for r in got)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 3, 1_000_000])
-def test_duplicate_objects(spark, hot_rows):
+def test_duplicate_objects(spark):
     objects = spark.sql("""select 'o' || (id % 7 % 3) as onion, date_add(date'2022-11-01', cast(id % 5 as int)) as dt,
         'p' || lpad(id, 3, '0') as object_name from range(40)""")
     rows = [tuple(r) for r in objects.collect()]
@@ -148,7 +145,7 @@ def test_duplicate_objects(spark, hot_rows):
     for onion, dt, name in sorted(rows, key=lambda r: (r[1], r[2])):
         firsts.setdefault(onion, name)
     wanted = sorted((o, firsts[o], n) for o, _, n in rows if n != firsts[o])
-    assert sorted(tuple(r) for r in R.duplicate_objects(objects, hot_rows).collect()) == wanted
+    assert sorted(tuple(r) for r in R.duplicate_objects(objects).collect()) == wanted
 
 
 def test_backfills(data, spark):
@@ -169,10 +166,10 @@ def test_backfills(data, spark):
     assert not any(added["new"][s] for s in SOURCES)
 
 
-def test_join_hot_split_broadcasts_only_hot_keys(spark):
+def test_join_counted_broadcasts_nothing(spark):
     rows = spark.range(1000).selectExpr("case when id < 400 then 0 else id end as k", "id")
     keyed = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("low"))
-    for hot_rows in (10, 10_000):
-        got = join_hot_split(rows, keyed, "k", "n", hot_rows)
-        assert got.count() == 1000
-        assert got.where("k = 0").agg(F.max("low")).first()[0] == 0
+    got = join_counted(rows, keyed, "k")
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().sparkPlan().toString()
+    assert got.count() == 1000 and got.where("k = 0").agg(F.max("low")).first()[0] == 0
+

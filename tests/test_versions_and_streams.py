@@ -3,6 +3,7 @@
 import json
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from duskwatch import schemas
@@ -146,3 +147,20 @@ def test_language_accuracy(spark):
     row = top.agg(F.avg((F.col("first_language") == F.col("truth")).cast("double")).alias("accuracy"),
                   F.count_if(F.col("first_confidence") < F.col("second_confidence")).alias("wrong_order")).first()
     assert row["accuracy"] > 0.9 and row["wrong_order"] == 0
+
+
+def test_unreadable_store_is_not_an_empty_one(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    store = VersionStore(spark, str(tmp_path))
+    assert store.read_all("absent") is None
+    (tmp_path / "broken" / "version_date=2022-12-01").mkdir(parents=True)
+    with pytest.raises(AnalysisException):
+        store.read_all("broken")
+
+
+def test_stats_keep_fractions(spark):
+    from duskwatch.sources.versions import stats_lines
+
+    counts = spark.createDataFrame([("all", 3.0), ("share", 66.67)], "metric string, value double")
+    assert sorted(r[0] for r in stats_lines(counts).collect()) == ["all: 3", "share: 66.67"]
