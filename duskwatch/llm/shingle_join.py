@@ -306,6 +306,25 @@ def _compared(rows: DataFrame, members: bool) -> DataFrame:
     return map_batches(rows, run, "c long" if members else "a long, b long").distinct()
 
 
+def _close(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` whose sizes and sketches allow a link; whole sets are moved for these only."""
+    short = sets.select("c", "n", "sketch")
+    both = pairs.join(short.toDF("a", "na", "sa"), "a").join(short.toDF("b", "nb", "sb"), "b").where(
+        "5 * least(na, nb) >= 4 * greatest(na, nb)")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for x, y, total in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist(), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+                width = min(len(x), len(y))
+                near.append(9 * int(np.bitwise_count(folded(x, width) ^ folded(y, width)).sum()) <= total)
+            near = pa.array(near, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], ["a", "b"])
+
+    return map_batches(both.selectExpr("a", "b", "sa", "sb", "na + nb as total"), run, "a long, b long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs of classes with a similarity of at least 4/5, on whole sets."""
     whole = sets.select("c", "items")
@@ -342,7 +361,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # First every class with the least class of each of its parts: links in proportion to the rows.
     least = parts.groupBy("key").agg(F.min("c").alias("b"))
     tried = stage(parts.join(least, "key").where("c <> b").select(F.col("c").alias("a"), "b").distinct(), "first_pairs")
-    links = stage(_verified(tried, sets), "first_links")
+    links = stage(_verified(stage(_close(tried, sets), "first_close"), sets), "first_links")
     # Then classes of one part that no link connects yet.
     component = stage(connected_components(links), "first_components")
     placed = parts.join(component, F.col("c") == F.col("node"), "left").select(
