@@ -34,7 +34,7 @@ SLACK = 32
 #: Members of a part that are compared side by side.
 BLOCK = 1024
 #: Shingles that are handled side by side.
-RUN = 2 << 20
+RUN = 1 << 19
 
 
 def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
