@@ -3,12 +3,12 @@
 A line's set holds its distinct lower-cased (A-Z) words. Its words are ordered by rarity: by how
 often words of their bucket (``BUCKETS`` hash buckets, a bounded table that covers all lines)
 occur, then by hash. Two sets with Jaccard similarity 4/5 or more share one of their first
-``n - ceil(4n/5) + 1`` words (prefix filter), at places that leave enough common words (positional
-filter), and their sizes differ by a quarter at most (length filter); two parity sketches of 64
-bits per set, compared in the join, bound the difference from below. Pairs that pass are verified on
-their whole sets, as 64-bit hashes of the words. A line goes if a similar or equal line stands
-earlier, in another document or its own. Equal sets are told by 128 bits over their hashes. Lines
-without words stay.
+``n - ceil(4n/5) + 1`` words (prefix filter), the smaller one within its first ``n - ceil(8n/9) + 1``,
+at places that leave enough common words (positional filter), and their sizes differ by a quarter at
+most (length filter); a parity sketch of 128 bits per set, compared in the join, bounds the difference
+from below. Pairs that pass are verified on their whole sets, as 64-bit hashes of the words. A line
+goes if a similar or equal line stands earlier, in another document or its own. Equal sets are told
+by 128 bits over their hashes. Lines without words stay.
 """
 
 import math
@@ -18,14 +18,26 @@ from pyspark.sql import functions as F
 
 from duskwatch.llm.scratch import discard, stage
 
-BUCKETS = 1 << 13
+BUCKETS = 1 << 17
 #: Rarest words of a line by which it first meets one earlier line each.
 ANCHORS = 2
 
 
 def _plain_words(line: Column) -> Column:
-    plain = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz    ")
-    return F.split(plain, " ")
+    """Runs without ASCII white space, A-Z in lower case; empty ones between them."""
+    spaces = "\t\x0b\x0c\r"
+    found = F.contains(line, F.lit(spaces[0]))
+    for c in spaces[1:]:
+        found = found | F.contains(line, F.lit(c))
+    line = F.when(found, F.translate(line, spaces, "    ")).otherwise(line)
+    # ``lower`` is the faster one, and right for ASCII only.
+    upper, small = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    lowered = F.transform(F.split(line, " "), lambda w: F.when(_ascii(w), F.lower(w)).otherwise(F.translate(w, upper, small)))
+    return F.when(_ascii(line), F.split(F.lower(line), " ")).otherwise(lowered)
+
+
+def _ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
 
 
 def _hashes(line: Column) -> Column:
@@ -57,10 +69,14 @@ def _by_rarity(hashes: Column, classes: list[int]) -> Column:
         F.shiftrightunsigned(h, 24))))
 
 
-def _parity(hashes: Column, shift: int) -> Column:
-    """64 bits of which every word flips one: sets differ in as many words at least as sketches in bits."""
+def _parity(hashes: Column, half: int) -> Column:
+    """Half of 128 bits of which every word flips one: sets differ in as many words at least as sketches in bits."""
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    bit = lambda h: F.call_function("shiftleft", one, F.shiftrightunsigned(h, shift).bitwiseAND(63).cast("int"))
+
+    def bit(h: Column) -> Column:
+        flipped = F.call_function("shiftleft", one, F.shiftrightunsigned(h, 58).cast("int"))
+        return F.when(F.shiftrightunsigned(h, 57).bitwiseAND(1) == half, flipped).otherwise(zero)
+
     return F.aggregate(hashes, zero, lambda bits, h: bits.bitwiseXOR(bit(h)))
 
 
@@ -75,75 +91,80 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     h = F.col("h")
     sets = lines.select("doc_id", "line_no", _hashes(F.col("line")).alias("h")).select(
         "doc_id", "line_no", F.xxhash64("h").alias("set"), F.xxhash64(F.lit(1), "h").alias("set2"), F.size("h").alias("n"),
-        F.slice(_by_rarity(h, classes), 1, _prefix_length(F.size("h"))).alias("prefix"), _parity(h, 58).alias("bits"), _parity(h, 32).alias("bits2"))
+        F.slice(_by_rarity(h, classes), 1, _prefix_length(F.size("h"))).alias("prefix"), _parity(h, 0).alias("bits"), _parity(h, 1).alias("bits2"))
     sets = stage(sets.where("n > 0"), "line_sets")
-    # Equal sets: all lines but the first. Later steps see one line per set, named by its place.
+    # Equal sets: all lines but the first. Later steps see one line per set, named by a number.
     first = stage(sets.groupBy("set", "set2").agg(
         F.min(F.struct("doc_id", "line_no", "n", "prefix", "bits", "bits2")).alias("f"), F.count("*").alias("lines")).select(
-        "set", "set2", "f.*", "lines"), "first_lines")
+        F.monotonically_increasing_id().alias("id"), "set", "set2", "f.*", "lines"), "first_lines")
     repeated = first.where("lines > 1").select("set", "set2", F.col("doc_id").alias("first_id"), F.col("line_no").alias("first_no"))
     later = stage(sets.select("set", "set2", "doc_id", "line_no").join(repeated, ["set", "set2"]).where(
         "not (doc_id <=> first_id and line_no = first_no)").select("doc_id", "line_no"), "repeated_lines")
     discard(sets)
     # Sets of up to 3 words are similar only to themselves. First each line meets the earliest line
     # with one of its rarest words: work in proportion to the lines, and enough for most copies.
-    entries = first.where("n > 3").select("doc_id", "line_no", "n", "bits", "bits2", F.posexplode("prefix").alias("pos", "token"))
-    rarest = entries.where(F.col("pos") < ANCHORS)
-    earliest = rarest.groupBy("token").agg(F.min(F.struct("doc_id", "line_no", "n", "pos", "bits", "bits2")).alias("e"))
-    near = stage(_similar(_pairs(rarest, earliest.select("token", "e.*")), docs, first), "near_lines")
-    # Lines that no such line explains, marked by a negative size, are compared with all earlier
-    # lines of their prefix. Both sides of the join are the same rows, so they are shuffled once.
-    done = near.withColumn("done", F.lit(True))
-    marked = first.where("n > 3").join(done, _same("doc_id", "line_no", first, done), "left").select(
-        first["doc_id"], first["line_no"], F.when(F.col("done").isNull(), -first["n"]).otherwise(first["n"]).alias("n"),
-        first["bits"], first["bits2"], first["prefix"])
-    marked = stage(marked, "open_lines")
-    entries = marked.select("doc_id", "line_no", "n", "bits", "bits2", F.posexplode("prefix").alias("pos", "token"))
-    more = stage(_similar(_pairs(entries, entries, F.col("n") < 0), docs, first), "more_lines")
-    discard(first, marked)
-    return later.union(near).union(more)
-
-
-def _same(a: str, b: str, left: DataFrame, right: DataFrame) -> Column:
-    return left[a].eqNullSafe(right[a]) & (left[b] == right[b])
-
-
-def _pairs(entries: DataFrame, earlier: DataFrame, chosen: Column | None = None) -> DataFrame:
-    """Places ``(doc_id, line_no, doc_id2, line_no2)`` of a line and an earlier one that pass the filters."""
-    earlier = earlier.select("token", *(F.col(c).alias(f"{c}_") for c in ("doc_id", "line_no", "n", "pos", "bits", "bits2")))
-    before = F.struct("doc_id_", "line_no_") < F.struct("doc_id", "line_no")
-    n, n2 = F.abs("n"), F.abs("n_")
-    common = F.ceil(4 * (n + n2) / 9)  # of two sets with similarity 4/5
-    left = F.least(n - F.col("pos"), n2 - F.col("pos_"))  # from the first common word on
-    apart = F.greatest(*(F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_"))) for c in ("bits", "bits2")))
-    passed = before & (5 * n2 >= 4 * n) & (5 * n >= 4 * n2) & (left >= common) & (apart <= n + n2 - 2 * common)
-    if chosen is not None:
-        passed = chosen & passed
-    return entries.join(earlier, "token").where(passed).select(
-        "doc_id", "line_no", F.col("doc_id_").alias("doc_id2"), F.col("line_no_").alias("line_no2")).distinct()
+    long = first.where("n > 3")
+    rarest = long.select("id", "doc_id", "line_no", "n", "bits", "bits2", F.posexplode(F.slice("prefix", 1, ANCHORS)).alias("pos", "token"))
+    earliest = rarest.groupBy("token").agg(F.min(F.struct("doc_id", "line_no", "id", "n", "pos", "bits", "bits2")).alias("e"))
+    rarest, earliest = (x.select("token", *_entry(c)) for x, c in ((rarest, ""), (earliest, "e.")))
+    near = stage(_similar(_pairs(rarest, earliest, either=True), docs, first), "near_lines")
+    # Of the other pairs only those matter whose later line is not explained by then. A larger line
+    # looks for smaller ones: an open line for all, an explained line for open ones.
+    marked = long.join(near.select(F.col("id").alias("near_id")), F.col("id") == F.col("near_id"), "left")
+    marked = stage(marked.select("id", "n", "bits", "bits2", "prefix", F.col("near_id").isNull().alias("open")), "open_lines")
+    larger = marked.select("open", "id", "n", "bits", "bits2", F.posexplode("prefix").alias("pos", "token"))
+    fewer = F.slice("prefix", 1, F.col("n") - F.ceil(8 * F.col("n") / 9).cast("int") + 1)
+    smaller = marked.select("open", "id", "n", "bits", "bits2", F.posexplode(fewer).alias("pos", "token"))
+    found = stage(_pairs(larger.where("open").select("token", *_entry("")), smaller.select("token", *_entry(""))), "pairs_of_open")
+    rest = stage(_pairs(larger.where("not open").select("token", *_entry("")), smaller.where("open").select("token", *_entry(""))), "pairs_of_rest")
+    discard(marked)
+    more = stage(_similar(found.union(rest), docs, first), "more_lines")
+    discard(first, found, rest)
+    return later.union(near.select("doc_id", "line_no")).union(more.select("doc_id", "line_no"))
+
+
+def _entry(prefix: str) -> list[Column]:
+    """What the join compares: a line's number, its size and the word's place in one number, its sketch."""
+    size = F.shiftleft(F.col(f"{prefix}n").cast("long"), 32).bitwiseOR(F.col(f"{prefix}pos").cast("long")).alias("size")
+    return [F.col(f"{prefix}id").alias("id"), size, F.col(f"{prefix}bits").alias("bits"), F.col(f"{prefix}bits2").alias("bits2")]
+
+
+def _pairs(entries: DataFrame, others: DataFrame, either: bool = False) -> DataFrame:
+    """Numbers ``(id, id2)`` of two lines that pass the filters; the second is not larger, unless ``either``."""
+    others = others.select("token", *(F.col(c).alias(f"{c}_") for c in ("id", "size", "bits", "bits2")))
+    n, n2 = F.shiftright("size", 32), F.shiftright("size_", 32)
+    pos, pos2 = (F.col(c).bitwiseAND((1 << 32) - 1) for c in ("size", "size_"))
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_"))) for c in ("bits", "bits2")), F.lit(0))
+    # Two sets with similarity 4/5 have at least 4/9 of their sizes' sum in common.
+    passed = (9 * apart <= n + n2) & (5 * n2 >= 4 * n) & (5 * n >= 4 * n2)
+    passed = passed & (9 * F.least(n - pos, n2 - pos2) >= 4 * (n + n2))
+    passed = passed & (F.col("id") != F.col("id_")) & (F.lit(True) if either else n2 <= n)
+    return entries.hint("merge").join(others, "token").where(passed).select("id", F.col("id_").alias("id2")).distinct()
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> DataFrame:
-    """Places of the lines whose whole word set has Jaccard similarity 4/5 or more with the earlier line's."""
+    """``(id, doc_id, line_no)`` of the later lines of pairs whose whole word sets have Jaccard similarity 4/5 or more."""
     pairs = stage(pairs, "line_pairs")
-    wanted = pairs.select("doc_id", "line_no").union(pairs.select("doc_id2", "line_no2")).distinct()
-    wanted = stage(first.join(wanted, _same("doc_id", "line_no", first, wanted), "left_semi").select(
-        "doc_id", "line_no", "set", "set2"), "wanted_lines")
+    wanted = pairs.select("id").union(pairs.select("id2")).distinct()
+    wanted = stage(first.select("id", "doc_id", "line_no", "set", "set2").join(wanted, "id", "left_semi"), "wanted_lines")
     # One text per wanted document, and of it only the wanted lines.
-    places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "set", "set2")).alias("places")).withColumnRenamed("doc_id", "id")
-    texts = docs.join(places, docs["doc_id"].eqNullSafe(places["id"])).select("doc_id", F.split("text", "\n", -1).alias("all"), "places")
+    places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("id", "line_no", "set", "set2")).alias("places")).withColumnRenamed("doc_id", "_id")
+    texts = docs.join(places, docs["doc_id"].eqNullSafe(places["_id"])).select("doc_id", F.split("text", "\n", -1).alias("all"), "places")
     found = texts.select("doc_id", F.inline(F.transform("places", lambda p: F.struct(
-        p["line_no"].alias("line_no"), p["set"].alias("set"), p["set2"].alias("set2"), F.get("all", p["line_no"]).alias("line")))))
-    found = found.select("doc_id", "line_no", "set", "set2", _hashes(F.col("line")).alias("words"))
+        p["id"].alias("id"), p["line_no"].alias("line_no"), p["set"].alias("set"), p["set2"].alias("set2"), F.get("all", p["line_no"]).alias("line")))))
+    found = found.select("id", "doc_id", "line_no", "set", "set2", _hashes(F.col("line")).alias("words"))
     # A repeated id may hold other texts: keep the line that the set's name was made of.
     found = found.where((F.xxhash64("words") == F.col("set")) & (F.xxhash64(F.lit(1), "words") == F.col("set2")))
-    found = stage(found.dropDuplicates(["doc_id", "line_no"]).select("doc_id", "line_no", "words"), "line_words")
-    a, b = found.alias("a"), found.alias("b")
-    both = pairs.alias("p").join(a, F.expr("p.doc_id <=> a.doc_id and p.line_no = a.line_no")).join(
-        b, F.expr("p.doc_id2 <=> b.doc_id and p.line_no2 = b.line_no"))
+    found = stage(found.dropDuplicates(["id"]).select("id", "doc_id", "line_no", "words"), "line_words")
+    a, b = found.alias("a"), found.withColumnRenamed("id", "id2").alias("b")
+    both = pairs.join(a, "id").join(b, "id2")
     common = F.size(F.array_intersect("a.words", "b.words"))
-    return both.where(100 * common >= 80 * (F.size("a.words") + F.size("b.words") - common)).select(
-        "p.doc_id", "p.line_no").distinct()
+    similar = both.where(100 * common >= 80 * (F.size("a.words") + F.size("b.words") - common))
+    places = [F.struct(F.col(f"{x}.doc_id").alias("doc_id"), F.col(f"{x}.line_no").alias("line_no"), F.col(i).alias("id"))
+              for x, i in (("a", "id"), ("b", "id2"))]
+    # Null ids come first, as in the order of structs.
+    last = similar.select(F.when(places[0] < places[1], places[1]).otherwise(places[0]).alias("last"))
+    return last.select("last.id", "last.doc_id", "last.line_no").distinct()
 
 
 def without_lines(docs: DataFrame, gone: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
