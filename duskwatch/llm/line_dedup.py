@@ -12,6 +12,7 @@ by 128 bits over their hashes. Lines without words stay.
 """
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,13 +72,12 @@ def _by_rarity(hashes: Column, classes: list[int]) -> Column:
 
 def _parity(hashes: Column, half: int) -> Column:
     """Half of 128 bits of which every word flips one: sets differ in as many words at least as sketches in bits."""
-    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-
     def bit(h: Column) -> Column:
-        flipped = F.call_function("shiftleft", one, F.shiftrightunsigned(h, 58).cast("int"))
-        return F.when(F.shiftrightunsigned(h, 57).bitwiseAND(1) == half, flipped).otherwise(zero)
+        mine = F.shiftrightunsigned(h, 57).bitwiseAND(1)
+        mine = mine if half else mine.bitwiseXOR(F.lit(1).cast("long"))
+        return F.call_function("shiftleft", mine, F.shiftrightunsigned(h, 58).cast("int"))
 
-    return F.aggregate(hashes, zero, lambda bits, h: bits.bitwiseXOR(bit(h)))
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(bit(h)))
 
 
 def _prefix_length(n: Column) -> Column:
@@ -100,6 +100,7 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     repeated = first.where("lines > 1").select("set", "set2", F.col("doc_id").alias("first_id"), F.col("line_no").alias("first_no"))
     later = stage(sets.select("set", "set2", "doc_id", "line_no").join(repeated, ["set", "set2"]).where(
         "not (doc_id <=> first_id and line_no = first_no)").select("doc_id", "line_no"), "repeated_lines")
+    places = stage(first.select("id", "doc_id", "line_no", "set", "set2"), "line_places")
     discard(sets)
     # Sets of up to 3 words are similar only to themselves. First each line meets the earliest line
     # with one of its rarest words: work in proportion to the lines, and enough for most copies.
@@ -107,19 +108,23 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     rarest = long.select("id", "doc_id", "line_no", "n", "bits", "bits2", F.posexplode(F.slice("prefix", 1, ANCHORS)).alias("pos", "token"))
     earliest = rarest.groupBy("token").agg(F.min(F.struct("doc_id", "line_no", "id", "n", "pos", "bits", "bits2")).alias("e"))
     rarest, earliest = (x.select("token", *_entry(c)) for x, c in ((rarest, ""), (earliest, "e.")))
-    near = stage(_similar(_pairs(rarest, earliest, either=True), docs, first), "near_lines")
+    near = stage(_similar(_pairs(rarest, earliest, either=True), docs, places), "near_lines")
     # Of the other pairs only those matter whose later line is not explained by then. A larger line
     # looks for smaller ones: an open line for all, an explained line for open ones.
     marked = long.join(near.select(F.col("id").alias("near_id")), F.col("id") == F.col("near_id"), "left")
     marked = stage(marked.select("id", "n", "bits", "bits2", "prefix", F.col("near_id").isNull().alias("open")), "open_lines")
+    discard(first)
     larger = marked.select("open", "id", "n", "bits", "bits2", F.posexplode("prefix").alias("pos", "token"))
     fewer = F.slice("prefix", 1, F.col("n") - F.ceil(8 * F.col("n") / 9).cast("int") + 1)
     smaller = marked.select("open", "id", "n", "bits", "bits2", F.posexplode(fewer).alias("pos", "token"))
-    found = stage(_pairs(larger.where("open").select("token", *_entry("")), smaller.select("token", *_entry(""))), "pairs_of_open")
-    rest = stage(_pairs(larger.where("not open").select("token", *_entry("")), smaller.where("open").select("token", *_entry(""))), "pairs_of_rest")
+    # Words of even and of odd number in runs of their own, so that half as much is shuffled at once.
+    odd = F.col("token").bitwiseAND(1) == 1
+    sides = [(larger.where("open").where(~odd), smaller.where(~odd)), (larger.where("not open"), smaller.where("open")),
+             (larger.where("open").where(odd), smaller.where(odd))]
+    runs = [stage(_pairs(*(x.select("token", *_entry("")) for x in side)), "pairs_of_run") for side in sides]
     discard(marked)
-    more = stage(_similar(found.union(rest), docs, first), "more_lines")
-    discard(first, found, rest)
+    more = stage(_similar(reduce(DataFrame.union, runs).distinct(), docs, places), "more_lines")
+    discard(places, *runs)
     return later.union(near.select("doc_id", "line_no")).union(more.select("doc_id", "line_no"))
 
 
@@ -142,14 +147,14 @@ def _pairs(entries: DataFrame, others: DataFrame, either: bool = False) -> DataF
     return entries.hint("merge").join(others, "token").where(passed).select("id", F.col("id_").alias("id2")).distinct()
 
 
-def _similar(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> DataFrame:
+def _similar(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
     """``(id, doc_id, line_no)`` of the later lines of pairs whose whole word sets have Jaccard similarity 4/5 or more."""
     pairs = stage(pairs, "line_pairs")
     wanted = pairs.select("id").union(pairs.select("id2")).distinct()
-    wanted = stage(first.select("id", "doc_id", "line_no", "set", "set2").join(wanted, "id", "left_semi"), "wanted_lines")
+    wanted = stage(places.join(wanted, "id", "left_semi"), "wanted_lines")
     # One text per wanted document, and of it only the wanted lines.
-    places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("id", "line_no", "set", "set2")).alias("places")).withColumnRenamed("doc_id", "_id")
-    texts = docs.join(places, docs["doc_id"].eqNullSafe(places["_id"])).select("doc_id", F.split("text", "\n", -1).alias("all"), "places")
+    own = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("id", "line_no", "set", "set2")).alias("places")).withColumnRenamed("doc_id", "_id")
+    texts = docs.join(own, docs["doc_id"].eqNullSafe(own["_id"])).select("doc_id", F.split("text", "\n", -1).alias("all"), "places")
     found = texts.select("doc_id", F.inline(F.transform("places", lambda p: F.struct(
         p["id"].alias("id"), p["line_no"].alias("line_no"), p["set"].alias("set"), p["set2"].alias("set2"), F.get("all", p["line_no"]).alias("line")))))
     found = found.select("id", "doc_id", "line_no", "set", "set2", _hashes(F.col("line")).alias("words"))
@@ -160,10 +165,10 @@ def _similar(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> DataFrame:
     both = pairs.join(a, "id").join(b, "id2")
     common = F.size(F.array_intersect("a.words", "b.words"))
     similar = both.where(100 * common >= 80 * (F.size("a.words") + F.size("b.words") - common))
-    places = [F.struct(F.col(f"{x}.doc_id").alias("doc_id"), F.col(f"{x}.line_no").alias("line_no"), F.col(i).alias("id"))
-              for x, i in (("a", "id"), ("b", "id2"))]
+    ends = [F.struct(F.col(f"{x}.doc_id").alias("doc_id"), F.col(f"{x}.line_no").alias("line_no"), F.col(i).alias("id"))
+            for x, i in (("a", "id"), ("b", "id2"))]
     # Null ids come first, as in the order of structs.
-    last = similar.select(F.when(places[0] < places[1], places[1]).otherwise(places[0]).alias("last"))
+    last = similar.select(F.when(ends[0] < ends[1], ends[1]).otherwise(ends[0]).alias("last"))
     return last.select("last.id", "last.doc_id", "last.line_no").distinct()
 
 
