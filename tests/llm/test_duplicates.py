@@ -148,3 +148,17 @@ def test_vectors(spark):
     assert all(got[i]["kept"] == (got[i]["component_id"] == i) for i in least)
     assert got[None]["n_links"] == 0 and got[501]["n_links"] == 0
     assert embedding_dedup.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_vectors_of_dense_groups_that_are_linked(spark):
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(32)
+    rows = []
+    for _ in range(20):  # every list of ten is full of the own group
+        own = centre + rng.standard_normal(32) * 0.1
+        rows += [(own + rng.standard_normal(32) * 0.001).tolist() for _ in range(30)]
+    x = np.array(rows) / np.linalg.norm(rows, axis=1)[:, None]
+    assert (x @ x.T).min() > 0.94
+    table = spark.createDataFrame([(i, v, 0) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+    got = embedding_dedup.near_duplicates(table).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(599, 0)}
