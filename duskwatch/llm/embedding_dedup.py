@@ -2,11 +2,12 @@
 
 Equal vectors are one node. A neighbour graph starts from runs of vectors that random hyperplanes
 put next to each other, and is refined round by round: the neighbours of a node, and those that
-have it as neighbour, are compared with each other, until a round brings no new link.
+have it as neighbour, are compared with each other, until a round brings no new link. The number of
+runs grows with the table, so that a pair at the threshold meets in one however rare links are.
 A node whose whole list lies above the threshold is saturated. Such nodes also keep a list of nodes
 of other components, refined alike, until no more components join; within a component their links
 are counted block by block. An audit holds all links of some nodes, found among all vectors,
-against the result; a poor one adds runs of other hyperplanes.
+against the result; a poor one adds runs of other hyperplanes, and the last poor one raises.
 """
 
 import hashlib
@@ -26,8 +27,12 @@ NEIGHBOURS = 10
 TREES, BITS, RUN = 4, 16, 64
 #: Sets of hyperplanes whose runs are shuffled at once.
 AT_ONCE = 2
+#: Share of pairs at the threshold that may fail to meet in a run.
+MISSED = 0.01
 #: Nodes of a cell of the audit, and cells that are looked up among all vectors at once.
 AUDITED, CELLS = 256, 16
+#: Links the audit must have seen, if the table has as many.
+AUDIT_LINKS = 200
 AUDITS = 6
 RECALL = 0.98
 #: Members of a component that are compared side by side.
@@ -66,9 +71,13 @@ def _matrix(column: pa.Array, kind=np.float64) -> np.ndarray:
 def seed_work(size: int, threshold: float) -> tuple[int, int]:
     """Sets of hyperplanes, and planes of a set, by which nodes of so many vectors meet.
 
-    The same for every table.
+    A run holds nodes with about ``log2(size / RUN)`` equal signs. A plane parts two vectors with
+    probability angle / pi, so a pair at the threshold misses all runs with probability ``MISSED``.
     """
-    return TREES, BITS
+    equal = max(0.0, math.log2(max(size, 1) / RUN)) + 1
+    meet = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** equal
+    trees = math.ceil(math.log(MISSED) / math.log1p(-min(meet, 1 - MISSED)))
+    return max(TREES, trees), min(62, max(BITS, math.ceil(equal)))
 
 
 def _seeds(nodes: DataFrame, seed: int, size: int, threshold: float, apart: bool = False) -> DataFrame:
@@ -212,7 +221,7 @@ def _audit(nodes: DataFrame, size: int, placed: DataFrame, whole: DataFrame, lin
     """Share of all links of audited nodes that the result holds.
 
     A node in one of the components ``whole`` holds its links there, any other those in ``links``.
-    Nodes of one cell are audited.
+    Nodes are audited until they have ``AUDIT_LINKS`` links, or else all of them.
     """
     both = links.select("u", "v").union(links.select("v", "u")).toDF("id", "other")
     degree = both.groupBy("id").agg(F.count("*").alias("degree"))
@@ -222,7 +231,7 @@ def _audit(nodes: DataFrame, size: int, placed: DataFrame, whole: DataFrame, lin
         "id", "label", "vec", "component", F.pmod(F.xxhash64("id"), F.lit(cells)).alias("cell")), "audit")
     wanted = have = start = 0
     step = 1
-    while start < 1:
+    while start < cells and wanted < AUDIT_LINKS:
         sample = table.where((F.col("cell") >= start) & (F.col("cell") < start + step))
         true = _true_links(table, sample.drop("cell").collect(), threshold)
         for r in true.join(degree, "id", "left").select("n", F.when(
@@ -230,6 +239,7 @@ def _audit(nodes: DataFrame, size: int, placed: DataFrame, whole: DataFrame, lin
             wanted, have = wanted + r["n"], have + r["have"]
         start, step = start + step, min(2 * step, CELLS)
     discard(table)
+    # Without a link all nodes were looked up.
     return have / wanted if wanted else 1.0
 
 
@@ -388,6 +398,8 @@ def _found(nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
         share = _audit(nodes, size, placed, whole, links, threshold)
         if share >= RECALL:
             break
+    else:
+        raise RuntimeError(f"only {share:.4f} of the audited links were found, {RECALL} are wanted")
     members = nodes.join(placed, F.col("id") == F.col("node")).join(whole, "component", "left_semi").select("id", "copies", "component", "vec")
     both = links.select("u", "v").union(links.select("v", "u")).toDF("id", "other")
     few = both.join(nodes.select(F.col("id").alias("other"), "copies"), "other").groupBy("id").agg(F.sum("copies").alias("n"))
@@ -401,7 +413,7 @@ def near_duplicates(
     """``(vec_id, n_links, component_id, kept)``, one row per row of ``rows``.
 
     Vectors link when their labels are equal and not null and their cosine in double precision is
-    at least ``threshold``. A null, empty or zero vector, one with null or non-finite components,
+    at least ``threshold``. Links not known to be found at ``RECALL`` or more raise. A null, empty or zero vector, one with null or non-finite components,
     one with a null label or null id links with nothing; vectors of different lengths never link.
     Equal vectors always link. ``component_id`` is the least id reachable over found links; ties
     cannot occur. Repeated rows link as any equal vectors. Other columns are ignored.

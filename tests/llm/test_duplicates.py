@@ -162,3 +162,28 @@ def test_vectors_of_dense_groups_that_are_linked(spark):
     table = spark.createDataFrame([(i, v, 0) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")
     got = embedding_dedup.near_duplicates(table).collect()
     assert {(r["n_links"], r["component_id"]) for r in got} == {(599, 0)}
+
+
+def test_rare_links(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((20000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for i in range(60):
+        away = x[-1 - i] - (x[-1 - i] @ x[i]) * x[i]
+        x[-1 - i] = 0.94 * x[i] + np.sqrt(1 - 0.94 ** 2) * away / np.linalg.norm(away)
+    table = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    got = embedding_dedup.near_duplicates(table).where("n_links > 0").count()
+    assert got >= 0.98 * 120
+
+
+def test_a_poor_audit_raises(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "_audit", lambda *_: 0.5)
+    monkeypatch.setattr(embedding_dedup, "AUDITS", 1)
+    table = spark.createDataFrame([(i, [1.0, float(i)], 0) for i in range(9)], "vec_id long, embedding array<double>, label int")
+    with pytest.raises(RuntimeError, match="0.5"):
+        embedding_dedup.near_duplicates(table)
+
+
+def test_more_planes_for_larger_tables():
+    work = [embedding_dedup.seed_work(n, 0.93)[0] for n in (0, 1000, 200_000, 50_000_000)]
+    assert work == sorted(work) and work[0] >= 4 and work[2] > 12
