@@ -22,12 +22,14 @@ ROUNDS = 10
 
 #: A text without any of these characters holds no value.
 _ANY = re.compile(r"[0-9@=]").search
+#: Tokens of a match without a value.
+_TOKEN_END = re.compile(r"[ -]").search
 _VALUE = re.compile(
     r"(?P<email>(?<![\w.+-])[A-Za-z0-9](?:[A-Za-z0-9_.+-]{0,63})(?=@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b))"
     r"|(?P<key>\bAKIA[0-9A-Z]{16}\b)"
     r"|(?P<secret>(?<=password=)[^\s\"']{6,}|(?<=passwd=)[^\s\"']{6,}|(?<=api_key=)[^\s\"']{6,}|(?<=token = \")[^\s\"]{6,}(?=\")|(?<=token=)[^\s\"']{6,}|(?<=secret=)[^\s\"']{6,})"
     r"|(?P<iban>\b[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?\b)"
-    r"|(?P<phone>(?<![\w+])\+1[ .-]?(?:\([2-9][0-9]{2}\)|[2-9][0-9]{2})[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9]))"
+    r"|(?P<phone>(?<![\w+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9]))"
     r"|(?P<ip>(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\w|\.[0-9]))"
     r"|(?P<iso>(?<![\w-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![\w-]))"
     r"|(?P<dmy>(?<![\w./])[0-9]{2}(?P<sep>[./])[0-9]{2}(?P=sep)[0-9]{4}(?![\w/]|\.[0-9]))"
@@ -79,6 +81,13 @@ def _check_digit(digits: str) -> str:
     return str(-luhn(digits + "0") % 10)
 
 
+def _shorter(found: str, least: int, most: int) -> Iterator[str]:
+    """``found`` and its beginnings of ``least`` to ``most`` characters besides separators, the longest first."""
+    ends = [i + 1 for i, c in enumerate(found) if c not in " -"]
+    for n in range(min(most, len(ends)), least - 1, -1):
+        yield found[:ends[n - 1]]
+
+
 def _fill(shape: str, characters: str, keep: str = " -") -> str:
     """``characters`` in the places of ``shape`` that are not separators."""
     following = iter(characters)
@@ -130,8 +139,10 @@ def _iban(f: Feistel, found: str) -> str | None:
 
 
 def _phone(f: Feistel, found: str) -> str:
+    """Area code and exchange stay among those that begin with 0 or 1, or with 2 to 9."""
     digits = re.sub("[^0-9]", "", found)[1:]
-    number = f("phone", int(digits), 10 ** 10, lambda v: v >= 2 * 10 ** 9 and v // 10 ** 6 % 10 >= 2)
+    low = digits[0] < "2", digits[3] < "2"
+    number = f("phone", int(digits), 10 ** 10, lambda v: (v < 2 * 10 ** 9, v // 10 ** 6 % 10 < 2) == low)
     following = iter(f"{number:010d}")
     return "+1" + "".join(next(following) if c.isdigit() else c for c in found[2:])
 
@@ -192,6 +203,16 @@ def _dmy(f: Feistel, found: str) -> str | None:
     return f"{value.month:02d}{sep}{value.day:02d}{sep}{value.year:04d}"
 
 
+#: Lengths of values that are looked for within a longer match.
+_LENGTHS = {"iban": (15, 34), "card": (13, 19)}
+
+#: Lengths of the IBANs of a country.
+_COUNTRY = {c: n for n, names in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in names.split()}
+
 _KINDS: dict[str, Callable[[Feistel, str], str | None]] = {
     "email": lambda f, s: _characters(f, "email", s),
     "key": lambda f, s: "AKIA" + _characters(f, "key", s[4:]),
@@ -200,19 +221,44 @@ _KINDS: dict[str, Callable[[Feistel, str], str | None]] = {
 }
 
 
+def _replaced(kind: str, found: str, feistel: Feistel) -> tuple[str, str | None]:
+    """The longest valid value that begins a match and its pseudonym; a value ends where a word does.
+
+    An IBAN of its country's length comes before longer ones.
+    """
+    values = list(_shorter(found, *_LENGTHS[kind])) if kind in _LENGTHS else [found]
+    if kind == "iban":
+        values.sort(key=lambda v: len(v.replace(" ", "")) != _COUNTRY.get(v[:2]))
+    for value in values:
+        if found[len(value):len(value) + 1] in ("", " ", "-"):
+            new = _KINDS[kind](feistel, value)
+            if new is not None:
+                return value, new
+    return found, None
+
+
+def _next_token(m: re.Match) -> int:
+    """The start of the second token of a match without a value, or its end."""
+    token = _TOKEN_END(m.string, m.start(), m.end())
+    return token.end() if token else m.end()
+
+
 def pseudonymise(text: str | None, feistel: Feistel) -> tuple[str | None, list[dict]]:
     """The text with pseudonyms, and the kind and place of each replaced value in the given text."""
     if not text or not _ANY(text):
         return text, []
-    out, at, found = [], 0, []
-    for m in _VALUE.finditer(text):
+    out, at, found, place = [], 0, [], 0
+    while m := _VALUE.search(text, place):
         kind = m.lastgroup if m.lastgroup != "sep" else "dmy"
-        new = _KINDS[kind](feistel, m.group())
+        value, new = _replaced(kind, m.group(), feistel)
         if new is None:
+            # A value of another kind, or a later one, may begin within the match.
+            place = _next_token(m)
             continue
+        end = m.start() + len(value)
         out += [text[at:m.start()], new]
-        at = m.end()
-        found.append({"kind": {"iso": "date", "dmy": "date"}.get(kind, kind), "start": m.start(), "end": m.end()})
+        at = place = end
+        found.append({"kind": {"iso": "date", "dmy": "date"}.get(kind, kind), "start": m.start(), "end": end})
     return ("".join([*out, text[at:]]), found) if found else (text, [])
 
 

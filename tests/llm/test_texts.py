@@ -87,6 +87,26 @@ def test_pseudonyms():
     assert [v["kind"] for v in again] == [v["kind"] for v in found]  # still valid values
 
 
+def test_values_within_longer_matches():
+    f = pseudonyms.Feistel(b"key")
+    for text, values in (
+        ("to BE68 5390 0754 7034 AND then", ["BE68 5390 0754 7034"]), ("4111 1111 1111 1111 123", ["4111 1111 1111 1111"]),
+        ("AB13 BE68 5390 0754 7034", ["BE68 5390 0754 7034"]), ("no 17 4111 1111 1111 1111", ["4111 1111 1111 1111"]),
+        ("call +1 (017) 555-7713 or +1 (132) 555-1352", ["+1 (017) 555-7713", "+1 (132) 555-1352"])):
+        new, found = pseudonyms.pseudonymise(text, f)
+        assert [text[v["start"]:v["end"]] for v in found] == values
+        assert len(new) == len(text) and not any(v in new for v in values)
+        assert new.split()[0] == text.split()[0] or text.startswith("4111")
+    shapes = {}
+    for v in ("0171234567", "1320551352", "2125551352", "2120551352"):
+        new = "".join(c for c in pseudonyms.pseudonymise(f"+1{v}", f)[0] if c.isdigit())[1:]
+        shapes[v] = new
+        assert (new[0] < "2", new[3] < "2") == (v[0] < "2", v[3] < "2")
+    assert len(set(shapes.values())) == 4
+    for kept in ("4041894974608796", "BE68 5390 0754 7035 AND"):
+        assert pseudonyms.pseudonymise(kept, f) == (kept, [])
+
+
 def test_pseudonyms_of_a_table(spark):
     docs = spark.createDataFrame(
         [(1, "2024-01-02", "a"), (2, "x 2024-01-02", "b"), (None, None, "c"), (3, "", "d")], "doc_id long, text string, n_values string")
