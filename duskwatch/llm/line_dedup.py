@@ -9,6 +9,8 @@ most (length filter); a parity sketch of 128 bits per set, compared in the join,
 from below. Pairs that pass are verified on their whole sets, as 64-bit hashes of the words. A line
 goes if a similar or equal line stands earlier, in another document or its own. Equal sets are told
 by 128 bits over their hashes. Lines without words stay.
+
+A row is named by its id and a hash of its text, so texts of one id, or of none, are kept apart.
 """
 
 import math
@@ -47,9 +49,14 @@ def _hashes(line: Column) -> Column:
     return F.sort_array(F.array_distinct(F.array_remove(hashes, F.xxhash64(F.lit("")))))
 
 
+def _text_id(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(text)
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """``(doc_id, line_no, line)`` of all texts; a null id sorts first."""
-    return docs.where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    """``(doc_id, text_id, line_no, line)`` of all texts; a null id sorts first."""
+    return docs.where("text is not null").select("doc_id", _text_id(F.col("text")).alias("text_id"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
 
 
 def _rarity(lines: DataFrame) -> list[int]:
@@ -85,22 +92,22 @@ def _prefix_length(n: Column) -> Column:
 
 
 def duplicate_lines(docs: DataFrame) -> DataFrame:
-    """``(doc_id, line_no)`` of the lines that go, for ``docs(doc_id, text)``."""
+    """``(doc_id, text_id, line_no)`` of the lines that go, for ``docs(doc_id, text)``."""
     lines = _lines(docs)
     classes = _rarity(lines)
     h = F.col("h")
-    sets = lines.select("doc_id", "line_no", _hashes(F.col("line")).alias("h")).select(
-        "doc_id", "line_no", F.xxhash64("h").alias("set"), F.xxhash64(F.lit(1), "h").alias("set2"), F.size("h").alias("n"),
+    sets = lines.select("doc_id", "text_id", "line_no", _hashes(F.col("line")).alias("h")).select(
+        "doc_id", "text_id", "line_no", F.xxhash64("h").alias("set"), F.xxhash64(F.lit(1), "h").alias("set2"), F.size("h").alias("n"),
         F.slice(_by_rarity(h, classes), 1, _prefix_length(F.size("h"))).alias("prefix"), _parity(h, 0).alias("bits"), _parity(h, 1).alias("bits2"))
     sets = stage(sets.where("n > 0"), "line_sets")
     # Equal sets: all lines but the first. Later steps see one line per set, named by a number.
     first = stage(sets.groupBy("set", "set2").agg(
-        F.min(F.struct("doc_id", "line_no", "n", "prefix", "bits", "bits2")).alias("f"), F.count("*").alias("lines")).select(
+        F.min(F.struct("doc_id", "line_no", "text_id", "n", "prefix", "bits", "bits2")).alias("f"), F.count("*").alias("lines")).select(
         F.monotonically_increasing_id().alias("id"), "set", "set2", "f.*", "lines"), "first_lines")
-    repeated = first.where("lines > 1").select("set", "set2", F.col("doc_id").alias("first_id"), F.col("line_no").alias("first_no"))
-    later = stage(sets.select("set", "set2", "doc_id", "line_no").join(repeated, ["set", "set2"]).where(
-        "not (doc_id <=> first_id and line_no = first_no)").select("doc_id", "line_no"), "repeated_lines")
-    places = stage(first.select("id", "doc_id", "line_no", "set", "set2"), "line_places")
+    repeated = first.where("lines > 1").select("set", "set2", F.col("doc_id").alias("first_id"), F.col("text_id").alias("first_text"), F.col("line_no").alias("first_no"))
+    later = stage(sets.select("set", "set2", "doc_id", "text_id", "line_no").join(repeated, ["set", "set2"]).where(
+        "not (doc_id <=> first_id and text_id = first_text and line_no = first_no)").select("doc_id", "text_id", "line_no"), "repeated_lines")
+    places = stage(first.select("id", "doc_id", "text_id", "line_no", "set", "set2"), "line_places")
     discard(sets)
     # Sets of up to 3 words are similar only to themselves. First each line meets the earliest line
     # with one of its rarest words: work in proportion to the lines, and enough for most copies.
@@ -125,7 +132,7 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     discard(marked)
     more = stage(_similar(reduce(DataFrame.union, runs).distinct(), docs, places), "more_lines")
     discard(places, *runs)
-    return later.union(near.select("doc_id", "line_no")).union(more.select("doc_id", "line_no"))
+    return reduce(DataFrame.union, (x.select("doc_id", "text_id", "line_no") for x in (later, near, more)))
 
 
 def _entry(prefix: str) -> list[Column]:
@@ -148,36 +155,38 @@ def _pairs(entries: DataFrame, others: DataFrame, either: bool = False) -> DataF
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
-    """``(id, doc_id, line_no)`` of the later lines of pairs whose whole word sets have Jaccard similarity 4/5 or more."""
+    """``(id, doc_id, text_id, line_no)`` of the later lines of pairs whose whole word sets have Jaccard similarity 4/5 or more."""
     pairs = stage(pairs, "line_pairs")
     wanted = pairs.select("id").union(pairs.select("id2")).distinct()
     wanted = stage(places.join(wanted, "id", "left_semi"), "wanted_lines")
-    # One text per wanted document, and of it only the wanted lines.
-    own = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("id", "line_no", "set", "set2")).alias("places")).withColumnRenamed("doc_id", "_id")
-    texts = docs.join(own, docs["doc_id"].eqNullSafe(own["_id"])).select("doc_id", F.split("text", "\n", -1).alias("all"), "places")
-    found = texts.select("doc_id", F.inline(F.transform("places", lambda p: F.struct(
+    # One text per wanted row, and of it only the wanted lines.
+    own = wanted.groupBy(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text")).agg(
+        F.collect_list(F.struct("id", "line_no", "set", "set2")).alias("places"))
+    texts = docs.join(own, docs["doc_id"].eqNullSafe(own["_id"]) & (_text_id(docs["text"]) == own["_text"])).select(
+        "doc_id", F.col("_text").alias("text_id"), F.split("text", "\n", -1).alias("all"), "places")
+    found = texts.select("doc_id", "text_id", F.inline(F.transform("places", lambda p: F.struct(
         p["id"].alias("id"), p["line_no"].alias("line_no"), p["set"].alias("set"), p["set2"].alias("set2"), F.get("all", p["line_no"]).alias("line")))))
-    found = found.select("id", "doc_id", "line_no", "set", "set2", _hashes(F.col("line")).alias("words"))
-    # A repeated id may hold other texts: keep the line that the set's name was made of.
+    found = found.select("id", "doc_id", "text_id", "line_no", "set", "set2", _hashes(F.col("line")).alias("words"))
+    # Two texts of an id might share a name: keep the line that the set's name was made of.
     found = found.where((F.xxhash64("words") == F.col("set")) & (F.xxhash64(F.lit(1), "words") == F.col("set2")))
-    found = stage(found.dropDuplicates(["id"]).select("id", "doc_id", "line_no", "words"), "line_words")
+    found = stage(found.dropDuplicates(["id"]).select("id", "doc_id", "text_id", "line_no", "words"), "line_words")
     a, b = found.alias("a"), found.withColumnRenamed("id", "id2").alias("b")
     both = pairs.join(a, "id").join(b, "id2")
     common = F.size(F.array_intersect("a.words", "b.words"))
     similar = both.where(100 * common >= 80 * (F.size("a.words") + F.size("b.words") - common))
-    ends = [F.struct(F.col(f"{x}.doc_id").alias("doc_id"), F.col(f"{x}.line_no").alias("line_no"), F.col(i).alias("id"))
+    ends = [F.struct(F.col(f"{x}.doc_id").alias("doc_id"), F.col(f"{x}.line_no").alias("line_no"), F.col(f"{x}.text_id").alias("text_id"), F.col(i).alias("id"))
             for x, i in (("a", "id"), ("b", "id2"))]
     # Null ids come first, as in the order of structs.
     last = similar.select(F.when(ends[0] < ends[1], ends[1]).otherwise(ends[0]).alias("last"))
-    return last.select("last.id", "last.doc_id", "last.line_no").distinct()
+    return last.select("last.id", "last.doc_id", "last.text_id", "last.line_no").distinct()
 
 
 def without_lines(docs: DataFrame, gone: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the lines ``gone(doc_id, line_no)``, and ``_lines`` and ``_removed``, their numbers."""
-    gone = gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone")).withColumnRenamed("doc_id", "_id")
+    """``docs`` without the lines ``gone(doc_id, text_id, line_no)``, and ``_lines`` and ``_removed``, their numbers."""
+    gone = gone.groupBy(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text")).agg(F.collect_set("line_no").alias("_gone"))
     lines = F.split(text_col, "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.array_contains("_gone", i))
-    joined = docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]), "left")
+    joined = docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (_text_id(docs[text_col]) == gone["_text"]), "left")
     return joined.select(
         *(F.when(F.col("_gone").isNull(), F.col(c)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else docs[c]
           for c in docs.columns),
@@ -187,8 +196,9 @@ def without_lines(docs: DataFrame, gone: DataFrame, text_col: str = "text", id_c
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, text, n_lines, n_removed)``: one row per row of ``docs``, without lines that repeat earlier ones.
 
-    Earlier means a smaller id (null ids first), then a smaller line number. Of repeated rows with
-    one id and text all copies keep the same lines, as line places are equal. A null text stays
+    Earlier means a smaller id (null ids first), then a smaller line number, then a smaller hash of
+    the text. Rows of one id, or of a null id, with different texts are different documents. Of
+    repeated rows with one id and text all copies keep the same lines, as line places are equal. A null text stays
     null, an empty one empty; a text that loses all its lines is empty. Other columns are ignored.
     """
     docs = docs.select(id_col, text_col)

@@ -125,6 +125,19 @@ def test_lines(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shared", [None, 7])
+def test_lines_of_different_texts_of_one_id(spark, shared):
+    copy, own = "one two three four five six", [f"own{i} words{i} here{i} now{i} then{i}" for i in range(5)]
+    rows = [(shared, f"{copy}\n{own[0]}"), (shared, f"{own[1]}\n{copy}"), (shared, f"{own[2]}\n{own[3]}"), (shared, f"{copy}\n{own[4]}"),
+            (shared, f"{own[2]}\n{own[3]}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r["text"], r["n_removed"]) for r in line_dedup.dedup_lines(docs).collect())
+    # The line stays in one row; equal rows are one place.
+    kept = [t for t, _ in got if copy in t]
+    assert len(kept) == 1 and sum(n for _, n in got) == 2
+    assert sorted(line for t, _ in got for line in t.split("\n") if line != copy) == sorted([*own, own[2], own[3]])
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(4)
     rows = []
