@@ -35,10 +35,21 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates the document with the least id stays."""
-    found = shingle_join.near_duplicates(docs)
-    gone = stage(found.where("component_id <> doc_id").select("doc_id").distinct(), "near_copies")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of every group of near duplicates one row stays: the least id, then the least hash of id and text.
+
+    Rows are told apart by id and text, so another text of a removed row's id stays. Rows with a null
+    id are compared as any others and come last. Of rows equal in both the one with the least other
+    columns stays. Rows without words belong to no group and all stay.
+    """
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    named = docs.where(has_words).withColumn("_key", F.xxhash64("doc_id", "text"))
+    ids = stage(named.select("_key", "doc_id").distinct(), "row_names")
+    found = shingle_join.near_duplicates(named, "_key").select(F.col("doc_id").alias("_key"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_key")).alias("first")
+    kept = stage(found.distinct().join(ids, "_key").groupBy("component_id").agg(first).select("first._key"), "kept_rows")
+    one = F.min(F.struct(*docs.columns)).alias("row")
+    left = named.join(kept, "_key", "left_semi").groupBy("_key").agg(one).select("row.*")
+    return left.union(docs.where(~has_words))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

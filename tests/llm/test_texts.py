@@ -239,5 +239,20 @@ def test_pipeline(spark, tmp_path):
     assert kept and docs.where("offset <> 0").count() == 0
 
 
+def test_one_row_per_group_of_near_copies(spark):
+    words = [" ".join(f"{k}{i}" for i in range(60)) for k in "abcd"]
+    near = words[0].replace("a59", "other")
+    rows = [(1, words[0], "x"), (2, near, "x"), (2, words[1], "x"), (1, words[0], "y"), (1, near, "x"), (None, near, "x"),
+            (None, words[2], "x"), (None, words[2], "x"), (None, words[3], "x"), (5, "", "x"), (5, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = corpus_pipeline.distinct_documents(spark, docs, SF)
+    assert got.columns == docs.columns
+    kept = sorted((tuple(r) for r in got.collect()), key=str)
+    group = [r for r in kept if r[1] in (words[0], near)]
+    assert len(group) == 1 and group[0][0] == 1 and group[0][2] == "x"
+    assert [r for r in kept if r not in group] == sorted(
+        [(2, words[1], "x"), (None, words[2], "x"), (None, words[3], "x"), (5, "", "x"), (5, "", "x")], key=str)
+
+
 def test_pipeline_query(spark):
     assert os.path.exists(SF) and corpus_pipeline.run(spark, SF).where("length = size(ids)").count() > 100
