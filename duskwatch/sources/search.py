@@ -31,14 +31,18 @@ def hit_merge(lines: DataFrame) -> DataFrame:
         "repo", "path", "line_no", F.col("last.page").alias("page"), F.col("last.line").alias("line"))
 
 
+def advertisers(lines: DataFrame) -> DataFrame:
+    """Distinct ``(onion, repo)`` of the lines that mention an address, combined on the map side."""
+    return lines.select(F.explode(A.extract_addresses(F.col("line"))).alias("onion"), "repo").distinct()
+
+
 def advertiser_concat(lines: DataFrame) -> DataFrame:
-    """Per address the sorted repositories that mention it, as ``Grep.app (r1, r2)``.
+    """Report over ``advertisers``: per address the sorted repositories as ``Grep.app (r1, r2)``.
 
-    Pairs are made distinct first (combined on the map side), so an address costs one entry
-    per repository; the search engine lists at most page cap x page size of them.
+    One row holds all repositories of an address, and nothing bounds their number; use the flat
+    table for anything but the text.
     """
-    pairs = lines.select(F.explode(A.extract_addresses(F.col("line"))).alias("onion"), "repo").distinct()
-    return pairs.groupBy("onion").agg(F.sort_array(F.collect_list("repo")).alias("repos")).select(
+    return advertisers(lines).groupBy("onion").agg(F.sort_array(F.collect_list("repo")).alias("repos")).select(
         "onion", F.concat(F.lit("Grep.app ("), F.array_join("repos", ", "), F.lit(")")).alias("advertiser"))
 
 

@@ -122,3 +122,12 @@ def test_resolve_link(spark):
     cases = {"/c": "http://h.org/c", "c": "http://h.org/a/c", "//k.org/z": "http://k.org/z", "?y": "http://h.org/a/b?y",
              "#f": "http://h.org/a/b?x=1", "https://q.org/": "https://q.org/", "mailto:a@b": "mailto:a@b"}
     assert apply(spark, H.resolve_link, [(base, href) for href in cases]) == list(cases.values())
+
+
+def test_advertisers_are_flat(spark):
+    from duskwatch.sources import search
+
+    lines = spark.createDataFrame([(f"r{i % 3}", f"see {ONION} here") for i in range(9)], "repo string, line string")
+    rows = search.advertisers(lines).collect()
+    assert sorted(r["repo"] for r in rows) == ["r0", "r1", "r2"] and len({r["onion"] for r in rows}) == 1
+    assert search.advertiser_concat(lines).first()["advertiser"] == "Grep.app (r0, r1, r2)"
