@@ -9,8 +9,8 @@ from duskwatch.session import materialize
 
 def _with_minimum(directed: DataFrame) -> DataFrame:
     """Edges ``(u, v)`` with ``m``, the least of ``u`` and its neighbours in ``directed``."""
-    least = directed.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return join_counted(directed, least, "u")
+    least = directed.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    return join_counted(directed, least.select("u", F.least("u", "m").alias("m")), "u", counts=least)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -18,8 +18,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps turn every component into a star around
     its least node in a logarithmic number of rounds; they end when a round changes nothing.
-    A step is an aggregate per node and a join back, at every size. Each round is written to
-    shared storage, which cuts the lineage and survives lost executors.
+    A step is an aggregate per node and a salted join back, at every size; a node that a third
+    of the edges meet is dealt over many tasks. Each round is written to shared storage, which
+    cuts the lineage and survives lost executors.
     """
     def normal(df: DataFrame) -> DataFrame:
         return df.where("u <> v").select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u"))

@@ -149,7 +149,8 @@ def lsh_query(members: DataFrame, id_col: str) -> DataFrame:
     The texts colliding with a text are the members of its buckets. There is no similarity
     check.
     """
-    return join_counted(members, buckets(members, id_col), BUCKET)
+    shared = buckets(members, id_col)
+    return join_counted(members, shared, BUCKET, counts=shared.withColumnRenamed("n_members", "n"))
 
 
 def lsh_candidates(members: DataFrame, id_col: str) -> DataFrame:
@@ -191,7 +192,7 @@ def near_table(
 ) -> DataFrame:
     """``(id, group_id, representative, n_members)`` for every text."""
     reps = representatives(groups, texts, id_col, tie)
-    return join_counted(groups, reps, "group_id")
+    return join_counted(groups, reps, "group_id", counts=reps.withColumnRenamed("n_members", "n"))
 
 
 def unique_texts(near: DataFrame, id_col: str) -> DataFrame:
@@ -207,7 +208,8 @@ def jaccard_to_representative(
     rep_tokens = near.where(F.col(id_col) == F.col("representative")).join(tokens, id_col).select(
         "representative", "n_members", F.col("tokens").alias("rep_tokens"))
     members = near.where(F.col(id_col) != F.col("representative")).select(id_col, "representative").join(tokens, id_col)
-    pairs = join_counted(members, rep_tokens, "representative")
+    pairs = join_counted(
+        members, rep_tokens, "representative", counts=rep_tokens.select("representative", F.col("n_members").alias("n")))
     shared = F.size(F.array_intersect("tokens", "rep_tokens"))
     return pairs.select(
         id_col, "representative",
@@ -230,7 +232,7 @@ def mirror_labels(index: DataFrame, near: DataFrame, id_col: str) -> DataFrame:
     label = F.when(F.col(id_col) == F.col("representative"), "unique").otherwise("near mirror")
     labelled = firsts.join(
         near.select(F.col(id_col).alias("first_id"), label.alias("first_label")), "first_id")
-    rows = join_counted(index, labelled, "text_key")
+    rows = join_counted(index, labelled, "text_key", counts=firsts.withColumnRenamed("n_copies", "n"))
     return rows.select(
         id_col,
         F.when(F.col(id_col) == F.col("first_id"), F.col("first_label")).otherwise("exact mirror").alias("label"))

@@ -19,7 +19,8 @@ def lookup_registry(sightings: DataFrame, registry: DataFrame) -> DataFrame:
     """Each sighting with its registry row, or nulls."""
     sizes = sightings.groupBy("onion").agg(F.count("*").alias("n_sightings"))
     found = sizes.join(registry.withColumnRenamed("ts", "registry_ts"), "onion", "left")
-    return join_counted(sightings, found, "onion").drop("n_sightings")
+    return join_counted(
+        sightings, found, "onion", counts=sizes.withColumnRenamed("n_sightings", "n")).drop("n_sightings")
 
 
 def anti_incoherent(objects: DataFrame, registry: DataFrame) -> DataFrame:
@@ -95,7 +96,7 @@ def decision_log(
     known = firsts.join(stored, "onion", "left").join(
         registry.select("onion", F.lit(True).alias("known"), F.col("downloaded").alias("was_downloaded"), *SOURCES),
         "onion", "left")
-    rows = join_counted(sightings, known, "onion")
+    rows = join_counted(sightings, known, "onion", counts=firsts.withColumnRenamed("n_sightings", "n"))
     earlier = F.col("offset") > F.col("first_offset")
     old_flag, first_of_source = F.lit(False), F.lit(None).cast("bigint")
     for s in SOURCES:
@@ -223,7 +224,8 @@ def duplicate_objects(objects: DataFrame) -> DataFrame:
     firsts = objects.groupBy("onion").agg(
         F.min(F.struct("dt", "object_name")).alias("first"), F.count("*").alias("n_objects")).where("n_objects > 1")
     return (
-        join_counted(objects.select("onion", "dt", "object_name"), firsts, "onion")
+        join_counted(
+            objects.select("onion", "dt", "object_name"), firsts, "onion", counts=firsts.withColumnRenamed("n_objects", "n"))
         .where(F.struct("dt", "object_name") != F.col("first"))
         .select("onion", F.col("first.object_name").alias("first_object"), F.col("object_name").alias("later_object"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from duskwatch.constants import LSH_BANDS, LSH_ROWS
 from duskwatch.operators import dedup as D
-from duskwatch.operators.components import connected_components
+from duskwatch.operators.components import _with_minimum, connected_components
 
 WORDS = [f"w{i}" for i in range(200)]
 
@@ -173,3 +173,13 @@ def test_distinct_texts_of_a_repeated_id(spark):
     rows = [("a", "t one"), ("a", "t two"), ("b", "t one"), ("a", "t one")]
     got = D.distinct_texts(spark.createDataFrame(rows, "doc_id string, text string"), "doc_id").collect()
     assert sorted((r["doc_id"], r["text"], r["n_copies"]) for r in got) == [("a", "t one", 3), ("a", "t two", 1)]
+
+
+def test_component_step_splits_a_hub(spark):
+    """A node that a third of the edges meet is dealt over many tasks."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    edges = spark.range(1, 30_001).selectExpr("case when id % 3 = 0 then 0 else id - 1 end as u", "id as v")
+    found = _with_minimum(edges).withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = sorted(r["count"] for r in found)
+    assert sum(sizes) == 30_000 and sizes[-1] <= 2 * sizes[3]

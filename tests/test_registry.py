@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from duskwatch import schemas
 from duskwatch.constants import SOURCES
 from duskwatch.operators import registry as R
-from duskwatch.operators.skew import join_counted
+from duskwatch.operators.skew import heavy_keys, join_counted
 
 
 def registry_rows(rng, n):
@@ -166,10 +166,51 @@ def test_backfills(data, spark):
     assert not any(added["new"][s] for s in SOURCES)
 
 
-def test_join_counted_broadcasts_nothing(spark):
-    rows = spark.range(1000).selectExpr("case when id < 400 then 0 else id end as k", "id")
+@pytest.fixture
+def all_partitions(spark):
+    """Partitions as they are dealt, without merging small ones."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def rows_per_task(joined):
+    found = joined.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.count("*").alias("n")).collect()
+    return sorted(r["n"] for r in found)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("given", [True, False])
+def test_join_counted_splits_heavy_keys(spark, all_partitions, how, given):
+    # A third of the rows on one key, a third on null.
+    rows = spark.range(60_000).selectExpr("case id % 3 when 0 then 7L when 1 then null else id end as k", "id")
     keyed = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("low"))
-    got = join_counted(rows, keyed, "k")
-    assert "BroadcastHashJoin" not in got._jdf.queryExecution().sparkPlan().toString()
-    assert got.count() == 1000 and got.where("k = 0").agg(F.max("low")).first()[0] == 0
+    joined = join_counted(rows, keyed.drop("n"), "k", how, keyed.select("k", "n") if given else None)
+    sizes = rows_per_task(joined)
+    assert sum(sizes) == (40_000 if how == "inner" else 60_000) and len(sizes) == 8
+    assert sizes[-1] <= 2 * sizes[3]
+    assert "SortMergeJoin" in joined._jdf.queryExecution().sparkPlan().toString()
+    assert joined.where("k = 7").agg(F.count("*"), F.max("low"), F.countDistinct("id")).first() == (20_000, 0, 20_000)
+    assert joined.where("k is null and low is not null").count() == 0
+    assert joined.columns == ["k", "id", "low"] and joined.distinct().count() == sum(sizes)
+
+
+def test_heavy_keys_are_few(spark):
+    counts = spark.createDataFrame([(f"k{i}", n) for i, n in enumerate([500, 300, 100, 60, 40])], "k string, n bigint")
+    assert {tuple(r) for r in heavy_keys(counts, ["k"], 8).collect()} == {("k0", 4), ("k1", 3)}
+    assert heavy_keys(counts.limit(0), ["k"], 8).count() == 0
+
+
+def test_lookup_of_a_hot_address(spark, all_partitions):
+    sightings = spark.range(30_000).selectExpr(
+        "case when id % 3 = 0 then 'hot' else concat('o', id) end as onion", "'gateways' as source", "cast(id as double) as ts", "id as offset")
+    registry = spark.createDataFrame(
+        [("hot", True, None, 1.0, True, False, False, False, None)], schemas.REGISTRY)
+    looked = R.lookup_registry(sightings, registry)
+    sizes = rows_per_task(looked)
+    assert sum(sizes) == 30_000 and sizes[-1] <= 2 * sizes[3]
+    assert looked.where("registry_ts = 1.0").count() == 10_000
+    log = R.decision_log(registry, sightings, registry.select("onion"))
+    sizes = rows_per_task(log)
+    assert sum(sizes) == 30_000 and sizes[-1] <= 2 * sizes[3]
 
