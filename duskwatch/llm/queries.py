@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskwatch.llm import decontamination, embedding_dedup, language_id, line_dedup, packing, pseudonyms, sharding, shingle_join, token_counts, token_files
+from duskwatch.llm import collocations, decontamination, embedding_dedup, filter_audit, fingerprints, language_id, line_dedup, packing, pseudonyms, sharding, shingle_join, token_counts, token_files
 from duskwatch.session import prepare, scratch_path
 
 QUERIES = {}
@@ -120,3 +120,93 @@ def op9_sharding(spark, sf_dir):
 def op10_packing(spark, sf_dir):
     pieces = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
     return packing.with_checksums(pieces)
+
+
+@query
+def op11_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_documents(documents(spark, sf_dir))
+
+
+@query
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+ORACLES["op12_filter_audit"] = r"""
+with d as (select doc_id, coalesce(text, '') as t, coalesce(source, '') as part from documents),
+w as (
+  select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws, min(doc_id) over (partition by t) as least from d),
+m as (
+  select doc_id, part,
+    case when len(ws) < 200 then 'A' else '' end
+    || case when 100 * len(list_distinct(ws)) < 50 * len(ws) then 'B' else '' end
+    || case when 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) then 'C' else '' end
+    || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+    || case when doc_id > least then 'E' else '' end as fails
+  from w),
+j as (select doc_id, bool_or(coalesce(quality = 1, false)) as good, bool_or(coalesce(toxic = 1, false)) as bad from labels group by doc_id),
+c as (
+  select part, fails, coalesce(good, false) as good, coalesce(bad, false) as bad, count(*) as n
+  from m left join j using (doc_id) group by all),
+l as (select unnest(string_split('ABCDE', '')) as x),
+o as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order from l a, l b, l c, l d, l e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s as (select filter_order, unnest([1, 2, 3, 4, 5]) as step from o),
+r as (
+  select part, filter_order, step, substr(filter_order, step, 1) as f, n, good, bad, fails,
+         contains(fails, substr(filter_order, step, 1)) as failed,
+         length(translate(substr(filter_order, 1, step - 1), fails, '')) < step - 1 as gone
+  from c, s),
+g as (
+  select part, filter_order, step, any_value(f) as f,
+    coalesce(sum(n) filter (not failed and not gone), 0) as kept, coalesce(sum(n) filter (failed and not gone), 0) as removed,
+    coalesce(sum(n) filter (failed and gone), 0) as redundant, coalesce(sum(n) filter (fails = f), 0) as unique_fails,
+    coalesce(sum(n) filter (failed and not gone and good), 0) as good_lost,
+    coalesce(sum(n) filter (failed and not gone and bad), 0) as toxic_lost
+  from r group by part, filter_order, step)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+       cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+       cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+       cast(sum(removed) over (partition by part, f) as bigint) as shapley
+from g
+"""
+
+
+@query
+def op13_collocations(spark, sf_dir):
+    return collocations.mine_collocations(documents(spark, sf_dir))
+
+
+ORACLES["op13_collocations"] = r"""
+with d as (
+  select row_number() over () as doc, coalesce(lang, 'und') as lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents),
+p as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as piece from d),
+w as (select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as ws from p),
+g as (
+  select lang, m, ws[s:s + m - 1] as ws
+  from (select lang, ws, m, unnest(generate_series(1, len(ws) - m + 1)) as s
+        from w, (select unnest([1, 2, 3, 4, 5]) as m) where len(ws) >= m)),
+f as (select lang, m, ws, count(*) as n from g group by all),
+t as (select lang, sum(n) as n from f where m = 1 group by lang),
+c as (select lang, m, ws, n as a from f where m > 1 and n >= 100),
+k as (select *, unnest(generate_series(1, m - 1)) as k from c),
+s as (
+  select k.lang, k.m, k.ws, k.a, k.k, l.n as l, r.n as r, t.n as n,
+         (1000::hugeint * k.a::hugeint * t.n::hugeint) // (l.n::hugeint * r.n::hugeint) as score
+  from k join f l on l.lang = k.lang and l.ws = k.ws[1:k.k] join f r on r.lang = k.lang and r.ws = k.ws[k.k + 1:k.m]
+  join t on t.lang = k.lang),
+b as (select * from s qualify row_number() over (partition by lang, ws order by score, k) = 1),
+i as (
+  select lang, a, ws[s:s + m - 1] as ws
+  from (select c.lang, c.a, c.ws, x.m, unnest(generate_series(1, c.m - x.m + 1)) as s
+        from c, (select unnest([2, 3, 4]) as m) x where x.m < c.m)),
+j as (select lang, ws, max(a) as longer from i group by all),
+o as (
+  select b.*, array_to_string(b.ws, ' ') as phrase from b left join j on j.lang = b.lang and j.ws = b.ws
+  where j.longer is null or j.longer < b.a),
+q as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from o)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score from q where rank <= 2000
+"""

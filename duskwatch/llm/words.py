@@ -36,10 +36,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_table(separators: bytes) -> np.ndarray:
-    """A byte table that lower-cases A-Z and maps every separator byte to 0."""
+def word_table(separators: bytes, lower: bool = True) -> np.ndarray:
+    """A byte table that maps every separator byte to 0 and, if wanted, lower-cases A-Z.
+
+    A zero byte that is no separator becomes 255, which no text holds.
+    """
     table = np.arange(256, dtype=np.uint8)
-    table[65:91] += 32
+    table[0] = 255
+    if lower:
+        table[65:91] += 32
     table[list(separators)] = 0
     return table
 
@@ -90,8 +95,8 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix(out)
 
 
-def words(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts in order, and per text the position of its first word (``n + 1``)."""
+def word_spans(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Mapped bytes of all texts, start and end of every word, and per text the position of its first word (``n + 1``)."""
     data, offsets = text_bytes(column)
     data = table[data]
     inside = np.zeros(len(data) + 2, np.int8)
@@ -103,7 +108,23 @@ def words(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     cut = cut[(data[cut] != 0) & (data[cut - 1] != 0)] if len(cut) else cut
     start = np.sort(np.concatenate([np.flatnonzero(step == 1), cut]))
     end = np.sort(np.concatenate([np.flatnonzero(step == -1), cut]))
-    return hash_spans(data, start, end), np.searchsorted(start, offsets, "left")
+    return data, start, end, np.searchsorted(start, offsets, "left")
+
+
+def words(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in order, and per text the position of its first word (``n + 1``)."""
+    data, start, end, first = word_spans(column, table)
+    return hash_spans(data, start, end), first
+
+
+def runs_of_rows(batch: pa.RecordBatch, column: int, size: int = BLOCK_BYTES):
+    """Slices of a batch whose texts hold about ``size`` bytes together (a longer text is a slice of its own)."""
+    offsets = text_bytes(batch.column(column))[1]
+    first = 0
+    while first < batch.num_rows:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
+        yield batch.slice(first, last - first)
+        first = last
 
 
 def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
