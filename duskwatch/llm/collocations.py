@@ -16,10 +16,15 @@ from duskwatch.operators.skew import join_counted
 #: Words of a phrase at most.
 LONGEST = 5
 #: Words of a shard: what a task counts at once. Bounds its memory and lets a word's number fit 21 bits.
-SHARD_WORDS = (1 << 21) - 8
+SHARD_WORDS = 1 << 20
+#: Bytes of text that are split and hashed in one go.
+SLICE_BYTES = 1 << 20
 #: Bits of the filter of frequent pairs (a power of two): 16 MB, whatever the corpus.
 FILTER_BITS = 1 << 27
 
+#: Rows of an Arrow batch that a task returns.
+ROWS_AT_ONCE = 50_000
+
 #: Pieces end at these bytes, words at blanks and tabs too.
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _BREAK = np.zeros(256, bool)
@@ -52,7 +57,8 @@ class Shard:
         follows[:-1] = (text[1:] == text[:-1]) & (breaks[1:] == breaks[:-1])
         codes = np.array([self.langs.setdefault(lang, len(self.langs)) for lang in map(_language, langs.to_pylist())], np.int64)
         base = sum(len(part[0]) for part in self.parts)
-        self.parts.append((data, hash_spans(data, start, end), start + base, end + base, codes[text], follows))
+        places = [(x + base).astype(np.int32) for x in (start, end)]
+        self.parts.append((data, hash_spans(data, start, end), *places, codes[text].astype(np.int32), follows))
         self.size += len(start)
 
     def close(self) -> None:
@@ -77,7 +83,7 @@ class Shard:
 
     def words_at(self, places: np.ndarray) -> pa.Array:
         """The words that start at these places."""
-        length = self.end[places] - self.start[places]
+        length = (self.end[places] - self.start[places]).astype(np.int64)
         offsets = np.concatenate([[0], np.cumsum(length)])
         at = np.arange(offsets[-1]) + np.repeat(self.start[places] - offsets[:-1], length)
         data = np.frombuffer(self.data, np.uint8)[at]
@@ -87,7 +93,7 @@ class Shard:
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
     shard = Shard()
     for batch in batches:
-        for rows in runs_of_rows(batch, 1):
+        for rows in runs_of_rows(batch, 1, SLICE_BYTES):
             shard.add(rows.column(0), rows.column(1))
             if shard.size >= SHARD_WORDS:
                 shard.close()
@@ -111,7 +117,9 @@ def _first_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         names = shard.names.take(pa.array(shard.lang[at])).cast(pa.large_binary())
         yield rows(pc.binary_join_element_wise(names, shard.words_at(at), pa.scalar(_JOIN, pa.large_binary())), [None] * len(at), n)
         pair, n = np.unique(shard.pairs()[1], return_counts=True)
-        yield rows(pa.nulls(len(pair), pa.binary()), pair.view(np.int64), n)
+        for i in range(0, len(pair), ROWS_AT_ONCE):
+            part = pair[i:i + ROWS_AT_ONCE].view(np.int64)
+            yield rows(pa.nulls(len(part), pa.binary()), part, n[i:i + ROWS_AT_ONCE])
 
 
 def _filter_positions(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,31 +163,33 @@ def sorted_ngrams(shard: Shard, passes: np.ndarray) -> Iterator[tuple[pa.Array,
         width = width[at - low]
         if not len(at):
             continue
-        places = at[:, None] + np.arange(LONGEST)
-        inside = np.arange(LONGEST) <= width[:, None]
-        used, number = np.unique(shard.hash[places[inside]], return_inverse=True)
-        example = np.zeros(len(used), np.int64)
-        example[number] = places[inside]
-        names = shard.words_at(example)
-        order = np.empty(len(used), np.int64)
-        order[np.asarray(pc.array_sort_indices(names))] = np.arange(len(used))
-        numbers = np.zeros(places.shape, np.int64)  # 0: no word; numbers follow the order of the words
-        numbers[inside] = order[number] + 1
+        used = np.zeros(size + LONGEST, bool)
+        for i in range(LONGEST):
+            used[at[width >= i] - low + i] = True
+        used = np.flatnonzero(used) + low
+        _, example, number = np.unique(shard.hash[used], return_index=True, return_inverse=True)
+        names = shard.words_at(used[example])
+        ranking = np.asarray(pc.array_sort_indices(names))
+        order = np.empty(len(names), np.int32)
+        order[ranking] = np.arange(1, len(names) + 1)
+        word = np.zeros(size + LONGEST, np.int32)  # 0: no word; numbers follow the order of the words
+        word[used - low] = order[number]
+        numbers = [np.where(width >= i, word[at - low + i], 0).astype(np.int64) for i in range(LONGEST)]
         lang = np.asarray(pc.rank(shard.names, tiebreaker="dense")).astype(np.int64)[shard.lang[at]]
-        head = (lang << 42) | (numbers[:, 0] << 21) | numbers[:, 1]
-        rest = (numbers[:, 2] << 42) | (numbers[:, 3] << 21) | numbers[:, 4]
+        head = (lang << 42) | (numbers[0] << 21) | numbers[1]
+        rest = (numbers[2] << 42) | (numbers[3] << 21) | numbers[4]
         by = np.lexsort((rest, head))
         head, rest = head[by], rest[by]
         first = np.flatnonzero(np.concatenate([[True], (head[1:] != head[:-1]) | (rest[1:] != rest[:-1])]))
         counts = np.diff(np.append(first, len(by)))
         rows = by[first]
-        ranked = names.take(pc.array_sort_indices(names))
-        columns = [shard.names.take(pa.array(shard.lang[at[rows]])).cast(pa.large_binary())]
-        for i in range(LONGEST):
-            n = numbers[rows, i]
-            columns.append(ranked.take(pa.array(n - 1, mask=n == 0)))
-        keys = pc.binary_join_element_wise(*columns, pa.scalar(_JOIN, pa.large_binary()), null_handling="skip")
-        yield keys, counts
+        ranked = names.take(pa.array(ranking))
+        for i in range(0, len(rows), ROWS_AT_ONCE):
+            part = rows[i:i + ROWS_AT_ONCE]
+            columns = [shard.names.take(pa.array(shard.lang[at[part]])).cast(pa.large_binary())]
+            columns += [ranked.take(pa.array(n[part] - 1, mask=n[part] == 0)) for n in numbers]
+            yield pc.binary_join_element_wise(
+                *columns, pa.scalar(_JOIN, pa.large_binary()), null_handling="skip"), counts[i:i + ROWS_AT_ONCE]
 
 
 class CountAutomaton:
@@ -274,9 +284,7 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
                 found &= (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
             passes[at] = found
             for keys, n in sorted_ngrams(shard, passes):
-                for i in range(0, len(keys), 100_000):
-                    yield pa.RecordBatch.from_arrays(
-                        [keys.slice(i, 100_000).cast(pa.binary()), pa.array(n[i:i + 100_000], pa.int64())], ["key", "n"])
+                yield pa.RecordBatch.from_arrays([keys.cast(pa.binary()), pa.array(n, pa.int64())], ["key", "n"])
 
     def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = CountAutomaton(least)
