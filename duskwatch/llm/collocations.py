@@ -16,9 +16,9 @@ from duskwatch.operators.skew import join_counted
 #: Words of a phrase at most.
 LONGEST = 5
 #: Words of a shard: what a task counts at once. Bounds its memory and lets a word's number fit 21 bits.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 #: Bytes of text that are split and hashed in one go.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: Bits of the filter of frequent pairs (a power of two): 16 MB, whatever the corpus.
 FILTER_BITS = 1 << 27
 
@@ -120,6 +120,7 @@ def _first_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for i in range(0, len(pair), ROWS_AT_ONCE):
             part = pair[i:i + ROWS_AT_ONCE].view(np.int64)
             yield rows(pa.nulls(len(part), pa.binary()), part, n[i:i + ROWS_AT_ONCE])
+        del shard  # before the next one is gathered
 
 
 def _filter_positions(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -285,6 +286,7 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
             passes[at] = found
             for keys, n in sorted_ngrams(shard, passes):
                 yield pa.RecordBatch.from_arrays([keys.cast(pa.binary()), pa.array(n, pa.int64())], ["key", "n"])
+            del shard
 
     def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = CountAutomaton(least)
