@@ -123,22 +123,22 @@ def _first_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         del shard  # before the next one is gathered
 
 
-def _filter_positions(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    low, high = pair & np.uint64(FILTER_BITS - 1), (pair >> np.uint64(32)) & np.uint64(FILTER_BITS - 1)
+def _filter_positions(pair: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    low, high = pair & np.uint64(bits - 1), (pair >> np.uint64(32)) & np.uint64(bits - 1)
     return low.astype(np.int64), high.astype(np.int64)
 
 
-def pair_filter(pairs: DataFrame) -> np.ndarray:
+def pair_filter(pairs: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     """A bit set of fixed size that holds two positions of every pair; others pass it by chance only.
 
-    Tasks set the bits of 64-bit blocks; the driver gets at most ``FILTER_BITS / 64`` blocks.
+    Tasks set the bits of 64-bit blocks; the driver gets at most ``bits / 64`` blocks.
     """
-    low = F.col("pair").bitwiseAND(FILTER_BITS - 1)
-    high = F.shiftrightunsigned("pair", 32).bitwiseAND(FILTER_BITS - 1)
+    low = F.col("pair").bitwiseAND(bits - 1)
+    high = F.shiftrightunsigned("pair", 32).bitwiseAND(bits - 1)
     places = pairs.select(F.explode(F.array(low, high)).alias("place"))
     blocks = places.groupBy(F.shiftright("place", 6).alias("block")).agg(
         F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("bits")).toArrow()
-    found = np.zeros(FILTER_BITS // 64, np.int64)
+    found = np.zeros(bits // 64, np.int64)
     found[blocks.column("block").to_numpy()] = blocks.column("bits").to_numpy()
     return found.view(np.uint8)
 
@@ -257,7 +257,9 @@ class CountAutomaton:
         return out
 
 
-def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = 100) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(
+    docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = 100, filter_bits: int = FILTER_BITS
+) -> tuple[DataFrame, DataFrame]:
     """``(lang, phrase, words, n)`` of all phrases of 1 to 5 words that occur ``least`` times, and ``(lang, n)``.
 
     The texts are read twice, shard by shard. First words and hashed pairs are counted; pairs
@@ -273,7 +275,7 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     counted = map_batches(rows, _first_counts, "key binary, pair long, n long").groupBy("key", "pair").agg(F.sum("n").alias("n"))
     is_total = F.col("pair").isNull() & ~F.contains("key", tab)
     counted = stage(counted.where((F.col("n") >= least) | is_total), "word_counts")
-    sent = spark.sparkContext.broadcast(pair_filter(counted.where("pair is not null").select("pair")))
+    sent = spark.sparkContext.broadcast(pair_filter(counted.where("pair is not null").select("pair"), filter_bits))
 
     def ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
@@ -281,7 +283,7 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
             at, pair = shard.pairs()
             passes = np.zeros(len(shard.hash), bool)
             found = np.ones(len(at), bool)
-            for place in _filter_positions(pair):
+            for place in _filter_positions(pair, 8 * len(bits)):
                 found &= (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
             passes[at] = found
             for keys, n in sorted_ngrams(shard, passes):
@@ -322,6 +324,7 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
 
 def mine_collocations(
     docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = 100, top: int = 2000,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: the ``top`` phrases of every language.
 
@@ -334,7 +337,7 @@ def mine_collocations(
     A null text has no words; a null language is ``und`` and joins rows that name it so. Repeated
     rows count each time. An empty table gives no rows. Other columns are ignored.
     """
-    known, totals = phrase_counts(docs, lang_col, text_col, least)
+    known, totals = phrase_counts(docs, lang_col, text_col, least, filter_bits)
     phrases = known.where(F.size("words") > 1).withColumnRenamed("n", "a")
     counts = known.select("lang", "phrase", "n")
 

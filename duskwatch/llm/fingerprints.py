@@ -21,6 +21,8 @@ BITS, RADIUS = 128, 3
 BLOCKS = RADIUS + 2
 _EDGES = np.linspace(0, BITS, BLOCKS + 1).round().astype(int)
 TABLES = list(combinations(range(BLOCKS), BLOCKS - RADIUS))
+#: A key holds at most this many bits of a fingerprint, and the table's number above them.
+_KEY_BITS = 56
 
 #: Terms are words and pairs of neighbouring words; a pair weighs twice as much.
 _PAIR_WEIGHT = 2
@@ -179,12 +181,12 @@ def _equal_blocks(difference: np.ndarray) -> np.ndarray:
 def _table_keys(prints: np.ndarray) -> np.ndarray:
     """Per fingerprint and table a number made of the table and the bits of its blocks, without loss."""
     bits = np.unpackbits(prints, axis=1).astype(np.int64)
-    keys = np.empty((len(prints), len(TABLES)), np.int64)
+    keys = np.zeros((len(prints), len(TABLES)), np.int64)
     for t, chosen in enumerate(TABLES):
-        keys[:, t] = t
         for block in chosen:
             for i in range(_EDGES[block], _EDGES[block + 1]):
                 keys[:, t] = (keys[:, t] << 1) | bits[:, i]
+        keys[:, t] |= t << _KEY_BITS
     return keys
 
 
@@ -208,7 +210,7 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low, high = first[a], ends[a]
             own = low + np.flatnonzero(asked[low:high])
             other = low + np.flatnonzero(~asked[low:high])
-            table = int(keys[low]) >> sum(_EDGES[b + 1] - _EDGES[b] for b in TABLES[0])
+            table = int(keys[low]) >> _KEY_BITS
             found = np.zeros(len(own), np.int64)
             for i in range(0, len(other), 4096):
                 part = prints[other[i:i + 4096]]
