@@ -432,6 +432,26 @@ def merge_versions(spark, sf_dir):
     return V.merge_versions(old, new, "object_name")
 
 
+def _three_versions(spark: SparkSession, sf_dir: str) -> V.VersionStore:
+    """A store of three runs of ten days each: a full version and two deltas on top of it."""
+    store, rows = V.VersionStore(spark, scratch_path(spark, "store")), B.versions(spark, sf_dir)
+    for start, version in ((date(2022, 11, 15), date(2022, 11, 24)), (date(2022, 11, 25), date(2022, 12, 4)), (date(2022, 12, 5), VERSION)):
+        days = rows.where(F.col("version_date").between(F.lit(start), F.lit(version)))
+        new = V.latest_row_per_key(days, "object_name", "version_date").drop("version_date")
+        store.append(new, "texts", version, "object_name", store.newest_before("texts", start))
+    return store
+
+
+@query
+def merge_version_deltas(spark, sf_dir):
+    return _three_versions(spark, sf_dir).read("texts", VERSION)
+
+
+@query
+def compact_versions(spark, sf_dir):
+    return _three_versions(spark, sf_dir).compact("texts", VERSION)
+
+
 def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.labelled_texts(spark, sf_dir).select("doc_id", L.language_name(F.col("lang")).alias("first_language"))
 
@@ -889,6 +909,17 @@ def dedup_step(spark, sf_dir):
     return daily.dedup_step(_document_texts(spark, sf_dir)).counts
 
 
+@query
+def incremental_dedup(spark, sf_dir):
+    """The near-duplicate index after two runs; the second signs only texts that the first has not seen."""
+    store, rows = _store(spark), _document_texts(spark, sf_dir)
+    middle = F.format_string("o%012d", F.lit(B.texts(spark, sf_dir).agg(F.avg("doc_id").cast("bigint")).first()[0] or 0))
+    for part, start, version in ((rows.where(F.col("object_name") <= middle), FIRST_RUN, FIRST_RUN), (rows.where(F.col("object_name") > middle), FROM_DATE, VERSION)):
+        daily.version_dedup_step(store, daily.dedup_step(part, index=daily.stored_index(store, start)), version, start)
+    uniques = store.read("unique_onions", VERSION).where("n_members > 0")
+    return uniques.select(F.substr("object_name", F.lit(2)).cast("bigint").alias("representative"), "n_members")
+
+
 @query
 def version_dedup_step(spark, sf_dir):
     return daily.version_dedup_step(_store(spark), daily.dedup_step(_document_texts(spark, sf_dir)), VERSION).counts

@@ -4,7 +4,7 @@ Each step takes tables, writes its version to a :class:`VersionStore` where it h
 returns the stored rows with its counters, so the lineage is cut at every dataset.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
 from datetime import date, timedelta
 
 from pyspark.ml import PipelineModel
@@ -15,9 +15,10 @@ from duskwatch.operators import counts as G
 from duskwatch.operators import dedup as D
 from duskwatch.operators import language as L
 from duskwatch.operators import pages as P
+from duskwatch.operators.near_index import KEYS, NearIndex, extend, grown
 from duskwatch.session import materialize
 from duskwatch.sources.objects import scan_date_range
-from duskwatch.sources.versions import VersionStore, merge_versions
+from duskwatch.sources.versions import VersionStore
 
 
 @dataclass
@@ -28,11 +29,25 @@ class Step:
 
 @dataclass
 class DedupStep:
-    exact: DataFrame      # (text_key, object_name): previous and new memberships
-    texts: DataFrame      # (text_id, text_key, object_name, text, n_copies): one row per distinct text
-    near: DataFrame       # (text_id, group_id, representative, n_members)
+    added: NearIndex      # the rows this run adds to the stored index
+    index: NearIndex      # the index with them
     counts: DataFrame
 
+    @property
+    def exact(self) -> DataFrame:
+        """``(text_key, object_name)``: previous and new memberships."""
+        return self.index.exact
+
+    @property
+    def texts(self) -> DataFrame:
+        """``(text_id, text_key, object_name, text, n_copies)``: one row per distinct text."""
+        return self.index.counted_texts()
+
+    @property
+    def near(self) -> DataFrame:
+        """``(text_id, group_id, representative, n_members)``: one row per distinct text."""
+        return self.index.near()
+
 
 def download_step(objects: DataFrame, from_date: date, today: date) -> Step:
     cleaned = P.clean_pages(scan_date_range(objects, from_date, today)).select("object_name", "text", "status")
@@ -40,8 +55,8 @@ def download_step(objects: DataFrame, from_date: date, today: date) -> Step:
 
 
 def _version(store: VersionStore, dataset: str, new: DataFrame, key: str, from_date: date, version: date) -> DataFrame:
-    merged = merge_versions(store.latest_before(dataset, from_date), new, key)
-    return store.write(merged, dataset, version)
+    """The newest version before ``from_date`` overlaid by this run's rows; only these are written."""
+    return store.append(new, dataset, version, key, store.newest_before(dataset, from_date))
 
 
 def version_cleaned_step(store: VersionStore, cleaned: DataFrame, from_date: date, version: date) -> Step:
@@ -64,60 +79,62 @@ def version_preprocessed_step(store: VersionStore, preprocessed: DataFrame, from
 
 
 def dedup_step(
-    preprocessed: DataFrame, previous_exact: DataFrame | None = None, previous_texts: DataFrame | None = None
+    preprocessed: DataFrame, previous_exact: DataFrame | None = None, previous_texts: DataFrame | None = None,
+    index: NearIndex | None = None,
 ) -> DedupStep:
-    """Exact index grown by this run, near groups rebuilt over all its texts.
+    """The index of texts and near groups grown by this run: only texts that it lacks are signed.
 
-    Counters are about this run's rows: a text known before makes its copies exact
-    mirrors; new texts are unique or near mirrors by their place in the groups.
+    Without an ``index`` one is made of the previous run's texts and memberships, if given.
+    Counters are about this run's rows: a text known before makes its copies exact mirrors;
+    new texts are unique or near mirrors by their place in the groups.
     """
-    new = D.exact_index(preprocessed)
-    exact = materialize(D.incremental_exact(previous_exact, new), "exact")
-    columns = ["text_key", "object_name", "text"]
-    firsts = D.distinct_texts(preprocessed).select(*columns)
-    if previous_texts is not None:
-        known = previous_texts.select(*columns)
-        firsts = known.unionByName(firsts.join(known.select("text_key"), "text_key", "left_anti"))
-    copies = exact.groupBy("text_key").agg(F.count("*").alias("n_copies"))
-    # A number per text, fixed by writing the table, keeps the keys of the group step short.
-    texts = materialize(
-        firsts.hint("merge").join(copies, "text_key").withColumn("text_id", F.monotonically_increasing_id()), "texts")
-    near = materialize(
-        D.near_table(D.near_groups(texts, "text_id"), texts, "text_id", tie="object_name"), "near")
-    # This run's rows: the first row of a text not known before counts by its place in the groups.
-    placed = new.select("text_key").distinct()
-    if previous_exact is not None:
-        placed = placed.join(previous_exact.select("text_key").distinct(), "text_key", "left_anti")
-    placed = placed.join(texts.select("text_key", "text_id"), "text_key").join(near, "text_id")
-    first_counts = placed.agg(
-        F.count_if(F.col("text_id") == F.col("representative")).alias("unique"),
-        F.count_if(F.col("text_id") != F.col("representative")).alias("near"))
-    totals = new.agg(F.count("*").alias("total"))
-    counts = G.counter_rows(totals.join(F.broadcast(first_counts)).select(
+    if index is None and previous_texts is not None:
+        made = extend(None, previous_texts.select("object_name", "text")).added
+        index = replace(made, exact=previous_exact if previous_exact is not None else made.exact)
+    found = extend(index, preprocessed)
+    counts = G.counter_rows(found.added.exact.agg(F.count("*").alias("total")).select(
         F.col("total").alias("Total onions"),
-        (F.col("total") - F.col("unique") - F.col("near")).alias("Exact mirrors"),
-        F.col("near").alias("Near mirrors"),
-        F.col("unique").alias("Unique onions")))
-    return DedupStep(exact, texts, near, counts)
-
-
-def version_dedup_step(store: VersionStore, dedup: DedupStep, version: date) -> Step:
-    """Write the exact index, the texts, the groups and the unique texts; count the totals."""
-    store.write(dedup.exact, "exact_onions", version)
-    texts = store.write(dedup.texts, "texts", version)
-    near = store.write(dedup.near, "near_onions", version)
-    uniques = D.unique_texts(near, "text_id")
-    stored = store.write(
-        uniques.join(texts.withColumnRenamed("text_id", "representative"), "representative"), "unique_onions", version)
-    counts = D.dedup_counts_total(texts, stored)
+        (F.col("total") - found.n_fresh).alias("Exact mirrors"),
+        F.lit(found.n_fresh - found.n_fresh_unique).alias("Near mirrors"),
+        F.lit(found.n_fresh_unique).alias("Unique onions")))
+    return DedupStep(found.added, grown(index, found.added), counts)
+
+
+INDEX = {f.name: f"near_index_{f.name}" for f in fields(NearIndex)}
+
+
+def stored_index(store: VersionStore, from_date: date) -> NearIndex | None:
+    """The near-duplicate index of the newest version before ``from_date``."""
+    tables = {name: store.latest_before(dataset, from_date) for name, dataset in INDEX.items()}
+    return None if None in tables.values() else NearIndex(**tables)
+
+
+def version_dedup_step(
+    store: VersionStore, dedup: DedupStep, version: date, from_date: date | None = None
+) -> Step:
+    """Write what the run adds to the index and to the unique texts; count the totals.
+
+    ``from_date`` is the first day of the run; by default the day of the version.
+    """
+    from_date = from_date or version
+    state = NearIndex(**{
+        name: store.append(getattr(dedup.added, name), dataset, version, KEYS[name], store.newest_before(dataset, from_date))
+        for name, dataset in INDEX.items()})
+    # Representatives of the groups that changed; merged groups are left without one.
+    changed = store.delta(INDEX["groups"], version).select("group_id", "representative", "n_members")
+    texts = state.texts.withColumnRenamed("text_id", "representative")
+    uniques = store.append(
+        changed.join(texts, "representative", "left"), "unique_onions", version, "group_id",
+        store.newest_before("unique_onions", from_date)).where("n_members > 0")
+    counts = D.dedup_counts_total(D.exact_duplicates(state.exact), uniques)
     store.write_stats(counts, "deduplicated_onions", version)
-    return Step(stored, counts)
+    return Step(uniques, counts)
 
 
 def language_step(model: PipelineModel, dedup: DedupStep) -> Step:
     """The two best languages of every representative text."""
-    uniques = D.unique_texts(dedup.near, "text_id").select(F.col("representative").alias("text_id"))
-    rows = L.language_top2(model, dedup.texts.join(uniques, "text_id", "left_semi"), "text_key")
+    uniques = dedup.index.uniques().select(F.col("representative").alias("text_id"))
+    rows = L.language_top2(model, dedup.index.texts.join(uniques, "text_id", "left_semi"), "text_key")
     return Step(rows, G.language_metrics(rows))
 
 
@@ -147,13 +164,12 @@ def daily_pipeline(
     total_cleaned = version_cleaned_step(store, cleaned, from_date, version)
     preprocessed = materialize(preprocess_step(cleaned).rows, "preprocessed")
     total_preprocessed = version_preprocessed_step(store, preprocessed, from_date, version)
-    dedup = dedup_step(
-        preprocessed, store.latest_before("exact_onions", from_date), store.latest_before("texts", from_date))
-    total_dedup = version_dedup_step(store, dedup, version)
+    dedup = dedup_step(preprocessed, index=stored_index(store, from_date))
+    total_dedup = version_dedup_step(store, dedup, version, from_date)
     language = language_step(model, dedup)
     labelled = materialize(language.rows, "languages")
     total_language = version_language_step(store, labelled, from_date, version)
-    lengths = store.write(classify_step(labelled, dedup.texts), "english_lengths", version)
+    lengths = store.write(classify_step(labelled, dedup.index.texts), "english_lengths", version)
     steps = {
         "download": G.status_counts(cleaned),
         "version_cleaned": total_cleaned.counts,

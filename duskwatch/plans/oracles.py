@@ -497,6 +497,8 @@ oracle("recompute_timestamp", "select onion, downloaded, download_date, download
        + ", first_identification from registry")
 oracle("merge_versions", "select object_name, text from new_rows union all select object_name, text from old_rows where"
        " object_name not in (select object_name from new_rows)")
+oracle("merge_version_deltas", "select object_name, text from last_rows")
+oracle("compact_versions", "select object_name, text from last_rows")
 oracle("semi_english", "select doc_id, text from documents where lang = 'en'")
 
 # --- aggregations
@@ -609,6 +611,7 @@ oracle("version_preprocessed_step", "select case metric when 'Cleaned onions' th
        " then 'Total preprocessed onions' else 'Total empty onions (after preprocessing)' end as metric, value from"
        " preprocess_metrics")
 oracle("dedup_step", "select metric, value from new_label_counts")
+oracle("incremental_dedup", "select representative, n_members from t_reps")
 oracle("version_dedup_step", "select metric, value from total_counts")
 oracle("version_language_step", "select 'Total onions' as metric, count(*)::double as value from relabelled union all select * from"
        " (select language, round(percentage, 6) from relabelled_shares order by 2 desc, 1 limit 10)")

@@ -164,3 +164,131 @@ def test_stats_keep_fractions(spark):
 
     counts = spark.createDataFrame([("all", 3.0), ("share", 66.67)], "metric string, value double")
     assert sorted(r[0] for r in stats_lines(counts).collect()) == ["all: 3", "share: 66.67"]
+
+
+def overlaid(versions):
+    """Rows of the versions taken one after another: a version's rows replace those of the same key."""
+    rows = []
+    for new in versions:
+        keys = {k for k, _ in new if k is not None}
+        rows = [r for r in rows if r[0] not in keys] + new
+    return sorted(rows, key=str)
+
+
+def test_deltas_equal_a_loop_and_are_as_large_as_the_day(spark, tmp_path):
+    import random
+
+    rng = random.Random(4)
+    store, days = VersionStore(spark, str(tmp_path), compact_after=3), []
+    for i in range(7):
+        new = [(rng.choice([None, *"abcdefghij"]), f"{i}.{j}") for j in range(rng.randrange(0, 7))]
+        day, rows = date(2022, 12, 1 + i), spark.createDataFrame(new, "k string, v string")
+        parent = store.newest_before("d", day)
+        state = store.append(rows, "d", day, "k", parent)
+        days.append(new)
+        assert sorted(map(tuple, state.collect()), key=str) == overlaid(days)
+        # Every third delta is followed by a full version.
+        full = i % 3 == 0
+        assert (store.versions("d")[day][0] is None) == full
+        assert len(store.chain("d", day)) == (1 if full else 1 + i % 3)
+        if not full:
+            assert store.delta("d", day).count() == len(new)
+    # A day that is run again replaces itself; later versions still stand on it or on what it stood on.
+    again = [("a", "again")]
+    state = store.append(spark.createDataFrame(again, "k string, v string"), "d", date(2022, 12, 6), "k", date(2022, 12, 5))
+    assert sorted(map(tuple, state.collect()), key=str) == overlaid([*days[:5], again])
+    # The full version of the seventh day does not change.
+    assert sorted(map(tuple, store.read("d", date(2022, 12, 7)).collect()), key=str) == overlaid(days)
+    assert store.latest_before("d", date(2022, 12, 4)).count() == len(overlaid(days[:3]))
+    compacted = store.compact("d", date(2022, 12, 6))
+    assert store.versions("d")[date(2022, 12, 6)][0] is None
+    assert sorted(map(tuple, compacted.collect()), key=str) == overlaid([*days[:5], again])
+
+
+def test_state_reads_only_its_own_folders(spark, tmp_path):
+    store = VersionStore(spark, str(tmp_path))
+    for i in range(5):
+        rows = spark.range(10 * i, 10 * i + 15).selectExpr("id as k", f"{i} as v")
+        (store.write if i == 2 else lambda r, d, v: store.append(r, d, v, "k", store.newest_before("d", v)))(rows, "d", date(2022, 12, 1 + i))
+    state = store.read("d", date(2022, 12, 5))
+    assert {f.split("version_date=")[1][:10] for f in state.inputFiles()} == {"2022-12-03", "2022-12-04", "2022-12-05"}
+    assert state.count() == 35 and state.where("v = 2").count() == 10
+    with pytest.raises(ValueError):
+        store.append(rows, "d", date(2022, 12, 1), "k", date(2022, 12, 5))
+
+
+def near_texts(seed=6):
+    """Texts of two days: copies over days, new groups, texts that join one old group and texts that link two."""
+    import random
+
+    rng = random.Random(seed)
+    bases = [[f"w{rng.randrange(400)}" for _ in range(30)] for _ in range(20)]
+    days = [[], []]
+    for i, base in enumerate(bases):
+        for day in days:
+            for _ in range(rng.randrange(4)):
+                near = list(base)
+                near[rng.randrange(30)] = f"x{rng.randrange(50)}"
+                day.append(" ".join(near))
+        days[rng.randrange(2)].append(" ".join(base))
+        if i % 2 == 0:  # two texts of the first day, and one half way between them on the second
+            days[0] += [" ".join(base), " ".join([f"y{i}.{k}" for k in range(12)] + base[12:])]
+            days[1].append(" ".join([f"y{i}.{k}" for k in range(6)] + base[6:]))
+    days[1] += days[0][:5] + days[1][:3] + [""]
+    names = iter(range(10_000))
+    return [[(f"o{next(names):05d}", t) for t in day] for day in days]
+
+
+def index_groups(spark, index):
+    """Texts by group, and every group's text with its size."""
+    rows = index.near().join(index.texts, "text_id").collect()
+    by_id = {r["text_id"]: r["text"] for r in rows}
+    groups = {}
+    for r in rows:
+        groups.setdefault(r["group_id"], set()).add(r["text"])
+        assert r["group_id"] <= r["text_id"]
+    return {(frozenset(groups[r["group_id"]]), by_id[r["representative"]], r["n_members"]) for r in rows}
+
+
+def test_two_days_sign_only_new_texts_and_equal_one_run(spark, tmp_path, monkeypatch):
+    from duskwatch.operators import dedup as D
+    from duskwatch.plans import daily
+
+    signed, original = [], D.bucket_members
+    monkeypatch.setattr(D, "bucket_members", lambda texts, key: signed.append(texts.count()) or original(texts, key))
+    for seed in (6, 7):
+        first, second = (spark.createDataFrame(rows, "object_name string, text string") for rows in near_texts(seed))
+        signed.clear()
+        whole = daily.dedup_step(first.union(second))
+        store = VersionStore(spark, str(tmp_path / str(seed)))
+        one = daily.dedup_step(first, index=daily.stored_index(store, date(2022, 12, 1)))
+        daily.version_dedup_step(store, one, date(2022, 12, 1))
+        two = daily.dedup_step(second, index=daily.stored_index(store, date(2022, 12, 2)))
+        unique = daily.version_dedup_step(store, two, date(2022, 12, 2))
+        old, new = ({t for _, t in rows if t} for rows in near_texts(seed))
+        assert signed == [len(old | new), len(old), len(new - old)]
+        stored = daily.stored_index(store, date(2022, 12, 3))
+        wanted = index_groups(spark, whole.index)
+        assert index_groups(spark, stored) == index_groups(spark, two.index) == wanted
+        assert {(r["text"], r["n_members"]) for r in unique.rows.collect()} == {(t, n) for _, t, n in wanted}
+        # Some group of the first day was merged, and only changed rows were written.
+        assert stored.groups.where("n_members = 0").count() > 0
+        assert store.delta("near_index_texts", date(2022, 12, 2)).count() == len(new - old)
+        assert store.delta("near_index_members", date(2022, 12, 2)).count() < len(old | new)
+        counts, total = ({r[0]: r[1] for r in c.collect()} for c in (unique.counts, daily.version_dedup_step(
+            VersionStore(spark, str(tmp_path / f"{seed}w")), whole, date(2022, 12, 2)).counts))
+        assert counts == total
+
+
+def test_text_numbers_do_not_change(spark, tmp_path):
+    from duskwatch.plans import daily
+
+    first, second = (spark.createDataFrame(rows, "object_name string, text string") for rows in near_texts())
+    store = VersionStore(spark, str(tmp_path))
+    numbers = []
+    for day, rows in ((1, first), (2, second), (3, second.limit(0))):
+        step = daily.dedup_step(rows, index=daily.stored_index(store, date(2022, 12, day)))
+        daily.version_dedup_step(store, step, date(2022, 12, day))
+        numbers.append({r["text_key"]: r["text_id"] for r in daily.stored_index(store, date(2022, 12, day + 1)).texts.collect()})
+    assert numbers[0].items() <= numbers[1].items() == numbers[2].items()
+    assert sorted(numbers[2].values()) == list(range(len(numbers[2])))
