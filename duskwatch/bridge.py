@@ -170,6 +170,11 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id as src", "explode(array((page_id * 7 + 1) % n, (page_id * 3 + 2) % n)) as dst")
 
 
+def message_place() -> list[Column]:
+    """Partition and offset of a message; offsets restart in every partition of every topic."""
+    return [(F.col("event_id") % 10).cast("int").alias("partition"), F.floor(F.col("event_id") / 10).alias("offset")]
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sightings as stream messages, JSON encoded twice; some undecodable, some without the field."""
     def twice(field: str) -> Column:
@@ -178,7 +183,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     slot = F.col("event_id") % 50
     return sightings(spark, sf_dir).where("coll <> 'results_other'").select(
-        F.concat(F.lit("crawlab_test."), "coll").alias("topic"), F.col("event_id").alias("offset"), "ts",
+        F.concat(F.lit("crawlab_test."), "coll").alias("topic"), *message_place(), "ts",
         F.when(slot == 49, "{bad").when(slot == 48, twice("other")).otherwise(twice("onion")).alias("value"),
     )
 

@@ -60,9 +60,9 @@ def path_address_fixed(path: Column) -> Column:
 
 
 def path_date(path: Column) -> Column:
-    """Day of an object path; month and day carry no leading zero."""
-    part = [F.regexp_extract(path, r"^/?(\d+)/(\d+)/(\d+)/", i).cast("int") for i in (1, 2, 3)]
-    return F.make_date(*part)
+    """Day of an object path, null if it names none; month and day carry no leading zero."""
+    part = [F.regexp_extract(path, r"^/?(\d+)/(\d+)/(\d+)/", i) for i in (1, 2, 3)]
+    return F.concat_ws("-", *part).try_cast("date")
 
 
 def object_path(dt: Column, onion: Column, folder: str = "htmls", suffix: str = "html") -> Column:

@@ -13,6 +13,8 @@ from duskwatch.operators.skew import join_counted
 from duskwatch.schemas import REGISTRY
 
 COLUMNS = REGISTRY.fieldNames()
+#: Total order of sightings. Offsets restart in every partition of every topic, a topic carries one source.
+ORDER = ("ts", "source", "partition", "offset")
 
 
 def lookup_registry(sightings: DataFrame, registry: DataFrame) -> DataFrame:
@@ -59,15 +61,13 @@ def _date(ts: Column) -> Column:
 
 
 def upsert_sightings(registry: DataFrame, sightings: DataFrame, fetched: DataFrame) -> DataFrame:
-    """Apply a batch of sightings ``(onion, source, ts, offset)`` to the registry.
+    """Apply a batch of sightings ``(onion, source, ts)`` to the registry.
 
     ``fetched`` lists the addresses whose page could be stored. The outcome equals taking
-    the sightings in offset order: a downloaded row only gains source flags; any other
+    the sightings in the order of time: a downloaded row only gains source flags; any other
     address is tried at each sighting until it is stored.
     """
-    batch = sightings.groupBy("onion").agg(
-        F.min_by("ts", "offset").alias("first_ts"), F.max_by("ts", "offset").alias("last_ts"), *_seen_flags()
-    )
+    batch = sightings.groupBy("onion").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), *_seen_flags())
     stored = fetched.select("onion").distinct().withColumn("stored", F.lit(True))
     batch = batch.join(stored, "onion", "left").withColumn("stored", F.coalesce("stored", F.lit(False)))
     merged = registry.alias("old").join(batch.alias("b"), "onion", "full_outer")
@@ -86,32 +86,33 @@ def upsert_sightings(registry: DataFrame, sightings: DataFrame, fetched: DataFra
 def decision_log(
     registry: DataFrame, sightings: DataFrame, fetched: DataFrame
 ) -> DataFrame:
-    """What happens to each sighting when they are taken in offset order."""
+    """What happens to each sighting when they are taken in the order of time, topic, partition and offset."""
+    place = F.struct(*ORDER)
     firsts = sightings.groupBy("onion").agg(
         F.count("*").alias("n_sightings"),
-        F.min("offset").alias("first_offset"),
-        *[F.min(F.when(_flag(s), F.col("offset"))).alias(f"first_{s}") for s in SOURCES],
+        F.min(place).alias("first"),
+        *[F.min(F.when(_flag(s), place)).alias(f"first_{s}") for s in SOURCES],
     )
     stored = fetched.select("onion").distinct().withColumn("stored", F.lit(True))
     known = firsts.join(stored, "onion", "left").join(
         registry.select("onion", F.lit(True).alias("known"), F.col("downloaded").alias("was_downloaded"), *SOURCES),
         "onion", "left")
     rows = join_counted(sightings, known, "onion", counts=firsts.withColumnRenamed("n_sightings", "n"))
-    earlier = F.col("offset") > F.col("first_offset")
-    old_flag, first_of_source = F.lit(False), F.lit(None).cast("bigint")
+    earlier = place > F.col("first")
+    old_flag, first_of_source = F.lit(False), F.lit(None)
     for s in SOURCES:
         old_flag = F.when(_flag(s), F.coalesce(F.col(s), F.lit(False))).otherwise(old_flag)
         first_of_source = F.when(_flag(s), F.col(f"first_{s}")).otherwise(first_of_source)
     rows = rows.select(
-        "offset", "onion", "source",
+        "partition", "offset", "onion", "source",
         (F.coalesce("known", F.lit(False)) | earlier).alias("seen_before"),
         (F.coalesce("was_downloaded", F.lit(False)) | (F.coalesce("stored", F.lit(False)) & earlier))
         .alias("downloaded_before"),
         F.coalesce("stored", F.lit(False)).alias("stored"),
-        (old_flag | (F.col("offset") > first_of_source)).alias("flag_before"),
+        (old_flag | (place > first_of_source)).alias("flag_before"),
     )
     return rows.select(
-        "offset", "onion", "seen_before", "downloaded_before",
+        F.col("source").alias("listed_by"), "partition", "offset", "onion", "seen_before", "downloaded_before",
         (~F.col("downloaded_before") & F.col("stored")).alias("downloaded_now"),
         F.when(F.col("downloaded_before") & F.col("flag_before"), "False").otherwise(F.col("source")).alias("source"),
     )
@@ -119,7 +120,7 @@ def decision_log(
 
 def merge_single_source(registry: DataFrame, sightings: DataFrame, source: str) -> DataFrame:
     """Insert addresses the registry lacks with their first sighting; flag the others."""
-    batch = sightings.where(_flag(source)).groupBy("onion").agg(F.min_by("ts", "offset").alias("new_ts"))
+    batch = sightings.where(_flag(source)).groupBy("onion").agg(F.min("ts").alias("new_ts"))
     merged = registry.alias("old").join(batch, "onion", "full_outer")
     known, sighted = F.col("old.downloaded").isNotNull(), F.col("new_ts").isNotNull()
     return merged.select(

@@ -73,7 +73,7 @@ def registry_out(df: DataFrame) -> DataFrame:
 
 
 def stored_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.source_sightings(spark, sf_dir).withColumnRenamed("event_id", "offset")
+    return B.source_sightings(spark, sf_dir).select(*B.message_place(), "advertiser", "onion", "ts", "source")
 
 
 def feed(df: DataFrame, key: str, name: str) -> str:
@@ -135,7 +135,7 @@ def cdc_filter(spark, sf_dir):
 
 @query
 def decode_sighting_messages(spark, sf_dir):
-    return messages.decode_messages(B.messages(spark, sf_dir)).select("offset", "topic", "onion", "status")
+    return messages.decode_messages(B.messages(spark, sf_dir)).select("partition", "offset", "topic", "onion", "status")
 
 
 @query
@@ -307,7 +307,7 @@ def compose_text(spark, sf_dir):
 
 @query
 def source_from_topic(spark, sf_dir):
-    return B.messages(spark, sf_dir).select("offset", A.source_from_topic(F.col("topic")).alias("source"))
+    return B.messages(spark, sf_dir).select("partition", "offset", A.source_from_topic(F.col("topic")).alias("source"))
 
 
 @query
@@ -353,7 +353,7 @@ for _name in (
 @query
 def lookup_registry(spark, sf_dir):
     return R.lookup_registry(stored_sightings(spark, sf_dir), B.registry(spark, sf_dir)).select(
-        "offset", "onion", "source", "ts", "downloaded", "registry_ts")
+        "partition", "offset", "onion", "source", "ts", "downloaded", "registry_ts")
 
 
 def _objects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -797,7 +797,7 @@ def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_sightings(spark, sf_dir):
     out = scratch_path(spark, "sightings")
     streams.stream_sightings(_message_stream(spark, sf_dir), out, scratch_path(spark, "checkpoint"))
-    return spark.read.parquet(out).select("offset", "onion", "source", "ts")
+    return spark.read.parquet(out).select("partition", "offset", "onion", "source", "ts")
 
 
 @query
@@ -814,8 +814,9 @@ def stream_upsert(spark, sf_dir):
 def stream_quarantine(spark, sf_dir):
     good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
     streams.stream_quarantine(_message_stream(spark, sf_dir), good, bad, scratch_path(spark, "checkpoint"))
-    kept = spark.read.parquet(good).select("offset", F.lit("ok").alias("status"))
-    return kept.unionByName(spark.read.parquet(bad).select("offset", "status"))
+    kept = spark.read.parquet(good).select("partition", "offset", "source", F.lit("ok").alias("status"))
+    return kept.unionByName(spark.read.parquet(bad).select(
+        "partition", "offset", A.source_from_topic(F.col("topic")).alias("source"), "status"))
 
 
 @query

@@ -70,6 +70,7 @@ def first_by(*columns: str) -> str:
 
 
 FLAGS = list(C.SOURCES)
+_PLACE = '(event_id % 10)::integer as "partition", event_id // 10 as "offset"'
 NOISE = {
     "Onion": rf"regexp_matches(s, '(^|[^{WORD}])[a-z2-7]{{16,56}}\.onion([^{WORD}]|$)')",
     "PGP": f"regexp_matches(s, {lit(C.NOISE_PGP)})",
@@ -216,7 +217,7 @@ VIEWS = {
                  " 'results_code_repositories' else 'results_other' end as coll, 'adv' || (event_id % 7)::varchar as"
                  f" advertiser, {addr(chr(39) + 'u' + chr(39) + ' || user_id::varchar')} as onion,"
                  " epoch_us(ts) / 1e6::double as ts from events",
-    "listed": f"select event_id as \"offset\", substr(coll, 9) as source, onion, ts from sightings where coll in ({_LISTED})",
+    "listed": f"select {_PLACE}, substr(coll, 9) as source, onion, ts from sightings where coll in ({_LISTED})",
     "registry": f"select {addr(chr(39) + 'u' + chr(39) + ' || user_id::varchar')} as onion, user_id % 2 = 0 as downloaded,"
                 " (1704067200 + 3600 * user_id)::double as download_date, (1704067200 + 3600 * user_id)::double as ts,"
                 " user_id % 4 = 0 as onions_farmer, user_id % 5 = 0 as ioc_repositories, user_id % 7 = 0 as gateways,"
@@ -259,10 +260,10 @@ VIEWS = {
                      f" from gateway_rows where regexp_matches(url, {lit(C.GATEWAY_ADDRESS)})",
     "edges": "select page_id as src, (page_id * 7 + 1) % n as dst from pages, (select count(*) as n from pages)"
              " union all select page_id, (page_id * 3 + 2) % n from pages, (select count(*) as n from pages)",
-    "messages": "select event_id as \"offset\", 'crawlab_test.' || coll as topic, substr(coll, 9) as source, case when"
+    "messages": f"select {_PLACE}, 'crawlab_test.' || coll as topic, substr(coll, 9) as source, case when"
                 " event_id % 50 = 49 then 'undecodable' when event_id % 50 = 48 then 'no_address' else 'ok' end as status,"
                 " onion, ts from sightings where coll <> 'results_other'",
-    "good": 'select "offset", source, onion, ts from messages where status = \'ok\'',
+    "good": 'select "partition", "offset", source, onion, ts from messages where status = \'ok\'',
     "versions": "select 'o' || doc_id::varchar as object_name, case when c = 1 then 'changed ' || text else text end as"
                 " text, date '2022-11-15' + (doc_id % 30)::integer + c as version_date from documents,"
                 " (values (0), (1)) v(c) where c = 0 or lang <> 'en'",
@@ -370,7 +371,7 @@ oracle("registry_scan", "select onion from registry where downloaded")
 oracle("union_sightings", "select source, onion, ts from listed")
 oracle("union_sources", "select source, onion, ts from listed")
 oracle("cdc_filter", f"select event_id, coll, advertiser, onion, ts from sightings where coll in ({_LISTED})")
-oracle("decode_sighting_messages", 'select "offset", topic, case when status = \'ok\' then onion end as onion, status from messages')
+oracle("decode_sighting_messages", 'select "partition", "offset", topic, case when status = \'ok\' then onion end as onion, status from messages')
 oracle("decode_object_events", "select page_id, case when page_id % 41 <> 40 then 's3:ObjectCreated:Put' end as event_name,"
        " case when page_id % 41 <> 40 then object_name end as object_name, case when page_id % 41 <> 40 then"
        " dt::varchar || 'T00:00:00Z' end as event_time from stored")
@@ -417,7 +418,7 @@ oracle("html_title", "select page_id, title from decoded")
 oracle("html_description", "select page_id, description from decoded")
 oracle("main_content", "select page_id, content from decoded")
 oracle("compose_text", "select page_id, text from composed")
-oracle("source_from_topic", 'select "offset", source from messages')
+oracle("source_from_topic", 'select "partition", "offset", source from messages')
 oracle("page_enrich", "select e.page_id, 's3:ObjectCreated:Put' as event_name, e.dt::varchar || 'T00:00:00Z' as event_time,"
        " d.object_name, d.title, d.description from stored e join decoded d on d.object_name = e.object_name"
        " where e.page_id % 41 <> 40")
@@ -439,7 +440,7 @@ for _name in STEPS:
 oracle("remove_noise", f"select doc_id, text as result from ({denoise('noisy', 'doc_id')})")
 
 # --- joins, lookups, upserts
-oracle("lookup_registry", 'select "offset", l.onion, source, l.ts, downloaded, r.ts as registry_ts from listed l left join'
+oracle("lookup_registry", 'select "partition", "offset", l.onion, source, l.ts, downloaded, r.ts as registry_ts from listed l left join'
        " registry r on r.onion = l.onion")
 oracle("anti_incoherent", "select onion, object_name from first_objects where onion not in (select onion from registry where downloaded)")
 oracle("except_registry", "select distinct onion from stored where onion not in (select onion from registry where downloaded)")
@@ -449,7 +450,7 @@ oracle("refresh_downloaded", "select onion, onion in (select onion from stored)
 
 def _batch(source: str) -> str:
     flags = ", ".join(f"bool_or(source = '{s}') as new_{s}" for s in FLAGS)
-    return (f'select onion, min_by(ts, "offset") as first_ts, max_by(ts, "offset") as last_ts, max(ts) as max_ts, {flags},'
+    return (f'select onion, arg_min(ts, (ts, source, "partition", "offset")) as first_ts, arg_max(ts, (ts, source, "partition", "offset")) as last_ts, max(ts) as max_ts, {flags},'
             f" onion in (select onion from stored) as fetched from {source} group by onion")
 
 
@@ -466,17 +467,17 @@ def _upsert(source: str) -> str:
 
 oracle("upsert_sightings", _upsert("listed"))
 _OLD_FLAG = "case source " + " ".join(f"when '{s}' then coalesce(r.{s}, false)" for s in FLAGS) + " end"
-oracle("decision_log", f"""select "offset", onion, seen_before, downloaded_before, not downloaded_before and fetched as downloaded_now,
+oracle("decision_log", f"""select source as listed_by, "partition", "offset", onion, seen_before, downloaded_before, not downloaded_before and fetched as downloaded_now,
  case when downloaded_before and flag_before then 'False' else source end as source from (
- select l."offset", l.onion, source, r.onion is not null or rn > 1 as seen_before, l.onion in (select onion from stored) as fetched,
+ select l."partition", l."offset", l.onion, source, r.onion is not null or rn > 1 as seen_before, l.onion in (select onion from stored) as fetched,
  coalesce(r.downloaded, false) or (l.onion in (select onion from stored) and rn > 1) as downloaded_before,
- {_OLD_FLAG} or rs > 1 as flag_before from (select *, row_number() over (partition by onion order by "offset") as rn,
- row_number() over (partition by onion, source order by "offset") as rs from listed) l left join registry r on r.onion = l.onion)""")
+ {_OLD_FLAG} or rs > 1 as flag_before from (select *, row_number() over (partition by onion order by ts, source, "partition", "offset") as rn,
+ row_number() over (partition by onion, source order by ts, source, "partition", "offset") as rs from listed) l left join registry r on r.onion = l.onion)""")
 oracle("merge_single_source", "select onion, case when r.ts is null then false else r.downloaded end as downloaded, coalesce("
        "r.download_date, b.first_ts) as download_date, coalesce(r.ts, b.first_ts) as ts, coalesce(r.onions_farmer, false) or"
        " b.onion is not null as onions_farmer, coalesce(r.ioc_repositories, false) as ioc_repositories, coalesce(r.gateways, false)"
        " as gateways, coalesce(r.code_repositories, false) as code_repositories, r.first_identification from registry r full join"
-       " (select onion, min_by(ts, \"offset\") as first_ts from listed where source = 'onions_farmer' group by onion) b using (onion)")
+       " (select onion, min(ts) as first_ts from listed where source = 'onions_farmer' group by onion) b using (onion)")
 oracle("merge_all_sources", "select onion, case when b.onion is not null then false else r.downloaded end as downloaded, case when"
        " b.onion is not null then greatest(coalesce(r.ts, max_ts), max_ts) else r.download_date end as download_date, greatest("
        f"coalesce(r.ts, max_ts), coalesce(max_ts, r.ts)) as ts, {_MERGED}, r.first_identification from registry r full join"
@@ -590,9 +591,9 @@ oracle("gateway_cap", "select rank, gateway, url from (select *, row_number() ov
        " gateway_rows) where rn <= 200")
 
 # --- streaming, after everything has been read
-oracle("stream_sightings", 'select "offset", onion, source, ts from good')
+oracle("stream_sightings", 'select "partition", "offset", onion, source, ts from good')
 oracle("stream_upsert", _upsert("good"))
-oracle("stream_quarantine", 'select "offset", status from messages')
+oracle("stream_quarantine", 'select "partition", "offset", source, status from messages')
 oracle("stream_page_enrich", "select e.page_id, d.object_name, e.dt::varchar || 'T00:00:00Z' as event_time, d.title, d.description"
        " from stored e join decoded d on d.object_name = e.object_name where e.page_id % 41 <> 40")
 oracle("stream_dedupe_source", "select distinct onion, source from good")

@@ -22,6 +22,7 @@ REGISTRY = T.StructType([
 
 MESSAGE = T.StructType([
     T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
     T.StructField("ts", T.DoubleType()),
     T.StructField("value", T.StringType()),

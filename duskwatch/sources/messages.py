@@ -1,5 +1,7 @@
 """Change-stream documents, sighting messages and object events."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +52,25 @@ def decode_object_events(events: DataFrame) -> DataFrame:
     )
 
 
+def dated_object_events(events: DataFrame) -> DataFrame:
+    """Decoded events of stored pages with the day ``object_dt`` that their object's name tells."""
+    decoded = decode_object_events(events).where(F.col("object_name").rlike(r"^/?\d+/\d+/\d+/"))
+    return decoded.withColumn("object_dt", A.path_date(F.col("object_name"))).where("object_dt is not null")
+
+
+def event_days(events: DataFrame) -> list[date]:
+    """The days of the objects that some events name: at most one per day of the calendar."""
+    return sorted(r[0] for r in dated_object_events(events).select("object_dt").distinct().collect())
+
+
 def object_key_join(events: DataFrame, objects: DataFrame) -> DataFrame:
-    """Each decoded event with the body of its object."""
-    return decode_object_events(events).where("object_name is not null").join(
-        objects.select("object_name", "body"), "object_name")
+    """Each decoded event with the body of its object.
+
+    ``objects`` are stored in folders per ``dt``, the day in their name, so only the folders of
+    the events' days are read: the days, one row each, filter the partitions while the query runs.
+    The join itself is on day and name.
+    """
+    dated = dated_object_events(events)
+    days = F.broadcast(dated.select(F.col("object_dt").alias("dt")).distinct())
+    stored = objects.select("dt", "object_name", "body").join(days, "dt", "left_semi")
+    return dated.join(stored.withColumnRenamed("dt", "object_dt"), ["object_dt", "object_name"]).drop("object_dt")

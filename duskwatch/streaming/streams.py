@@ -25,7 +25,7 @@ def kafka_sightings(spark: SparkSession, servers: str, max_offsets: int, topics:
         spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics)).option("startingOffsets", "earliest")
         .option("maxOffsetsPerTrigger", max_offsets).load()
-        .select("topic", "offset", (F.unix_micros("timestamp") / F.lit(1e6)).alias("ts"), F.col("value").cast("string"))
+        .select("topic", "partition", "offset", (F.unix_micros("timestamp") / F.lit(1e6)).alias("ts"), F.col("value").cast("string"))
     )
 
 
@@ -92,9 +92,22 @@ def stream_quarantine(messages: DataFrame, good: str, bad: str, checkpoint: str)
     drain(messages.writeStream.foreachBatch(split), checkpoint)
 
 
+def enrich_batch(events: DataFrame, objects: DataFrame) -> DataFrame:
+    """One micro-batch of object events with their pages, read from the folders of the batch's days only."""
+    return page_enrich(events, objects.where(F.col("dt").isin(M.event_days(events))))
+
+
 def stream_page_enrich(events: DataFrame, objects: DataFrame, path: str, checkpoint: str) -> None:
-    """Object events joined with the stored pages: title and description."""
-    stream_to_files(page_enrich(events, objects), path, checkpoint)
+    """Object events joined with the stored pages: title and description.
+
+    The days of a micro-batch are known before its join is planned, so they are literals there.
+    """
+    def enrich(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        _batch_writer(path)(enrich_batch(batch, objects), batch_id)
+        batch.unpersist()
+
+    drain(events.writeStream.foreachBatch(enrich), checkpoint)
 
 
 def stream_dedupe_source(messages: DataFrame, path: str, checkpoint: str) -> None:

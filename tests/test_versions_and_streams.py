@@ -63,7 +63,7 @@ def test_scans_and_bulk_load(spark, tmp_path):
 
 def message(offset, ts, onion="o1", source="gateways"):
     inner = json.dumps({"onion": onion})
-    return {"topic": f"crawlab_test.results_{source}", "offset": offset, "ts": ts, "value": json.dumps(inner)}
+    return {"topic": f"crawlab_test.results_{source}", "partition": offset % 3, "offset": offset // 3, "ts": ts, "value": json.dumps(inner)}
 
 
 def write_file(folder, name, rows):
@@ -292,3 +292,46 @@ def test_text_numbers_do_not_change(spark, tmp_path):
         numbers.append({r["text_key"]: r["text_id"] for r in daily.stored_index(store, date(2022, 12, day + 1)).texts.collect()})
     assert numbers[0].items() <= numbers[1].items() == numbers[2].items()
     assert sorted(numbers[2].values()) == list(range(len(numbers[2])))
+
+
+def object_event(name):
+    return {"page_id": 1, "value": json.dumps({"EventName": "s3:ObjectCreated:Put", "Key": f"onions/{name}", "Records": [{"eventTime": "t"}]})}
+
+
+@pytest.fixture
+def stored_pages(spark, tmp_path):
+    """Pages of four days; the folders of two days cannot be read."""
+    rows = [(f"2022/11/{d}/htmls/o{i}.html", date(2022, 11, d), f"<title>{d} {i}</title>".encode()) for d in range(1, 5) for i in range(3)]
+    schema = "object_name string, dt date, body binary"
+    objects.write_html_partitioned(spark.createDataFrame(rows, schema), str(tmp_path / "objects"))
+    for day in (1, 4):
+        for file in (tmp_path / "objects" / f"dt=2022-11-0{day}").glob("*.parquet"):
+            file.write_bytes(b"not a file of pages")
+    for crc in (tmp_path / "objects").rglob(".*.crc"):
+        crc.unlink()
+    return spark.read.schema(schema).parquet(str(tmp_path / "objects"))
+
+
+def test_object_join_reads_only_the_days_of_the_events(spark, stored_pages):
+    from duskwatch.sources import messages
+
+    names = ["2022/11/2/htmls/o1.html", "2022/11/3/htmls/o0.html", "2022/11/3/htmls/o0.html", "2022/11/2/htmls/absent.html", "no/day", "2022/13/40/htmls/o1.html"]
+    events = spark.createDataFrame([tuple(object_event(n).values()) for n in names] + [(1, "{bad"), (1, None)], "page_id int, value string")
+    found = messages.object_key_join(events, stored_pages)
+    assert "dynamicpruning" in plan(found).lower()
+    assert sorted(r["object_name"] for r in found.collect()) == sorted(names[:3])
+    assert set(found.columns) == {"page_id", "event_name", "object_name", "event_time", "body"}
+    with pytest.raises(Exception, match="not a Parquet file|FAILED_READ_FILE"):
+        messages.object_key_join(events, stored_pages.withColumn("dt", F.col("dt") + F.expr("interval 0 days"))).collect()
+
+
+def test_stream_enriches_from_the_days_of_each_batch(spark, tmp_path, stored_pages):
+    source, out = tmp_path / "events", str(tmp_path / "enriched")
+    write_file(source, "a.json", [object_event("2022/11/2/htmls/o1.html"), {"page_id": 2, "value": "{bad"}])
+    write_file(source, "b.json", [object_event("2022/11/3/htmls/o2.html")])
+    events = streams.file_stream(spark, str(source), "page_id int, value string")
+    streams.stream_page_enrich(events, stored_pages, out, str(tmp_path / "cp"))
+    assert {(r["object_name"], r["title"]) for r in spark.read.parquet(out).collect()} == {
+        ("2022/11/2/htmls/o1.html", "2 1"), ("2022/11/3/htmls/o2.html", "3 2")}
+    batch = spark.createDataFrame([tuple(object_event("2022/11/2/htmls/o1.html").values())], "page_id int, value string")
+    assert "dt#" in plan(streams.enrich_batch(batch, stored_pages)) and "2022-11-02" in plan(streams.enrich_batch(batch, stored_pages))
