@@ -810,6 +810,21 @@ def stream_upsert(spark, sf_dir):
     return registry_out(streams.latest_registry(spark, out, start))
 
 
+@query
+def stream_upsert_batches(spark, sf_dir):
+    """The messages in four micro-batches in the order of time: a registry in buckets with deltas."""
+    out, start = scratch_path(spark, "registry"), materialize(B.registry(spark, sf_dir), "registry")
+    fetched = materialize(_objects(spark, sf_dir).select("onion").distinct(), "fetched")
+    path, rows = scratch_path(spark, "messages"), materialize(B.messages(spark, sf_dir), "messages")
+    edges = [None, *rows.approxQuantile("ts", [0.25, 0.5, 0.75], 0.01), None]
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        part = rows if low is None else rows.where(F.col("ts") >= low)
+        (part if high is None else part.where(F.col("ts") < high)).coalesce(1).write.mode("append").json(path)
+    streams.stream_upsert(
+        streams.file_stream(spark, path), start, fetched, out, scratch_path(spark, "checkpoint"), buckets=8, compact_after=2)
+    return registry_out(streams.latest_registry(spark, out, start))
+
+
 @query
 def stream_quarantine(spark, sf_dir):
     good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
@@ -833,14 +848,14 @@ def stream_page_enrich(spark, sf_dir):
 def stream_dedupe_source(spark, sf_dir):
     out = scratch_path(spark, "pairs")
     streams.stream_dedupe_source(_message_stream(spark, sf_dir), out, scratch_path(spark, "checkpoint"))
-    return spark.read.parquet(out)
+    return streams.seen_pairs(spark, out)
 
 
 @query
 def stream_seen_state(spark, sf_dir):
     out = scratch_path(spark, "state")
     streams.stream_seen_state(_message_stream(spark, sf_dir), out, scratch_path(spark, "checkpoint"))
-    return streams.latest_updates(spark, out, ["onion"])
+    return streams.latest_updates(spark, out, ["onion"]).drop("expired")
 
 
 @query

@@ -593,6 +593,7 @@ oracle("gateway_cap", "select rank, gateway, url from (select *, row_number() ov
 # --- streaming, after everything has been read
 oracle("stream_sightings", 'select "partition", "offset", onion, source, ts from good')
 oracle("stream_upsert", _upsert("good"))
+oracle("stream_upsert_batches", _upsert("good"))
 oracle("stream_quarantine", 'select "partition", "offset", source, status from messages')
 oracle("stream_page_enrich", "select e.page_id, d.object_name, e.dt::varchar || 'T00:00:00Z' as event_time, d.title, d.description"
        " from stored e join decoded d on d.object_name = e.object_name where e.page_id % 41 <> 40")

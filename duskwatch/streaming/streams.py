@@ -4,10 +4,13 @@ Every job is at-least-once with idempotent writes: a micro-batch writes only bel
 batch number, so a replay replaces itself. Checkpoints belong into shared storage.
 """
 
-from pyspark.errors import AnalysisException
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from duskwatch import schemas
@@ -15,6 +18,7 @@ from duskwatch.constants import SOURCES, TOPIC_PREFIX
 from duskwatch.operators.pages import page_enrich
 from duskwatch.operators.registry import upsert_sightings
 from duskwatch.sources import messages as M
+from duskwatch.streaming.buckets import BucketStore
 
 TOPICS = tuple(f"{TOPIC_PREFIX}results_{s}" for s in SOURCES)
 
@@ -39,6 +43,21 @@ def drain(writer: DataStreamWriter, checkpoint: str) -> None:
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Streams started here keep their state in RocksDB: on local disk, not on the executor's heap."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _batch_writer(path: str, name: str = "batch_id"):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{name}={batch_id}")
@@ -56,29 +75,37 @@ def stream_sightings(messages: DataFrame, path: str, checkpoint: str) -> None:
     stream_to_files(M.decode_sightings(messages), path, checkpoint)
 
 
-def stream_upsert(messages: DataFrame, registry: DataFrame, fetched: DataFrame, path: str, checkpoint: str) -> None:
-    """Merge each micro-batch into the registry; batch ``n`` reads version ``n - 1``."""
-    def version(batch_id: int) -> str:
-        return f"{path}/batch_id={batch_id}"
+def registry_store(spark: SparkSession, path: str, **options: int) -> BucketStore:
+    return BucketStore(spark, path, schemas.REGISTRY, ["onion"], **options)
+
+
+def stream_upsert(
+    messages: DataFrame, registry: DataFrame, fetched: DataFrame, path: str, checkpoint: str, **options: int
+) -> None:
+    """Merge each micro-batch into the registry below ``path``, which starts as ``registry``.
+
+    A batch reads the buckets of its addresses, merges the rows of these addresses only, and
+    writes only them. Messages of one address must come in the order of time over batches.
+    """
+    store = registry_store(messages.sparkSession, path, **options)
+    if not store.exists:
+        store.create(registry)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        before = registry if batch_id == 0 else batch.sparkSession.read.schema(schemas.REGISTRY).parquet(
-            version(batch_id - 1))
-        upsert_sightings(before, M.decode_sightings(batch), fetched).write.mode("overwrite").parquet(version(batch_id))
+        batch = M.decode_sightings(batch).persist()
+        buckets = store.touched(batch)
+        if buckets:
+            before = store.state(buckets, batch_id).join(batch.select("onion").distinct(), "onion", "left_semi")
+            store.apply(upsert_sightings(before, batch, fetched), batch_id, buckets)
+        batch.unpersist()
 
     drain(messages.writeStream.foreachBatch(merge), checkpoint)
 
 
 def latest_registry(spark: SparkSession, path: str, registry: DataFrame) -> DataFrame:
     """The registry after the last micro-batch; the initial one before any."""
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":  # an unreadable registry is not an empty one
-            raise
-        return registry
-    last = stored.agg(F.max("batch_id")).first()[0]
-    return spark.read.schema(schemas.REGISTRY).parquet(f"{path}/batch_id={last}")
+    store = registry_store(spark, path)
+    return store.state() if store.exists else registry
 
 
 def stream_quarantine(messages: DataFrame, good: str, bad: str, checkpoint: str) -> None:
@@ -110,13 +137,39 @@ def stream_page_enrich(events: DataFrame, objects: DataFrame, path: str, checkpo
     drain(events.writeStream.foreachBatch(enrich), checkpoint)
 
 
-def stream_dedupe_source(messages: DataFrame, path: str, checkpoint: str) -> None:
-    """Each address once per source. State holds one narrow key per pair seen.
+PAIR = StructType().add("onion", "string").add("source", "string")
+
+
+def event_time(ts: str = "ts"):
+    return F.timestamp_micros((F.col(ts) * 1_000_000).cast("bigint"))
 
-    A busy address sends at most a trigger's worth of these narrow rows to one task.
+
+def stream_dedupe_source(messages: DataFrame, path: str, checkpoint: str, delay: str = "40 days", **options: int) -> None:
+    """Each address once per source, in a table of pairs below ``path``.
+
+    The stream's state drops repeats within ``delay`` of event time and forgets a pair after it;
+    sightings later than that are dropped. A pair that comes again after it was forgotten meets
+    the stored pairs of its bucket. So the state holds no more than ``delay`` of pairs, on the
+    state store's disk, and the table every pair once.
     """
-    pairs = M.decode_sightings(messages).select("onion", "source")
-    stream_to_files(pairs.dropDuplicates(["onion", "source"]), path, checkpoint)
+    store = BucketStore(messages.sparkSession, path, PAIR, ["onion", "source"], **options)
+    pairs = M.decode_sightings(messages).select("onion", "source", event_time().alias("event_time"))
+    pairs = pairs.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["onion", "source"]).drop("event_time")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.distinct().persist()
+        buckets = store.touched(batch)
+        if buckets:
+            store.apply(batch.join(store.state(buckets, batch_id), ["onion", "source"], "left_anti"), batch_id, buckets)
+        batch.unpersist()
+
+    with rocksdb_state(messages.sparkSession):
+        drain(pairs.writeStream.outputMode("append").foreachBatch(keep), checkpoint)
+
+
+def seen_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """The pairs that :func:`stream_dedupe_source` has stored."""
+    return BucketStore(spark, path, PAIR, ["onion", "source"]).state()
 
 
 def _stream_updates(rows: DataFrame, path: str, checkpoint: str) -> None:
@@ -130,22 +183,60 @@ def latest_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("last")).select(*keys, "last.*")
 
 
-def stream_seen_state(messages: DataFrame, path: str, checkpoint: str) -> None:
-    """State per address: first and last time, and the sources that listed it.
+class SeenState(StatefulProcessor):
+    """Per address its first and last time and its sources, until it was not seen for ``keep_ms`` of event time."""
+
+    def __init__(self, keep_ms: int):
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", ", ".join(["first_ts double", "last_ts double", *[f"{s} boolean" for s in SOURCES]]))
+
+    def _row(self, key: tuple, state: tuple, expired: bool) -> pd.DataFrame:
+        return pd.DataFrame([(*key, *state, expired)], columns=["onion", "first_ts", "last_ts", *SOURCES, "expired"])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first, last, *flags = self.seen.get() if self.seen.exists() else (None, None, *[False] * len(SOURCES))
+        for part in rows:
+            low, high = float(part["ts"].min()), float(part["ts"].max())
+            first, last = (low, high) if first is None else (min(first, low), max(last, high))
+            flags = [bool(old or part[s].any()) for old, s in zip(flags, SOURCES, strict=True)]
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(int(last * 1000) + self.keep_ms)
+        self.seen.update((first, last, *flags))
+        yield self._row(key, (first, last, *flags), False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        state = self.seen.get()
+        self.seen.clear()
+        yield self._row(key, state, True)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_seen_state(messages: DataFrame, path: str, checkpoint: str, delay: str = "40 days", keep_days: int = 400) -> None:
+    """State per address: first and last time, the sources that listed it, and whether it has expired.
 
-    A streaming aggregate combines a batch's rows before they reach the state, so a busy
-    address costs one update per task and batch.
+    A state of its own kind on the RocksDB store: it ends ``keep_days`` of event time after the
+    address was last seen, with one last row that says so, and begins anew if it comes back. A
+    batch's rows of an address are read in Arrow batches, one after another. Sightings later than
+    ``delay`` are dropped.
     """
-    state = M.decode_sightings(messages).groupBy("onion").agg(
-        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
-        *[F.bool_or(F.col("source") == s).alias(s) for s in SOURCES])
-    _stream_updates(state, path, checkpoint)
+    rows = M.decode_sightings(messages).withColumn("event_time", event_time()).withWatermark("event_time", delay)
+    narrow = rows.select("onion", "event_time", "ts", *[(F.col("source") == s).alias(s) for s in SOURCES])
+    schema = "onion string, first_ts double, last_ts double, " + ", ".join(f"{s} boolean" for s in SOURCES) + ", expired boolean"
+    state = narrow.groupBy("onion").transformWithStateInPandas(
+        SeenState(keep_days * 86_400_000), outputStructType=schema, outputMode="Update", timeMode="EventTime")
+    with rocksdb_state(messages.sparkSession):
+        _stream_updates(state, path, checkpoint)
 
 
 def stream_daily_counts(messages: DataFrame, path: str, checkpoint: str, delay: str = "40 days") -> None:
     """Sightings per day of event time; rows later than ``delay`` are dropped."""
-    rows = M.decode_sightings(messages).withColumn(
-        "event_time", F.timestamp_micros((F.col("ts") * 1_000_000).cast("bigint")))
+    rows = M.decode_sightings(messages).withColumn("event_time", event_time())
     counts = rows.withWatermark("event_time", delay).groupBy(F.window("event_time", "1 day").alias("w")).agg(
         F.count("*").alias("n_sightings"))
     _stream_updates(counts.select(F.to_date("w.start").alias("day"), "n_sightings"), path, checkpoint)

@@ -335,3 +335,104 @@ def test_stream_enriches_from_the_days_of_each_batch(spark, tmp_path, stored_pag
         ("2022/11/2/htmls/o1.html", "2 1"), ("2022/11/3/htmls/o2.html", "3 2")}
     batch = spark.createDataFrame([tuple(object_event("2022/11/2/htmls/o1.html").values())], "page_id int, value string")
     assert "dt#" in plan(streams.enrich_batch(batch, stored_pages)) and "2022-11-02" in plan(streams.enrich_batch(batch, stored_pages))
+
+
+def folders(path):
+    """Every file of rows below a store with its time of writing."""
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_registry_in_buckets_equals_one_merge(spark, tmp_path):
+    """Four batches equal one merge in the order of time; a small fifth one leaves all other buckets as they are."""
+    import random
+
+    rng = random.Random(9)
+    rows = [(f"o{i}", i % 2 == 0, None, 1.0, True, False, False, False, None) for i in range(0, 60, 2)]
+    start = spark.createDataFrame(rows, schemas.REGISTRY)
+    fetched = spark.createDataFrame([(f"o{i}",) for i in range(0, 90, 4)], "onion string")
+    sources = ("onions_farmer", "ioc_repositories", "gateways", "code_repositories")
+    sent = [message(i, 10.0 + i, f"o{rng.randrange(90)}", rng.choice(sources)) for i in range(200)]
+    source, out, checkpoint = tmp_path / "in", tmp_path / "out", str(tmp_path / "cp")
+
+    def run():
+        streams.stream_upsert(streams.file_stream(spark, str(source)), start, fetched, str(out), checkpoint, buckets=16, compact_after=2)
+        return {r["onion"]: tuple(r) for r in streams.latest_registry(spark, str(out), start).collect()}
+
+    for i in range(4):
+        write_file(source, f"{i}.json", sent[50 * i:50 * i + 50])
+        got = run()
+        decoded = streams.M.decode_sightings(spark.createDataFrame([tuple(m.values()) for m in sent[:50 * i + 50]], schemas.MESSAGE))
+        assert got == {r["onion"]: tuple(r) for r in R.upsert_sightings(start, decoded, fetched).collect()}
+    before = folders(out)
+    assert any("full=2" in f or "full=3" in f for f in before)  # worn buckets were written anew
+    write_file(source, "4.json", [message(900, 900.0, "o1", "gateways")])
+    got = run()
+    assert got["o1"][6]
+    new = {f for f, t in folders(out).items() if before.get(f) != t}
+    assert before.items() <= folders(out).items()
+    store = streams.registry_store(spark, str(out))
+    bucket = store.touched(spark.createDataFrame([("o1",)], "onion string"))
+    assert new and {f.split("bucket=")[1].split("/")[0] for f in new} == {str(bucket[0])}
+    assert store.buckets == 16 and len(got) == len(run())
+
+
+def test_batch_that_runs_again_replaces_itself(spark, tmp_path):
+    store = streams.BucketStore(spark, str(tmp_path / "s"), streams.PAIR, ["onion", "source"], buckets=4, compact_after=1)
+    assert not store.exists and store.state().count() == 0
+
+    def pairs(*names):
+        return spark.createDataFrame([(n, "x") for n in names], "onion string, source string")
+
+    store.create(pairs("a", "b"))
+    for n, names in ((0, "cd"), (1, "de"), (1, "df"), (2, "g")):
+        rows = pairs(*names)
+        store.apply(rows, n, store.touched(rows))
+    found = {r["onion"] for r in store.state().collect()}
+    assert found == set("abcdfg") or found == set("abcdefg")  # e only where its bucket has no row of the second try
+    assert {r["onion"] for r in store.state(before=1).collect()} == set("abcd")
+
+
+def state_rows(spark, checkpoint, **options):
+    return spark.read.format("statestore").options(**options).load(checkpoint).count()
+
+
+def test_late_repeats_stay_out_and_the_state_shrinks(spark, tmp_path):
+    day = 86_400.0
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    batches = [
+        [message(i, day + i, f"o{i}") for i in range(30)] + [message(31, day, "o1")],
+        [message(40, 20 * day, "o1"), message(41, 20 * day, "o1", "ioc_repositories"), message(42, 20 * day, "new")],
+        [message(50, 40 * day, "o1"), message(51, 40 * day, "o2"), message(52, 40 * day, "o3"), message(53, day, "o4")],
+        [message(60, 60 * day, "o3")],
+    ]
+    for i, batch in enumerate(batches):
+        write_file(source, f"{i}.json", batch)
+        streams.stream_dedupe_source(streams.file_stream(spark, str(source)), out, checkpoint, delay="2 days", buckets=4)
+        if i == 0:
+            assert state_rows(spark, checkpoint) == 30
+    stored = [tuple(r) for r in spark.read.schema(streams.PAIR).option("recursiveFileLookup", "true").parquet(out).collect()]
+    got = [tuple(r) for r in streams.seen_pairs(spark, out).collect()]
+    assert sorted(got) == sorted({(f"o{i}", "gateways") for i in range(30)} | {("o1", "ioc_repositories"), ("new", "gateways")})
+    assert len(stored) == len(set(stored))  # no pair was written twice
+    assert state_rows(spark, checkpoint) <= 4
+
+
+def test_seen_state_expires(spark, tmp_path):
+    day = 86_400.0
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run(name, *rows):
+        write_file(source, name, rows)
+        streams.stream_seen_state(streams.file_stream(spark, str(source)), out, checkpoint, delay="1 day", keep_days=5)
+        return {r["onion"]: r for r in streams.latest_updates(spark, out, ["onion"]).collect()}
+
+    got = run("a.json", message(1, 2 * day), message(2, day, source="onions_farmer"), message(3, 2 * day, "o2"))
+    assert (got["o1"]["first_ts"], got["o1"]["last_ts"]) == (day, 2 * day)
+    assert got["o1"]["gateways"] and got["o1"]["onions_farmer"] and not got["o1"]["ioc_repositories"] and not got["o1"]["expired"]
+    got = run("b.json", message(4, 5 * day, "o2", "ioc_repositories"))
+    assert got["o2"]["last_ts"] == 5 * day and got["o2"]["ioc_repositories"] and got["o2"]["gateways"]
+    got = run("c.json", message(5, 9 * day, "o3"))
+    got = run("d.json", message(6, 9 * day + 1, "o3"))
+    assert got["o1"]["expired"] and not got["o2"]["expired"] and not got["o3"]["expired"]
+    got = run("e.json", message(7, 9 * day + 2, "o1"))  # it comes back as a new address
+    assert (got["o1"]["first_ts"], got["o1"]["gateways"], got["o1"]["onions_farmer"], got["o1"]["expired"]) == (9 * day + 2, True, False, False)
