@@ -1,6 +1,6 @@
 """Reading raw HTML with regular expressions; stored pages are rarely well-formed XML."""
 
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,29 +15,44 @@ def _element(name: str) -> str:
     return rf"(?is)<{name}\b.*?(?:</{name}\s*>|\z)"
 
 
-_BOILERPLATE = ("head", "script", "style", "noscript", "nav", "footer", "header", "aside", "table")
+#: Their content is no markup, so they end at their first end tag.
+_RAW = ("script", "style", "noscript")
+_BOILERPLATE = ("head", "nav", "footer", "header", "aside", "table")
+#: Elements without content or end tag.
+_VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 _BLOCK_END = r"(?i)<(?:br|hr)\b[^>]*>|</(?:p|div|li|ul|ol|h[1-6]|article|section|main|blockquote|pre|dd|dt)\s*>"
 
 
 def decode_entities(text: Column) -> Column:
-    """Replace named and numeric character references; unknown names stay as they are."""
-    # One constant map, written as text so that the plan holds a single literal.
-    listed = " ".join(f"{name}={chr(point)}" for name, point in name2codepoint.items())
-    names = F.str_to_map(F.lit(listed), F.lit(" "), F.lit("="))
+    """Replace named and numeric character references of HTML 5; unknown names stay as they are.
+
+    A name that ends with a semicolon has to be known as a whole. Without one, the longest of the
+    old names that may stand alone counts: ``&notit`` is ``¬it``.
+    """
+    # Constant maps, written as text so that the plan holds two literals; common names come first.
+    def names(wanted: list[str]) -> Column:
+        listed = "\x01".join(f"{name}\x02{html5[name]}" for name in wanted)
+        return F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02"))
+
+    common = {f"{name};" for name in name2codepoint}
+    closed = names(sorted((name for name in html5 if name.endswith(";")), key=lambda name: (name not in common, name)))
+    alone = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+    open_names, open_pattern = names(alone), f"^(?:{'|'.join(alone)})"
 
     def code_point(number: Column) -> Column:
         known = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
         return F.when(known, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(F.lit("�"))
 
     def piece(part: Column, i: Column) -> Column:
-        ref = F.regexp_extract(part, r"^(#\d{1,9}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);?", 1)
-        rest = F.regexp_replace(part, r"^(?:#\d{1,9}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);?", "")
-        value = (
-            F.when(ref.rlike("^#[xX]"), code_point(F.conv(F.substr(ref, F.lit(3)), 16, 10).cast("bigint")))
-            .when(ref.startswith("#"), code_point(F.substr(ref, F.lit(2)).cast("bigint")))
-            .otherwise(F.try_element_at(names, ref))
-        )
-        found = F.concat(value, rest)
+        number = F.regexp_extract(part, r"^(#\d{1,9}|#[xX][0-9a-fA-F]{1,7});?", 1)
+        rest = F.regexp_replace(part, r"^(?:#\d{1,9}|#[xX][0-9a-fA-F]{1,7});?", "")
+        value = F.when(
+            number.rlike("^#[xX]"), code_point(F.conv(F.substr(number, F.lit(3)), 16, 10).cast("bigint"))).otherwise(
+            code_point(F.substr(number, F.lit(2)).cast("bigint")))
+        name, old = F.regexp_extract(part, "^[A-Za-z][A-Za-z0-9]*;", 0), F.regexp_extract(part, open_pattern, 0)
+        found = F.when(number != "", F.concat(value, rest)).otherwise(F.coalesce(
+            F.concat(F.try_element_at(closed, name), F.substr(part, F.length(name) + 1)),
+            F.concat(F.try_element_at(open_names, old), F.substr(part, F.length(old) + 1))))
         return F.when(i == 0, part).otherwise(F.coalesce(found, F.concat(F.lit("&"), part)))
 
     return bind(text, lambda t: F.when(
@@ -60,11 +75,49 @@ def html_description(html: Column) -> Column:
     return F.coalesce(decode_entities(content), F.lit(""))
 
 
+def outside(html: Column, names: tuple[str, ...]) -> Column:
+    """The markup outside the elements with these names, however they are nested.
+
+    A page is split before every tag. One pass over the pieces keeps the names of the open
+    elements, innermost first, and how many were open when a listed element began: pieces are left
+    out until fewer are. An end tag closes the innermost element of its name and all that were
+    opened inside it and never closed; one without such an element closes nothing. So an element
+    without an end tag ends with its parent.
+    """
+    def step(state: Column, piece: Column) -> Column:
+        name = F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][A-Za-z0-9:-]*)", 1))
+        return bind(F.struct(state.alias("s"), name.alias("name")), lambda x: walked(x["s"], x["name"], piece))
+
+    def walked(state: Column, name: Column, piece: Column) -> Column:
+        opened, since = state["open"], state["since"]
+        at = F.array_position(opened, name)
+        rest = F.slice(opened, (at + 1).cast("int"), F.greatest(F.size(opened), F.lit(1)))
+        ends, none = piece.startswith("</"), (name == "") | name.isin(*_VOID) | piece.rlike(r"^<[^>]*/>")
+        begins = ~ends & ~none
+        depth = F.size(opened)
+        closed = ends & (at > 0)
+        left_after = F.when(closed, depth - at).otherwise(depth)
+        hidden = F.when(closed & (left_after < since), 0).when(begins & (since == 0) & name.isin(*names), depth + 1).otherwise(since)
+        return F.struct(
+            F.when(closed, rest).when(begins, F.concat(F.array(name), opened)).otherwise(opened).alias("open"),
+            hidden.cast("int").alias("since"),
+            F.concat(state["kept"], F.when(hidden == 0, "1").otherwise("0")).alias("kept"))
+
+    def kept(pieces: Column) -> Column:
+        start = F.struct(F.array().cast("array<string>").alias("open"), F.lit(0).alias("since"), F.lit("").alias("kept"))
+        flags = F.aggregate(pieces, start, step, lambda state: F.split(state["kept"], ""))
+        return bind(flags, lambda f: F.array_join(F.filter(pieces, lambda p, i: F.get(f, i) == "1"), ""))
+
+    return bind(F.split(html, r"(?=</?[A-Za-z])"), kept)
+
+
 def main_content(html: Column) -> Column:
     """Main text of a page, one line per block, without navigation, tables and markup."""
     text = F.regexp_replace(html, _COMMENT, "")
-    for name in _BOILERPLATE:
+    for name in _RAW:
         text = F.regexp_replace(text, _element(name), "")
+    listed = rf"(?i)<(?:{'|'.join(_BOILERPLATE)})\b"
+    text = bind(text, lambda t: F.when(t.rlike(listed), outside(t, _BOILERPLATE)).otherwise(t))
     text = F.regexp_replace(text, _BLOCK_END, "\n")
     text = decode_entities(F.regexp_replace(text, _TAG, ""))
     text = F.regexp_replace(text, r"[\t\x0b\f\r  ]+", " ")

@@ -45,6 +45,14 @@ CASES = {
         ("<head><title>t</title></head><body><nav>n</nav><p>One&nbsp;two</p><p>a <b>b</b>\n c</p><script>s()</script>"
          "<table><tr><td>x</td></tr></table><!-- c --><footer>f</footer></body>", "One two\na b\nc"),
         ("", ""), ("<p>unclosed <script>x", "unclosed")]),
+    "balanced_elements": (H.main_content, [
+        ("<p>a</p><table><tr><td>x<table><tr><td>y</td></tr></table>tail</td></tr></table><p>b</p>", "a\nb"),
+        ("<body><div><nav>menu<ul><li>one</div><p>text</p></body>", "text"),
+        ("<div><nav><p>menu</p></div>a<aside>b<nav>c</nav>d</aside>e", "ae"),
+        ("<header>h<header>i</header>j</header>k", "k"), ("</nav>a</table>b", "ab"), ("<nav/>a<NAV>b</nav >c", "ac"),
+        ("<table><tr><td>x", ""), ("a < b <nav>c</nav> d", "a < b d"), ("it&apos;s &notit; &amp;lt; &hellip;&nosuch; &AMP", "it's ¬it; &lt; …&nosuch; &"),
+        ("<p>x<br>y<table><img src=a><td>z<br></table>w", "x\ny w".replace(" ", "")), ("", ""), (None, ""),
+    ]),
     "visible_text": (lambda h: A.extract_addresses(H.visible_text(h)), [
         (f"<head>{OTHER}</head><body><p>{ONION}</p><script>{OTHER}</script><!-- {OTHER} --></body>", [ONION]),
         ("<body>" + ONION[:30] + "<b>" + ONION[30:] + "</b></body>", [])]),
@@ -131,3 +139,31 @@ def test_advertisers_are_flat(spark):
     rows = search.advertisers(lines).collect()
     assert sorted(r["repo"] for r in rows) == ["r0", "r1", "r2"] and len({r["onion"] for r in rows}) == 1
     assert search.advertiser_concat(lines).first()["advertiser"] == "Grep.app (r0, r1, r2)"
+
+
+def test_outside_equals_a_stack(spark):
+    """Random markup against a plain stack of open elements."""
+    import random
+    import re
+
+    rng = random.Random(12)
+    pieces = ["<nav>", "</nav>", "<table class=x>", "</table>", "<div>", "</div>", "<p>", "</p>", "<br>", "<tr>", "<aside/>", "text", " < ", "</x>"]
+    pages = ["".join(rng.choice(pieces) + str(i) for i in range(rng.randrange(30))) for _ in range(300)]
+
+    def loop(page):
+        out, opened, since = "", [], 0
+        for piece in re.split(r"(?=</?[A-Za-z])", page):
+            tag = re.match(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)[^>]*?(/?)>", piece)
+            if tag and tag[1]:
+                if tag[2] in opened:
+                    while opened.pop() != tag[2]:
+                        pass
+                    since = 0 if len(opened) < since else since
+            elif tag and not tag[3] and tag[2] != "br":
+                opened.append(tag[2])
+                if not since and tag[2] in ("nav", "table", "aside"):
+                    since = len(opened)
+            out += "" if since else piece
+        return out
+
+    assert apply(spark, lambda h: H.outside(h, ("nav", "table", "aside")), pages) == [loop(p) for p in pages]
