@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from duskwatch.constants import CRAWL_DEPTH
 from duskwatch.functions import addresses as A
 from duskwatch.functions import html as H
+from duskwatch.operators.skew import join_counted
+from duskwatch.session import materialize
 
 
 def page_addresses(pages: DataFrame) -> DataFrame:
@@ -32,13 +34,25 @@ def extract_links(pages: DataFrame, start_urls: DataFrame) -> DataFrame:
 
 
 def depth_limited_reach(links: DataFrame, starts: DataFrame, depth: int = CRAWL_DEPTH) -> DataFrame:
-    """Pages reachable from ``starts`` over ``links(src, dst)`` with their least depth.
+    """Pages reachable from ``starts`` over ``links(src, dst)`` within ``depth`` steps, with their least depth.
 
-    ``depth`` is a small constant, so the rounds unroll into one plan.
+    Breadth first: a round joins the links of the pages found last, leaves out those found
+    before, and writes what is new; it ends early when nothing is. So every page is walked
+    once, however the links run in circles, and no round's plan holds an earlier one. Pages
+    with very many links are dealt over tasks. Null pages are left out.
     """
-    frontier = starts.select("page").distinct()
-    reached = frontier.withColumn("depth", F.lit(0).cast("bigint"))
-    for d in range(1, depth + 1):
-        frontier = links.join(frontier, F.col("src") == F.col("page")).select(F.col("dst").alias("page")).distinct()
-        reached = reached.unionByName(frontier.withColumn("depth", F.lit(d).cast("bigint")))
-    return reached.groupBy("page").agg(F.min("depth").alias("depth"))
+    links = links.where("src is not null and dst is not null").select(F.col("src").alias("page"), "dst")
+    counts = materialize(links.groupBy("page").agg(F.count("*").alias("n")), "out_degrees")
+    frontier = starts.where("page is not null").select("page").distinct()
+    reached = visited = None
+    for d in range(depth + 1):
+        if d:
+            found = join_counted(links, frontier, "page", counts=counts.join(frontier, "page", "left_semi"))
+            frontier = found.select(F.col("dst").alias("page")).distinct().join(visited, "page", "left_anti")
+        frontier = materialize(frontier, "frontier")
+        layer = frontier.withColumn("depth", F.lit(d).cast("bigint"))
+        reached = layer if reached is None else reached.union(layer)
+        visited = reached.select("page")
+        if d < depth and frontier.isEmpty():
+            break
+    return reached

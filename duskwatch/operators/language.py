@@ -1,25 +1,56 @@
-"""Language labels: a classifier over words and word ends, and names."""
+"""Language labels: naive Bayes over words and word ends, kept as tables of counts, and names."""
+
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, StringIndexer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.functions.base import bind
+from duskwatch.session import materialize
 
 # Names of two-letter language codes (ISO 639-1).
 LANGUAGE_NAMES = {
-    "ar": "Arabic", "bg": "Bulgarian", "ca": "Catalan", "cs": "Czech", "da": "Danish", "de": "German",
-    "el": "Modern Greek (1453-)", "en": "English", "es": "Spanish", "et": "Estonian", "fa": "Persian",
-    "fi": "Finnish", "fr": "French", "he": "Hebrew", "hi": "Hindi", "hr": "Croatian", "hu": "Hungarian",
-    "id": "Indonesian", "it": "Italian", "ja": "Japanese", "ko": "Korean", "lt": "Lithuanian", "lv": "Latvian",
-    "nl": "Dutch", "no": "Norwegian", "pl": "Polish", "pt": "Portuguese", "ro": "Romanian", "ru": "Russian",
-    "sk": "Slovak", "sl": "Slovenian", "sr": "Serbian", "sv": "Swedish", "th": "Thai", "tr": "Turkish",
-    "uk": "Ukrainian", "vi": "Vietnamese", "zh": "Chinese",
+    "aa": "Afar", "ab": "Abkhazian", "ae": "Avestan", "af": "Afrikaans", "ak": "Akan", "am": "Amharic",
+    "an": "Aragonese", "ar": "Arabic", "as": "Assamese", "av": "Avaric", "ay": "Aymara", "az": "Azerbaijani",
+    "ba": "Bashkir", "be": "Belarusian", "bg": "Bulgarian", "bi": "Bislama", "bm": "Bambara", "bn": "Bengali",
+    "bo": "Tibetan", "br": "Breton", "bs": "Bosnian", "ca": "Catalan", "ce": "Chechen", "ch": "Chamorro",
+    "co": "Corsican", "cr": "Cree", "cs": "Czech", "cu": "Church Slavic", "cv": "Chuvash", "cy": "Welsh",
+    "da": "Danish", "de": "German", "dv": "Dhivehi", "dz": "Dzongkha", "ee": "Ewe", "el": "Modern Greek (1453-)",
+    "en": "English", "eo": "Esperanto", "es": "Spanish", "et": "Estonian", "eu": "Basque", "fa": "Persian",
+    "ff": "Fulah", "fi": "Finnish", "fj": "Fijian", "fo": "Faroese", "fr": "French", "fy": "Western Frisian",
+    "ga": "Irish", "gd": "Scottish Gaelic", "gl": "Galician", "gn": "Guarani", "gu": "Gujarati", "gv": "Manx",
+    "ha": "Hausa", "he": "Hebrew", "hi": "Hindi", "ho": "Hiri Motu", "hr": "Croatian", "ht": "Haitian",
+    "hu": "Hungarian", "hy": "Armenian", "hz": "Herero",
+    "ia": "Interlingua (International Auxiliary Language Association)", "id": "Indonesian", "ie": "Interlingue",
+    "ig": "Igbo", "ii": "Sichuan Yi", "ik": "Inupiaq", "io": "Ido", "is": "Icelandic", "it": "Italian",
+    "iu": "Inuktitut", "ja": "Japanese", "jv": "Javanese", "ka": "Georgian", "kg": "Kongo", "ki": "Kikuyu",
+    "kj": "Kuanyama", "kk": "Kazakh", "kl": "Kalaallisut", "km": "Khmer", "kn": "Kannada", "ko": "Korean",
+    "kr": "Kanuri", "ks": "Kashmiri", "ku": "Kurdish", "kv": "Komi", "kw": "Cornish", "ky": "Kirghiz", "la": "Latin",
+    "lb": "Luxembourgish", "lg": "Ganda", "li": "Limburgan", "ln": "Lingala", "lo": "Lao", "lt": "Lithuanian",
+    "lu": "Luba-Katanga", "lv": "Latvian", "mg": "Malagasy", "mh": "Marshallese", "mi": "Maori", "mk": "Macedonian",
+    "ml": "Malayalam", "mn": "Mongolian", "mr": "Marathi", "ms": "Malay (macrolanguage)", "mt": "Maltese",
+    "my": "Burmese", "na": "Nauru", "nb": "Norwegian Bokmål", "nd": "North Ndebele", "ne": "Nepali (macrolanguage)",
+    "ng": "Ndonga", "nl": "Dutch", "nn": "Norwegian Nynorsk", "no": "Norwegian", "nr": "South Ndebele",
+    "nv": "Navajo", "ny": "Nyanja", "oc": "Occitan (post 1500)", "oj": "Ojibwa", "om": "Oromo",
+    "or": "Oriya (macrolanguage)", "os": "Ossetian", "pa": "Panjabi", "pi": "Pali", "pl": "Polish", "ps": "Pushto",
+    "pt": "Portuguese", "qu": "Quechua", "rm": "Romansh", "rn": "Rundi", "ro": "Romanian", "ru": "Russian",
+    "rw": "Kinyarwanda", "sa": "Sanskrit", "sc": "Sardinian", "sd": "Sindhi", "se": "Northern Sami", "sg": "Sango",
+    "sh": "Serbo-Croatian", "si": "Sinhala", "sk": "Slovak", "sl": "Slovenian", "sm": "Samoan", "sn": "Shona",
+    "so": "Somali", "sq": "Albanian", "sr": "Serbian", "ss": "Swati", "st": "Southern Sotho", "su": "Sundanese",
+    "sv": "Swedish", "sw": "Swahili (macrolanguage)", "ta": "Tamil", "te": "Telugu", "tg": "Tajik", "th": "Thai",
+    "ti": "Tigrinya", "tk": "Turkmen", "tl": "Tagalog", "tn": "Tswana", "to": "Tonga (Tonga Islands)",
+    "tr": "Turkish", "ts": "Tsonga", "tt": "Tatar", "tw": "Twi", "ty": "Tahitian", "ug": "Uighur", "uk": "Ukrainian",
+    "ur": "Urdu", "uz": "Uzbek", "ve": "Venda", "vi": "Vietnamese", "vo": "Volapük", "wa": "Walloon", "wo": "Wolof",
+    "xh": "Xhosa", "yi": "Yiddish", "yo": "Yoruba", "za": "Zhuang", "zh": "Chinese", "zu": "Zulu",
 }
 
+#: Features of a model at most. Bounds the table that scoring sends to every task.
+VOCABULARY = 1 << 16
+#: Weights are whole numbers of this part of a natural logarithm, so sums do not depend on their order.
+UNIT = 1_000_000
+#: The feature that every text has once: its count is the number of texts.
+TEXT = ""
+
 
 def language_name(code: Column, names: dict[str, str] = LANGUAGE_NAMES) -> Column:
     """Name of a two-letter code; unknown codes stay as they are."""
@@ -36,22 +67,82 @@ def features(texts: DataFrame) -> DataFrame:
         F.transform(w, lambda x: F.concat(F.substring(x, -3, 3), F.lit("$"))))))
 
 
-def train(labelled: DataFrame, size: int = 1 << 16) -> PipelineModel:
-    """Fit the classifier once on ``(text, lang)``; the model is applied to whole tables."""
-    return Pipeline(stages=[
-        HashingTF(inputCol="grams", outputCol="features", numFeatures=size),
-        StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="skip"),
-        NaiveBayes(featuresCol="features", labelCol="label"),
-    ]).fit(features(labelled).select("grams", "lang"))
-
-
-def language_top2(model: PipelineModel, texts: DataFrame, id_col: str) -> DataFrame:
+def language_counts(labelled: DataFrame) -> DataFrame:
+    """``(lang, gram, n)`` of texts ``(text, lang)``; the gram :data:`TEXT` counts texts. Rows without a language are left out."""
+    known = features(labelled.where("lang is not null")).select(
+        "lang", F.explode(F.concat(F.array(F.lit(TEXT)), F.coalesce("grams", F.array().cast("array<string>")))).alias("gram"))
+    return known.groupBy("lang", "gram").agg(F.count("*").alias("n"))
+
+
+def added_counts(*parts: DataFrame) -> DataFrame:
+    """Counts of several days or tables as one."""
+    rows = parts[0].select("lang", "gram", "n")
+    for part in parts[1:]:
+        rows = rows.unionByName(part.select("lang", "gram", "n"))
+    return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+@dataclass
+class LanguageModel:
+    counts: DataFrame       # (lang, gram, n)
+    weights: DataFrame      # (gram, w): at most VOCABULARY rows, one whole number per language
+    languages: list[str]
+    priors: list[int]       # logarithms of the shares of texts
+    costs: list[int]        # what every known gram of a text costs, by language
+
+
+def _units(value: Column) -> Column:
+    return F.round(F.ln(value) * UNIT).cast("bigint")
+
+
+def fit(counts: DataFrame, size: int = VOCABULARY) -> LanguageModel:
+    """A multinomial model of the ``size`` most frequent grams, with one added to every count.
+
+    The weight of a gram is ``ln(n + 1)``; what it lacks to a probability, ``ln(N + V)``, is the
+    same for all grams of a language and counted per gram of the text. The driver sees one row
+    per language.
+    """
+    grams = counts.where(F.col("gram") != TEXT)
+    frequent = grams.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(size).select("gram")
+    kept = materialize(grams.join(F.broadcast(frequent), "gram"), "language_grams")
+    vocabulary = kept.select("gram").distinct().count()
+    texts = counts.where(F.col("gram") == TEXT).select("lang", F.col("n").alias("texts"))
+    totals = kept.groupBy("lang").agg(F.sum("n").alias("total"))
+    total_texts = texts.agg(F.sum("texts").alias("all"))  # one row
+    found = texts.join(totals, "lang", "left").join(F.broadcast(total_texts)).select(
+        "lang", _units(F.col("texts") / F.col("all")).alias("prior"),
+        _units(F.coalesce("total", F.lit(0)) + vocabulary).alias("cost")).orderBy("lang").collect()
+    languages = [r["lang"] for r in found]
+    weight = [F.max(F.when(F.col("lang") == name, _units(F.col("n") + 1)).otherwise(0)) for name in languages]
+    weights = kept.groupBy("gram").agg(F.array(*weight).alias("w")) if languages else kept.select(
+        "gram", F.array().cast("array<bigint>").alias("w"))
+    return LanguageModel(
+        counts, materialize(weights, "language_weights"), languages, [r["prior"] for r in found], [r["cost"] or 0 for r in found])
+
+
+def train(labelled: DataFrame, size: int = VOCABULARY) -> LanguageModel:
+    """Count and fit once on ``(text, lang)``; the model is applied to whole tables."""
+    return fit(materialize(language_counts(labelled), "language_counts"), size)
+
+
+def language_scores(model: LanguageModel, texts: DataFrame, id_col: str) -> DataFrame:
+    """``(id, scores)``: per language the logarithm of its probability up to a constant, in units.
+
+    Every gram of a text meets its weights (a table of bounded size, sent to all tasks), and the
+    weights of a text are summed before anything is shuffled. Texts without known grams have the
+    priors. Rows of one id are scored as one text.
+    """
+    rows = features(texts).select(id_col, F.explode_outer("grams").alias("gram"))
+    joined = rows.join(F.broadcast(model.weights), "gram", "left")
+    sums = [F.sum(F.coalesce(F.get("w", F.lit(i)), F.lit(0))).alias(f"s{i}") for i in range(len(model.languages))]
+    summed = joined.groupBy(id_col).agg(F.count("w").alias("n"), *sums)
+    scores = [F.lit(p) + F.col(f"s{i}") - F.col("n") * F.lit(c) for i, (p, c) in enumerate(zip(model.priors, model.costs, strict=True))]
+    return summed.select(id_col, F.array(*scores).cast("array<bigint>").alias("scores"))
+
+
+def language_top2(model: LanguageModel, texts: DataFrame, id_col: str) -> DataFrame:
     """The two most probable languages of every text with their confidences."""
-    labels = next(stage.labels for stage in model.stages if hasattr(stage, "labels"))
-    apply = PipelineModel([s for s in model.stages if not hasattr(s, "labels")])
-    scored = apply.transform(features(texts).select(id_col, "grams")).select(
-        id_col, vector_to_array("probability").alias("p"))
-    best = scored.select(id_col, top_k(F.col("p"), labels, 2).alias("top"))
+    best = language_scores(model, texts, id_col).select(id_col, top_k(F.col("scores"), model.languages, 2).alias("top"))
     first, second = F.get("top", F.lit(0)), F.get("top", F.lit(1))
     return best.select(
         id_col,
@@ -59,11 +150,15 @@ def language_top2(model: PipelineModel, texts: DataFrame, id_col: str) -> DataFr
         language_name(second["code"]).alias("second_language"), second["p"].alias("second_confidence"))
 
 
-def top_k(probabilities: Column, labels: list[str], k: int) -> Column:
-    """The ``k`` most probable labels; equal probabilities in order of the label."""
+def top_k(scores: Column, labels: list[str], k: int) -> Column:
+    """The ``k`` best labels with their probabilities; equal scores in order of the label."""
     codes = F.array(*[F.lit(x) for x in labels])
-    pairs = F.transform(probabilities, lambda p, i: F.struct((-p).alias("rank"), F.get(codes, i).alias("code")))
-    return F.transform(F.slice(F.array_sort(pairs), 1, k), lambda e: F.struct(e["code"].alias("code"), (-e["rank"]).alias("p")))
+    most = F.array_max(scores)
+    share = F.transform(scores, lambda s: F.exp((s - most) / F.lit(float(UNIT))))
+    total = F.aggregate(share, F.lit(0.0), lambda a, b: a + b)
+    pairs = F.transform(scores, lambda s, i: F.struct((-s).alias("rank"), F.get(codes, i).alias("code"), F.get(share, i).alias("p")))
+    return bind(total, lambda t: F.transform(
+        F.slice(F.array_sort(pairs), 1, k), lambda e: F.struct(e["code"].alias("code"), (e["p"] / t).alias("p"))))
 
 
 def semi_english(languages: DataFrame) -> DataFrame:

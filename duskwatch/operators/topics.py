@@ -1,7 +1,5 @@
 """Topics: clusters of text embeddings and the words that describe a class of texts."""
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,11 +14,37 @@ STOPWORDS = {
 }
 
 
-def topic_model(embeddings: DataFrame, k: int, seed: int = 42) -> DataFrame:
-    """``(vec_id, topic)``: cluster of every embedding."""
-    vectors = embeddings.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="topic").fit(vectors)
-    return model.transform(vectors).select("vec_id", "topic")
+def _nearest(vector: Column, centres: list[list[float]]) -> Column:
+    """Number of the nearest centre; the first of equally near ones."""
+    table = F.array(*[F.array(*[F.lit(x) for x in centre]) for centre in centres])
+
+    def distance(centre: Column) -> Column:
+        return F.aggregate(F.zip_with(vector, centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda x, y: x + y)
+
+    ranked = F.transform(table, lambda centre, i: F.struct(distance(centre).alias("d"), i.alias("topic")))
+    return F.array_min(ranked)["topic"]
+
+
+def topic_model(embeddings: DataFrame, k: int, rounds: int = 8) -> DataFrame:
+    """``(vec_id, topic)``: cluster of every embedding, by a fixed number of Lloyd rounds.
+
+    The first centres are the ``k`` vectors with the least ids. A round assigns every vector to
+    its nearest centre and averages the vectors of a topic by map-side aggregates; a topic without
+    vectors keeps its centre. The driver holds ``k`` centres, rounded to six digits, so a run gives
+    the same topics again. Null vectors and vectors with null components are left out.
+    """
+    vectors = embeddings.where("embedding is not null and not exists(embedding, x -> x is null)").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    first = vectors.orderBy("vec_id", "v").limit(k).collect()
+    centres = [[float(x) for x in r["v"]] for r in first]
+    if not centres:
+        return vectors.select("vec_id", F.lit(0).alias("topic"))
+    means = [F.round(F.avg(F.get("v", F.lit(i))), 6).alias(f"m{i}") for i in range(len(centres[0]))]
+    for _ in range(rounds):
+        moved = vectors.withColumn("topic", _nearest(F.col("v"), centres)).groupBy("topic").agg(*means).collect()
+        for row in moved:
+            centres[row["topic"]] = list(row[1:])
+    return vectors.select("vec_id", _nearest(F.col("v"), centres).alias("topic"))
 
 
 def topic_words(text: Column) -> Column:

@@ -682,7 +682,11 @@ def intersect_groups(spark, sf_dir):
 
 def _top2(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = B.labelled_texts(spark, sf_dir)
-    return L.language_top2(L.train(labelled.select("text", "lang")), labelled, "doc_id")
+    return _confidences(L.language_top2(L.train(labelled.select("text", "lang")), labelled, "doc_id"))
+
+
+def _confidences(rows: DataFrame) -> DataFrame:
+    return _rounded(_rounded(rows, "first_confidence"), "second_confidence")
 
 
 @query
@@ -700,6 +704,14 @@ def topk_predictions(spark, sf_dir):
                  F.col("second_confidence").alias("confidence")))))
 
 
+@query
+def language_counts(spark, sf_dir):
+    """Counts of two halves of the texts, added up."""
+    labelled = B.labelled_texts(spark, sf_dir)
+    halves = [L.language_counts(labelled.where(F.col("doc_id") % 2 == half)) for half in (0, 1)]
+    return L.added_counts(*halves)
+
+
 @query
 def language_names(spark, sf_dir):
     codes = B.labelled_texts(spark, sf_dir).withColumn(
@@ -945,7 +957,7 @@ def version_dedup_step(spark, sf_dir):
 def language_step(spark, sf_dir):
     labelled = B.labelled_texts(spark, sf_dir)
     model = L.train(labelled.select("text", "lang"))
-    return daily.language_step(model, daily.dedup_step(_document_texts(spark, sf_dir))).rows
+    return _confidences(daily.language_step(model, daily.dedup_step(_document_texts(spark, sf_dir))).rows)
 
 
 @query

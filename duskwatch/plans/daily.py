@@ -7,7 +7,6 @@ returns the stored rows with its counters, so the lineage is cut at every datase
 from dataclasses import dataclass, fields, replace
 from datetime import date, timedelta
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,7 +130,7 @@ def version_dedup_step(
     return Step(uniques, counts)
 
 
-def language_step(model: PipelineModel, dedup: DedupStep) -> Step:
+def language_step(model: L.LanguageModel, dedup: DedupStep) -> Step:
     """The two best languages of every representative text."""
     uniques = dedup.index.uniques().select(F.col("representative").alias("text_id"))
     rows = L.language_top2(model, dedup.index.texts.join(uniques, "text_id", "left_semi"), "text_key")
@@ -154,7 +153,7 @@ def classify_step(languages: DataFrame, texts: DataFrame, key: str = "text_key")
 
 
 def daily_pipeline(
-    store: VersionStore, objects: DataFrame, model: PipelineModel, today: date, from_date: date | None = None
+    store: VersionStore, objects: DataFrame, model: L.LanguageModel, today: date, from_date: date | None = None
 ) -> DataFrame:
     """All steps for the days ``[from_date, today)``; returns the run's metrics table."""
     version = today - timedelta(days=1)

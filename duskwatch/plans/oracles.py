@@ -302,6 +302,25 @@ VIEWS = {
     "words_of": "select lang as topic, unnest(regexp_extract_all(lower(text), '\\p{L}+')) as word from documents",
     "word_tf": "select topic, word, count(*) as tf from words_of where word not in ("
                + ", ".join(lit(w) for w in sorted(STOPWORDS)) + ") group by 1, 2",
+    "grams": "select doc_id, lang, unnest(w || list_transform(w, lambda x: '^' || substr(x, 1, 3)) || list_transform(w, lambda x:"
+             " right(x, 3) || '$')) as gram from (select doc_id, lang, regexp_extract_all(lower(text), '\\p{L}+') as w from documents)",
+    "lang_grams": "select lang, gram, count(*) as n from grams group by 1, 2",
+    "frequent_grams": "select gram from lang_grams group by gram order by sum(n) desc, gram limit 65536",
+    "kept_grams": "select lang, gram, n from lang_grams join frequent_grams using (gram)",
+    "lang_facts": "select lang, round(ln(count(*) / (select count(*) from documents)) * 1000000)::bigint as prior, any_value(cost) as cost"
+                  " from documents join (select lang, round(ln(sum(n) + (select count(*) from frequent_grams)) * 1000000)::bigint as cost"
+                  " from kept_grams group by lang) using (lang) group by lang",
+    "text_grams": "select doc_id, count(*) as n from grams join frequent_grams using (gram) group by doc_id",
+    "lang_scores": "select d.doc_id, f.lang, f.prior + coalesce(w.s, 0) - coalesce(t.n, 0) * f.cost as score from documents d, lang_facts f"
+                   " left join text_grams t on t.doc_id = d.doc_id left join (select g.doc_id, k.lang, sum(round(ln(k.n + 1) *"
+                   " 1000000)::bigint) as s from grams g join kept_grams k using (gram) group by 1, 2) w on w.doc_id = d.doc_id and"
+                   " w.lang = f.lang",
+    "lang_probs": "select doc_id, case lang " + " ".join(f"when {lit(k)} then {lit(v)}" for k, v in LANGUAGE_NAMES.items())
+                  + " else lang end as language, exp((score - max(score) over (partition by doc_id)) / 1000000.0::double) as share,"
+                  " row_number() over (partition by doc_id order by score desc, lang) as rank from lang_scores",
+    "lang_ranked": "select doc_id, language, rank, round(share / sum(share) over (partition by doc_id), 6) as confidence from lang_probs",
+    "lang_top2": "select a.doc_id, a.language as first_language, a.confidence as first_confidence, b.language as second_language,"
+                 " b.confidence as second_confidence from lang_ranked a join lang_ranked b on b.doc_id = a.doc_id and a.rank = 1 and b.rank = 2",
     "linked_pages": "select page_id, url, replace(html, '</article>', '<p>' || "
                     + addr("'v' || page_id::varchar") + " || '</p><script>' || " + addr("'s' || page_id::varchar")
                     + " || '</script></article>') as html from pages",
@@ -564,7 +583,28 @@ _B = f"list_filter(regexp_split_to_array(content, '[{WS}]+'), lambda x: x <> '')
 oracle("intersect_groups", f"select page_id, case when list_has_any(a, b) then array_to_string(list_sort(list_distinct(a || b)), ',')"
        f" else '' end as members from (select page_id, {_A} as a, {_B} as b from decoded)")
 
-# --- language and topics (the classifier and the clusters have no SQL form)
+# --- language and topics
+_ROUNDS, _TOPICS = 8, 10
+
+
+def _topics() -> str:
+    """The rounds of the clusters, written one after another: centres ``c<i>`` and assignments ``a<i>``."""
+    distance = "list_sum(list_transform(list_zip(v, c), lambda x: (x[1] - x[2]) * (x[1] - x[2])))"
+    parts = ["e as (select vec_id, embedding::double[] as v from embeddings)",
+             f"c0 as (select row_number() over (order by vec_id) - 1 as topic, v as c from (select * from e order by vec_id limit {_TOPICS}))"]
+    for i in range(_ROUNDS + 1):
+        parts.append(f"a{i} as (select vec_id, v, topic from (select vec_id, v, topic, row_number() over (partition by vec_id order by"
+                     f" {distance}, topic) as rn from e, c{i}) where rn = 1)")
+        parts.append(f"c{i + 1} as (select topic, coalesce(m, c) as c from c{i} left join (select topic, list(x order by p) as m from"
+                     f" (select topic, p, round(avg(x), 6) as x from (select topic, unnest(v) as x, unnest(range(len(v))) as p from a{i})"
+                     " group by topic, p) group by topic) using (topic))")
+    return f"with {', '.join(parts[:-1])} select vec_id, topic::integer as topic from a{_ROUNDS}"
+
+
+ORACLES["topic_model"] = _topics()
+oracle("language_counts", "select lang, gram, n from lang_grams union all select lang, '', count(*) from documents group by lang")
+oracle("language_top2", "select * from lang_top2")
+oracle("topk_predictions", "select doc_id, rank::integer as rank, language, confidence from lang_ranked where rank <= 2")
 oracle("language_names", "select doc_id, case when length(text) > 5000 then lang || '-x' else lang end as code, case when"
        " length(text) > 5000 then lang || '-x' else first_language end as language from documents join languages using (doc_id)")
 oracle("language_versioned", "select language, round(percentage, 6) as percentage from relabelled_shares order by 2 desc, 1 limit 10")
@@ -615,6 +655,8 @@ oracle("version_preprocessed_step", "select case metric when 'Cleaned onions' th
 oracle("dedup_step", "select metric, value from new_label_counts")
 oracle("incremental_dedup", "select representative, n_members from t_reps")
 oracle("version_dedup_step", "select metric, value from total_counts")
+oracle("language_step", "select sha256(text) as text_key, first_language, first_confidence, second_language, second_confidence from"
+       " lang_top2 join t_reps on representative = doc_id join documents using (doc_id)")
 oracle("version_language_step", "select 'Total onions' as metric, count(*)::double as value from relabelled union all select * from"
        " (select language, round(percentage, 6) from relabelled_shares order by 2 desc, 1 limit 10)")
 oracle("classify_step", f"select kind, {box('length')} from english_histogram group by kind")

@@ -2,7 +2,6 @@
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,13 +26,11 @@ class VersionStore:
         return f"{self.root}/{dataset}"
 
     def _read(self, path: str, schema: str | None = None) -> DataFrame | None:
-        try:
-            reader = self.spark.read.schema(schema) if schema else self.spark.read
-            return reader.parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":  # anything else hides stored history
-                raise
-            return None  # nothing written yet
+        """All rows below a folder; None if nothing was written yet. What cannot be read raises."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            return None
+        return (self.spark.read.schema(schema) if schema else self.spark.read).parquet(path)
 
     def _put(self, df: DataFrame, path: str, version: date) -> None:
         """Replace one day's folder; a version without rows has a file with its schema."""

@@ -166,4 +166,4 @@ def test_outside_equals_a_stack(spark):
             out += "" if since else piece
         return out
 
-    assert apply(spark, lambda h: H.outside(h, ("nav", "table", "aside")), pages) == [loop(p) for p in pages]
+    assert apply(spark, lambda h: H.outside(h, ("nav", "table", "aside")), [(p,) for p in pages]) == [loop(p) for p in pages]

@@ -149,6 +149,65 @@ def test_language_accuracy(spark):
     assert row["accuracy"] > 0.9 and row["wrong_order"] == 0
 
 
+def test_language_of_texts_not_learned_from(spark):
+    from duskwatch import bridge as B
+    from duskwatch.operators import language as L
+
+    labelled = B.labelled_texts(spark, "/root/testdata/sf0.01")
+    learn, rest = labelled.where("doc_id % 3 <> 1"), labelled.where("doc_id % 3 = 1")
+    days = [L.language_counts(learn.where(f"doc_id % 2 = {d}")) for d in (0, 1)]
+    model = L.fit(L.added_counts(*days), size=5000)
+    assert model.weights.count() == 5000 and model.languages == ["de", "en", "es", "fr"]
+    top = L.language_top2(model, rest, "doc_id").join(rest.select("doc_id", L.language_name(F.col("lang")).alias("truth")), "doc_id")
+    assert top.count() == rest.count() and top.agg(F.avg((F.col("first_language") == F.col("truth")).cast("double"))).first()[0] > 0.95
+
+
+def test_language_of_texts_without_known_words(spark):
+    from duskwatch.operators import language as L
+
+    texts = spark.createDataFrame(
+        [(1, "the cat", "en"), (2, "the dog", "en"), (3, "die katze", "de"), (4, "1 2", None)], "doc_id int, text string, lang string")
+    model = L.train(texts)
+    odd = spark.createDataFrame([(1, ""), (2, None), (3, "12 漢"), (4, "katze"), (5, "die the")], "doc_id int, text string")
+    rows = {r["doc_id"]: r for r in L.language_top2(model, odd, "doc_id").collect()}
+    assert [rows[i]["first_language"] for i in range(1, 6)] == ["English", "English", "English", "German", "English"]
+    assert rows[1]["first_confidence"] == pytest.approx(2 / 3) and rows[1]["second_language"] == "German"
+    assert L.language_top2(model, odd.limit(0), "doc_id").count() == 0
+    nothing = L.language_top2(L.train(texts.limit(0)), odd, "doc_id").collect()
+    assert {r["first_language"] for r in nothing} == {None} and len(nothing) == 5
+
+
+def test_topics_of_clear_clusters(spark):
+    import random
+
+    from duskwatch.operators.topics import topic_model
+
+    rng = random.Random(1)
+    rows = [(i, [10.0 * (i % 3 == j) + rng.random() for j in range(3)]) for i in range(60)] + [(99, None), (98, [1.0, None, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id int, embedding array<float>")
+    got = {r["vec_id"]: r["topic"] for r in topic_model(df, 3).collect()}
+    assert got == {i: i % 3 for i in range(60)} == {r["vec_id"]: r["topic"] for r in topic_model(df.repartition(5), 3).collect()}
+    assert topic_model(df.limit(0), 3).count() == 0
+
+
+def test_reach_walks_no_page_twice(spark):
+    """Links that run in circles, a page with many links, pages that nothing reaches."""
+    from duskwatch.operators.crawl import depth_limited_reach
+
+    edges = [(i, (i + 1) % 5) for i in range(5)] + [(0, i) for i in range(10, 200)] + [(i, 300) for i in range(10, 200)] + [
+        (300, 301), (301, 302), (302, 300), (400, 401), (None, 1), (1, None)]
+    links = spark.createDataFrame(edges, "src int, dst int")
+    starts = spark.createDataFrame([(0,), (0,), (None,)], "page int")
+    for depth in (0, 1, 3, 50):
+        wanted, layer = {0: 0}, {0}
+        for d in range(1, depth + 1):
+            layer = {b for a, b in edges if a in layer and b is not None} - set(wanted)
+            wanted |= dict.fromkeys(layer, d)
+        found = depth_limited_reach(links, starts, depth)
+        assert dict(map(tuple, found.collect())) == wanted and found.count() == len(wanted)
+        assert "Join" not in plan(found)
+
+
 def test_unreadable_store_is_not_an_empty_one(spark, tmp_path):
     from pyspark.errors import AnalysisException
 
