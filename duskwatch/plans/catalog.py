@@ -115,6 +115,14 @@ def write_html_partitioned(spark, sf_dir):
         F.octet_length("body").cast("bigint").alias("n_bytes"))
 
 
+@query
+def write_scans(spark, sf_dir):
+    path, scans = scratch_path(spark, "scans"), B.html_objects(spark, sf_dir).select(
+        "dt", "onion", F.to_json(F.struct("onion", "page_id")).alias("report"))
+    objects.write_scans(scans, path)
+    return spark.read.json(path, schema="onion string, report string, dt date")
+
+
 @query
 def registry_scan(spark, sf_dir):
     return R.registry_scan(materialize(B.registry(spark, sf_dir), "registry"))
@@ -463,6 +471,11 @@ def semi_english(spark, sf_dir):
 
 # --- aggregations ----------------------------------------------------------------------
 
+@query
+def advertisers(spark, sf_dir):
+    return search.advertisers(B.search_hits(spark, sf_dir))
+
+
 @query
 def advertiser_concat(spark, sf_dir):
     return search.advertiser_concat(B.search_hits(spark, sf_dir))
@@ -997,6 +1010,11 @@ def discover_code(spark, sf_dir):
     return discovery.discover_code(B.search_pages(spark, sf_dir), F.lit(RUN_TS))
 
 
+@query
+def discover_code_text(spark, sf_dir):
+    return discovery.discover_code_text(B.noisy_texts(spark, sf_dir), F.lit(RUN_TS))
+
+
 @query
 def discover_gateways(spark, sf_dir):
     return discovery.discover_gateways(B.gateway_results(spark, sf_dir), F.lit(RUN_TS))

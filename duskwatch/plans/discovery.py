@@ -9,15 +9,25 @@ from duskwatch.sources import search as S
 from duskwatch.sources.lists import emit_sightings
 
 ENGINE = "DuckDuckGo"
+CODE_SOURCE = "Sourcegraph"
 INDICATOR_SOURCE = "AlienVault"
 LIST_SOURCE = "Suspicious/Scam/Malware repositories"
 
 
-def discover_code(search_pages: DataFrame, ts: Column | None = None) -> DataFrame:
-    """Code search: addresses on marked lines, advertised by the repositories that hold them."""
+def discover_code(search_pages: DataFrame, ts: Column | None = None, responses: DataFrame | None = None) -> DataFrame:
+    """Code search: addresses on marked lines, advertised by the repositories that hold them.
+
+    ``responses`` are the stored answers ``(text)`` of a second search that tells no repository.
+    """
     lines = S.hit_merge(S.marked_lines(S.explode_search_hits(search_pages)))
-    found = S.advertiser_concat(lines)
-    return emit_sightings(found, F.col("advertiser"), ts)
+    found = emit_sightings(S.advertiser_concat(lines), F.col("advertiser"), ts)
+    return found if responses is None else found.unionByName(discover_code_text(responses, ts))
+
+
+def discover_code_text(responses: DataFrame, ts: Column | None = None) -> DataFrame:
+    """Every address in the whole answers of a code search, once."""
+    found = responses.select(F.explode(A.extract_addresses(F.col("text"))).alias("onion")).distinct()
+    return emit_sightings(found, F.lit(CODE_SOURCE), ts)
 
 
 def discover_gateways(results: DataFrame, ts: Column | None = None) -> DataFrame:

@@ -386,6 +386,7 @@ oracle("decode_utf8_status", "select page_id, case when bad then 'bad' else 'ok'
        " end as text from stored")
 oracle("parse_object_path", "select page_id, onion as path_onion, onion as slice_onion, dt as path_date from stored")
 oracle("write_html_partitioned", "select page_id, dt, object_name, strlen(html) + bad::bigint as n_bytes from stored")
+oracle("write_scans", """select onion, '{"onion":"' || onion || '","page_id":' || page_id || '}' as report, dt from stored""")
 oracle("registry_scan", "select onion from registry where downloaded")
 oracle("union_sightings", "select source, onion, ts from listed")
 oracle("union_sources", "select source, onion, ts from listed")
@@ -522,6 +523,7 @@ oracle("compact_versions", "select object_name, text from last_rows")
 oracle("semi_english", "select doc_id, text from documents where lang = 'en'")
 
 # --- aggregations
+oracle("advertisers", f"select distinct unnest(regexp_extract_all(line, {lit(C.ADDRESS)})) as onion, repo from hits")
 oracle("advertiser_concat", "select onion, 'Grep.app (' || string_agg(repo, ', ' order by repo) || ')' as advertiser from (select"
        f" distinct unnest(regexp_extract_all(line, {lit(C.ADDRESS)})) as onion, repo from hits) group by onion")
 oracle("first_identification", "select onion, min(ts) as first_identification from listed group by onion")
@@ -667,6 +669,8 @@ oracle("downloaded_job", "select onion, onion in (select onion from stored where
        " download_date, ts, " + ", ".join(FLAGS) + ", first_identification from registry")
 oracle("discover_code", f"select 'Grep.app (' || string_agg(repo, ', ' order by repo) || ')' as advertiser, onion, {RUN_TS} as ts from"
        f" (select distinct unnest(regexp_extract_all(line, {lit(C.ADDRESS)})) as onion, repo from merged_hits) group by onion")
+oracle("discover_code_text", f"select distinct 'Sourcegraph' as advertiser, unnest(regexp_extract_all(text, {lit(C.ADDRESS)})) as onion,"
+       f" {RUN_TS} as ts from noisy")
 oracle("discover_gateways", f"select 'DuckDuckGo (' || gateway || ')' as advertiser, onion, {RUN_TS} as ts from gateway_found")
 oracle("discover_ioc", f"select distinct 'Suspicious/Scam/Malware repositories' as advertiser, unnest(regexp_extract_all(text,"
        f" {lit(C.ADDRESS)})) as onion, {RUN_TS} as ts from noisy union all select distinct 'AlienVault', regexp_extract(indicator,"

@@ -1,6 +1,6 @@
 """Stored pages: scanning by day, decoding, reading and writing partitioned objects."""
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +17,32 @@ def scan_date_range(objects: DataFrame, start: date, end: date, include_end: boo
     return objects.where((F.col("dt") >= F.lit(start)) & upper)
 
 
-def read_object_files(spark: SparkSession, path: str, suffix: str = "html") -> DataFrame:
-    """Raw object files below ``path/{y}/{m}/{d}/htmls/`` as ``(object_name, dt, onion, body)``."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*.{suffix}").load(path)
-    )
+def day_folders(spark: SparkSession, path: str, start: date, end: date, folder: str) -> list[str]:
+    """The folders ``path/{y}/{m}/{d}/folder`` of the days ``[start, end)`` that exist; no other one is listed."""
+    days = [start + timedelta(n) for n in range((end - start).days)]
+    found = []
+    for day in days:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{day.year}/{day.month}/{day.day}/{folder}")
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            found.append(place.toString())
+    return found
+
+
+def read_object_files(
+    spark: SparkSession, path: str, start: date | None = None, end: date | None = None, suffix: str = "html", folder: str = "htmls"
+) -> DataFrame:
+    """Raw object files below ``path/{y}/{m}/{d}/htmls/`` as ``(object_name, dt, onion, body)``.
+
+    With ``start`` and ``end`` only the folders of the days ``[start, end)`` are listed and read.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}")
+    if start and end:
+        paths = day_folders(spark, path, start, end, folder)
+        if not paths:
+            return spark.createDataFrame([], "object_name string, dt date, onion string, body binary")
+        files = files.load(paths)
+    else:
+        files = files.option("recursiveFileLookup", "true").load(path)
     name = F.regexp_extract("path", rf"(\d+/\d+/\d+/[a-z]+/[^/]+\.{suffix})$", 1)
     return files.select(name.alias("object_name"), F.col("content").alias("body")).select(
         "object_name", A.path_date(F.col("object_name")).alias("dt"),

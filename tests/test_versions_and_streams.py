@@ -37,6 +37,13 @@ def test_object_files_round_trip(spark, tmp_path):
     rows = {r["onion"]: r for r in objects.decode_utf8(objects.read_object_files(spark, str(tmp_path))).collect()}
     assert rows["abc"]["dt"] == date(2022, 11, 3) and rows["abc"]["object_name"] == "2022/11/3/htmls/abc.html"
     assert not rows["abc"]["bad"] and rows["bad"]["bad"] and rows["bad"]["html"] is None
+    other = tmp_path / "2022" / "12" / "30" / "htmls"
+    other.mkdir(parents=True)
+    (other / "late.html").write_bytes(b"x")
+    days = objects.read_object_files(spark, str(tmp_path), date(2022, 11, 1), date(2022, 12, 1))
+    assert {r["onion"] for r in days.collect()} == {"abc", "bad"} and not any("late" in f for f in days.inputFiles())
+    assert objects.read_object_files(spark, str(tmp_path), date(2022, 12, 30), date(2022, 12, 31)).count() == 1
+    assert objects.read_object_files(spark, str(tmp_path), date(2023, 1, 1), date(2023, 2, 1)).count() == 0
 
 
 def test_date_range_prunes_partitions_and_registry_scan_prunes_columns(spark, tmp_path):
