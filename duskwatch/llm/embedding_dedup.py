@@ -51,10 +51,11 @@ def _vectors(rows: DataFrame) -> DataFrame:
                 if label is None or not v.is_valid or v.values.null_count or not len(v.values):
                     continue
                 x = np.asarray(v.values, np.float64)
-                size = np.linalg.norm(x)
-                if not np.isfinite(x).all() or not np.isfinite(size) or size == 0:
+                largest = np.abs(x).max()
+                if not np.isfinite(largest) or largest == 0:
                     continue
-                data = (x / size).tobytes()
+                y = x / largest  # so that no square overflows or vanishes
+                data = (y / np.linalg.norm(y)).tobytes()
                 out.append((i, label, hashlib.blake2b(f"{label}/".encode() + x.tobytes(), digest_size=16).digest(), data))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.string()),

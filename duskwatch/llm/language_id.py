@@ -10,14 +10,16 @@ piece's place in the vocabulary. Characters outside the vocabulary share one ext
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.llm.shipping import map_batches, worker_state
-from duskwatch.llm.tokens import texts_of
+from duskwatch.llm.tokens import Places, texts_of
 
 UNKNOWN = "und"
 #: Runs of letters are cut after this many characters; segmentations do not cross a cut.
@@ -31,14 +33,25 @@ FLOOR = 1e-7
 SMOOTHING = 1_000.0
 RESOLUTION = 1 << 20  # counts are summed as integers, so their order does not matter
 
+#: Letters are the categories L*; marks (M*) stay inside words. ``\w`` of ``re`` also takes other
+#: numbers (fractions, circled and Roman ones) and cuts words at marks, so texts that hold any of
+#: these go the longer way.
 _FIND = re.compile(r"[^\W\d_]+").findall
+_ODD = regex.compile(r"[\p{M}\p{No}\p{Nl}]").search
+_FIND_ODD = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
 _OPEN = "▁"
 
 
 def find_words(text: str) -> list[str]:
     """The words of a text, each with the mark of a word's beginning; long runs in parts."""
+    text = text.lower()
+    found = (_FIND if text.isascii() or not _ODD(text) else _FIND_ODD)(text)
+    if not found:
+        return []
+    if max(map(len, found)) <= LONGEST_WORD:
+        return f" {_OPEN}".join(["", *found])[1:].split(" ")
     out = []
-    for word in _FIND(text.lower()):
+    for word in found:
         if len(word) <= LONGEST_WORD:
             out.append(_OPEN + word)
         else:
@@ -169,7 +182,7 @@ def train(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(vocabulary)
-        index: dict[str, int] = {}
+        index = Places()
         names: dict[str, int] = {}
         cells: list[np.ndarray] = []
         total, held = np.zeros((pieces.n, 0)), 0
@@ -189,9 +202,8 @@ def train(
             for text, lang in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 name = names.setdefault(lang, len(names))
                 found = find_words(text)
-                for i in range(0, len(found), 1 << 20):
-                    part = [index.setdefault(w, len(index)) for w in found[i:i + (1 << 20)]]
-                    cells.append((np.array(part, np.int64) << 20) | name)
+                if found:
+                    cells.append((np.fromiter(map(index.__getitem__, found), np.int64, len(found)) << 20) | name)
                 held += len(found)
                 if len(index) > REMEMBERED or held > 1 << 20:
                     settle()
@@ -218,7 +230,7 @@ class Scorer:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = Places()
         self.scores = np.zeros((0, self.p.shape[1]))
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -234,10 +246,9 @@ class Scorer:
                 size += len(texts[i] or "")
                 i += 1
             joined = [w for words in run for w in words]
-            new = list(dict.fromkeys(w for w in joined if w not in self.index))
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-            self.scores = np.concatenate([self.scores, score_words(self.pieces, new, self.p)])
+            known = len(self.index)
             at = np.fromiter(map(self.index.__getitem__, joined), np.int64, len(joined))
+            self.scores = np.concatenate([self.scores, score_words(self.pieces, list(islice(self.index, known, None)), self.p)])
             counts[first:i] = [len(words) for words in run]
             filled = np.flatnonzero(counts[first:i])
             if len(filled):

@@ -1,5 +1,6 @@
 """Power-of-two decomposition of documents into training sequences."""
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +31,13 @@ def binary_lengths(tokens: np.ndarray, longest: int) -> tuple[np.ndarray, np.nda
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, byte_level: bool = False, end_id: int = 2, longest: int = 4096,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", checksums: bool = False,
 ) -> DataFrame:
     """``(doc_id, start, length, bucket, ids, doc_tokens, sequence_id, offset)``, one row per piece.
 
+    With ``checksums`` there is ``ids_crc32`` instead of ``ids``: the unsigned CRC-32 of a piece's
+    ids as little-endian unsigned 32-bit integers. The ids then never leave the task.
+
     The ids of a document, ``end_id`` last, are cut into pieces of ``longest`` (a power of two) and
     of the powers of two of the rest. A piece is a sequence of its own, so none crosses documents
     and none needs padding; ``bucket`` is the exponent of its length, and batches are drawn from
@@ -56,16 +60,23 @@ def pack_documents(
                 total = np.concatenate([[0], np.cumsum(lengths)])
                 doc_of = np.repeat(np.arange(n), counts)
                 first = np.concatenate([[0], np.cumsum(tokens)[:-1]])
-                lists = pa.ListArray.from_arrays(pa.array(total, pa.int32()), pa.array(ids))
+                held = _sums(ids, total) if checksums else pa.ListArray.from_arrays(pa.array(total, pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([
                     own.take(pa.array(doc_of)), pa.array(total[:-1] - first[doc_of]), pa.array(lengths.astype(np.int64)),
-                    pa.array(np.log2(lengths).astype(np.int32)), lists, pa.array(tokens[doc_of]),
+                    pa.array(np.log2(lengths).astype(np.int32)), held, pa.array(tokens[doc_of]),
                     pa.array(np.arange(following, following + len(lengths))), pa.array(np.zeros(len(lengths), np.int64))],
-                    ["doc_id", "start", "length", "bucket", "ids", "doc_tokens", "sequence_id", "offset"])
+                    ["doc_id", "start", "length", "bucket", "ids_crc32" if checksums else "ids", "doc_tokens", "sequence_id", "offset"])
                 following += len(lengths)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(rows, run, SCHEMA)
+    return map_batches(rows, run, SCHEMA.replace("ids array<int>", "ids_crc32 long") if checksums else SCHEMA)
+
+
+def _sums(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """CRC-32 of consecutive runs of ids."""
+    data = memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")
+    edges = (4 * ends).tolist()
+    return pa.array([zlib.crc32(data[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.int64())
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:
@@ -75,19 +86,15 @@ def write_buckets(pieces: DataFrame, path: str) -> None:
 
 def with_checksums(pieces: DataFrame, column: str = "ids_crc32") -> DataFrame:
     """Replace ``ids`` by the unsigned CRC-32 of them as little-endian unsigned 32-bit integers."""
-    import zlib
-
     kept = [f for f in pieces.schema.fields if f.name != "ids"]
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("ids"))
-            ends = np.asarray(lists.offsets)
-            data = memoryview(np.ascontiguousarray(np.asarray(lists.values), dtype="<u4")).cast("B")
-            sums = [zlib.crc32(data[4 * a:4 * b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            sums = _sums(np.asarray(lists.values), np.asarray(lists.offsets, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index(n)) for n in names] + [pa.array(sums, pa.int64())], names + [column])
+                [batch.column(batch.schema.get_field_index(n)) for n in names] + [sums], names + [column])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
     return map_batches(pieces, run, f"{schema}, {column} long")

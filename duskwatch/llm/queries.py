@@ -118,8 +118,7 @@ def op9_sharding(spark, sf_dir):
 
 @query
 def op10_packing(spark, sf_dir):
-    pieces = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
-    return packing.with_checksums(pieces)
+    return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), checksums=True)
 
 
 @query

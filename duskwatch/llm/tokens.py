@@ -30,7 +30,7 @@ _SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 _TAILS = frozenset(".,;:!?")
 
 
-class _Places(dict):
+class Places(dict):
     """Chunk to place; a chunk met for the first time gets the next place."""
 
     def __missing__(self, chunk: str) -> int:
@@ -60,7 +60,7 @@ class ChunkEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.index = _Places()
+        self.index = Places()
         self.ids, self.held = np.zeros(1 << 16, np.uint32), 0
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
 

@@ -30,7 +30,7 @@ def test_language_of_odd_texts(spark):
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = spark.createDataFrame(
         [(i, t, l, 0.5) for i, (t, l) in enumerate([("the cat is here", "en"), ("die katze ist hier", "de")] * 20 + [
-            (None, "en"), ("", "de"), ("12 + 7", "en"), ("katze", None), ("x" * 20000, "en"), ("漢字", None)])],
+            (None, "en"), ("", "de"), ("½ ² ① Ⅷ", "en"), ("katze", None), ("x" * 20000, "en"), ("漢字", None)])],
         "doc_id long, text string, lang string, score double")
     model = language_id.train(docs, path)
     rows = {r["doc_id"]: r for r in language_id.predict(docs, model, path).collect()}
@@ -41,6 +41,31 @@ def test_language_of_odd_texts(spark):
     assert language_id.predict(empty, model, path).count() == 0
 
 
+def test_words_are_runs_of_letters_and_marks():
+    """Against a loop over Unicode categories."""
+    import random
+    import unicodedata
+
+    def loop(text):
+        out, word = [], ""
+        for c in text.lower() + " ":
+            kind = unicodedata.category(c)
+            if kind[0] == "L" or (word and kind[0] == "M"):
+                word += c
+            else:
+                out += [word] if word else []
+                word = ""
+        return out
+
+    rng = random.Random(4)
+    letters = "abcÉßİ½²①Ⅷ_7 -'’नमस्ते漢字\u0301ａ𝒳ͅ\n"
+    for _ in range(3000):
+        text = "".join(rng.choices(letters, k=rng.randrange(12)))
+        assert language_id.find_words(text) == [language_id._OPEN + w for w in loop(text)], text
+    assert language_id.find_words("½ ² ① Ⅷ") == [] and language_id.find_words("नमस्ते") == ["▁नमस्ते"]
+    assert language_id.find_words("x" * 100 + " y") == ["▁" + "x" * 48, "x" * 48, "x" * 4, "▁y"]
+
+
 def test_forward_sums_all_segmentations():
     import public_tokenizers
 
