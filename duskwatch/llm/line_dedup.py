@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from duskwatch.llm.scratch import discard, stage
 
 BUCKETS = 1 << 17
-#: Rarest words of a line by which it first meets one earlier line each.
-ANCHORS = 2
+#: Rarest words of a line by which it first meets earlier lines, and how many lines for each word:
+#: the earliest of every share of the lines with the word.
+ANCHORS, SAMPLES = 3, 16
 
 
 def _plain_words(line: Column) -> Column:
@@ -100,10 +101,12 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
         "doc_id", "text_id", "line_no", F.xxhash64("h").alias("set"), F.xxhash64(F.lit(1), "h").alias("set2"), F.size("h").alias("n"),
         F.slice(_by_rarity(h, classes), 1, _prefix_length(F.size("h"))).alias("prefix"), _parity(h, 0).alias("bits"), _parity(h, 1).alias("bits2"))
     sets = stage(sets.where("n > 0"), "line_sets")
-    # Equal sets: all lines but the first. Later steps see one line per set, named by a number.
-    first = stage(sets.groupBy("set", "set2").agg(
-        F.min(F.struct("doc_id", "line_no", "text_id", "n", "prefix", "bits", "bits2")).alias("f"), F.count("*").alias("lines")).select(
-        F.monotonically_increasing_id().alias("id"), "set", "set2", "f.*", "lines"), "first_lines")
+    # Equal sets: all lines but the first. Later steps see one line per set, named by a number that
+    # follows the order of places: ranges are sorted, and numbers ascend in and over them.
+    first = sets.groupBy("set", "set2").agg(
+        F.min(F.struct("doc_id", "line_no", "text_id", "n", "prefix", "bits", "bits2")).alias("f"), F.count("*").alias("lines"))
+    first = stage(first.select("set", "set2", "f.*", "lines").orderBy("doc_id", "line_no", "text_id").withColumn(
+        "id", F.monotonically_increasing_id()), "first_lines")
     repeated = first.where("lines > 1").select("set", "set2", F.col("doc_id").alias("first_id"), F.col("text_id").alias("first_text"), F.col("line_no").alias("first_no"))
     later = stage(sets.select("set", "set2", "doc_id", "text_id", "line_no").join(repeated, ["set", "set2"]).where(
         "not (doc_id <=> first_id and text_id = first_text and line_no = first_no)").select("doc_id", "text_id", "line_no"), "repeated_lines")
@@ -112,8 +115,9 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     # Sets of up to 3 words are similar only to themselves. First each line meets the earliest line
     # with one of its rarest words: work in proportion to the lines, and enough for most copies.
     long = first.where("n > 3")
-    rarest = long.select("id", "doc_id", "line_no", "n", "bits", "bits2", F.posexplode(F.slice("prefix", 1, ANCHORS)).alias("pos", "token"))
-    earliest = rarest.groupBy("token").agg(F.min(F.struct("doc_id", "line_no", "id", "n", "pos", "bits", "bits2")).alias("e"))
+    rarest = long.select(F.lit(True).alias("open"), "id", "n", "bits", "bits2", F.posexplode(F.slice("prefix", 1, ANCHORS)).alias("pos", "token"))
+    share = F.pmod(F.xxhash64("id"), F.lit(SAMPLES))
+    earliest = rarest.groupBy("token", share.alias("share")).agg(F.min(F.struct("id", "open", "n", "pos", "bits", "bits2")).alias("e"))
     rarest, earliest = (x.select("token", *_entry(c)) for x, c in ((rarest, ""), (earliest, "e.")))
     near = stage(_similar(_pairs(rarest, earliest, either=True), docs, places), "near_lines")
     # Of the other pairs only those matter whose later line is not explained by then. A larger line
@@ -136,27 +140,43 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
 
 
 def _entry(prefix: str) -> list[Column]:
-    """What the join compares: a line's number, its size and the word's place in one number, its sketch."""
-    size = F.shiftleft(F.col(f"{prefix}n").cast("long"), 32).bitwiseOR(F.col(f"{prefix}pos").cast("long")).alias("size")
+    """What the join compares: a line's number, its size, the word's place and whether it is open in one number, its sketch."""
+    place = F.shiftleft(F.col(f"{prefix}pos").cast("long"), 1).bitwiseOR(F.col(f"{prefix}open").cast("long"))
+    size = F.shiftleft(F.col(f"{prefix}n").cast("long"), 32).bitwiseOR(place).alias("size")
     return [F.col(f"{prefix}id").alias("id"), size, F.col(f"{prefix}bits").alias("bits"), F.col(f"{prefix}bits2").alias("bits2")]
 
 
 def _pairs(entries: DataFrame, others: DataFrame, either: bool = False) -> DataFrame:
-    """Numbers ``(id, id2)`` of two lines that pass the filters; the second is not larger, unless ``either``."""
+    """Numbers ``(id, id2)`` of two lines that pass the filters, the later one open; the second is not larger, unless ``either``."""
     others = others.select("token", *(F.col(c).alias(f"{c}_") for c in ("id", "size", "bits", "bits2")))
     n, n2 = F.shiftright("size", 32), F.shiftright("size_", 32)
-    pos, pos2 = (F.col(c).bitwiseAND((1 << 32) - 1) for c in ("size", "size_"))
+    pos, pos2 = (F.shiftright(F.col(c).bitwiseAND((1 << 32) - 1), 1) for c in ("size", "size_"))
+    later = F.when(F.col("id") > F.col("id_"), F.col("size")).otherwise(F.col("size_"))
     apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_"))) for c in ("bits", "bits2")), F.lit(0))
     # Two sets with similarity 4/5 have at least 4/9 of their sizes' sum in common.
     passed = (9 * apart <= n + n2) & (5 * n2 >= 4 * n) & (5 * n >= 4 * n2)
     passed = passed & (9 * F.least(n - pos, n2 - pos2) >= 4 * (n + n2))
-    passed = passed & (F.col("id") != F.col("id_")) & (F.lit(True) if either else n2 <= n)
+    passed = passed & (F.col("id") != F.col("id_")) & (later.bitwiseAND(1) == 1) & (F.lit(True) if either else n2 <= n)
     return entries.hint("merge").join(others, "token").where(passed).select("id", F.col("id_").alias("id2")).distinct()
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
-    """``(id, doc_id, text_id, line_no)`` of the later lines of pairs whose whole word sets have Jaccard similarity 4/5 or more."""
-    pairs = stage(pairs, "line_pairs")
+    """``(id, doc_id, text_id, line_no)`` of the later lines of pairs whose whole word sets are similar.
+
+    Nearly all pairs that pass the filters are similar, and one similar earlier line is enough. So
+    each later line is verified against its earliest partner, and only those for which that one
+    fails against the others: in a dense group the work grows with its lines, not with its pairs.
+    """
+    pairs = stage(pairs.select(F.greatest("id", "id2").alias("id"), F.least("id", "id2").alias("id2")).distinct(), "line_pairs")
+    one = pairs.groupBy("id").agg(F.min("id2").alias("id2"))
+    found = stage(_verified(one, docs, places), "similar_to_one")
+    rest = pairs.join(one, ["id", "id2"], "left_anti").join(found.select("id"), "id", "left_anti")
+    return found.union(_verified(rest, docs, places))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``(id, doc_id, text_id, line_no)`` of the first lines of pairs whose whole word sets have Jaccard similarity 4/5 or more."""
+    pairs = stage(pairs, "pairs_to_verify")
     wanted = pairs.select("id").union(pairs.select("id2")).distinct()
     wanted = stage(places.join(wanted, "id", "left_semi"), "wanted_lines")
     # One text per wanted row, and of it only the wanted lines.
@@ -174,11 +194,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
     both = pairs.join(a, "id").join(b, "id2")
     common = F.size(F.array_intersect("a.words", "b.words"))
     similar = both.where(100 * common >= 80 * (F.size("a.words") + F.size("b.words") - common))
-    ends = [F.struct(F.col(f"{x}.doc_id").alias("doc_id"), F.col(f"{x}.line_no").alias("line_no"), F.col(f"{x}.text_id").alias("text_id"), F.col(i).alias("id"))
-            for x, i in (("a", "id"), ("b", "id2"))]
-    # Null ids come first, as in the order of structs.
-    last = similar.select(F.when(ends[0] < ends[1], ends[1]).otherwise(ends[0]).alias("last"))
-    return last.select("last.id", "last.doc_id", "last.text_id", "last.line_no").distinct()
+    return similar.select("a.id", "a.doc_id", "a.text_id", "a.line_no").distinct()
 
 
 def without_lines(docs: DataFrame, gone: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
