@@ -19,11 +19,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duskwatch.llm.scratch import discard, stage
+from duskwatch.llm.scratch import discard, free_names, stage
 
 BUCKETS = 1 << 17
-#: Rarest words of a line by which it first meets earlier lines, and how many lines for each word:
-#: the earliest of every share of the lines with the word.
+#: Words of a line's prefix, from its first to its last, by which it first meets earlier lines, and
+#: how many lines for each word: the earliest of every share of the lines that meet by it.
 ANCHORS, SAMPLES = 3, 16
 
 
@@ -112,10 +112,13 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
         "not (doc_id <=> first_id and text_id = first_text and line_no = first_no)").select("doc_id", "text_id", "line_no"), "repeated_lines")
     places = stage(first.select("id", "doc_id", "text_id", "line_no", "set", "set2"), "line_places")
     discard(sets)
-    # Sets of up to 3 words are similar only to themselves. First each line meets the earliest line
-    # with one of its rarest words: work in proportion to the lines, and enough for most copies.
+    # Sets of up to 3 words are similar only to themselves. First each line meets a few early lines
+    # by some words of its prefix: work in proportion to the lines, and enough for most copies. Near
+    # copies differ in their rarest words, so the last ones count too.
     long = first.where("n > 3")
-    rarest = long.select(F.lit(True).alias("open"), "id", "n", "bits", "bits2", F.posexplode(F.slice("prefix", 1, ANCHORS)).alias("pos", "token"))
+    last = F.size("prefix") - 1
+    anchors = F.array_distinct(F.array(F.lit(0), *[F.floor(last * i / (ANCHORS - 1)).cast("int") for i in range(1, ANCHORS)]))
+    rarest = long.select("prefix", F.lit(True).alias("open"), "id", "n", "bits", "bits2", F.explode(anchors).alias("pos")).select("*", F.get("prefix", F.col("pos")).alias("token")).drop("prefix")
     share = F.pmod(F.xxhash64("id"), F.lit(SAMPLES))
     earliest = rarest.groupBy("token", share.alias("share")).agg(F.min(F.struct("id", "open", "n", "pos", "bits", "bits2")).alias("e"))
     rarest, earliest = (x.select("token", *_entry(c)) for x, c in ((rarest, ""), (earliest, "e.")))
@@ -197,16 +200,24 @@ def _verified(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame
     return similar.select("a.id", "a.doc_id", "a.text_id", "a.line_no").distinct()
 
 
-def without_lines(docs: DataFrame, gone: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the lines ``gone(doc_id, text_id, line_no)``, and ``_lines`` and ``_removed``, their numbers."""
-    gone = gone.groupBy(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text")).agg(F.collect_set("line_no").alias("_gone"))
-    lines = F.split(text_col, "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("_gone", i))
-    joined = docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (_text_id(docs[text_col]) == gone["_text"]), "left")
+def without_lines(
+    docs: DataFrame, gone: DataFrame, text_col: str = "text", id_col: str = "doc_id", lines_col: str = "_lines",
+    removed_col: str = "_removed",
+) -> DataFrame:
+    """``docs`` without the lines ``gone(doc_id, text_id, line_no)``, and two more columns: their numbers of lines and removed ones.
+
+    Columns of ``docs`` keep their values, whatever their names, but for the text and those two.
+    """
+    kept_names = [c for c in docs.columns if c not in (lines_col, removed_col)]
+    gone_id, gone_text, numbers = free_names(docs, "id", "text", "gone")
+    gone = gone.groupBy(F.col("doc_id").alias(gone_id), F.col("text_id").alias(gone_text)).agg(F.collect_set("line_no").alias(numbers))
+    lines = F.split(docs[text_col], "\n", -1)
+    kept = F.filter(lines, lambda _, i: ~F.array_contains(gone[numbers], i))
+    joined = docs.join(gone, docs[id_col].eqNullSafe(gone[gone_id]) & (_text_id(docs[text_col]) == gone[gone_text]), "left")
     return joined.select(
-        *(F.when(F.col("_gone").isNull(), F.col(c)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else docs[c]
-          for c in docs.columns),
-        F.coalesce(F.size(lines), F.lit(0)).alias("_lines"), F.coalesce(F.size("_gone"), F.lit(0)).alias("_removed"))
+        *(F.when(gone[numbers].isNull(), docs[c]).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else docs[c]
+          for c in kept_names),
+        F.coalesce(F.size(lines), F.lit(0)).alias(lines_col), F.coalesce(F.size(gone[numbers]), F.lit(0)).alias(removed_col))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -219,4 +230,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     docs = docs.select(id_col, text_col)
     gone = duplicate_lines(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    return without_lines(docs, gone, text_col, id_col).withColumnsRenamed({"_lines": "n_lines", "_removed": "n_removed"})
+    return without_lines(docs, gone, text_col, id_col, "n_lines", "n_removed")

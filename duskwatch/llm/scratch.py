@@ -29,3 +29,12 @@ def discard(*tables: DataFrame) -> None:
         spark = table.sparkSession
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._scratch)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    mark = "_"
+    while any(f"{mark}{name}".lower() in taken for name in names):
+        mark += "_"
+    return [f"{mark}{name}" for name in names]

@@ -279,5 +279,28 @@ def test_one_row_per_group_of_near_copies(spark):
         [(2, words[1], "x"), (None, words[2], "x"), (None, words[3], "x"), (5, "", "x"), (5, "", "x")], key=str)
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    odd = docs.selectExpr("*", "cast(doc_id as string) as _gone", "doc_id as _key", "'x' as _lang", "0.5 as _score", "1 as _lines",
+                          "2 as _removed", "3 as _id", "'t' as _text", "4 as _other", "5 as `_KEY2`").withColumnRenamed("_KEY2", "__GONE")
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        plain = {r["doc_id"] for r in function(spark, docs, SF).collect()}
+        left = function(spark, odd, SF)
+        assert left.columns == odd.columns, name
+        rows = left.collect()
+        assert {r["doc_id"] for r in rows} == plain and plain
+        assert all((r["_gone"], r["_key"], r["_lang"], r["_removed"], r["_text"], r["__GONE"]) == (str(r["doc_id"]), r["doc_id"], "x", 2, "t", 5) for r in rows)
+
+
+def test_rows_that_share_a_name_all_stay(spark, monkeypatch):
+    """Names of a few bits: different rows meet under one name, and none is lost."""
+    real = corpus_pipeline.F.xxhash64
+    monkeypatch.setattr(corpus_pipeline.F, "xxhash64", lambda *c: real(*c) if len(c) == 3 else real(*c).bitwiseAND(7))
+    rows = [(i, f"text number {i} of its own with words {i * 7} {i * 11} {i * 13}") for i in range(40)]
+    docs = spark.createDataFrame([*rows, rows[3], rows[3]], "doc_id long, text string")
+    left = corpus_pipeline.distinct_documents(spark, docs, SF)
+    assert sorted(map(tuple, left.collect())) == rows
+
+
 def test_pipeline_query(spark):
     assert os.path.exists(SF) and corpus_pipeline.run(spark, SF).where("length = size(ids)").count() > 100
