@@ -24,7 +24,7 @@ from duskwatch.llm.scratch import discard, free_names, stage
 BUCKETS = 1 << 17
 #: Words of a line's prefix, from its first to its last, by which it first meets earlier lines, and
 #: how many lines for each word: the earliest of every share of the lines that meet by it.
-ANCHORS, SAMPLES = 3, 16
+ANCHORS, SAMPLES = 3, 8
 
 
 def _plain_words(line: Column) -> Column:
@@ -122,7 +122,7 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     share = F.pmod(F.xxhash64("id"), F.lit(SAMPLES))
     earliest = rarest.groupBy("token", share.alias("share")).agg(F.min(F.struct("id", "open", "n", "pos", "bits", "bits2")).alias("e"))
     rarest, earliest = (x.select("token", *_entry(c)) for x, c in ((rarest, ""), (earliest, "e.")))
-    near = stage(_similar(_pairs(rarest, earliest, either=True), docs, places), "near_lines")
+    near = stage(_similar(_pairs(rarest, earliest, first=True), docs, places), "near_lines")
     # Of the other pairs only those matter whose later line is not explained by then. A larger line
     # looks for smaller ones: an open line for all, an explained line for open ones.
     marked = long.join(near.select(F.col("id").alias("near_id")), F.col("id") == F.col("near_id"), "left")
@@ -149,8 +149,11 @@ def _entry(prefix: str) -> list[Column]:
     return [F.col(f"{prefix}id").alias("id"), size, F.col(f"{prefix}bits").alias("bits"), F.col(f"{prefix}bits2").alias("bits2")]
 
 
-def _pairs(entries: DataFrame, others: DataFrame, either: bool = False) -> DataFrame:
-    """Numbers ``(id, id2)`` of two lines that pass the filters, the later one open; the second is not larger, unless ``either``."""
+def _pairs(entries: DataFrame, others: DataFrame, first: bool = False) -> DataFrame:
+    """Numbers ``(id, id2)`` of two lines that pass the filters, the later one open and the second not larger.
+
+    With ``first`` the second only has to be earlier: it stands for the lines of its share.
+    """
     others = others.select("token", *(F.col(c).alias(f"{c}_") for c in ("id", "size", "bits", "bits2")))
     n, n2 = F.shiftright("size", 32), F.shiftright("size_", 32)
     pos, pos2 = (F.shiftright(F.col(c).bitwiseAND((1 << 32) - 1), 1) for c in ("size", "size_"))
@@ -159,7 +162,7 @@ def _pairs(entries: DataFrame, others: DataFrame, either: bool = False) -> DataF
     # Two sets with similarity 4/5 have at least 4/9 of their sizes' sum in common.
     passed = (9 * apart <= n + n2) & (5 * n2 >= 4 * n) & (5 * n >= 4 * n2)
     passed = passed & (9 * F.least(n - pos, n2 - pos2) >= 4 * (n + n2))
-    passed = passed & (F.col("id") != F.col("id_")) & (later.bitwiseAND(1) == 1) & (F.lit(True) if either else n2 <= n)
+    passed = passed & (F.col("id") > F.col("id_") if first else (F.col("id") != F.col("id_")) & (later.bitwiseAND(1) == 1) & (n2 <= n))
     return entries.hint("merge").join(others, "token").where(passed).select("id", F.col("id_").alias("id2")).distinct()
 
 
@@ -171,16 +174,15 @@ def _similar(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
     fails against the others: in a dense group the work grows with its lines, not with its pairs.
     """
     pairs = stage(pairs.select(F.greatest("id", "id2").alias("id"), F.least("id", "id2").alias("id2")).distinct(), "line_pairs")
-    one = pairs.groupBy("id").agg(F.min("id2").alias("id2"))
-    found = stage(_verified(one, docs, places), "similar_to_one")
+    words = _line_words(pairs.select("id").union(pairs.select("id2")).distinct(), docs, places)
+    one = stage(pairs.groupBy("id").agg(F.min("id2").alias("id2")), "first_partners")
+    found = stage(_verified(one, words), "similar_to_one")
     rest = pairs.join(one, ["id", "id2"], "left_anti").join(found.select("id"), "id", "left_anti")
-    return found.union(_verified(rest, docs, places))
+    return found.union(_verified(rest, words))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
-    """``(id, doc_id, text_id, line_no)`` of the first lines of pairs whose whole word sets have Jaccard similarity 4/5 or more."""
-    pairs = stage(pairs, "pairs_to_verify")
-    wanted = pairs.select("id").union(pairs.select("id2")).distinct()
+def _line_words(wanted: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``(id, doc_id, text_id, line_no, words)`` of wanted lines: the hashes of their words."""
     wanted = stage(places.join(wanted, "id", "left_semi"), "wanted_lines")
     # One text per wanted row, and of it only the wanted lines.
     own = wanted.groupBy(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text")).agg(
@@ -192,8 +194,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame
     found = found.select("id", "doc_id", "text_id", "line_no", "set", "set2", _hashes(F.col("line")).alias("words"))
     # Two texts of an id might share a name: keep the line that the set's name was made of.
     found = found.where((F.xxhash64("words") == F.col("set")) & (F.xxhash64(F.lit(1), "words") == F.col("set2")))
-    found = stage(found.dropDuplicates(["id"]).select("id", "doc_id", "text_id", "line_no", "words"), "line_words")
-    a, b = found.alias("a"), found.withColumnRenamed("id", "id2").alias("b")
+    return stage(found.dropDuplicates(["id"]).select("id", "doc_id", "text_id", "line_no", "words"), "line_words")
+
+
+def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """``(id, doc_id, text_id, line_no)`` of the first lines of pairs whose whole word sets have Jaccard similarity 4/5 or more."""
+    a, b = words.alias("a"), words.withColumnRenamed("id", "id2").alias("b")
     both = pairs.join(a, "id").join(b, "id2")
     common = F.size(F.array_intersect("a.words", "b.words"))
     similar = both.where(100 * common >= 80 * (F.size("a.words") + F.size("b.words") - common))

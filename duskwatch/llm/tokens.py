@@ -24,8 +24,11 @@ RUN_BYTES = 2 << 20
 #: Cut before a single blank between two characters that no library counts as white space; the
 #: blank opens the next chunk. Byte-level pre-tokens carry at most one leading blank.
 _BYTE_LEVEL = re.compile(r"\s*\S+(?:(?! \S)\s+\S+)*(?:(?! \S)\s+\Z)?|\s+")
-#: White space is removed before the merges, so words between ASCII white space stand alone.
-_SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _spaced(text: str) -> list[bytes]:
+    """White space is removed before the merges, so words between ASCII white space stand alone."""
+    return text.encode().split()
 
 _TAILS = frozenset(".,;:!?")
 
@@ -33,7 +36,7 @@ _TAILS = frozenset(".,;:!?")
 class Places(dict):
     """Chunk to place; a chunk met for the first time gets the next place."""
 
-    def __missing__(self, chunk: str) -> int:
+    def __missing__(self, chunk: str | bytes) -> int:
         self[chunk] = place = len(self)
         return place
 
@@ -48,7 +51,7 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.byte_level = byte_level
-        self.find = (_BYTE_LEVEL if byte_level else _SPACED).findall
+        self.find = _BYTE_LEVEL.findall if byte_level else _spaced
         self.mark_id, added = max(self.tokenizer.get_added_tokens_decoder().items())
         self.mark = added.content
         names = {i: name for name, i in self.tokenizer.get_vocab(True).items()}
@@ -131,7 +134,8 @@ class ChunkEncoder:
         if more:
             self.start = np.concatenate([self.start, np.zeros(more, np.int64)])
             self.length = np.concatenate([self.length, np.zeros(more, np.int64)])
-            self._learn(list(islice(self.index, known, None)), np.arange(known, known + more))
+            new = list(islice(self.index, known, None))
+            self._learn(new if self.byte_level else [c.decode() for c in new], np.arange(known, known + more))
         return place, counts
 
     def _runs(self, texts: Iterable[str | None]):
