@@ -181,6 +181,7 @@ def train(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("language training")  # lets go of the tables of other operators
         pieces = Pieces(vocabulary)
         index = Places()
         names: dict[str, int] = {}

@@ -1,5 +1,7 @@
 """Arrow functions on executors that need not have this package installed."""
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -17,8 +19,19 @@ _STATE: dict[str, dict] = {}
 def worker_state(owner: str) -> dict:
     """What a Python worker keeps between tasks; it keeps the tables of one operator at a time."""
     if owner not in _STATE:
-        _STATE.clear()
-    return _STATE.setdefault(owner, {})
+        if _STATE:
+            _STATE.clear()
+            _give_back()
+        _STATE[owner] = {}
+    return _STATE[owner]
+
+
+def _give_back() -> None:
+    """Return memory that is free again to the system; workers of several operators share an executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def ship(spark: SparkSession) -> None:

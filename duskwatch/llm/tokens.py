@@ -30,6 +30,7 @@ def _spaced(text: str) -> list[bytes]:
     """White space is removed before the merges, so words between ASCII white space stand alone."""
     return text.encode().split()
 
+
 _TAILS = frozenset(".,;:!?")
 
 
