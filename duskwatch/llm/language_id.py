@@ -181,7 +181,6 @@ def train(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_state("language training")  # lets go of the tables of other operators
         pieces = Pieces(vocabulary)
         index = Places()
         names: dict[str, int] = {}
@@ -294,4 +293,4 @@ def predict(
     from pyspark.sql.types import DoubleType, StringType, StructType
 
     schema = StructType(list(rows.schema.fields)).add(lang_col, StringType()).add(score_col, DoubleType())
-    return map_batches(rows, run, schema)
+    return map_batches(rows, run, schema, keeps=True)

@@ -69,7 +69,7 @@ def pack_documents(
                 following += len(lengths)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(rows, run, SCHEMA.replace("ids array<int>", "ids_crc32 long") if checksums else SCHEMA)
+    return map_batches(rows, run, SCHEMA.replace("ids array<int>", "ids_crc32 long") if checksums else SCHEMA, keeps=True)
 
 
 def _sums(ids: np.ndarray, ends: np.ndarray) -> pa.Array:

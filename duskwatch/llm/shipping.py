@@ -49,11 +49,20 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, keeps: bool = False
 ) -> DataFrame:
-    """``df.mapInArrow`` with the package's code on the executors."""
+    """``df.mapInArrow`` with the package's code on the executors.
+
+    A function that ``keeps`` tables for later tasks asks for them by ``worker_state``. Any other one
+    begins by letting go of the tables that its worker holds from earlier operators.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("none")
+        return function(batches)
+
+    return df.mapInArrow(function if keeps else alone, schema)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:

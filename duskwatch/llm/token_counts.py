@@ -35,4 +35,4 @@ def count_tokens(
                  pa.array(n_tokens > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(rows, run, SCHEMA)
+    return map_batches(rows, run, SCHEMA, keeps=True)

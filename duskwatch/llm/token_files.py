@@ -143,7 +143,9 @@ def write_token_files(
             yield flush()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    map_batches(rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id"), run, SEGMENTS).write.parquet(path)
+    # Rows of one id, or of none, are dealt over ranges by a hash of their text.
+    order = ["doc_id", F.xxhash64("text")]
+    map_batches(rows.repartitionByRange(*order).sortWithinPartitions(*order), run, SEGMENTS, keeps=True).write.parquet(path)
 
 
 def read_token_files(
