@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python workers hold a few batches at a time; long texts make them large.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
