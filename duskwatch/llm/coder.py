@@ -1,24 +1,34 @@
 """Adaptive context-mixing range coder for token ids, many blocks side by side.
 
-A block of ``BLOCK`` ids is coded on its own: all statistics start empty. For every id three
-models speak: order 2 and order 1 name the id that last followed the same two (one) ids in the
-block, order 0 holds the frequencies of the block's ids so far, and an id that is new to it is
-uniform over the vocabulary. Their mixing weights depend on which of the predictions exist and
-agree; they and the order-0 frequencies are learned anew whenever the coded part has doubled.
-A range coder with 64-bit range and 32-bit words writes first the model, then the id within it.
-
-Encoder and decoder advance all blocks of a batch by one id at a time, as numpy columns.
+A block of ``BLOCK`` ids is coded on its own: all statistics start empty. Every id has one
+probability, a weighted sum over the models that know it: order 2 and order 1 each name the id that
+last followed the same two (one) ids in the block, order 0 gives an id its share of the ids so far,
+and what is left belongs to new ids, by their bit length. The weights depend on which predictions
+exist, agree and came true last time; each id's credit is split over the models by what they gave it. Weights,
+order-0 shares and lengths are learned anew at short steps, about every ``1 / STEPS`` of the coded part.
+
+The interval of an id is the predicted ids first, then the other old ids in order (those of a
+predicted id are taken out), then the new ones. A range coder with 64-bit range and 32-bit words
+narrows to it. Encoder and decoder advance all blocks of a batch by one id at a time, as numpy columns.
 """
 
 import numpy as np
 
 BLOCK = 4096
-FIRST = 64
-PRECISION = 12
+FIRST = 16
+STEPS = 6
+PRECISION = 20
 _TOTAL = 1 << PRECISION
-_SLOTS = 4096
+_PLACE = BLOCK.bit_length() - 1
+_SLOTS = 8192
 _LOW32 = np.uint64(0xFFFFFFFF)
 _U = np.uint64
+#: Bits of the distribution of bit lengths of new ids, and lengths there are.
+_LENGTH_BITS, _LENGTHS = 12, 21
+#: States of the contexts: no prediction, order 1 only, order 2 only, two predictions, one by both; times how they did before.
+_STATES = 20
+#: Credit of one id.
+_CREDIT = 64
 
 
 def _epochs(width: int) -> list[tuple[int, int]]:
@@ -26,72 +36,143 @@ def _epochs(width: int) -> list[tuple[int, int]]:
     at = FIRST
     while at < width:
         edges.append(at)
-        at *= 2
+        at += max(FIRST, at // STEPS)
     return list(zip(edges, edges[1:] + [width], strict=True))
 
 
-class _Context:
-    """Last successors of the order-1 and order-2 contexts, in hashed slots per block."""
-
-    def __init__(self, blocks: int):
-        self.base = np.arange(blocks, dtype=np.int64) * _SLOTS
-        self.one = np.full(blocks * _SLOTS, -1, np.int32)
-        self.two = np.full(blocks * _SLOTS, -1, np.int32)
-        self.last = np.zeros(blocks, np.int64)
-        self.before = np.zeros(blocks, np.int64)
+class _Model:
+    """What encoder and decoder know of all blocks, and the distribution of their next ids."""
 
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Predictions of order 1 and 2 (-1: none) and the state: none, order 1 only, both, both alike."""
-        self.at1 = self.base + (self.last & (_SLOTS - 1))
-        self.at2 = self.base + (((self.last * 40503 + self.before * 30011) >> 3) & (_SLOTS - 1))
-        c1, c2 = self.one.take(self.at1), self.two.take(self.at2)
-        state = (c1 >= 0) + ((c2 >= 0).astype(np.int64) << 1)
-        state += (c1 == c2) & (c1 >= 0)  # 0, 1, 2, 3 and 4
-        return c1, c2, state
+    def __init__(self, blocks: int, width: int):
+        self.blocks = blocks
+        self.lane = np.arange(blocks, dtype=np.int64)
+        self.base = self.lane * _SLOTS
+        # Place of the last successor of a context, in hashed slots; row 0 of the tables below stands for none.
+        self.one, self.two = np.zeros(blocks * _SLOTS, np.int16), np.zeros(blocks * _SLOTS, np.int16)
+        self.ids = np.full((width + 1, blocks), -1, np.int32)
+        self.first, self.count = np.zeros((width + 1, blocks), np.int32), np.zeros((width + 1, blocks), np.int32)
+        self.true = np.zeros((width + 1, blocks), np.int8)  # 1: order 1 named it, 2: order 2 did
+        self.flat = [x.ravel() for x in (self.ids, self.first, self.count, self.true)]
+        self.last = self.before = np.zeros(blocks, np.int64)
+        self.credit = np.zeros((blocks * _STATES, 4), np.int64)
+        prior = np.zeros((5, 4), np.int64)
+        prior[:] = [[0, 0, 3, 5], [0, 3, 4, 4], [4, 0, 3, 3], [3, 1, 3, 3], [6, 2, 2, 2]]
+        rows = np.repeat(prior, 4, axis=0)
+        rows[1::4, 1] *= 2
+        rows[3::4, 1] *= 2
+        rows[2::4, 0] *= 3
+        rows[3::4, 0] *= 3
+        self.prior = np.tile(rows * _CREDIT // 4 + (rows > 0), (blocks, 1))
+        self.lengths = np.ones((blocks, _LENGTHS), np.int64)
+        self.a = 0
 
-    def learn(self, ids: np.ndarray) -> None:
-        self.one[self.at1] = ids
-        self.two[self.at2] = ids
-        self.before, self.last = self.last, ids.astype(np.int64)
+    def begin(self, a: int, size: int) -> None:
+        """Settle the distribution for the next ``size`` ids; ``a`` are known."""
+        self.a = a
+        weight = self.credit + self.prior
+        share = weight * (_TOTAL - 4096) // weight.sum(1, keepdims=True)
+        self.w2, self.w1 = np.ascontiguousarray(share[:, 0]), np.ascontiguousarray(share[:, 1])
+        # Units of one old id; the rest of the total, 4,096 at least but for these, goes to new ids.
+        self.unit = np.maximum(share[:, 2] // a, 0 if a == 0 else 1) if a else np.zeros(len(share), np.int64)
+        total = self.lengths.sum(1, keepdims=True)
+        part = 1 + self.lengths * ((1 << _LENGTH_BITS) - _LENGTHS) // total
+        self.length_start = np.zeros((self.blocks, _LENGTHS + 1), np.int64)
+        np.cumsum(part, axis=1, out=self.length_start[:, 1:])
+        self.length_start[:, -1] = 1 << _LENGTH_BITS
+        self.rows = np.empty((size, self.blocks), np.int32)
 
+    def predict(self, t: int) -> None:
+        self.at1 = self.base + ((self.last * 40503 >> 3) & (_SLOTS - 1))
+        self.at2 = self.base + ((self.last * 40503 + self.before * 30011 >> 3) & (_SLOTS - 1))
+        p1 = self.one.take(self.at1).astype(np.int64) * self.blocks + self.lane
+        p2 = self.two.take(self.at2).astype(np.int64) * self.blocks + self.lane
+        ids, first, count, true = self.flat
+        self.c1, self.c2 = c1, c2 = ids.take(p1), ids.take(p2)
+        self.f1, self.f2, n1, self.n2 = first.take(p1), first.take(p2), count.take(p1), count.take(p2)
+        has1, has2, same = c1 >= 0, c2 >= 0, c1 == c2
+        self.named = (same & has1).astype(np.int64)
+        state = ((has1 + 2 * has2 + self.named) << 2) + (true.take(p1) & 1) + (true.take(p2) & 2)
+        row = self.lane * _STATES + state
+        self.rows[t - self.a] = row
+        self.unit_ = unit = self.unit.take(row)
+        w1 = self.w1.take(row)
+        # One interval for an id that both name.
+        self.n1 = np.where(same, 0, n1)
+        self.m2 = self.w2.take(row) + unit * self.n2 + w1 * self.named
+        self.edge = self.m2 + np.where(same, 0, w1 + unit * n1)
+        self.new = self.edge + unit * (self.a - self.n2 - self.n1)
 
-_STATES = 5
+    def learn(self, t: int, x: np.ndarray) -> None:
+        """``first`` and ``count`` of place ``t`` are set before or here by the caller."""
+        self.ids[t + 1] = x
+        hit = (self.c1 == x) + 2 * (self.c2 == x)
+        self.true[t + 1] = hit
+        self.one[self.at1] = t + 1
+        self.two[self.at2] = t + 1
+        self.before, self.last = self.last, x.astype(np.int64)
 
+    def end(self, b: int) -> None:
+        """Credit the models for the ids since ``begin``."""
+        rows, hit = self.rows.ravel().astype(np.int64), self.true[self.a + 1:b + 1].ravel()
+        count = self.count[self.a + 1:b + 1].ravel()
+        gave = [self.w2.take(rows) * (hit >> 1), self.w1.take(rows) * (hit & 1), self.unit.take(rows) * count]
+        whole = gave[0] + gave[1] + gave[2]
+        fresh = whole == 0
+        whole += fresh
+        n = self.blocks * _STATES
+        for m, part in enumerate([*gave, fresh]):
+            self.credit[:, m] += np.bincount(rows, part * _CREDIT // whole, n).astype(np.int64)
+        at = np.flatnonzero(fresh)
+        length = _length(self.ids[self.a + 1:b + 1].ravel()[at])
+        self.lengths += 2 * np.bincount(at % self.blocks * _LENGTHS + length, minlength=self.lengths.size).reshape(self.lengths.shape)
 
-class _Weights:
-    """Cumulative mixing weights of the four models per block and state."""
 
-    def __init__(self, blocks: int):
-        self.blocks = blocks
-        self.counts = np.zeros(blocks * _STATES * 4, np.int64)
-        self._settle()
+def _length(ids: np.ndarray) -> np.ndarray:
+    """Bit lengths."""
+    return np.frexp(ids.astype(np.float64))[1].astype(np.int64)
 
-    def learn(self, marks: np.ndarray) -> None:
-        """``marks`` holds (block * states + state) * 4 + model of every id coded since the last call."""
-        self.counts += np.bincount(marks.ravel(), minlength=len(self.counts))
-        self._settle()
 
-    def _settle(self) -> None:
-        c = self.counts.reshape(-1, 4) * 4 + 1
-        share = 1 + c * (_TOTAL - 4) // c.sum(1, keepdims=True)
-        total = np.zeros((len(c), 5), np.int64)
-        np.cumsum(share, axis=1, out=total[:, 1:])
-        total[:, 4] = _TOTAL  # the rest goes to new ids
-        self.total = total.ravel().astype(np.uint64)
-        self.cuts = [np.ascontiguousarray(total[:, i]).astype(np.uint64) for i in (1, 2, 3)]
+def _ranks(ids: np.ndarray, a: int, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For all places of ``ids`` (one column per block): lesser ids among the first ``a`` of the block, equal ids
+    there, and those first ids in order, block by block."""
+    b, blocks = ids.shape
+    kind = np.int32 if vocabulary <= 1 << 31 - _PLACE else np.int64
+    key = ids.T.astype(kind)
+    key <<= kind(_PLACE)
+    key |= np.arange(b, dtype=kind)
+    key.sort(axis=1)
+    place = (key & kind(BLOCK - 1)).ravel()
+    key >>= kind(_PLACE)
+    head = np.ones(key.shape, bool)
+    np.not_equal(key[:, 1:], key[:, :-1], out=head[:, 1:])
+    start = np.flatnonzero(head)
+    size = np.diff(np.append(start, head.size))
+    if a == b:
+        first, count, seen = start % b, size, key.ravel()
+    else:
+        old = place < a
+        upto = np.concatenate([[0], np.cumsum(old)])
+        first = upto[start] - start // b * a
+        count = upto[start + size] - upto[start]
+        seen = key.ravel()[old]
+    at = place.astype(np.int64) * blocks + np.repeat(np.arange(blocks), b)
+    firsts, counts = np.empty(ids.shape, np.int32), np.empty(ids.shape, np.int32)
+    firsts.ravel()[at] = np.repeat(first.astype(np.int32), size)
+    counts.ravel()[at] = np.repeat(count.astype(np.int32), size)
+    return firsts, counts, seen
 
 
 def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[np.ndarray]:
     """Code the rows of a matrix of ids, each on its own; the 32-bit words per row."""
-    if vocabulary > 1 << 20 or (ids.size and int(ids.max()) >= vocabulary):
-        raise ValueError("ids must lie below the vocabulary's size, which is 2^20 at most")
+    if vocabulary > 1 << 20 or (ids.size and int(ids.max()) >= vocabulary) or ids.shape[1] > BLOCK:
+        raise ValueError("ids must lie below the vocabulary's size, 2^20 at most, and blocks hold BLOCK ids at most")
     blocks, width = ids.shape
     columns = np.ascontiguousarray(ids.T).astype(np.int32)
-    context, weights = _Context(blocks), _Weights(blocks)
-    lane = np.arange(blocks, dtype=np.int64)
+    model = _Model(blocks, width)
     low, span = np.zeros(blocks, _U), np.full(blocks, ~_U(0), _U)
-    out, end = np.zeros((blocks, width + 4), np.int64), np.zeros(blocks, np.int64)
-    flat, stride = out.ravel(), width + 4
+    stride = 2 * width + 4
+    out, end = np.zeros((blocks, stride), np.int64), np.zeros(blocks, np.int64)
+    flat = out.ravel()
 
     def emit(on: np.ndarray) -> None:
         value = low[on]
@@ -99,41 +180,54 @@ def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[np.ndarray]:
         end[on] += 1
         low[on] = value << _U(32)
 
-    def narrow(start: np.ndarray) -> None:
-        nonlocal low
-        raised = low + start
-        carry = raised < start
-        if carry.any():
-            on = np.flatnonzero(carry)
-            flat[on * stride + end[on] - 1] += 1
-        low = raised
+    def shift(on: np.ndarray) -> None:
+        if len(on):
+            emit(on)
+            span[on] <<= _U(32)
+
+    def raise_by(on: np.ndarray, by: np.ndarray) -> None:
+        raised = low[on] + by
+        carry = on[raised < by]
+        flat[carry * stride + end[carry] - 1] += 1
+        low[on] = raised
 
     for a, b in _epochs(width):
-        first, count = _order0(ids, a, b, vocabulary)
-        totals = np.array([1, 1, max(a, 1), vocabulary], _U)
-        marks = np.empty((b - a, blocks), np.int64)
+        model.first[1:b + 1], model.count[1:b + 1], _ = _ranks(columns[:b], a, vocabulary)
+        model.begin(a, b - a)
         for t in range(a, b):
             x = columns[t]
-            c1, c2, state = context.predict()
-            seen = count[t - a] > 0
-            model = np.where(c2 == x, 0, np.where(c1 == x, 1, np.where(seen, 2, 3)))
-            row = lane * _STATES + state
-            marks[t - a] = row * 4 + model
-            row = row * 5 + model
-            start = weights.total.take(row)
+            model.predict(t)
+            count, first = model.count[t + 1], model.first[t + 1]
+            is2, is1 = model.c2 == x, model.c1 == x
+            unit, edge, new = model.unit_, model.edge, model.new
+            inner = first - np.where(model.f2 < first, model.n2, 0) - np.where(model.f1 < first, model.n1, 0)
+            old = count > 0
+            start = np.where(is2, 0, np.where(is1, model.m2, np.where(old, edge + unit * inner, new)))
+            size = np.where(is2, model.m2, np.where(is1, edge - model.m2, np.where(old, unit * count, _TOTAL - new)))
             r = span >> _U(PRECISION)
-            narrow(r * start)
-            span = r * (weights.total.take(row + 1) - start)
-            r = span // totals.take(model)
-            inner = np.where(model == 2, first[t - a], np.where(model == 3, x, 0)).astype(_U)
-            narrow(r * inner)
-            span = r * np.where(model == 2, count[t - a], 1).astype(_U)
-            on = np.flatnonzero(span <= _LOW32)
+            by = r * start.astype(_U)
+            low += by
+            carry = np.flatnonzero(low < by)
+            if len(carry):
+                flat[carry * stride + end[carry] - 1] += 1
+            span = r * size.astype(_U)
+            shift(np.flatnonzero(span <= _LOW32))
+            on = np.flatnonzero(~(is2 | is1 | old))
             if len(on):
-                emit(on)
-                span[on] <<= _U(32)
-            context.learn(x)
-        weights.learn(marks)
+                own = x[on]
+                length = _length(own)
+                r = span[on] >> _U(_LENGTH_BITS)
+                start = model.length_start[on, length]
+                raise_by(on, r * start.astype(_U))
+                span[on] = r * (model.length_start[on, length + 1] - start).astype(_U)
+                shift(on[span[on] <= _LOW32])
+                bits = np.maximum(length - 1, 0)
+                r = span[on] >> bits.astype(_U)
+                raise_by(on, r * (own - np.where(length > 0, 1 << bits, 0)).astype(_U))
+                span[on] = r
+                shift(on[r <= _LOW32])
+            model.learn(t, x)
+        model.end(b)
     every = np.arange(blocks)
     emit(every)
     emit(every)
@@ -145,87 +239,88 @@ def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[np.ndarray]:
     return [out[i, :end[i]].astype("<u4") for i in range(blocks)]
 
 
-def _order0(ids: np.ndarray, a: int, b: int, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
-    """For ids ``a..b`` of every block: first place and count among the sorted ids before ``a``; one row per id."""
-    blocks = len(ids)
-    first = np.zeros((b - a, blocks), np.int32)
-    count = np.zeros((b - a, blocks), np.int32)
-    group = max(1, (1 << 22) // vocabulary)
-    table_first, table_count = np.zeros(group * vocabulary, np.int32), np.zeros(group * vocabulary, np.int32)
-    for g in range(0, blocks if a else 0, group):
-        own = ids[g:g + group]
-        base = np.arange(len(own), dtype=np.int64)[:, None] * vocabulary
-        seen = np.sort(own[:, :a], axis=1)
-        head = np.ones(seen.shape, bool)
-        head[:, 1:] = seen[:, 1:] != seen[:, :-1]
-        place = np.flatnonzero(head)
-        size = np.diff(np.append(place, head.size))
-        key = (base + seen).ravel()[place]
-        table_first[key] = place % a
-        table_count[key] = size
-        wanted = base + own[:, a:b]
-        first[:, g:g + group] = table_first[wanted].T
-        count[:, g:g + group] = table_count[wanted].T
-        table_count[key] = 0
-    return first, count
-
-
 def decode_blocks(words: list[np.ndarray], width: int, vocabulary: int) -> np.ndarray:
-    """The matrix of ids that ``encode_blocks`` coded."""
+    """The matrix of ids that ``encode_blocks`` coded; damaged words give some ids below the vocabulary's size."""
     blocks = len(words)
     longest = max(map(len, words), default=0) + 2
     source = np.zeros((blocks, longest), _U)
     for i, w in enumerate(words):
         source[i, :len(w)] = w
     flat = source.ravel()
-    context, weights = _Context(blocks), _Weights(blocks)
-    lane = np.arange(blocks, dtype=np.int64)
+    model = _Model(blocks, width)
+    lane = model.lane
     code = (source[:, 0] << _U(32)) | source[:, 1]
     span = np.full(blocks, ~_U(0), _U)
     following, last = lane * longest + 2, lane * longest + longest - 1
-    out = np.empty((width, blocks), np.int32)
+
+    def shift(on: np.ndarray) -> None:
+        if len(on):
+            at = following[on]
+            code[on] = (code[on] << _U(32)) | flat[np.minimum(at, last[on])]
+            span[on] <<= _U(32)
+            following[on] = at + 1
+
     for a, b in _epochs(width):
-        n = max(a, 1)
-        seen = np.sort(out[:a].T, axis=1) if a else np.zeros((blocks, 1), np.int32)
-        head = np.ones(seen.shape, bool)
-        head[:, 1:] = seen[:, 1:] != seen[:, :-1]
-        place = np.flatnonzero(head)
-        size = np.diff(np.append(place, head.size))
-        count = np.repeat(size, size).astype(np.int32)
-        first = np.repeat(place % n, size).astype(np.int32)
-        seen = seen.ravel()
-        totals = np.array([1, 1, n, vocabulary], _U)
-        marks = np.empty((b - a, blocks), np.int64)
-        base0 = lane * n
+        if a:
+            model.first[1:a + 1], model.count[1:a + 1], seen = _ranks(model.ids[1:a + 1], a, vocabulary)
+            firsts, counts = _of_sorted(seen, a)
+        model.begin(a, b - a)
+        base = lane * a
         for t in range(a, b):
-            c1, c2, state = context.predict()
+            model.predict(t)
+            m2, edge, new = model.m2, model.edge, model.new
             r = span >> _U(PRECISION)
-            value = code // r
-            row = lane * _STATES + state
-            c, d, e = weights.cuts
-            model = (value >= c.take(row)).astype(np.int64)
-            model += value >= d.take(row)
-            model += value >= e.take(row)
-            marks[t - a] = row * 4 + model
-            row = row * 5 + model
-            start = weights.total.take(row)
-            code -= r * start
-            span = r * (weights.total.take(row + 1) - start)
-            total = totals.take(model)
-            r = span // total
-            inner = np.minimum(code // r, total - _U(1)).astype(np.int64)
-            old = model == 2
-            at = base0 + np.where(old, inner, 0)
-            x = np.where(old, seen.take(at), np.where(model == 3, inner, np.where(model == 1, c1, c2)))
-            code -= r * np.where(old, first.take(at), np.where(model == 3, inner, 0)).astype(_U)
-            span = r * np.where(old, count.take(at), 1).astype(_U)
-            on = np.flatnonzero(span <= _LOW32)
+            value = np.minimum(code // r, _U(_TOTAL - 1)).astype(np.int64)
+            is2 = value < m2
+            is1 = ~is2 & (value < edge)
+            fresh = value >= new
+            if a:
+                inner = (value - edge) // np.maximum(model.unit_, 1)
+                # Back to the place among all old ids: the named ones were taken out.
+                f1, n1, f2, n2 = model.f1, model.n1, model.f2, model.n2
+                swap = f1 < f2
+                inner += np.where(inner >= np.where(swap, f1, f2), np.where(swap, n1, n2), 0)
+                inner += np.where(inner >= np.where(swap, f2, f1), np.where(swap, n2, n1), 0)
+                at = base + np.where(is2 | is1 | fresh, 0, np.minimum(inner, a - 1))
+                x, first, count = seen.take(at), firsts.take(at), counts.take(at)
+                rest = model.unit_ * (first - np.where(f2 < first, n2, 0) - np.where(f1 < first, n1, 0))
+            else:
+                x = first = count = rest = np.zeros(blocks, np.int64)
+            start = np.where(is2, 0, np.where(is1, m2, np.where(fresh, new, edge + rest)))
+            size = np.where(is2, m2, np.where(is1, edge - m2, np.where(fresh, _TOTAL - new, model.unit_ * count)))
+            x = np.where(is2, model.c2, np.where(is1, model.c1, x))
+            model.first[t + 1] = np.where(is2, model.f2, np.where(is1, model.f1, first))
+            model.count[t + 1] = np.where(is2, model.n2, np.where(is1, model.n1, np.where(fresh, 0, count)))
+            code -= r * start.astype(_U)
+            span = r * size.astype(_U)
+            shift(np.flatnonzero(span <= _LOW32))
+            on = np.flatnonzero(fresh)
             if len(on):
-                at = following[on]
-                code[on] = (code[on] << _U(32)) | flat[np.minimum(at, last[on])]
-                span[on] <<= _U(32)
-                following[on] = at + 1
-            out[t] = x
-            context.learn(x)
-        weights.learn(marks)
-    return np.ascontiguousarray(out.T)
+                starts = model.length_start[on]
+                r = np.maximum(span[on] >> _U(_LENGTH_BITS), _U(1))
+                value = np.minimum(code[on] // r, _U((1 << _LENGTH_BITS) - 1)).astype(np.int64)
+                length = (starts[:, 1:] <= value[:, None]).sum(1)
+                row = np.arange(len(on))
+                code[on] -= r * starts[row, length].astype(_U)
+                span[on] = r * (starts[row, length + 1] - starts[row, length]).astype(_U)
+                shift(on[span[on] <= _LOW32])
+                bits = np.maximum(length - 1, 0)
+                r = np.maximum(span[on] >> bits.astype(_U), _U(1))
+                value = np.minimum(code[on] // r, ((1 << bits) - 1).astype(_U))
+                code[on] -= r * value
+                span[on] = r
+                shift(on[r <= _LOW32])
+                x[on] = np.minimum(value.astype(np.int64) + np.where(length > 0, 1 << bits, 0), vocabulary - 1)
+            model.learn(t, x)
+        model.end(b)
+    return np.ascontiguousarray(model.ids[1:].T)
+
+
+def _of_sorted(seen: np.ndarray, a: int) -> tuple[np.ndarray, np.ndarray]:
+    """For sorted ids, ``a`` of each block: the first place of each one's run in its block, and the run's size."""
+    head = np.ones((len(seen) // a, a), bool)
+    rows = seen.reshape(-1, a)
+    np.not_equal(rows[:, 1:], rows[:, :-1], out=head[:, 1:])
+    start = np.flatnonzero(head)
+    size = np.diff(np.append(start, len(seen)))
+    return np.repeat((start % a).astype(np.int32), size), np.repeat(size.astype(np.int32), size)
