@@ -16,7 +16,7 @@ import numpy as np
 
 BLOCK = 4096
 FIRST = 16
-STEPS = 6
+STEPS = 4
 PRECISION = 20
 _TOTAL = 1 << PRECISION
 _PLACE = BLOCK.bit_length() - 1
@@ -27,6 +27,8 @@ _U = np.uint64
 _LENGTH_BITS, _LENGTHS = 12, 21
 #: States of the contexts: no prediction, order 1 only, order 2 only, two predictions, one by both; times how they did before.
 _STATES = 20
+#: The weights of a state in one number: order 1, order 2, one old id.
+_W2, _UNIT, _ONE = PRECISION, 2 * PRECISION, _TOTAL - 1
 #: Credit of one id.
 _CREDIT = 64
 
@@ -46,17 +48,15 @@ class _Model:
     def __init__(self, blocks: int, width: int):
         self.blocks = blocks
         self.lane = np.arange(blocks, dtype=np.int64)
-        self.base = self.lane * _SLOTS
-        # Place of the last successor of a context, in hashed slots; row 0 of the tables below stands for none.
-        self.one, self.two = np.zeros(blocks * _SLOTS, np.int16), np.zeros(blocks * _SLOTS, np.int16)
-        self.ids = np.full((width + 1, blocks), -1, np.int32)
-        self.first, self.count = np.zeros((width + 1, blocks), np.int32), np.zeros((width + 1, blocks), np.int32)
-        self.true = np.zeros((width + 1, blocks), np.int8)  # 1: order 1 named it, 2: order 2 did
-        self.flat = [x.ravel() for x in (self.ids, self.first, self.count, self.true)]
+        self.base, self.row = self.lane * _SLOTS, self.lane * _STATES
+        # Index of the last successor of a context in the tables below, whose row 0 stands for none.
+        self.one, self.two = (np.tile(self.lane.astype(np.int32)[:, None], _SLOTS).ravel() for _ in range(2))
+        # An id, and which orders named it (1: order 1, 2: order 2); its first place and count among the old ids.
+        self.ids, self.ranks = np.full((width + 1, blocks), -4, np.int32), np.zeros((width + 1, blocks), np.int32)
+        self.flat_ids, self.flat_ranks = self.ids.ravel(), self.ranks.ravel()
         self.last = self.before = np.zeros(blocks, np.int64)
         self.credit = np.zeros((blocks * _STATES, 4), np.int64)
-        prior = np.zeros((5, 4), np.int64)
-        prior[:] = [[0, 0, 3, 5], [0, 3, 4, 4], [4, 0, 3, 3], [3, 1, 3, 3], [6, 2, 2, 2]]
+        prior = np.array([[0, 0, 3, 5], [0, 3, 4, 4], [4, 0, 3, 3], [3, 1, 3, 3], [6, 2, 2, 2]])
         rows = np.repeat(prior, 4, axis=0)
         rows[1::4, 1] *= 2
         rows[3::4, 1] *= 2
@@ -64,66 +64,70 @@ class _Model:
         rows[3::4, 0] *= 3
         self.prior = np.tile(rows * _CREDIT // 4 + (rows > 0), (blocks, 1))
         self.lengths = np.ones((blocks, _LENGTHS), np.int64)
-        self.a = 0
 
     def begin(self, a: int, size: int) -> None:
         """Settle the distribution for the next ``size`` ids; ``a`` are known."""
         self.a = a
         weight = self.credit + self.prior
         share = weight * (_TOTAL - 4096) // weight.sum(1, keepdims=True)
-        self.w2, self.w1 = np.ascontiguousarray(share[:, 0]), np.ascontiguousarray(share[:, 1])
-        # Units of one old id; the rest of the total, 4,096 at least but for these, goes to new ids.
-        self.unit = np.maximum(share[:, 2] // a, 0 if a == 0 else 1) if a else np.zeros(len(share), np.int64)
+        # Units of one old id; the rest of the total, never nothing, goes to new ids.
+        unit = np.maximum(share[:, 2] // a, 1) if a else np.zeros(len(share), np.int64)
+        self.weights = share[:, 1] | share[:, 0] << _W2 | unit << _UNIT
         total = self.lengths.sum(1, keepdims=True)
         part = 1 + self.lengths * ((1 << _LENGTH_BITS) - _LENGTHS) // total
         self.length_start = np.zeros((self.blocks, _LENGTHS + 1), np.int64)
         np.cumsum(part, axis=1, out=self.length_start[:, 1:])
         self.length_start[:, -1] = 1 << _LENGTH_BITS
-        self.rows = np.empty((size, self.blocks), np.int32)
+        self.seen_weights = np.empty((size, self.blocks), np.int64)
+        self.rows = np.empty((size, self.blocks), np.int64)
 
     def predict(self, t: int) -> None:
-        self.at1 = self.base + ((self.last * 40503 >> 3) & (_SLOTS - 1))
-        self.at2 = self.base + ((self.last * 40503 + self.before * 30011 >> 3) & (_SLOTS - 1))
-        p1 = self.one.take(self.at1).astype(np.int64) * self.blocks + self.lane
-        p2 = self.two.take(self.at2).astype(np.int64) * self.blocks + self.lane
-        ids, first, count, true = self.flat
-        self.c1, self.c2 = c1, c2 = ids.take(p1), ids.take(p2)
-        self.f1, self.f2, n1, self.n2 = first.take(p1), first.take(p2), count.take(p1), count.take(p2)
-        has1, has2, same = c1 >= 0, c2 >= 0, c1 == c2
-        self.named = (same & has1).astype(np.int64)
-        state = ((has1 + 2 * has2 + self.named) << 2) + (true.take(p1) & 1) + (true.take(p2) & 2)
-        row = self.lane * _STATES + state
-        self.rows[t - self.a] = row
-        self.unit_ = unit = self.unit.take(row)
-        w1 = self.w1.take(row)
+        at = self.last * 40503
+        self.at1 = (at >> 3 & _SLOTS - 1) + self.base
+        at += self.before * 30011
+        self.at2 = (at >> 3 & _SLOTS - 1) + self.base
+        p1, p2 = self.one.take(self.at1), self.two.take(self.at2)
+        c1, c2, r1, r2 = self.flat_ids.take(p1), self.flat_ids.take(p2), self.flat_ranks.take(p1), self.flat_ranks.take(p2)
+        self.c1, self.c2 = c1 >> 2, c2 >> 2
+        self.f1, self.f2, n1, self.n2 = r1 & BLOCK - 1, r2 & BLOCK - 1, r1 >> _PLACE, r2 >> _PLACE
+        has1, other = c1 >= 0, self.c1 != self.c2
+        named = has1 & ~other
+        state = (has1.view(np.int8) + 2 * (c2 >= 0).view(np.int8) + named.view(np.int8)) * np.int8(4) + (c1 & 1) + (c2 & 2)
+        row = self.row + state
+        weights = self.weights.take(row)
+        self.rows[t - self.a], self.seen_weights[t - self.a] = row, weights
+        self.unit = unit = weights >> _UNIT
+        w1 = weights & _ONE
         # One interval for an id that both name.
-        self.n1 = np.where(same, 0, n1)
-        self.m2 = self.w2.take(row) + unit * self.n2 + w1 * self.named
-        self.edge = self.m2 + np.where(same, 0, w1 + unit * n1)
+        self.n1 = n1 * other
+        self.m2 = (weights >> _W2 & _ONE) + unit * self.n2 + w1 * named
+        self.edge = self.m2 + (w1 + unit * n1) * other
         self.new = self.edge + unit * (self.a - self.n2 - self.n1)
 
-    def learn(self, t: int, x: np.ndarray) -> None:
-        """``first`` and ``count`` of place ``t`` are set before or here by the caller."""
-        self.ids[t + 1] = x
-        hit = (self.c1 == x) + 2 * (self.c2 == x)
-        self.true[t + 1] = hit
-        self.one[self.at1] = t + 1
-        self.two[self.at2] = t + 1
+    def learn(self, t: int, x: np.ndarray, is1: np.ndarray, is2: np.ndarray) -> None:
+        """``x`` is at place ``t``, order 1 and 2 named it or not; its rank is set by the caller."""
+        self.ids[t + 1] = (x << 2) + is1 + 2 * is2
+        index = (t + 1) * self.blocks + self.lane
+        self.one[self.at1] = index
+        self.two[self.at2] = index
         self.before, self.last = self.last, x.astype(np.int64)
 
     def end(self, b: int) -> None:
         """Credit the models for the ids since ``begin``."""
-        rows, hit = self.rows.ravel().astype(np.int64), self.true[self.a + 1:b + 1].ravel()
-        count = self.count[self.a + 1:b + 1].ravel()
-        gave = [self.w2.take(rows) * (hit >> 1), self.w1.take(rows) * (hit & 1), self.unit.take(rows) * count]
+        rows, weights = self.rows.ravel(), self.seen_weights.ravel()
+        ids = self.ids[self.a + 1:b + 1].ravel()
+        count = self.ranks[self.a + 1:b + 1].ravel() >> _PLACE
+        gave = [(weights >> _W2 & _ONE) * (ids >> 1 & 1), (weights & _ONE) * (ids & 1), (weights >> _UNIT) * count]
         whole = gave[0] + gave[1] + gave[2]
         fresh = whole == 0
         whole += fresh
         n = self.blocks * _STATES
-        for m, part in enumerate([*gave, fresh]):
-            self.credit[:, m] += np.bincount(rows, part * _CREDIT // whole, n).astype(np.int64)
+        for m, part in enumerate(gave):
+            on = np.flatnonzero(part)
+            self.credit[:, m] += np.bincount(rows[on], part[on] * _CREDIT // whole[on], n).astype(np.int64)
         at = np.flatnonzero(fresh)
-        length = _length(self.ids[self.a + 1:b + 1].ravel()[at])
+        self.credit[:, 3] += np.bincount(rows[at], minlength=n) * _CREDIT
+        length = _length(ids[at] >> 2)
         self.lengths += 2 * np.bincount(at % self.blocks * _LENGTHS + length, minlength=self.lengths.size).reshape(self.lengths.shape)
 
 
@@ -133,11 +137,11 @@ def _length(ids: np.ndarray) -> np.ndarray:
 
 
 def _ranks(ids: np.ndarray, a: int, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all places of ``ids`` (one column per block): lesser ids among the first ``a`` of the block, equal ids
-    there, and those first ids in order, block by block."""
-    b, blocks = ids.shape
+    """For all places of ``ids`` (one row per block): equal ids and lesser ids among the first ``a`` of the block as
+    ``count * BLOCK + first``, with one column per block; all ids in order, block by block, and their numbers alike."""
+    blocks, b = ids.shape
     kind = np.int32 if vocabulary <= 1 << 31 - _PLACE else np.int64
-    key = ids.T.astype(kind)
+    key = ids.astype(kind)
     key <<= kind(_PLACE)
     key |= np.arange(b, dtype=kind)
     key.sort(axis=1)
@@ -146,20 +150,18 @@ def _ranks(ids: np.ndarray, a: int, vocabulary: int) -> tuple[np.ndarray, np.nda
     head = np.ones(key.shape, bool)
     np.not_equal(key[:, 1:], key[:, :-1], out=head[:, 1:])
     start = np.flatnonzero(head)
-    size = np.diff(np.append(start, head.size))
+    size = np.diff(start, append=head.size)
     if a == b:
-        first, count, seen = start % b, size, key.ravel()
+        rank = (size << _PLACE) + start % b
     else:
-        old = place < a
-        upto = np.concatenate([[0], np.cumsum(old)])
-        first = upto[start] - start // b * a
-        count = upto[start + size] - upto[start]
-        seen = key.ravel()[old]
-    at = place.astype(np.int64) * blocks + np.repeat(np.arange(blocks), b)
-    firsts, counts = np.empty(ids.shape, np.int32), np.empty(ids.shape, np.int32)
-    firsts.ravel()[at] = np.repeat(first.astype(np.int32), size)
-    counts.ravel()[at] = np.repeat(count.astype(np.int32), size)
-    return firsts, counts, seen
+        old = np.add.reduceat((place < a).view(np.int8), start, dtype=np.int32)
+        rank = (old << _PLACE) + (np.cumsum(old) - old) - start // b * a
+    rank = np.repeat(rank.astype(np.int32), size)
+    out = np.empty((blocks, b), np.int32)
+    at = place.reshape(blocks, b).astype(np.int64)
+    at += np.arange(blocks)[:, None] * b
+    out.ravel()[at.ravel()] = rank
+    return out.T, key.ravel(), rank
 
 
 def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[np.ndarray]:
@@ -167,7 +169,8 @@ def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[np.ndarray]:
     if vocabulary > 1 << 20 or (ids.size and int(ids.max()) >= vocabulary) or ids.shape[1] > BLOCK:
         raise ValueError("ids must lie below the vocabulary's size, 2^20 at most, and blocks hold BLOCK ids at most")
     blocks, width = ids.shape
-    columns = np.ascontiguousarray(ids.T).astype(np.int32)
+    rows = ids.astype(np.int32)
+    columns = np.ascontiguousarray(rows.T)
     model = _Model(blocks, width)
     low, span = np.zeros(blocks, _U), np.full(blocks, ~_U(0), _U)
     stride = 2 * width + 4
@@ -192,27 +195,33 @@ def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[np.ndarray]:
         low[on] = raised
 
     for a, b in _epochs(width):
-        model.first[1:b + 1], model.count[1:b + 1], _ = _ranks(columns[:b], a, vocabulary)
+        if a:
+            model.ranks[1:b + 1] = _ranks(rows[:, :b], a, vocabulary)[0]
         model.begin(a, b - a)
         for t in range(a, b):
             x = columns[t]
             model.predict(t)
-            count, first = model.count[t + 1], model.first[t + 1]
-            is2, is1 = model.c2 == x, model.c1 == x
-            unit, edge, new = model.unit_, model.edge, model.new
-            inner = first - np.where(model.f2 < first, model.n2, 0) - np.where(model.f1 < first, model.n1, 0)
-            old = count > 0
-            start = np.where(is2, 0, np.where(is1, model.m2, np.where(old, edge + unit * inner, new)))
-            size = np.where(is2, model.m2, np.where(is1, edge - model.m2, np.where(old, unit * count, _TOTAL - new)))
+            rank = model.ranks[t + 1]
+            count, first = rank >> _PLACE, rank & BLOCK - 1
+            is2 = model.c2 == x
+            is1 = model.c1 == x
+            unit, m2 = model.unit, model.m2
+            inner = first - model.n2 * (model.f2 < first) - model.n1 * (model.f1 < first)
+            start, size = model.edge + unit * inner, unit * count
+            on = np.flatnonzero(is1)
+            start[on], size[on] = m2[on], model.edge[on] - m2[on]
+            on = np.flatnonzero(is2)
+            start[on], size[on] = 0, m2[on]
+            on = np.flatnonzero(size == 0)
+            start[on], size[on] = model.new[on], _TOTAL - model.new[on]
             r = span >> _U(PRECISION)
-            by = r * start.astype(_U)
+            by = r * start.view(_U)
             low += by
             carry = np.flatnonzero(low < by)
             if len(carry):
                 flat[carry * stride + end[carry] - 1] += 1
-            span = r * size.astype(_U)
+            span = r * size.view(_U)
             shift(np.flatnonzero(span <= _LOW32))
-            on = np.flatnonzero(~(is2 | is1 | old))
             if len(on):
                 own = x[on]
                 length = _length(own)
@@ -226,7 +235,7 @@ def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[np.ndarray]:
                 raise_by(on, r * (own - np.where(length > 0, 1 << bits, 0)).astype(_U))
                 span[on] = r
                 shift(on[r <= _LOW32])
-            model.learn(t, x)
+            model.learn(t, x, is1, is2)
         model.end(b)
     every = np.arange(blocks)
     emit(every)
@@ -262,39 +271,41 @@ def decode_blocks(words: list[np.ndarray], width: int, vocabulary: int) -> np.nd
 
     for a, b in _epochs(width):
         if a:
-            model.first[1:a + 1], model.count[1:a + 1], seen = _ranks(model.ids[1:a + 1], a, vocabulary)
-            firsts, counts = _of_sorted(seen, a)
+            model.ranks[1:a + 1], seen, rank_of = _ranks(np.ascontiguousarray((model.ids[1:a + 1] >> 2).T), a, vocabulary)
         model.begin(a, b - a)
         base = lane * a
         for t in range(a, b):
             model.predict(t)
-            m2, edge, new = model.m2, model.edge, model.new
+            m2, edge, unit = model.m2, model.edge, model.unit
             r = span >> _U(PRECISION)
-            value = np.minimum(code // r, _U(_TOTAL - 1)).astype(np.int64)
-            is2 = value < m2
-            is1 = ~is2 & (value < edge)
-            fresh = value >= new
+            value = np.minimum(code // r, _U(_TOTAL - 1)).view(np.int64)
+            is2, named, fresh = value < m2, value < edge, value >= model.new
             if a:
-                inner = (value - edge) // np.maximum(model.unit_, 1)
+                inner = (value - edge) // unit
                 # Back to the place among all old ids: the named ones were taken out.
                 f1, n1, f2, n2 = model.f1, model.n1, model.f2, model.n2
-                swap = f1 < f2
-                inner += np.where(inner >= np.where(swap, f1, f2), np.where(swap, n1, n2), 0)
-                inner += np.where(inner >= np.where(swap, f2, f1), np.where(swap, n2, n1), 0)
-                at = base + np.where(is2 | is1 | fresh, 0, np.minimum(inner, a - 1))
-                x, first, count = seen.take(at), firsts.take(at), counts.take(at)
-                rest = model.unit_ * (first - np.where(f2 < first, n2, 0) - np.where(f1 < first, n1, 0))
+                one = inner + n1 * (inner >= f1)
+                two = inner + n2 * (inner >= f2)
+                inner = np.where(f1 < f2, one + n2 * (one >= f2), two + n1 * (two >= f1))
+                at = base + np.minimum(np.maximum(inner, 0), a - 1)
+                x, rank = seen.take(at), rank_of.take(at)
+                first = rank & BLOCK - 1
+                start = edge + unit * (first - n2 * (f2 < first) - n1 * (f1 < first))
+                size = unit * (rank >> _PLACE)
             else:
-                x = first = count = rest = np.zeros(blocks, np.int64)
-            start = np.where(is2, 0, np.where(is1, m2, np.where(fresh, new, edge + rest)))
-            size = np.where(is2, m2, np.where(is1, edge - m2, np.where(fresh, _TOTAL - new, model.unit_ * count)))
-            x = np.where(is2, model.c2, np.where(is1, model.c1, x))
-            model.first[t + 1] = np.where(is2, model.f2, np.where(is1, model.f1, first))
-            model.count[t + 1] = np.where(is2, model.n2, np.where(is1, model.n1, np.where(fresh, 0, count)))
-            code -= r * start.astype(_U)
-            span = r * size.astype(_U)
-            shift(np.flatnonzero(span <= _LOW32))
+                x, rank = np.zeros(blocks, np.int32), np.zeros(blocks, np.int32)
+                start, size = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
+            on = np.flatnonzero(named)
+            start[on], size[on], x[on] = m2[on], edge[on] - m2[on], model.c1[on]
+            rank[on] = model.n1[on] << _PLACE | model.f1[on]
+            on = np.flatnonzero(is2)
+            start[on], size[on], x[on] = 0, m2[on], model.c2[on]
+            rank[on] = model.n2[on] << _PLACE | model.f2[on]
             on = np.flatnonzero(fresh)
+            start[on], size[on], rank[on] = model.new[on], _TOTAL - model.new[on], 0
+            code -= r * start.view(_U)
+            span = r * size.view(_U)
+            shift(np.flatnonzero(span <= _LOW32))
             if len(on):
                 starts = model.length_start[on]
                 r = np.maximum(span[on] >> _U(_LENGTH_BITS), _U(1))
@@ -311,16 +322,7 @@ def decode_blocks(words: list[np.ndarray], width: int, vocabulary: int) -> np.nd
                 span[on] = r
                 shift(on[r <= _LOW32])
                 x[on] = np.minimum(value.astype(np.int64) + np.where(length > 0, 1 << bits, 0), vocabulary - 1)
-            model.learn(t, x)
+            model.ranks[t + 1] = rank
+            model.learn(t, x, model.c1 == x, model.c2 == x)
         model.end(b)
-    return np.ascontiguousarray(model.ids[1:].T)
-
-
-def _of_sorted(seen: np.ndarray, a: int) -> tuple[np.ndarray, np.ndarray]:
-    """For sorted ids, ``a`` of each block: the first place of each one's run in its block, and the run's size."""
-    head = np.ones((len(seen) // a, a), bool)
-    rows = seen.reshape(-1, a)
-    np.not_equal(rows[:, 1:], rows[:, :-1], out=head[:, 1:])
-    start = np.flatnonzero(head)
-    size = np.diff(np.append(start, len(seen)))
-    return np.repeat((start % a).astype(np.int32), size), np.repeat(size.astype(np.int32), size)
+    return np.ascontiguousarray((model.ids[1:] >> 2).T)

@@ -1,5 +1,6 @@
 """Token files, counts and packing against the tokenizers library; the coder by round trips."""
 
+import lzma
 import zlib
 
 import numpy as np
@@ -43,6 +44,40 @@ def test_coder_round_trip(ids):
     assert np.array_equal(coder.decode_blocks(words, ids.shape[1], 50257), ids)
 
 
+@pytest.mark.parametrize("width", [1, 2, 15, 16, 17, 33, 250])
+@pytest.mark.parametrize("vocabulary", [1, 3, 50257, 1 << 20])
+def test_coder_round_trip_of_short_blocks_and_all_vocabularies(width, vocabulary):
+    random = np.random.default_rng(width)
+    ids = np.concatenate([random.integers(0, vocabulary, (4, width)), np.minimum(random.zipf(1.3, (4, width)) - 1, vocabulary - 1)])
+    assert np.array_equal(coder.decode_blocks(coder.encode_blocks(ids, vocabulary), width, vocabulary), ids)
+
+
+def test_blocks_are_independent():
+    ids = np.minimum(np.random.default_rng(3).zipf(1.2, (9, 700)), 50256)
+    alone = [coder.encode_blocks(ids[i:i + 1], 50257)[0] for i in range(9)]
+    assert all(np.array_equal(a, b) for a, b in zip(alone, coder.encode_blocks(ids, 50257), strict=True))
+
+
+def test_mixed_orders_are_smaller_than_general_compression(spark):
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").select("text").collect()]
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = np.concatenate([e.ids + [2] for e in theirs.encode_batch(texts, add_special_tokens=False)])
+    blocks = ids[:len(ids) // coder.BLOCK * coder.BLOCK].reshape(-1, coder.BLOCK)
+    words = coder.encode_blocks(blocks, 50257)
+    general = [lzma.compress(b.astype("<u2").tobytes(), format=lzma.FORMAT_RAW, filters=[{"id": lzma.FILTER_LZMA2, "preset": 9}]) for b in blocks]
+    assert 4 * sum(map(len, words)) < 0.95 * sum(map(len, general))
+    assert np.array_equal(coder.decode_blocks(words, coder.BLOCK, 50257), blocks)
+
+
+def test_damaged_words_still_give_ids_of_the_vocabulary():
+    words = coder.encode_blocks(np.minimum(np.random.default_rng(4).zipf(1.2, (5, 900)), 999), 1000)
+    for w in words:
+        w[len(w) // 3] ^= 0x5A5A
+    with np.errstate(all="ignore"):
+        got = coder.decode_blocks(words, 900, 1000)
+    assert got.shape == (5, 900) and got.max() < 1000
+
+
 def test_coder_compresses_what_repeats():
     ids = np.tile(np.random.default_rng(0).integers(0, 50257, 64), (2, 64))
     assert sum(map(len, coder.encode_blocks(ids, 50257))) * 32 < ids.size
