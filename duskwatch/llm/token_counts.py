@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.llm.shipping import map_batches
-from duskwatch.llm.tokens import encoder, texts_of
+from duskwatch.llm.tokens import counter, texts_of
 from duskwatch.llm.words import text_bytes
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
@@ -20,13 +20,14 @@ def count_tokens(
 ) -> DataFrame:
     """``(doc_id, n_bytes, n_tokens, over_limit)``, one row per row of ``docs``.
 
-    Texts become chunks that no pre-token reaches across; the pieces of a chunk are counted once
-    per distinct chunk of a worker, its counts are joined to the documents' chunk frequencies by
-    dictionary index, and summed. Nothing is shuffled. A null text counts as empty; empty texts
-    have 0 tokens; rows with a null id and repeated rows are kept; other columns are ignored.
+    The pieces of a pre-token are counted once per distinct pre-token of a worker; a chunk between
+    blanks has the sum of its pre-tokens' pieces. The frequencies of the distinct chunks of each
+    document are joined to these counts by place inside the task and summed: no ids are kept, nothing
+    is shuffled. A null text counts as empty; empty texts have 0 tokens; a text of any length is
+    counted whole; rows with a null id and repeated rows are kept; other columns are ignored.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = encoder(tokenizer, byte_level)
+        pieces = counter(tokenizer, byte_level)
         for batch in batches:
             n_bytes = np.diff(text_bytes(batch.column(1))[1])
             n_tokens = pieces.count(texts_of(batch.column(1)))

@@ -160,13 +160,49 @@ class ChunkEncoder:
             at = np.arange(total[-1]) + np.repeat(start - total[:-1], length)
             yield self.ids[at], total[np.cumsum(counts)]
 
+
+#: Distinct pre-tokens and chunks a counter holds before it starts anew.
+COUNTED = 2_000_000
+
+
+class PieceCounter(ChunkEncoder):
+    """Pieces per distinct pre-token of one tokenizer file; no ids are kept."""
+
+    def clear(self) -> None:
+        super().clear()
+        self.pieces: dict[str, int] = {}
+
+    def _learn(self, chunks: list[str], places: np.ndarray) -> None:
+        """Count the pieces of chunks, each distinct pre-token once."""
+        normalizer, splitter, model = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        pieces, lengths = self.pieces, []
+        for chunk in chunks:
+            if any(s in chunk for s in special):
+                lengths.append(len(self._encode(chunk)))  # the library cuts texts at these before anything else
+                continue
+            n = 0
+            for name, _ in splitter.pre_tokenize_str(normalizer.normalize_str(chunk) if normalizer else chunk):
+                own = pieces.get(name)
+                if own is None:
+                    pieces[name] = own = len(model.tokenize(name))
+                n += own
+            lengths.append(n)
+        self.length[places] = lengths
+        self.held = len(pieces) + len(self.index)
+
     def count(self, texts: Iterable[str | None]) -> np.ndarray:
-        """Ids per text: the counts of the distinct chunks, joined to the texts' chunk frequencies and summed."""
+        """Pieces per text: frequencies of the distinct chunks per text, joined to their pieces and summed."""
         out = [np.zeros(0, np.int64)]
         for run in self._runs(texts):
+            if self.held > COUNTED:
+                self.clear()
             place, counts = self._lookup(run)
-            total = np.concatenate([[0], np.cumsum(self.length[place])])
-            out.append(np.diff(total[np.concatenate([[0], np.cumsum(counts)])]))
+            width = max(1, len(self.index))
+            pair, frequency = np.unique(np.repeat(np.arange(len(run)), counts) * width + place, return_counts=True)
+            text, chunk = np.divmod(pair, width)
+            total = np.concatenate([[0], np.cumsum(frequency * self.length[chunk])])
+            out.append(np.diff(total[np.searchsorted(text, np.arange(len(run) + 1))]))
         return np.concatenate(out)
 
 
@@ -178,6 +214,14 @@ def encoder(path: str, byte_level: bool) -> ChunkEncoder:
     return known[path]
 
 
+def counter(path: str, byte_level: bool) -> PieceCounter:
+    """The worker's counter for a tokenizer file."""
+    known = worker_state("counts")
+    if path not in known:
+        known[path] = PieceCounter(path, byte_level)
+    return known[path]
+
+
 def texts_of(column: pa.Array) -> Iterator[str | None]:
     """The texts of a column, some at a time."""
     for i in range(0, len(column), 500):

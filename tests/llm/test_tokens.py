@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from duskwatch.llm import coder, packing, token_counts, token_files
-from duskwatch.llm.tokens import ChunkEncoder
+from duskwatch.llm.tokens import ChunkEncoder, PieceCounter
 
 ODD = [
     "", "  a  b", "x\x1cy \x1c z", "a b c  d\n\n e ", "<|endoftext|>hi <|endoftext|> there", " \n\t", "Σας ΣΑΣ̈ é x",
@@ -28,12 +28,31 @@ def table(spark):
 @pytest.mark.parametrize("name", FILES)
 def test_chunks_give_the_ids_of_the_whole_text(name):
     mine, theirs = ChunkEncoder(public_tokenizers.path(name), FILES[name]), Tokenizer.from_file(public_tokenizers.path(name))
+    counts = PieceCounter(public_tokenizers.path(name), FILES[name])
     for texts in ([t] for t in ODD), [ODD], [ODD]:
         for batch in texts:
             ids = np.concatenate([i for i, _ in mine.encode(batch)])
             wanted = [theirs.encode(t, add_special_tokens=False).ids for t in batch]
             assert ids.tolist() == sum(wanted, [])
-            assert mine.count(batch).tolist() == list(map(len, wanted))
+            assert counts.count(batch).tolist() == list(map(len, wanted))
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_counts_of_random_odd_texts(name):
+    random = np.random.default_rng(5)
+    parts = [" ", "  ", "\n", "\t", "\x85", "\xa0", "\u3000", "'s", "'LL", "\u0308", "é", "İ", "Σ", "漢", "ab", "12", "½", ".", "!!", "<|endoftext|>", "<|", "😀"]
+    texts = ["".join(random.choice(parts, random.integers(0, 12))) for _ in range(3000)]
+    theirs = Tokenizer.from_file(public_tokenizers.path(name))
+    wanted = [len(e.ids) for e in theirs.encode_batch(texts, add_special_tokens=False)]
+    assert PieceCounter(public_tokenizers.path(name), FILES[name]).count(texts).tolist() == wanted
+
+
+def test_a_pre_token_is_counted_once(monkeypatch):
+    mine = PieceCounter(public_tokenizers.path("word_bpe_49k.json"), False)
+    assert mine.count(["tea, tea tea!", "tea tea,"]).tolist() == [5, 3]
+    assert set(mine.pieces) == {"tea", ",", "!"} and len(mine.index) == 3
+    monkeypatch.setattr("duskwatch.llm.tokens.COUNTED", 2)
+    assert mine.count(["cup"]).tolist() == [1] and set(mine.pieces) == {"cup"}
 
 
 @pytest.mark.parametrize("ids", [
