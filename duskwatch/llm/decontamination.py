@@ -4,16 +4,21 @@ The phrases are the windows of the benchmark items, as sequences of word hashes.
 of documents of one task. Words that no phrase contains can lie in no occurrence, so each becomes
 a separator; stretches of phrase words shorter than the shortest phrase are left out with them.
 The index of the rest has a suffix array sampled at every ``SAMPLE``-th position, and the
-Burrows-Wheeler transform as a wavelet tree with ranks. All phrases are searched at once.
+Burrows-Wheeler transform as a wavelet tree with ranks. All phrases of a block are searched at once.
+An index lives as long as its shard's search. A benchmark of several blocks is searched block after
+block, each in its own pass over the documents with a written table between, so that driver and
+workers hold the phrases of one block at a time.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duskwatch.llm.scratch import discard, stage
 from duskwatch.llm.shipping import map_batches
 from duskwatch.llm.words import ALNUM, ranges, words
 
@@ -21,28 +26,33 @@ SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, item_ids array<st
 SAMPLE = 8
 #: Words of documents per index; bounds a task's memory (one longer document is a shard of its own).
 SHARD_WORDS = 2_000_000
-#: Phrase words that are searched at once; a larger benchmark is searched in blocks.
-BLOCK_WORDS = 4_000_000
+#: Bytes of items whose phrases are searched at once (or one longer item); a larger benchmark is searched in blocks.
+BLOCK_BYTES = 4 << 20
 
 
 class Phrases:
     """Distinct phrases of a benchmark block: codes 1.. per distinct word, and the items of each phrase."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int):
-        texts = pa.array([t for _, t in items], pa.string())
-        hashes, first = words(texts, ALNUM)
+    def __init__(self, items: list[tuple[str, str]], window: int):
+        hashes, first = words(pa.array([t for _, t in items], pa.string()), ALNUM)
         self.vocabulary = np.unique(hashes)
-        codes = (np.searchsorted(self.vocabulary, hashes) + 1).astype(np.int64)
-        found: dict[tuple[int, ...], set[str]] = {}
-        for i, (name, _) in enumerate(items):
-            own = codes[first[i]:first[i + 1]].tolist()
-            for j in range(max(1, len(own) - window + 1) if own else 0):
-                found.setdefault(tuple(own[j:j + window]), set()).add(name)
-        self.items = [sorted(v) for v in found.values()]
-        self.length = np.array([len(p) for p in found], np.int64)
-        self.codes = np.zeros((len(found), window), np.int64)  # aligned right, as the search runs backward
-        for i, p in enumerate(found):
-            self.codes[i, window - len(p):] = p
+        codes = np.append(np.searchsorted(self.vocabulary, hashes) + 1, 0).astype(np.int32)
+        size = np.diff(first)
+        count = np.where(size > 0, np.maximum(size - window + 1, 1), 0)
+        length = np.minimum(np.repeat(size, count), window)
+        place = ranges(first[:-1], count)[:, None] + np.arange(-window, 0) + length[:, None]
+        # Aligned right, as the search runs backward; 0 fills shorter phrases.
+        rows = np.where(np.arange(window) >= window - length[:, None], codes[np.maximum(place, 0)], 0).astype(np.int32)
+        _, at, which = np.unique(rows.view(np.dtype((np.void, rows.itemsize * window))).ravel(), return_index=True, return_inverse=True)
+        self.codes, self.length = rows[at], length[at].astype(np.int64)
+        # Items of phrase i: names[item[start[i]:start[i + 1]]].
+        self.names = [n for n, _ in items]
+        order = np.argsort(which, kind="stable")
+        self.item = np.repeat(np.arange(len(items)), count)[order]
+        self.start = np.searchsorted(which[order], np.arange(len(at) + 1))
+
+    def items(self, phrase: int) -> set[str]:
+        return {self.names[i] for i in self.item[self.start[phrase]:self.start[phrase + 1]]}
 
     @property
     def shortest(self) -> int:
@@ -132,7 +142,7 @@ class FMIndex:
         width = codes.shape[1]
         for step in range(width):
             on = np.flatnonzero((step < length) & (low < high))
-            code = codes[on, width - 1 - step] + 1
+            code = codes[on, width - 1 - step].astype(np.int64) + 1
             low[on], high[on] = self._back(code, low[on]), self._back(code, high[on])
         return low, high
 
@@ -180,42 +190,58 @@ def _shards(first: np.ndarray) -> Iterator[tuple[int, int]]:
         i = min(j, n)
 
 
-class Finder:
-    """Searches shards for the phrases of a benchmark, which reaches the tasks in blocks of bounded size."""
-
-    def __init__(self, benchmark: DataFrame, window: int, item_col: str, item_text: str):
-        blocks, block, size = [], [], 0
-        rows = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(item_text).cast("string").alias("t"))
-        for row in rows.where("i is not null and t is not null").toLocalIterator():
-            block.append((row["i"], row["t"]))
-            size += len(row["t"]) // 2
-            if size > BLOCK_WORDS:
-                blocks, block, size = [*blocks, Phrases(block, window)], [], 0
-        context = benchmark.sparkSession.sparkContext
-        self.blocks = [context.broadcast(b) for b in [*blocks, Phrases(block, window)]]
-
-    def __call__(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, list[set[str]]]]:
-        """Per shard of the texts: which words are hit, where texts begin, and the items of each text."""
-        hashes, first = words(texts, ALNUM)
-        for a, b in _shards(first):
-            yield self._shard(hashes[first[a]:first[b]], first[a:b + 1] - first[a])
-
-    def _shard(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
-        cover = np.zeros(len(hashes) + 1, np.int64)
-        items: list[set[str]] = [set() for _ in range(len(first) - 1)]
-        for block in self.blocks:
-            phrases = block.value
-            if not len(phrases.vocabulary):
-                continue
-            at = np.minimum(np.searchsorted(phrases.vocabulary, hashes), len(phrases.vocabulary) - 1)
-            codes = np.where(phrases.vocabulary[at] == hashes, at + 1, 0)
-            where, phrase = occurrences(codes, first, phrases)
-            np.add.at(cover, where, 1)
-            np.add.at(cover, where + phrases.length[phrase], -1)
-            doc = np.searchsorted(first, where, "right") - 1
-            for d, p in set(zip(doc.tolist(), phrase.tolist(), strict=True)):
-                items[d].update(phrases.items[p])
-        return np.cumsum(cover)[:-1] > 0, first, items
+def _blocks(benchmark: DataFrame, window: int, item_col: str, item_text: str) -> Iterator[tuple[Phrases, bool]]:
+    """The benchmark's phrases in blocks of bounded size, one at a time, and whether a block is the last."""
+    block, size = [], 0
+    rows = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(item_text).cast("string").alias("t"))
+    for row in rows.where("i is not null and t is not null").toLocalIterator():
+        n = len(row["t"].encode())
+        if block and size + n > BLOCK_BYTES:
+            yield Phrases(block, window), False
+            block, size = [], 0
+        block.append((row["i"], row["t"]))
+        size += n
+    yield Phrases(block, window), True
+
+
+def _search(texts: pa.Array, phrases: Phrases) -> Iterator[tuple[np.ndarray, np.ndarray, list[set[str]]]]:
+    """Per shard of the texts: which words are hit, where texts begin, and the items of each text."""
+    hashes, first = words(texts, ALNUM)
+    for a, b in _shards(first):
+        yield _search_shard(hashes[first[a]:first[b]], first[a:b + 1] - first[a], phrases)
+
+
+def _search_shard(hashes: np.ndarray, first: np.ndarray, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
+    items: list[set[str]] = [set() for _ in range(len(first) - 1)]
+    if not len(phrases.vocabulary):
+        return np.zeros(len(hashes), bool), first, items
+    cover = np.zeros(len(hashes) + 1, np.int64)
+    at = np.minimum(np.searchsorted(phrases.vocabulary, hashes), len(phrases.vocabulary) - 1)
+    codes = np.where(phrases.vocabulary[at] == hashes, at + 1, 0)
+    where, phrase = occurrences(codes, first, phrases)
+    np.add.at(cover, where, 1)
+    np.add.at(cover, where + phrases.length[phrase], -1)
+    doc = np.searchsorted(first, where, "right") - 1
+    for d, p in set(zip(doc.tolist(), phrase.tolist(), strict=True)):
+        items[d].update(phrases.items(p))
+    return np.cumsum(cover)[:-1] > 0, first, items
+
+
+def _passes(rows: DataFrame, benchmark: DataFrame, window: int, item_col: str, item_text: str, one: Callable, last: Callable) -> DataFrame:
+    """``one(rows, phrases)`` for each block of the benchmark, written between, and ``last`` for the last one.
+
+    ``phrases`` is a broadcast of one block, which is gone before the next one is made.
+    """
+    context, staged = benchmark.sparkSession.sparkContext, []
+    for block, final in _blocks(benchmark, window, item_col, item_text):
+        phrases = context.broadcast(block)
+        if final:
+            return last(rows, phrases)
+        rows = stage(one(rows, phrases), "searched")
+        phrases.destroy()
+        if staged:
+            discard(staged.pop())
+        staged.append(rows)
 
 
 def find_passages(
@@ -226,33 +252,46 @@ def find_passages(
 
     Words are lower-cased runs of digits, letters and non-ASCII characters, compared by 64-bit
     hashes. A phrase is ``window`` consecutive words of an item, or a shorter item whole; a word
-    in any occurrence is hit, and ``spans`` are the merged ranges of hit words. Items are taken in
-    blocks of bounded size from the driver's side, documents never leave their task. Null or empty
-    texts have no words; null or wordless items no phrases; rows with a null id and repeated rows
-    are kept; items with one id are one item; other columns are ignored.
+    in any occurrence is hit, and ``spans`` are the merged ranges of hit words, over all blocks of
+    items. Null or empty texts have no words; null or wordless items no phrases; rows with a null id
+    and repeated rows are kept; items with one id are one item; other columns are ignored.
     """
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    between = "doc_id long, text string, item_ids array<string>, spans array<struct<start:long,end:long>>"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    finder = Finder(benchmark, window, item_col, item_text)
-    kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done = 0
-            for hit, first, items in finder(batch.column(1)):
-                n = len(items)
-                total = np.concatenate([[0], np.cumsum(hit)])
-                spans = [[] for _ in items]
-                for d in (d for d in range(n) if items[d]):
-                    own = np.diff(np.concatenate([[0], hit[first[d]:first[d + 1]].astype(np.int8), [0]]))
-                    spans[d] = [{"start": s, "end": e} for s, e in zip(
-                        np.flatnonzero(own == 1).tolist(), np.flatnonzero(own == -1).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(done, n), pa.array(np.diff(first)), pa.array(total[first[1:]] - total[first[:-1]]),
-                    pa.array([len(i) for i in items], pa.int64()), pa.array([sorted(i) for i in items], pa.list_(pa.string())),
-                    pa.array(spans, kinds)], ["doc_id", "n_words", "n_hit", "n_items", "item_ids", "spans"])
-                done += n
-
-    return map_batches(rows, run, SCHEMA)
+    rows = rows.select("*", F.expr("cast(array() as array<string>)").alias("item_ids"),
+                       F.expr("cast(array() as array<struct<start:long,end:long>>)").alias("spans"))
+
+    def search(rows: DataFrame, phrases: Broadcast, final: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                done = 0
+                for hit, first, items in _search(batch.column(1), phrases.value):
+                    n = len(items)
+                    own = batch.slice(done, n)
+                    done += n
+                    known, before = own.column(2).to_pylist(), own.column(3).to_pylist()
+                    spans = [[] for _ in items]
+                    for d in (d for d in range(n) if items[d] or known[d]):
+                        items[d].update(known[d])
+                        mask = hit[first[d]:first[d + 1]].astype(np.int8)
+                        for span in before[d]:
+                            mask[span["start"]:span["end"]] = 1
+                        edge = np.diff(np.concatenate([[0], mask, [0]]))
+                        spans[d] = [{"start": s, "end": e} for s, e in zip(
+                            np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)]
+                    names, spans_ = pa.array([sorted(i) for i in items], pa.list_(pa.string())), pa.array(spans, kind)
+                    if not final:
+                        yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), names, spans_], ["doc_id", "text", "item_ids", "spans"])
+                        continue
+                    n_hit = pa.array([sum(s["end"] - s["start"] for s in found) for found in spans], pa.int64())
+                    yield pa.RecordBatch.from_arrays([
+                        own.column(0), pa.array(np.diff(first), pa.int64()), n_hit, pa.array([len(i) for i in items], pa.int64()),
+                        names, spans_], ["doc_id", "n_words", "n_hit", "n_items", "item_ids", "spans"])
+
+        return map_batches(rows, run, SCHEMA if final else between)
+
+    return _passes(rows, benchmark, window, item_col, item_text, lambda r, p: search(r, p, False), lambda r, p: search(r, p, True))
 
 
 def clean_documents(
@@ -260,12 +299,14 @@ def clean_documents(
     item_text: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no phrase of the benchmark."""
-    finder = Finder(benchmark, window, item_col, item_text)
     place = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            clean = [not i for _, _, items in finder(batch.column(place)) for i in items]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+    def search(rows: DataFrame, phrases: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean = [not i for _, _, items in _search(batch.column(place), phrases.value) for i in items]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        return map_batches(rows, run, docs.schema)
 
-    return map_batches(docs, run, docs.schema)
+    return _passes(docs, benchmark, window, item_col, item_text, search, search)

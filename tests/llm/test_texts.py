@@ -160,8 +160,10 @@ def brute_passages(docs, items, window=10):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("case", ["given", "odd"])
-def test_passages(spark, case):
+@pytest.mark.parametrize("case,block_bytes", [("given", None), ("given", 6_000), ("odd", None), ("odd", 1)])
+def test_passages(spark, case, block_bytes, monkeypatch):
+    if block_bytes:  # several blocks, each in a pass of its own
+        monkeypatch.setattr(decontamination, "BLOCK_BYTES", block_bytes)
     if case == "given":
         docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
         items = spark.read.parquet(f"{SF}/benchmark.parquet")
@@ -182,6 +184,15 @@ def test_passages(spark, case):
     assert decontamination.find_passages(docs, items.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_blocks_of_the_benchmark_hold_all_items(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 40)
+    items = spark.createDataFrame([(i, f"alpha beta w{i}" if i % 5 else None) for i in range(30)] + [(99, "x " * 50)], "item_id long, text string")
+    blocks = list(decontamination._blocks(items, 10, "item_id", "text"))
+    assert [final for _, final in blocks] == [False] * (len(blocks) - 1) + [True] and len(blocks) > 5
+    names = sorted(n for block, _ in blocks for n in set().union(*(block.items(p) for p in range(len(block.length)))))
+    assert names == sorted([str(i) for i in range(30) if i % 5] + ["99"])
+
+
 def test_suffix_array():
     rng = np.random.default_rng(0)
     for n, k in ((1, 1), (50, 2), (300, 3), (200, 1)):
