@@ -22,7 +22,7 @@ from duskwatch.llm.tokens import encoder, texts_of
 
 SEGMENT_IDS = 1 << 20
 #: Ids that are coded together, in blocks side by side; bounds a task's memory.
-BATCH_IDS = 4 << 20
+BATCH_IDS = 3 << 20
 MAGIC = b"IDRC\x01\x00\x00\x00"
 SEGMENTS = "shard int, segment long, first long, n_ids long, doc_ids array<long>, counts array<long>, payload binary"
 
