@@ -20,6 +20,8 @@ def heavy_keys(counts: DataFrame, on: list[str], parts: int) -> DataFrame:
     total = seen.get["total"]
     found = [(*row[:-1], -(-row["n"] * parts // total)) for row in largest if row["n"] * parts > total]
     schema = StructType([*[counts.schema[key] for key in on]]).add("_salts", IntegerType())
+    if not found:  # a list made here would start Python workers, in every round of every join
+        return spark.range(0).select(*[F.lit(None).cast(field.dataType).alias(field.name) for field in schema])
     return spark.createDataFrame(found, schema)
 
 

@@ -75,6 +75,23 @@ def test_signature_equals_brute_force(texts):
     assert got == {i: signature(t, 128) for i, t in rows}
 
 
+def test_signature_in_pieces_hashes_a_word_once(spark, monkeypatch):
+    """Texts longer than a piece, without words and null; a piece hashes each of its words once."""
+    monkeypatch.setattr(D, "PIECE", 7)
+    rows = [(0, " ".join(WORDS[:30])), (1, None), (2, ""), (3, "w1 w1 w2"), (4, "w1"), (5, " ".join(WORDS[25:60]))]
+    df = spark.createDataFrame(rows, "doc_id int, text string").coalesce(1)
+    assert {r[0]: list(r[1]) for r in D.signatures(df, "doc_id", 10).collect()} == {i: signature(t or "", 10) for i, t in rows}
+    monkeypatch.setattr(D, "PIECE", 1 << 16)
+    import pyarrow as pa
+
+    hashed = []
+    monkeypatch.setattr(D.hashlib, "md5", lambda word, md5=hashlib.md5: hashed.append(word) or md5(word))
+    sign = D._signature_udf(5).func
+    hashed.clear()
+    sign(pa.array([["a", "b"], ["b", "c"], None, ["a", "b", "c"]]))
+    assert sorted(hashed) == [b"a", b"b", b"c"]
+
+
 def test_groups_equal_brute_force(texts):
     rows, df = texts
     distinct = D.distinct_texts(df, "doc_id")
@@ -183,3 +200,13 @@ def test_component_step_splits_a_hub(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     sizes = sorted(r["count"] for r in found)
     assert sum(sizes) == 30_000 and sizes[-1] <= 2 * sizes[3]
+
+
+def test_no_python_workers_without_heavy_keys(spark):
+    """Every component round joins twice; a list of no keys is not made by Python tasks."""
+    from duskwatch.operators.skew import heavy_keys
+
+    counts = spark.range(1000).selectExpr("cast(id as string) as k", "id as j", "1L as n")
+    found = heavy_keys(counts, ["k", "j"], 16)
+    assert found.dtypes == [("k", "string"), ("j", "bigint"), ("_salts", "int")] and found.count() == 0
+    assert "ExistingRDD" not in found._jdf.queryExecution().toString()
