@@ -184,6 +184,48 @@ def test_language_of_texts_without_known_words(spark):
     assert {r["first_language"] for r in nothing} == {None} and len(nothing) == 5
 
 
+def test_language_scores_in_pieces_equal_a_loop(spark, monkeypatch):
+    """Pieces shorter than a text; one id in two rows, no words, null; grams of short and long words."""
+    import math
+    import re
+
+    from duskwatch.operators import language as L
+
+    learned = [("a bb ccc dddd the theme", "en"), ("die katze a été ñandú bb", "de"), ("the the bb", "en"), ("x", None)]
+    odd = [(1, "The theory a a zz"), (1, "katze été"), (2, None), (3, "7 ."), (4, "ññ bbb " * 9), (5, "qqq")]
+
+    def grams(text):
+        return [g for w in re.findall(r"[^\W\d_]+", (text or "").lower()) for g in (w, "^" + w[:3], w[-3:] + "$")]
+
+    monkeypatch.setattr(L, "PIECE", 12)  # four words
+    model = L.train(spark.createDataFrame(learned, "text string, lang string"))
+    counts = {}
+    for text, lang in learned:
+        for gram in grams(text) if lang else []:
+            counts[lang, gram] = counts.get((lang, gram), 0) + 1
+    assert {(r["lang"], r["gram"]): r["n"] for r in model.counts.where("gram <> ''").collect()} == counts
+    assert {r["lang"]: r["n"] for r in model.counts.where("gram = ''").collect()} == {"en": 2, "de": 1}
+    known = {gram for _, gram in counts}
+    wanted = {}
+    for i, text in odd:
+        for k, lang in enumerate(model.languages):
+            row = wanted.setdefault(i, list(model.priors))
+            row[k] += sum(round(math.log(counts.get((lang, g), 0) + 1) * L.UNIT) - model.costs[k] for g in grams(text) if g in known)
+    table = spark.createDataFrame(odd, "doc_id int, text string").coalesce(1)
+    assert {r["doc_id"]: list(r["scores"]) for r in L.language_scores(model, table, "doc_id").collect()} == wanted
+
+
+def test_grams_are_made_of_distinct_words(spark):
+    """The second count takes three rows per distinct word, not three per word of the texts."""
+    from duskwatch.operators import language as L
+
+    texts = spark.range(4000).selectExpr("repeat('one two three ', 5) as text", "'en' as lang").coalesce(1)
+    plan = L.language_counts(texts)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2 and plan.index("Aggregate [") < plan.index("Generate explode") < plan.rindex("Aggregate [")
+    assert {r["gram"]: r["n"] for r in L.language_counts(texts).collect()} == {"": 4000} | dict.fromkeys(
+        ["one", "two", "three", "^one", "^two", "^thr", "one$", "two$", "ree$"], 20000)
+
+
 def test_topics_of_clear_clusters(spark):
     import random
 
