@@ -167,3 +167,24 @@ def test_outside_equals_a_stack(spark):
         return out
 
     assert apply(spark, lambda h: H.outside(h, ("nav", "table", "aside")), [(p,) for p in pages]) == [loop(p) for p in pages]
+
+
+def test_plain_sentences_take_the_short_way_with_the_same_result(spark):
+    import random
+
+    rng = random.Random(5)
+    parts = ["a", "Zb", "é", "É", " ", " a", " a", " Zb", "  ", ",", ", b", "!", "?", ".", "\t", "\xa0", "1", "-", "ǅ", "漢"]
+    texts = ["".join([rng.choice(("A", "É", "a", "")), *rng.choices(parts, k=rng.randrange(7)), rng.choice((".", "!", "", "?"))])
+             for _ in range(4000)] + ["", "A", "A.", "Ab ab ab.", "A A A!", "Word " * 9000 + "end."]
+    s = F.col("s")
+    whole = s
+    for step in (
+        K.breaks_to_periods, K.strip_special, K.collapse_blanks, K.strip_leading_junk, K.collapse_punctuation,
+        K.space_before_punct, K.dedup_adjacent_words, K.end_with_period, K.capitalize_sentences,
+    ):
+        whole = step(whole)
+    table = spark.createDataFrame([(t,) for t in [*texts, None]], "s string").select(
+        "s", K.is_plain(s).alias("plain"), K.clean_sentence(s).alias("got"), whole.alias("wanted"))
+    rows = table.collect()
+    assert all(r["got"] == r["wanted"] for r in rows)
+    assert 100 < sum(bool(r["plain"]) for r in rows) < 3500
