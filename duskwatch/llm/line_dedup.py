@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from duskwatch.llm.scratch import discard, free_names, stage
 
 BUCKETS = 1 << 17
-#: Words of a line's prefix, from its first to its last, by which it first meets earlier lines, and
-#: how many lines for each word: the earliest of every share of the lines that meet by it.
-ANCHORS, SAMPLES = 3, 8
+#: Least hashes of a line's prefix by which, besides its rarest word, it first meets earlier lines, and
+#: how many lines for each: the earliest of every share of the lines that meet by it.
+LEAST, SAMPLES = 4, 8
 
 
 def _plain_words(line: Column) -> Column:
@@ -113,12 +113,9 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     places = stage(first.select("id", "doc_id", "text_id", "line_no", "set", "set2"), "line_places")
     discard(sets)
     # Sets of up to 3 words are similar only to themselves. First each line meets a few early lines
-    # by some words of its prefix: work in proportion to the lines, and enough for most copies. Near
-    # copies differ in their rarest words, so the last ones count too.
+    # by a few keys of its prefix: work in proportion to the lines, and enough for most copies.
     long = first.where("n > 3")
-    last = F.size("prefix") - 1
-    anchors = F.array_distinct(F.array(F.lit(0), *[F.floor(last * i / (ANCHORS - 1)).cast("int") for i in range(1, ANCHORS)]))
-    rarest = long.select("prefix", F.lit(True).alias("open"), "id", "n", "bits", "bits2", F.explode(anchors).alias("pos")).select("*", F.get("prefix", F.col("pos")).alias("token")).drop("prefix")
+    rarest = long.select("id", "n", "bits", "bits2", F.lit(True).alias("open"), F.inline(_meeting_keys(F.col("prefix"))))
     share = F.pmod(F.xxhash64("id"), F.lit(SAMPLES))
     earliest = rarest.groupBy("token", share.alias("share")).agg(F.min(F.struct("id", "open", "n", "pos", "bits", "bits2")).alias("e"))
     rarest, earliest = (x.select("token", *_entry(c)) for x, c in ((rarest, ""), (earliest, "e.")))
@@ -142,6 +139,18 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, (x.select("doc_id", "text_id", "line_no") for x in (later, near, more)))
 
 
+def _meeting_keys(prefix: Column) -> Column:
+    """``(pos, token)`` by which a line first meets earlier ones: its rarest word, and the least hashes of its prefix.
+
+    Near copies differ in their rarest words, which moves all others to other places; the word of least
+    hash is the same one wherever it stands, if both prefixes hold it.
+    """
+    rarest = F.struct(F.lit(0).alias("pos"), F.get(prefix, F.lit(0)).alias("token"))
+    least = [F.struct(F.lit(0).alias("pos"), F.array_min(F.transform(prefix, lambda t: F.xxhash64(t, F.lit(i)))).alias("token"))  # noqa: B023
+             for i in range(LEAST)]
+    return F.array(rarest, *least)
+
+
 def _entry(prefix: str) -> list[Column]:
     """What the join compares: a line's number, its size, the word's place and whether it is open in one number, its sketch."""
     place = F.shiftleft(F.col(f"{prefix}pos").cast("long"), 1).bitwiseOR(F.col(f"{prefix}open").cast("long"))

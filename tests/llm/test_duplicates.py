@@ -138,6 +138,42 @@ def test_lines_of_different_texts_of_one_id(spark, shared):
     assert sorted(line for t, _ in got for line in t.split("\n") if line != copy) == sorted([*own, own[2], own[3]])
 
 
+def test_near_copies_with_own_rare_words_meet_early(spark, monkeypatch):
+    """Copies that each hold words of their own are explained by the first round, not by all their pairs."""
+    rng = random.Random(7)
+    left = []
+
+    def pairs_left(copies: int) -> int:
+        texts = []
+        for group in range(6):
+            line = [f"w{group}x{k}" for k in range(60)]
+            for copy in range(copies):
+                words = list(line)
+                for k in rng.sample(range(60), rng.randrange(5)):
+                    words[k] = f"own{group}x{copy}x{k}"
+                texts.append(" ".join(words))
+        rng.shuffle(texts)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        sets = [set(t.split()) for t in texts]
+        expected = {i for i, a in enumerate(sets) if any(100 * len(a & b) >= 80 * len(a | b) for b in sets[:i])}
+        left.clear()
+        gone = {r["doc_id"] for r in line_dedup.duplicate_lines(docs).select("doc_id").collect()}
+        assert gone == expected
+        return sum(left)
+
+    staged = line_dedup.stage
+
+    def counted(df, name):
+        found = staged(df, name)
+        if name == "pairs_of_run":
+            left.append(found.count())
+        return found
+
+    monkeypatch.setattr(line_dedup, "stage", counted)
+    assert pairs_left(20) < 120
+    assert pairs_left(80) < 960
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(4)
     rows = []
