@@ -1,12 +1,17 @@
 """Versions, daily run, pushdown, late rows and replays."""
 
 import json
+import os
+import random
 from datetime import date
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from duskwatch import schemas
+from duskwatch.constants import SOURCES
 from duskwatch.operators import registry as R
 from duskwatch.sources import lists, objects
 from duskwatch.sources.versions import VersionStore
@@ -544,3 +549,110 @@ def test_seen_state_expires(spark, tmp_path):
     assert got["o1"]["expired"] and not got["o2"]["expired"] and not got["o3"]["expired"]
     got = run("e.json", message(7, 9 * day + 2, "o1"))  # it comes back as a new address
     assert (got["o1"]["first_ts"], got["o1"]["gateways"], got["o1"]["onions_farmer"], got["o1"]["expired"]) == (9 * day + 2, True, False, False)
+
+
+class StateStore:
+    """A slot's state and timers as the store would keep them; counts the calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def clear(self):
+        self.calls, self.value = self.calls + 1, None
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+
+def test_seen_state_calls_the_store_per_slot_not_per_address():
+    store, state = StateStore(), streams.SeenState(5_000)
+    state.init(store)
+
+    def meet(ts):
+        part = pd.DataFrame({"onion": [f"o{i}" for i in range(300)], "ts": [ts + i for i in range(300)], "sources": 1})
+        return pd.concat(state.handleInputRows((7,), iter([part, part]), None))
+
+    def expire(now):
+        at = min(store.timers)
+        got = list(state.handleExpiredTimer((7,), SimpleNamespace(getCurrentWatermarkInMs=lambda: now),
+                                            SimpleNamespace(getExpiryTimeInMs=lambda: at)))
+        store.timers.remove(at)  # Spark does so afterwards
+        return {onion for rows in got for onion in rows["onion"]}
+
+    assert len(meet(10)) == 300 and store.calls <= 3 and store.timers == {15_000}
+    assert set(meet(20)["first_ts"] - meet(20)["last_ts"]) == {-10.0} and store.calls <= 10 and store.timers == {15_000}
+    assert expire(24_999) == set() and store.timers == {25_000}  # seen since
+    assert expire(27_000) == {"o0", "o1", "o2"} and store.timers == {28_000}
+    assert len(expire(10**9)) == 297 and store.value is None and not store.timers and store.calls <= 17
+
+
+def test_seen_state_of_shared_slots_equals_a_loop(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "SEEN_SLOTS", 3)
+    day, delay, keep, rng = 86_400.0, 1, 2, random.Random(3)
+    expected, states, watermark, latest = [], {}, 0.0, 0.0
+
+    def row(batch, onion, expired):
+        first, last, sources = states[onion]
+        return (batch, onion, first, last, *[s in sources for s in SOURCES], expired)
+
+    def expire(batch):
+        for onion in [o for o, s in states.items() if s[1] + keep * day <= watermark]:
+            expected.append(row(batch, onion, True))
+            del states[onion]
+
+    for batch in range(9):
+        rows = [((2 * batch + rng.randrange(3)) * day / 2 + day, f"o{rng.randrange(60)}", rng.choice(SOURCES)) for _ in range(12)]
+        write_file(tmp_path / "in", f"{batch}.json", [message(i, *r) for i, r in enumerate(rows)])
+        os.utime(tmp_path / "in" / f"{batch}.json", (1e9 + batch, 1e9 + batch))
+        for ts, onion, source in rows:
+            first, last, sources = states.get(onion, (ts, ts, set()))
+            states[onion] = min(first, ts), max(last, ts), sources | {source}
+        expected += [row(batch, onion, False) for onion in {r[1] for r in rows}]
+        expire(batch)
+        latest = max([latest, *[r[0] for r in rows]])
+        watermark = latest - delay * day
+    expire(9)  # in a batch without rows, as the watermark has moved
+    out = str(tmp_path / "out")
+    streams.stream_seen_state(
+        streams.file_stream(spark, str(tmp_path / "in")), out, str(tmp_path / "cp"), delay=f"{delay} day", keep_days=keep)
+    got = spark.read.parquet(out).select("batch_id", "onion", "first_ts", "last_ts", *SOURCES, "expired").collect()
+    assert sorted(map(tuple, got)) == sorted(expected)
+    assert sum(r["expired"] for r in got) > 20
+    assert state_rows(spark, str(tmp_path / "cp"), stateVarName="slot") <= 3
+
+
+def test_seen_state_without_a_known_time(spark, tmp_path):
+    write_file(tmp_path / "in", "a.json", [message(1, None), message(2, None, "o2"), message(3, 5.0, "o2", "ioc_repositories")])
+    streams.stream_seen_state(streams.file_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"))
+    got = {r["onion"]: r for r in streams.latest_updates(spark, str(tmp_path / "out"), ["onion"]).collect()}
+    assert (got["o1"]["first_ts"], got["o1"]["last_ts"], got["o1"]["gateways"]) == (None, None, True)
+    assert (got["o2"]["first_ts"], got["o2"]["last_ts"], got["o2"]["gateways"], got["o2"]["ioc_repositories"]) == (5.0, 5.0, True, True)
+
+
+def test_state_partitions_are_a_few_per_core_and_the_setting_stays(spark):
+    name, cores = "spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism
+    before = spark.conf.get(name)
+    assert streams.state_partitions(spark) == int(before)  # fewer stay as they are
+    try:
+        spark.conf.set(name, "5000")
+        assert streams.state_partitions(spark) == max(32, 4 * cores)
+        with streams.rocksdb_state(spark, streams.state_partitions(spark)):
+            assert spark.conf.get(name) == str(max(32, 4 * cores))
+        assert spark.conf.get(name) == "5000"
+    finally:
+        spark.conf.set(name, before)
